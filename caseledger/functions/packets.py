@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
@@ -98,8 +99,6 @@ def _row_checker(events: Sequence[str], reasons: dict[str, str]):
 
 def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
     """Struct ``(is_valid, error_msg, packets)``; one bad packet rejects its whole file."""
-    import pandas as pd
-
     check_file = _row_checker(tuple(events), dict(REASONS))
 
     def check(batch: pd.Series) -> pd.DataFrame:

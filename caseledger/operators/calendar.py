@@ -90,7 +90,12 @@ def workdays_between(df: DataFrame, cal: DataFrame, start: str, end: str,
             .drop("_from_seq", "_to_seq"))
 
 
-def require_in_calendar(cal: DataFrame, day: date) -> None:
-    """A snapshot day outside the calendar would silently lose its working-day numbers."""
-    if cal.where(F.col("ngay_date") == F.lit(day)).isEmpty():
+def workday_number(cal: DataFrame, day: date) -> int:
+    """Working-day number of one day, a literal for all rows of a snapshot.
+
+    A day outside the calendar is refused: its working-day numbers would be unknown.
+    """
+    row = cal.where(F.col("ngay_date") == F.lit(day)).select("stt_ngay_lam_viec").first()
+    if row is None:
         raise RuntimeError(f"the calendar does not contain {day}; extend it first")
+    return row[0]

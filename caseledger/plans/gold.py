@@ -12,8 +12,7 @@ from caseledger.functions.columns import (STATUS_COMPLETED, STATUS_RECEIVED, STA
                                           TERMINAL_STATUSES, as_of_instant, before_end_of,
                                           created_and_alive, day_end, day_key, is_open,
                                           is_success, non_negative, on_day, or_unknown)
-from caseledger.operators.calendar import (require_in_calendar, with_workday,
-                                           workdays_between)
+from caseledger.operators.calendar import with_workday, workday_number, workdays_between
 from caseledger.operators.joins import assemble_dense, join_scd2_as_of, lookup, versions_at
 from caseledger.operators.ranking import latest_as_of, previous_value
 from caseledger.plans.dims import AGENCY, OFFICER, SERVICE, STATUS
@@ -51,7 +50,10 @@ def _backlog_fact(rows: DataFrame, dims: dict[str, DataFrame], cal: DataFrame,
     rows = rows.withColumn("can_bo_id", or_unknown("can_bo_id"))
     rows = with_workday(rows, cal, "created_at", "_created_seq")
     rows = with_workday(rows, cal, "latest_action_time", "_action_seq")
-    rows = with_workday(rows, cal, "snapshot_day", "_day_seq")
+    if day is not None:
+        rows = rows.withColumn("_day_seq", F.lit(workday_number(cal, day)))
+    else:
+        rows = with_workday(rows, cal, "snapshot_day", "_day_seq")
     keyed = _with_keys(rows, dims, day).withColumn("thoi_gian_id", day_key("snapshot_day"))
     since = F.coalesce("_action_seq", "_created_seq")
     return conform(keyed.select(
@@ -116,7 +118,7 @@ def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
     nothing = F.struct(F.lit(STATUS_RECEIVED).alias("trang_thai_id"),
                        F.lit(None).cast("int").alias("can_bo_id"),
                        F.lit(None).cast("timestamp").alias("action_time"))
-    start = F.array(F.struct(F.lit(date(1, 1, 1)).alias("from_day"), nothing.alias("state")))
+    start = F.array(F.struct(F.lit(None).cast("date").alias("from_day"), nothing.alias("state")))
     timeline = F.concat(start, F.coalesce("states", F.array().cast(
         "array<struct<from_day:date,state:struct<trang_thai_id:int,can_bo_id:int,"
         "action_time:timestamp>>>")))
@@ -295,7 +297,6 @@ def days_between(first: date, last: date) -> list[date]:
 def build_day(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: DataFrame,
               day: date, name=lambda table: table) -> None:
     """Replace both facts of one day; a repeated run gives the same partitions."""
-    require_in_calendar(cal, day)
     key = day.year * 10000 + day.month * 100 + day.day
     spark = cal.sparkSession
     replace_partition(backlog(silver["application"], silver["application_history"], dims, cal, day),

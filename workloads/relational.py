@@ -436,10 +436,9 @@ def calendar_lookup(spark, sf):
 SELECT o_orderkey, (SELECT stt_ngay_lam_viec FROM cal WHERE ngay_date = DATE '{B.DAY}') AS day_seq
 FROM orders"""))
 def cutoff_number(spark, sf):
-    """A one-row value joined by its key, which any number of snapshot days can share."""
-    dated = B.table(spark, sf, "orders").select("o_orderkey", F.lit(B.DAY).alias("snapshot_day"))
-    return cal_ops.with_workday(dated, B.case_calendar(spark), "snapshot_day", "day_seq"
-                                ).select("o_orderkey", "day_seq")
+    """The number of the snapshot day, as a literal instead of a one-row join."""
+    number = cal_ops.workday_number(B.case_calendar(spark), B.DAY)
+    return B.table(spark, sf, "orders").select("o_orderkey", F.lit(number).alias("day_seq"))
 
 
 @query("J6_left_join_latest_state", B.with_ctes(B.CASES, B.HISTORY, body="""
