@@ -109,4 +109,6 @@ def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
             "packets": [rows for _, rows in results],
         })
 
-    return F.pandas_udf(check, VALIDATION)(text)
+    # Declared non-deterministic so that a filter on the result is not pushed below it,
+    # which would parse every file twice.
+    return F.pandas_udf(check, VALIDATION).asNondeterministic()(text)

@@ -35,10 +35,15 @@ def master_snapshot(spark: SparkSession, url: str, snapshot_id: str,
     return list(frames)
 
 
-def validate_documents(raw: DataFrame, events: Sequence[str] = EVENTS) -> DataFrame:
-    """Add the validation result. Parsing is the costly step, so spread it evenly first
-    when few large splits hold many files."""
-    return raw.withColumn("result", validate_column(F.col("value"), events))
+def validate_documents(raw: DataFrame, events: Sequence[str] = EVENTS,
+                       spread: int | None = None) -> DataFrame:
+    """Add the validation result.
+
+    Landed files already arrive in many small splits. ``spread`` moves the texts over
+    that many tasks first, for input that comes from a few large splits.
+    """
+    rows = raw.repartition(spread) if spread else raw
+    return rows.withColumn("result", validate_column(F.col("value"), events))
 
 
 def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,11 +57,11 @@ def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return conform(accepted, APPLICATION_XML), conform(rejected, QUARANTINE)
 
 
-def validate_packets(raw: DataFrame, events: Sequence[str] = EVENTS,
-                     stage: bool = False) -> tuple[DataFrame, DataFrame]:
+def validate_packets(raw: DataFrame, events: Sequence[str] = EVENTS, stage: bool = False,
+                     spread: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected). ``stage`` writes the result once, so that two sinks do not
     parse every file twice."""
-    validated = validate_documents(raw, events)
+    validated = validate_documents(raw, events, spread)
     return split_valid_invalid(materialize(validated, "packets") if stage else validated)
 
 

@@ -75,11 +75,15 @@ def raw_rows(df, name, content):
                      F.lit(INGESTED).cast("timestamp").alias("ingested_at"))
 
 
+def cores(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def bronze_packets(spark, sf):
     """Accepted packets of one file per order."""
     files = raw_rows(packets_of_orders(spark, sf), _text("o_orderkey"), F.concat(
         F.lit("<?xml version='1.0' encoding='UTF-8'?>\n"), "packet"))
-    return bronze.validate_packets(files)[0]
+    return bronze.validate_packets(files, spread=cores(spark))[0]
 
 
 def broken_files(spark, sf):
@@ -115,7 +119,7 @@ def rejected(spark, sf):
     """The position the parser adds to the text of malformed files is cut off here."""
     prefix = REASONS["malformed"].replace("{detail}", "")
     reason = F.when(F.col("error_reason").startswith(prefix), prefix).otherwise(F.col("error_reason"))
-    return bronze.validate_packets(broken_files(spark, sf))[1].select(
+    return bronze.validate_packets(broken_files(spark, sf), spread=cores(spark))[1].select(
         "file_name", reason.alias("error_reason"))
 
 
@@ -126,7 +130,7 @@ SELECT 'PKG_' || o_orderkey AS ma_goi_tin, 'DL_HO_SO' AS ma_du_lieu, 'XML' AS lo
        'HS_' || o_orderkey AS id_ban_ghi, CAST(o_orderkey AS VARCHAR) AS file_name
 FROM orders WHERE o_orderkey % 11 IN (0, 10)""")
 def accepted(spark, sf):
-    return bronze.validate_packets(broken_files(spark, sf))[0].drop("data_payload", "ingested_at")
+    return bronze.validate_packets(broken_files(spark, sf), spread=cores(spark))[0].drop("data_payload", "ingested_at")
 
 
 @query("P2_xml_to_json", """
