@@ -7,7 +7,7 @@ import time
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseledger.operators.keys import anti_join
@@ -45,6 +45,13 @@ def supports_merge(spark: SparkSession, table: str) -> bool:
     return describe(spark, table).get("Provider", "").lower() in MERGE_PROVIDERS
 
 
+def fresh(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now. Sessions keep file listings, and every stream writes from a
+    session of its own, so a read that must see other writers refreshes first."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _aligned(df: DataFrame, table: str) -> DataFrame:
     """Columns in the table's order; columns the frame lacks become null."""
     spark = df.sparkSession
@@ -113,7 +120,7 @@ def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
     if day:
         once = with_day(once, *day)
     create_or_evolve(once, table, [day[1]] if day else [], location)
-    _insert(anti_join(once, spark.table(table), keys), table)
+    _insert(anti_join(once, fresh(spark, table), keys), table)
 
 
 def key_bucket(keys: str | Sequence[str], buckets: int = BUCKETS) -> Column:
@@ -154,7 +161,7 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
     placed.write.parquet(path)
     batch = spark.read.schema(placed.schema).parquet(path)
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # <= buckets
-    stored = spark.table(table).where(F.col(BUCKET).isin(touched))
+    stored = fresh(spark, table).where(F.col(BUCKET).isin(touched))
     kept = anti_join(stored, batch, names)
     with _dynamic_overwrite(spark):
         _insert(_aligned(kept, table).unionByName(_aligned(batch, table)), table, overwrite=True)
@@ -186,17 +193,25 @@ def replace_all(df: DataFrame, table: str, base: str | None = None) -> str:
     return path
 
 
+def _files_of(spark: SparkSession, table: str, condition: Column) -> set[str]:
+    """File names behind some partitions: one short row per file, no data columns."""
+    found = fresh(spark, table).where(condition).select(F.col("_metadata.file_path").alias("f"))
+    return {row["f"] for row in found.distinct().collect()}
+
+
 def replace_partition(df: DataFrame, table: str, column: str, value: int,
                       location: str | None = None) -> None:
     """Make ``column = value`` hold exactly the rows of ``df``; other partitions stay."""
     spark = df.sparkSession
-    written = Observation(f"replace {table}")
-    only = df.where(F.col(column) == F.lit(value))
+    chosen = F.col(column) == F.lit(value)
+    only = df.where(chosen)
     create_or_evolve(only, table, column, location)
+    before = _files_of(spark, table, chosen)
     with _dynamic_overwrite(spark):
-        _insert(only.observe(written, F.count(F.lit(1)).alias("rows")), table, overwrite=True)
-    # Dynamic overwrite leaves a partition alone when no row belongs to it.
-    if written.get["rows"] == 0:
+        _insert(only, table, overwrite=True)
+    # Dynamic overwrite leaves a partition alone when no row belongs to it: its old files
+    # are then still there and must go.
+    if before and _files_of(spark, table, chosen) == before:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = {value})")
 
 
@@ -204,7 +219,7 @@ def drop_column(table_df: DataFrame, table: str, column: str) -> None:
     """Retire a column: publish a version without it."""
     spark = table_df.sparkSession
     path = scratch_path(spark, "table")
-    kept = spark.table(table).drop(column)
+    kept = fresh(spark, table).drop(column)
     keys = [k for k in partition_columns(spark, table) if k != column]
     writer = kept.write.partitionBy(*keys) if keys else kept.write
     writer.parquet(path)
@@ -223,7 +238,7 @@ def _repoint(spark: SparkSession, table: str, path: str, keys: Sequence[str],
 def delete_where(spark: SparkSession, table: str, predicate: str) -> None:
     """Delete matching rows: rewrite the partitions that hold some, or publish a version."""
     keys = partition_columns(spark, table)
-    current = spark.table(table)
+    current = fresh(spark, table)
     kept = current.where(~F.coalesce(F.expr(predicate), F.lit(False)))
     if not keys:
         replace_all(kept, table)
@@ -248,7 +263,7 @@ def _drop_partition(spark: SparkSession, table: str, row) -> None:
 
 def repartition_table(spark: SparkSession, table: str, ts: str, day: str) -> None:
     """Lay an existing table out by the day of ``ts``."""
-    dated = with_day(spark.table(table), ts, day)
+    dated = with_day(fresh(spark, table), ts, day)
     path = scratch_path(spark, "table")
     dated.hint("rebalance", day).write.partitionBy(day).parquet(path)
     _repoint(spark, table, path, [day], dated)
@@ -293,7 +308,7 @@ def compact_small_files(spark: SparkSession, table: str, target_bytes: int = 134
     keys. The row count is compared before the partition is published.
     """
     keys = partition_columns(spark, table)
-    report = file_report(spark.table(table), keys).where(F.col("files") >= min_files).collect()
+    report = file_report(fresh(spark, table), keys).where(F.col("files") >= min_files).collect()
     done = []
     for row in report:  # one entry per fragmented partition
         wanted = max(1, math.ceil(row["bytes"] / target_bytes))
@@ -335,7 +350,7 @@ def retention_purge(spark: SparkSession, table: str, retain_days: int = 7,
                     snapshot: str = "snapshot_id", ts: str = "ingested_at") -> list[str]:
     """Delete expired snapshots from a Bronze table; only their partitions are rewritten."""
     gone = [row[0] for row in
-            expired_snapshots(spark.table(table), retain_days, retain_last, now, snapshot, ts)
+            expired_snapshots(fresh(spark, table), retain_days, retain_last, now, snapshot, ts)
             .collect()]  # one value per snapshot run
     if gone:
         values = ", ".join("'" + str(v).replace("'", "''") + "'" for v in gone)

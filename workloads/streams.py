@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseledger.schemas import CDC_ROWS
 from caseledger.session import scratch_path
-from caseledger.sources import readers
+from caseledger.sources import readers, tables
 from caseledger.streaming import cdc, sinks, transitions
 from workloads import bindings as B
 from workloads.registry import query
@@ -132,7 +132,7 @@ def stream_upsert(spark, sf):
         sinks.stream_upsert(fact, name, ["ho_so_id", "id"], scratch_path(spark, "checkpoint"),
                             trigger=None, order=["application_kafka_offset"], buckets=4
                             ).awaitTermination()
-    return spark.table(name).drop("key_bucket")
+    return tables.fresh(spark, name).drop("key_bucket")
 
 
 @query("C4_K11_T1_cdc_streams", f"""
@@ -148,9 +148,9 @@ def cdc_streams(spark, sf):
         name[topic] = B.new_table(spark, f"{topic}_cdc")[0]
         sinks.stream_append(cdc.parse_cdc(stream, CDC_ROWS[topic]), name[topic],
                             scratch_path(spark, "checkpoint"), trigger=None).awaitTermination()
-    return (spark.table(name["application"]).select(F.lit("application").alias("topic"),
+    return (tables.fresh(spark, name["application"]).select(F.lit("application").alias("topic"),
                                                    F.col("id").alias("ho_so_id"))
-            .unionByName(spark.table(name["application_history"]).select(
+            .unionByName(tables.fresh(spark, name["application_history"]).select(
                 F.lit("application_history").alias("topic"), F.col("Applicationid").alias("ho_so_id")))
             .groupBy("topic", "ho_so_id").agg(F.count(F.lit(1)).alias("changes")))
 
