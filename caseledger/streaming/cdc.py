@@ -13,9 +13,9 @@ from caseledger.functions.columns import from_micros, from_millis
 TIME_COLUMNS = ("updated_at", "created_at", "action_time")
 
 
-def _flat_envelope(row: StructType) -> StructType:
-    return StructType().add("payload", StructType().add("before", row).add("after", row)
-                            .add("op", "string"))
+def _flat_envelope(row: StructType, with_before: bool) -> StructType:
+    payload = StructType().add("after", row).add("op", "string")
+    return StructType().add("payload", payload.add("before", row) if with_before else payload)
 
 
 def full_envelope(row: StructType) -> StructType:
@@ -34,20 +34,30 @@ def times_from_micros(df: DataFrame, names: Sequence[str] = TIME_COLUMNS) -> Dat
     return df.withColumns({name: from_micros(name) for name in names if name in present})
 
 
+def _payloads(records: DataFrame, envelope: StructType, ops: Sequence[str],
+              *keep: str) -> DataFrame:
+    """The fields of each payload whose operation is wanted.
+
+    Filtering inside ``inline`` keeps the optimizer from pushing conditions on the parsed
+    value below the parse, which would parse every record once per condition.
+    """
+    payload = F.from_json("json_value", envelope).getField("payload")
+    wanted = F.filter(F.array(payload), lambda p: p["op"].isin(*ops))
+    return records.select(*keep, F.inline(wanted))
+
+
 def parse_cdc(records: DataFrame, row: StructType, ops: Sequence[str] = ("c", "u"),
               ingested_at: Column | None = None) -> DataFrame:
     """Flat rows of the wanted operations: row image, ``op``, ``ingested_at``.
 
     The row is the after image; a delete (``d``), if asked for, has only the before image.
     """
-    payload = F.from_json("json_value", _flat_envelope(row)).getField("payload")
-    opened = records.select(payload.alias("p")).where(F.col("p.op").isin(*ops))
-    if "d" in ops:
-        image = F.when(F.col("p.op") == "d", F.col("p.before")).otherwise(F.col("p.after"))
-    else:
-        image = F.col("p.after")
-    flat = opened.select(image.alias("row"), F.col("p.op").alias("op")).select("row.*", "op")
-    return times_from_micros(flat).withColumn(
+    deletes = "d" in ops
+    opened = _payloads(records, _flat_envelope(row, deletes), ops)
+    if deletes:
+        opened = opened.withColumn("after", F.when(F.col("op") == "d", F.col("before"))
+                                   .otherwise(F.col("after")))
+    return times_from_micros(opened.select("after.*", "op")).withColumn(
         "ingested_at", F.current_timestamp() if ingested_at is None else ingested_at)
 
 
@@ -59,13 +69,11 @@ def parse_cdc_with_before(records: DataFrame, row: StructType,
     the record), ``transaction_id``, ``kafka_timestamp``, ``kafka_partition``,
     ``kafka_offset``.
     """
-    payload = F.from_json("json_value", full_envelope(row)).getField("payload")
-    return (records.withColumn("p", payload).where(F.col("p.op").isin(*ops)).select(
-        F.col("p.before").alias("before"), F.col("p.after").alias("after"),
-        F.col("p.op").alias("op"),
-        F.coalesce(from_millis("p.source.ts_ms"), F.col("kafka_timestamp")).alias("event_time"),
-        F.col("p.source.txId").cast("string").alias("transaction_id"),
-        "kafka_timestamp", "kafka_partition", "kafka_offset"))
+    position = ("kafka_timestamp", "kafka_partition", "kafka_offset")
+    return _payloads(records, full_envelope(row), ops, *position).select(
+        "before", "after", "op",
+        F.coalesce(from_millis("source.ts_ms"), F.col("kafka_timestamp")).alias("event_time"),
+        F.col("source.txId").cast("string").alias("transaction_id"), *position)
 
 
 def application_changes(records: DataFrame, row: StructType) -> DataFrame:
