@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # They must equal the ones stored in existing tables.
@@ -87,6 +87,26 @@ def on_day(ts: ColumnOrName, first: date, last: date | None = None) -> Column:
     return (_col(ts) >= day_start(first)) & (_col(ts) < day_end(last or first))
 
 
+# Day columns by which tables are laid out, next to the timestamps they come from.
+DAY_COLUMNS = {"action_time": "action_date", "ingested_at": "ingest_date",
+               "thoi_gian_tt": "paid_date"}
+
+
+def in_days(df: DataFrame, ts: str, first: date | None, last: date) -> Column:
+    """Rows between two days (no lower end if ``first`` is ``None``).
+
+    A table laid out by day is also filtered on its day column, so that only the
+    partitions of those days are listed and read.
+    """
+    condition = before_end_of(ts, last) if first is None else on_day(ts, first, last)
+    day = DAY_COLUMNS.get(ts)
+    if day in df.columns:
+        condition &= F.col(day) <= F.lit(last)
+        if first is not None:
+            condition &= F.col(day) >= F.lit(first)
+    return condition
+
+
 def before_end_of(ts: ColumnOrName, day: date) -> Column:
     return _col(ts) < day_end(day)
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseledger.functions.columns import before_end_of
+from caseledger.functions.columns import in_days
 from caseledger.operators.skew import (HOT_ROWS, HOT_SHARE, SPLITS, columns_of,
                                        split_hot_keys)
 
@@ -30,7 +30,7 @@ def latest(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
 def latest_as_of(df: DataFrame, key: str | Sequence[str], ts: str, day: date,
                  tie: str | Sequence[str]) -> DataFrame:
     """State at the end of ``day``: later events are filtered out at the scan."""
-    return latest(df.where(before_end_of(ts, day)), key, [ts, *columns_of(tie)])
+    return latest(df.where(in_days(df, ts, None, day)), key, [ts, *columns_of(tie)])
 
 
 def latest_snapshot(df: DataFrame, order: str) -> DataFrame:

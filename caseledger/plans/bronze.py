@@ -43,7 +43,9 @@ def validate_documents(raw: DataFrame, events: Sequence[str] = EVENTS,
     that many tasks first, for input that comes from a few large splits.
     """
     rows = raw.repartition(spread) if spread else raw
-    return rows.withColumn("result", validate_column(F.col("value"), events))
+    checked = rows.withColumn("result", validate_column(F.col("value"), events))
+    # The text of accepted files is in their packets; it need not be staged again.
+    return checked.withColumn("value", F.when(~F.col("result.is_valid"), F.col("value")))
 
 
 def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

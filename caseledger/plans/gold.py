@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from caseledger.functions.columns import (STATUS_COMPLETED, STATUS_RECEIVED, STATUS_REJECTED,
                                           TERMINAL_STATUSES, as_of_instant, before_end_of,
-                                          created_and_alive, day_end, day_key, is_open,
+                                          created_and_alive, day_end, day_key, in_days, is_open,
                                           is_success, non_negative, on_day, or_unknown)
 from caseledger.operators.calendar import with_workday, workday_number, workdays_between
 from caseledger.operators.joins import assemble_dense, join_scd2_as_of, lookup, versions_at
 from caseledger.operators.ranking import latest_as_of, previous_value
+from caseledger.operators.skew import broadcast_within
 from caseledger.plans.dims import AGENCY, OFFICER, SERVICE, STATUS
 from caseledger.schemas import FACT_AGENCY_DAY, FACT_BACKLOG, FACT_TRANSITIONS, conform
 from caseledger.session import materialize
@@ -72,9 +73,7 @@ def open_cases(app: DataFrame, history: DataFrame, day: date,
     """
     cases = app.select(*_CASE).where(
         created_and_alive("created_at", "da_bi_xoa", "event_time", day))
-    state = latest_as_of(history.select("ho_so_id", "trang_thai_id", "can_bo_id", "action_time",
-                                        "history_id"),
-                         "ho_so_id", "action_time", day, "history_id")
+    state = latest_as_of(history, "ho_so_id", "action_time", day, "history_id")
     state = state.select("ho_so_id", "trang_thai_id", "can_bo_id",
                          F.col("action_time").alias("latest_action_time"))
     return (cases.join(state, "ho_so_id", "left")
@@ -101,7 +100,7 @@ def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
     """
     entered = F.greatest(F.to_date("action_time"), F.lit(first))
     position = F.struct("action_time", "history_id")
-    daily = (history.where(before_end_of("action_time", last))
+    daily = (history.where(in_days(history, "action_time", None, last))
              .groupBy("ho_so_id", entered.alias("from_day"))
              .agg(F.max_by(F.struct("trang_thai_id", "can_bo_id", "action_time"), position)
                   .alias("state"))
@@ -126,12 +125,12 @@ def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
               .withColumn("_begins", begins).withColumn("_ends", ends)
               .where(F.col("_begins") <= F.col("_ends"))
               .withColumn("_timeline", timeline)
-              .select(*_CASE, "_begins", "_ends", "_timeline",
-                      F.posexplode("_timeline").alias("_n", "_entry"))
-              .withColumn("_next", F.get("_timeline", F.col("_n") + 1)["from_day"])
-              .drop("_timeline"))
+              .withColumn("_timeline", F.transform("_timeline", lambda entry, n: F.struct(
+                  entry["from_day"].alias("from_day"), entry["state"].alias("state"),
+                  F.get("_timeline", n + 1)["from_day"].alias("next_day"))))
+              .select(*_CASE, "_begins", "_ends", F.explode("_timeline").alias("_entry")))
     low = F.greatest("_begins", "_entry.from_day")
-    high = F.least("_ends", F.coalesce(F.date_sub("_next", 1), F.col("_ends")))
+    high = F.least("_ends", F.coalesce(F.date_sub("_entry.next_day", 1), F.col("_ends")))
     return (ranges.where(is_open("_entry.state.trang_thai_id", terminal) & (low <= high))
             .select(*_CASE, F.coalesce("_entry.state.trang_thai_id", F.lit(STATUS_RECEIVED))
                     .alias("trang_thai_id"),
@@ -177,13 +176,14 @@ def case_activity(history: DataFrame, payment: DataFrame, first: date,
     Counted per event, before any join: a case with very many events becomes one row per
     day on the map side, and cases are joined to the application once for all measures.
     """
-    events = (history.where(on_day("action_time", first, last)
+    end = last or first
+    events = (history.where(in_days(history, "action_time", first, end)
                             & F.col("trang_thai_id").isin(STATUS_COMPLETED, STATUS_REJECTED))
               .select("ho_so_id", F.to_date("action_time").alias("snapshot_day"),
                       (F.col("trang_thai_id") == STATUS_COMPLETED).cast("int").alias("done"),
                       (F.col("trang_thai_id") == STATUS_REJECTED).cast("int").alias("rework"),
                       F.lit(0.0).alias("fee")))
-    fees = (payment.where(on_day("thoi_gian_tt", first, last) & is_success("trang_thai_tt"))
+    fees = (payment.where(in_days(payment, "thoi_gian_tt", first, end) & is_success("trang_thai_tt"))
             .select("ho_so_id", F.to_date("thoi_gian_tt").alias("snapshot_day"),
                     F.lit(0).alias("done"), F.lit(0).alias("rework"),
                     F.col("so_tien").alias("fee")))
@@ -201,7 +201,9 @@ def activity_by_agency(activity: DataFrame, app: DataFrame, service: DataFrame,
     """
     cases = (app.where(before_end_of("created_at", last))
              .select("ho_so_id", "co_quan_id", "dv_cong_id", "created_at"))
-    joined = (activity.join(cases, "ho_so_id", "inner")
+    # Few cases move on one day, compared with all cases ever: within the bound they are
+    # broadcast, and the big table is scanned in place instead of being exchanged.
+    joined = (cases.join(broadcast_within(activity), "ho_so_id", "inner")
               .where(F.to_date("created_at") <= F.col("snapshot_day")))
     joined = join_scd2_as_of(joined, service, SERVICE.key, SERVICE.key, F.col("created_at"),
                              SERVICE.sk, [("thoi_han_tra_kq", "_sla")])

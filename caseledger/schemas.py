@@ -129,6 +129,7 @@ PARTITION_KEYS = {
     "bronze.application_xml": "ingest_date",
     "bronze.payment_transactions": "ingest_date",
     "silver.application_history": "action_date",
+    "silver.payment": "paid_date",
     "gold.fact_xu_ly_ho_so": "thoi_gian_id",
     "gold.fact_ton_dong_ho_so": "thoi_gian_id",
     "gold.fact_van_hanh_co_quan": "thoi_gian_id",

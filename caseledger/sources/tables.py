@@ -6,14 +6,15 @@ import math
 import time
 from collections.abc import Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseledger.operators.keys import anti_join
 from caseledger.operators.ranking import latest
-from caseledger.operators.skew import columns_of
-from caseledger.session import scratch_path
+from caseledger.operators.skew import broadcast_within, columns_of
+from caseledger.session import materialize, scratch_path
 
 BUCKET = "key_bucket"
 BUCKETS = 64
@@ -113,14 +114,31 @@ def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
                     day: tuple[str, str] | None = None, location: str | None = None) -> None:
     """Append the rows whose key the table does not have, one row per key.
 
-    ``day`` = (timestamp column, partition column) lays an event log out by day.
+    ``day`` = (timestamp column, partition column) lays an event log out by day. The log
+    is asked which keys of the batch it has: a batch within the broadcast bound goes to
+    the log, whose key column is then scanned in place, and only the answer comes back.
     """
     spark = df.sparkSession
-    once = df.dropDuplicates(columns_of(keys))
+    names = columns_of(keys)
+    once = df.dropDuplicates(names)
     if day:
         once = with_day(once, *day)
+    created = not spark.catalog.tableExists(table)
     create_or_evolve(once, table, [day[1]] if day else [], location)
-    _insert(anti_join(once, fresh(spark, table), keys), table)
+    if created:
+        _insert(once, table)
+        return
+    batch = _staged(once, "append")
+    asked = broadcast_within(batch.select(*[F.col(k).alias(f"_b_{k}") for k in names]))
+    match = reduce(lambda a, b: a & b,
+                   [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in names])
+    known = fresh(spark, table).select(*names).join(asked, match, "left_semi")
+    _insert(anti_join(batch, known, names), table)
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """A batch that is used several times: written once, so every use sees the same rows."""
+    return materialize(df, name)
 
 
 def key_bucket(keys: str | Sequence[str], buckets: int = BUCKETS) -> Column:
@@ -156,10 +174,7 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('buckets' = '{buckets}')")
         _insert(placed, table)
         return
-    # The batch is used three times; write it once so that every use sees the same rows.
-    path = scratch_path(spark, "upsert")
-    placed.write.parquet(path)
-    batch = spark.read.schema(placed.schema).parquet(path)
+    batch = _staged(placed, "upsert")
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # <= buckets
     stored = fresh(spark, table).where(F.col(BUCKET).isin(touched))
     kept = anti_join(stored, batch, names)
@@ -247,7 +262,7 @@ def delete_where(spark: SparkSession, table: str, predicate: str) -> None:
     parts = hit.collect()  # partition values, not data
     if not parts:
         return
-    survivors = kept.join(F.broadcast(hit), keys, "left_semi")
+    survivors = kept.where(_in_partitions(keys, parts))
     alive = {tuple(row) for row in survivors.select(*keys).distinct().collect()}
     with _dynamic_overwrite(spark):
         _insert(survivors, table, overwrite=True)
@@ -256,6 +271,17 @@ def delete_where(spark: SparkSession, table: str, predicate: str) -> None:
             _drop_partition(spark, table, row)
 
 
+def _in_partitions(keys: Sequence[str], parts) -> Column:
+    """Rows of the listed partitions, as a predicate that prunes."""
+    if len(keys) == 1:
+        values = [row[keys[0]] for row in parts if row[keys[0]] is not None]
+        condition = F.col(keys[0]).isin(values)
+        return condition if len(values) == len(parts) else condition | F.col(keys[0]).isNull()
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(row[k])) for k in keys])
+        for row in parts])
+
+
 def _drop_partition(spark: SparkSession, table: str, row) -> None:
     spec = ", ".join(f"`{k}` = '{v}'" for k, v in row.asDict().items())
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
@@ -302,36 +328,53 @@ def file_report(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def compact_small_files(spark: SparkSession, table: str, target_bytes: int = 134_217_728,
                         min_files: int = 5) -> DataFrame:
-    """Merge the small files of partitions that have at least ``min_files`` of them.
+    """Merge the small files of every partition that has at least ``min_files`` of them.
 
-    Rows are moved round-robin, so a compacted partition has even files whatever its
-    keys. The row count is compared before the partition is published.
+    All fragmented partitions go through one job. A row is placed by its position in its
+    old file, so a partition gets even files whatever its values, and a repeated task
+    places it the same way. Row counts are compared before anything is published.
+    Returns the files per partition before and after.
     """
     keys = partition_columns(spark, table)
-    report = file_report(fresh(spark, table), keys).where(F.col("files") >= min_files).collect()
-    done = []
-    for row in report:  # one entry per fragmented partition
-        wanted = max(1, math.ceil(row["bytes"] / target_bytes))
-        if wanted >= row["files"]:
-            continue
-        part = spark.table(table)
-        for key in keys:
-            part = part.where(F.col(key).eqNullSafe(F.lit(row[key])))
-        path = scratch_path(spark, "compact")
-        part.repartition(wanted).write.parquet(path)
-        merged = spark.read.schema(part.schema).parquet(path)
-        if merged.count() != part.count():
-            raise RuntimeError(f"compaction of {table} would change its content")
-        if keys:
-            with _dynamic_overwrite(spark):
-                _aligned(merged.coalesce(wanted), table).write.insertInto(table, overwrite=True)
-        else:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(table)
-        done.append((*[str(row[k]) for k in keys], row["files"], wanted))
+    found = file_report(fresh(spark, table), keys).where(F.col("files") >= min_files).collect()
+    wanted = {tuple(row[k] for k in keys): max(1, math.ceil(row["bytes"] / target_bytes))
+              for row in found}
+    parts = [row for row in found if wanted[tuple(row[k] for k in keys)] < row["files"]]
     names = [*keys, "files_before", "files_after"]
     ddl = ", ".join(f"`{n}` {'string' if n in keys else 'int'}" for n in names)
-    return spark.createDataFrame(done, ddl)
+    if not parts:
+        return spark.createDataFrame([], ddl)
+    source = spark.table(table)
+    if keys:
+        source = source.where(_in_partitions(keys, parts))
+    counts = spark.createDataFrame(
+        [(*[row[k] for k in keys], wanted[tuple(row[k] for k in keys)]) for row in parts],
+        ", ".join([*[f"`_k_{k}` {spark.table(table).schema[k].dataType.simpleString()}"
+                     for k in keys], "_files int"]))
+    match = reduce(lambda a, b: a & b,
+                   [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
+    if keys:  # one short row per fragmented partition
+        placed = source.withColumn("_row", F.col("_metadata.row_index")).join(
+            F.broadcast(counts), match)
+    else:
+        placed = source.withColumn("_row", F.col("_metadata.row_index")).withColumn(
+            "_files", F.lit(wanted[()]))
+    spread = placed.withColumn("_slot", F.pmod("_row", "_files")).repartition(
+        sum(wanted[tuple(row[k] for k in keys)] for row in parts), *keys, "_slot")
+    path = scratch_path(spark, "compact")
+    spread.select(*source.columns).write.partitionBy(*keys).parquet(path)
+    merged = spark.read.schema(source.schema).parquet(path)
+    if merged.count() != source.count():
+        raise RuntimeError(f"compaction of {table} would change its content")
+    if keys:
+        with _dynamic_overwrite(spark):
+            _aligned(merged, table).write.insertInto(table, overwrite=True)
+    else:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    return spark.createDataFrame(
+        [(*[str(row[k]) for k in keys], row["files"], wanted[tuple(row[k] for k in keys)])
+         for row in parts], ddl)
 
 
 def expired_snapshots(df: DataFrame, retain_days: int = 7, retain_last: int = 10,

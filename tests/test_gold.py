@@ -170,3 +170,18 @@ def test_gate(spark):
     assert rows(quality.recon_counts({"a": spark.range(2), "b": spark.range(0)})) == [("a", 2), ("b", 0)]
     bad = spark.createDataFrame([("x",), ("x",)], "id string")
     assert rows(quality.event_uniqueness(bad)) == [(2, 1)]
+
+
+def test_stored_history_and_payments_are_pruned_by_day(spark, cal, dims, name):
+    from caseledger.sources.tables import append_new_only
+    app, history, payment = random_world(spark, 5, 40)
+    h, p = name("history"), name("payment")
+    append_new_only(history, h, "history_id", ("action_time", "action_date"))
+    append_new_only(payment, p, "ma_giao_dich", ("thoi_gian_tt", "paid_date"))
+    activity = gold.case_activity(spark.table(h), spark.table(p), DAY)
+    plan = activity._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(action_date" in plan and "PartitionFilters: [isnotnull(paid_date" in plan
+    assert rows(activity) == rows(gold.case_activity(history, payment, DAY))
+    stored = gold.backlog(app, spark.table(h), dims, cal, DAY)
+    assert "(action_date" in stored._jdf.queryExecution().executedPlan().toString()
+    assert rows(stored) == rows(gold.backlog(app, history, dims, cal, DAY))
