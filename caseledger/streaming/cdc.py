@@ -76,34 +76,41 @@ def parse_cdc_with_before(records: DataFrame, row: StructType,
         F.col("source.txId").cast("string").alias("transaction_id"), *position)
 
 
+# Column of the transition join -> where the envelope has it.
+APPLICATION_CHANGE = {
+    "ho_so_id": "after.id", "ten_ho_so": "after.name", "applicant_id": "after.Applicantid",
+    "co_quan_id": "after.Agencyid", "dv_cong_id": "after.Serviceid",
+    "app_before_status_id": "before.Statusid", "app_after_status_id": "after.Statusid",
+    "created_at": "after.created_at", "app_before_updated_at": "before.updated_at",
+    "app_after_updated_at": "after.updated_at", "app_event_time": "event_time",
+    "app_kafka_timestamp": "kafka_timestamp",
+    "application_kafka_partition": "kafka_partition", "application_kafka_offset": "kafka_offset",
+}
+HISTORY_CHANGE = {
+    "id": "after.id", "h_ho_so_id": "after.Applicationid",
+    "trang_thai_truoc_id": "after.Statusid", "trang_thai_id": "after.Statusid2",
+    "can_bo_id": "after.Officerid", "action_time": "after.action_time",
+    "transaction_id": "transaction_id", "history_event_time": "event_time",
+    "history_kafka_timestamp": "kafka_timestamp",
+    "history_kafka_partition": "kafka_partition", "history_kafka_offset": "kafka_offset",
+}
+MICROS = ("after.created_at", "after.updated_at", "before.updated_at", "after.action_time")
+
+
+def _changes(records: DataFrame, row: StructType, ops: Sequence[str], fields: dict[str, str],
+             keys: Sequence[str]) -> DataFrame:
+    """The named fields of each change; rows without their keys cannot be matched."""
+    opened = parse_cdc_with_before(records, row, ops).select(*[
+        (from_micros(path) if path in MICROS else F.col(path)).alias(name)
+        for name, path in fields.items()])
+    return opened.dropna(subset=list(keys))
+
+
 def application_changes(records: DataFrame, row: StructType) -> DataFrame:
-    """Application changes as the left input of the transition join."""
-    return (parse_cdc_with_before(records, row).select(
-        F.col("after.id").alias("ho_so_id"), F.col("after.name").alias("ten_ho_so"),
-        F.col("after.Applicantid").alias("applicant_id"),
-        F.col("after.Agencyid").alias("co_quan_id"), F.col("after.Serviceid").alias("dv_cong_id"),
-        F.col("before.Statusid").alias("app_before_status_id"),
-        F.col("after.Statusid").alias("app_after_status_id"),
-        from_micros("after.created_at").alias("created_at"),
-        from_micros("before.updated_at").alias("app_before_updated_at"),
-        from_micros("after.updated_at").alias("app_after_updated_at"),
-        F.col("event_time").alias("app_event_time"),
-        F.col("kafka_timestamp").alias("app_kafka_timestamp"),
-        F.col("kafka_partition").alias("application_kafka_partition"),
-        F.col("kafka_offset").alias("application_kafka_offset"))
-        .where(F.col("ho_so_id").isNotNull()))
+    """Application changes, the left input of the transition join."""
+    return _changes(records, row, ("c", "u"), APPLICATION_CHANGE, ["ho_so_id"])
 
 
 def history_changes(records: DataFrame, row: StructType) -> DataFrame:
-    """Inserted status changes as the right input of the transition join."""
-    return (parse_cdc_with_before(records, row, ("c",)).select(
-        F.col("after.id").alias("id"), F.col("after.Applicationid").alias("h_ho_so_id"),
-        F.col("after.Statusid").alias("trang_thai_truoc_id"),
-        F.col("after.Statusid2").alias("trang_thai_id"),
-        F.col("after.Officerid").alias("can_bo_id"),
-        from_micros("after.action_time").alias("action_time"), "transaction_id",
-        F.col("event_time").alias("history_event_time"),
-        F.col("kafka_timestamp").alias("history_kafka_timestamp"),
-        F.col("kafka_partition").alias("history_kafka_partition"),
-        F.col("kafka_offset").alias("history_kafka_offset"))
-        .where(F.col("id").isNotNull() & F.col("h_ho_so_id").isNotNull()))
+    """Inserted status changes, the right input of the transition join."""
+    return _changes(records, row, ("c",), HISTORY_CHANGE, ["id", "h_ho_so_id"])
