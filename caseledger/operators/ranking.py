@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseledger.functions.columns import in_days
-from caseledger.operators.skew import (HOT_ROWS, HOT_SHARE, SPLITS, columns_of,
+from caseledger.operators.skew import (HOT_ROWS, HOT_SHARE, SPLITS, columns_of, hot_hashes,
                                        split_hot_keys)
 
 
@@ -67,18 +67,21 @@ def forward_fill(df: DataFrame, key: str | Sequence[str], order: str | Sequence[
                  share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
     """Replace nulls by the last earlier value of the same key.
 
-    ``order`` starts with a timestamp. Hot keys are cut into consecutive chunks that
-    are filled in parallel; each chunk then receives the last values of the chunks
-    before it, from a summary with one row per chunk.
+    ``order`` starts with a timestamp. A sketch of the keys is taken first, so pass a
+    stored frame rather than a costly plan. Without hot keys the fill is one window. Hot
+    keys are cut into consecutive chunks that are filled in parallel; each chunk then
+    receives the last values of the chunks before it, from a summary with one row per
+    chunk.
     """
     keys, ordering = columns_of(key), columns_of(order)
-    if not split_hot:
+    hot = hot_hashes(df, keys, share, min_rows) if split_hot else []
+    if not hot:
         running = (Window.partitionBy(*keys).orderBy(*ordering)
                    .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in fill})
 
     chunked = split_hot_keys(df, keys, F.unix_micros(F.col(ordering[0]).cast("timestamp")),
-                             splits=splits, share=share, min_rows=min_rows)
+                             splits=splits, hot=hot)
     running = (Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = chunked.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in fill})
@@ -127,11 +130,12 @@ def previous_value(df: DataFrame, key: str | Sequence[str], order: str | Sequenc
     carried value.
     """
     keys, ordering = columns_of(key), columns_of(order)
-    if not split_hot:
+    hot = hot_hashes(df, keys, share, min_rows) if split_hot else []
+    if not hot:
         ordered = Window.partitionBy(*keys).orderBy(*ordering)
         return df.withColumn(alias, F.lag(column).over(ordered))
     chunked = split_hot_keys(df, keys, F.unix_micros(F.col(ordering[0]).cast("timestamp")),
-                             splits=splits, share=share, min_rows=min_rows)
+                             splits=splits, hot=hot)
     ordered = Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
     within = chunked.withColumn(alias, F.lag(column).over(ordered))
     carried = carry_over(chunked, keys, ordering, [column])

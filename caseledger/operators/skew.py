@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is split when it holds at least this share of the rows and this many rows.
-HOT_SHARE = 0.002
+HOT_SHARE = 0.0005
 HOT_ROWS = 1_000_000
 # At most 1 / HOT_SHARE keys can reach the share, so tracking this many misses none.
-TRACKED = 512
-SKETCH_ITEMS = 16_384
-SPLITS = 256
+TRACKED = 2048
+SKETCH_ITEMS = 32_768
+# Chunks per hot key: a key with a third of all rows gives chunks of about HOT_SHARE.
+SPLITS = 512
 
 
 def columns_of(names: str | Sequence[str]) -> list[str]:
@@ -38,24 +39,31 @@ def hot_keys(df: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE,
             .select(F.col("item").alias("_hash")))
 
 
+def hot_hashes(df: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE,
+               min_rows: int = HOT_ROWS) -> list[int]:
+    """:func:`hot_keys` on the driver: at most ``TRACKED`` numbers, usually none.
+
+    Knowing that there are none keeps the plan of the main job to a single exchange.
+    """
+    return [row["_hash"] for row in hot_keys(df, key, share, min_rows).collect()]
+
+
 def split_hot_keys(df: DataFrame, key: str | Sequence[str], position: Column,
                    chunk: str = "_chunk", splits: int = SPLITS, share: float = HOT_SHARE,
-                   min_rows: int = HOT_ROWS) -> DataFrame:
+                   min_rows: int = HOT_ROWS, hot: Sequence[int] | None = None) -> DataFrame:
     """Add ``chunk``: null for ordinary keys, an order-preserving number for hot ones.
 
     ``position`` is a long that does not decrease along the caller's ordering. The
     range of each hot key is cut at approximate quantiles, so its rows spread over
     about ``splits`` groups of similar size; the cut points are a function of the
-    position alone, hence rows keep their order across chunks. Both lookup tables
-    joined here are bounded by construction (``TRACKED`` rows), so they are broadcast.
+    position alone, hence rows keep their order across chunks. The table of cut points
+    is bounded by construction (one row per hot key), so it is broadcast.
     """
     keys = columns_of(key)
-    placed = df.withColumn("_hash", F.xxhash64(*keys)).withColumn("_position", position)
-    hot = hot_keys(df, keys, share, min_rows)
+    chosen = hot_hashes(df, keys, share, min_rows) if hot is None else list(hot)
+    placed = df.withColumns({"_hash": F.xxhash64(*keys), "_position": position})
     fractions = [i / splits for i in range(1, splits)]
-    bounds = (placed.select("_hash", "_position")
-              .join(F.broadcast(hot), "_hash", "left_semi")
-              .groupBy("_hash")
+    bounds = (placed.where(F.col("_hash").isin(chosen)).groupBy("_hash")
               .agg(F.percentile_approx("_position", fractions, 4 * splits).alias("_bounds")))
     marked = placed.join(F.broadcast(bounds), "_hash", "left")
     number = F.size(F.filter("_bounds", lambda b: b < F.col("_position")))

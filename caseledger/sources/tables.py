@@ -83,7 +83,8 @@ def create_or_evolve(df: DataFrame, table: str, partition_by: str | Sequence[str
     return table
 
 
-def _insert(df: DataFrame, table: str, overwrite: bool = False) -> None:
+def insert_rows(df: DataFrame, table: str, overwrite: bool = False) -> None:
+    """Insert by column name. ``overwrite`` replaces what the session's overwrite mode says."""
     keys = partition_columns(df.sparkSession, table)
     aligned = _aligned(df, table)
     if keys:
@@ -102,7 +103,7 @@ def append_partitioned(df: DataFrame, table: str, ts: str = "ingested_at",
     """Append to a table partitioned by the day of ``ts``."""
     dated = with_day(df, ts, day)
     create_or_evolve(dated, table, day, location)
-    _insert(dated, table)
+    insert_rows(dated, table)
 
 
 def write_quarantine(df: DataFrame, path: str) -> None:
@@ -126,14 +127,14 @@ def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
     created = not spark.catalog.tableExists(table)
     create_or_evolve(once, table, [day[1]] if day else [], location)
     if created:
-        _insert(once, table)
+        insert_rows(once, table)
         return
     batch = _staged(once, "append")
     asked = broadcast_within(batch.select(*[F.col(k).alias(f"_b_{k}") for k in names]))
     match = reduce(lambda a, b: a & b,
                    [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in names])
     known = fresh(spark, table).select(*names).join(asked, match, "left_semi")
-    _insert(anti_join(batch, known, names), table)
+    insert_rows(anti_join(batch, known, names), table)
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -172,14 +173,14 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
     create_or_evolve(placed, table, BUCKET, location)
     if created:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('buckets' = '{buckets}')")
-        _insert(placed, table)
+        insert_rows(placed, table)
         return
     batch = _staged(placed, "upsert")
     touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # <= buckets
     stored = fresh(spark, table).where(F.col(BUCKET).isin(touched))
     kept = anti_join(stored, batch, names)
     with _dynamic_overwrite(spark):
-        _insert(_aligned(kept, table).unionByName(_aligned(batch, table)), table, overwrite=True)
+        insert_rows(_aligned(kept, table).unionByName(_aligned(batch, table)), table, overwrite=True)
 
 
 def _property(spark: SparkSession, table: str, name: str, default) -> str:
@@ -223,7 +224,7 @@ def replace_partition(df: DataFrame, table: str, column: str, value: int,
     create_or_evolve(only, table, column, location)
     before = _files_of(spark, table, chosen)
     with _dynamic_overwrite(spark):
-        _insert(only, table, overwrite=True)
+        insert_rows(only, table, overwrite=True)
     # Dynamic overwrite leaves a partition alone when no row belongs to it: its old files
     # are then still there and must go.
     if before and _files_of(spark, table, chosen) == before:
@@ -265,7 +266,7 @@ def delete_where(spark: SparkSession, table: str, predicate: str) -> None:
     survivors = kept.where(_in_partitions(keys, parts))
     alive = {tuple(row) for row in survivors.select(*keys).distinct().collect()}
     with _dynamic_overwrite(spark):
-        _insert(survivors, table, overwrite=True)
+        insert_rows(survivors, table, overwrite=True)
     for row in parts:
         if tuple(row) not in alive:
             _drop_partition(spark, table, row)

@@ -107,7 +107,7 @@ def test_delete_where_and_drop_column(spark, name):
 def test_repartition_keeps_content(spark, name):
     t = name("history")
     tables.create_or_evolve(frame(spark, [], "id int, action_time timestamp"), t)
-    tables._insert(frame(spark, [(1, T), (2, None)], "id int, action_time timestamp"), t)
+    tables.insert_rows(frame(spark, [(1, T), (2, None)], "id int, action_time timestamp"), t)
     tables.repartition_table(spark, t, "action_time", "action_date")
     assert rows(spark.table(t), "id", "action_date") == [(1, date(2024, 1, 1)), (2, None)]
     assert tables.partition_columns(spark, t) == ["action_date"]

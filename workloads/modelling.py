@@ -29,10 +29,9 @@ WHERE ngay_date BETWEEN (SELECT CAST(min(o_orderdate) AS DATE) FROM orders)
                     AND (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)"""))
 def calendar(spark, sf):
     """The calendar over the days on which cases were created."""
-    span = B.table(spark, sf, "orders").agg(F.to_date(F.min("o_orderdate")).alias("_a"),
-                                            F.to_date(F.max("o_orderdate")).alias("_b"))
-    return B.case_calendar(spark).join(
-        F.broadcast(span), F.col("ngay_date").between(F.col("_a"), F.col("_b")), "left_semi")
+    span = B.table(spark, sf, "orders").agg(F.to_date(F.min("o_orderdate")).alias("a"),
+                                            F.to_date(F.max("o_orderdate")).alias("b")).first()
+    return B.case_calendar(spark).where(F.col("ngay_date").between(F.lit(span["a"]), F.lit(span["b"])))
 
 
 @query("C11_calendar_extended", B.with_ctes(B.CALENDAR, body="""

@@ -61,7 +61,7 @@ PRICED = """both_sources AS (
 def scan_optional(spark, sf):
     name, location = B.new_table(spark, "nation")
     tables.create_or_evolve(B.table(spark, sf, "nation"), name, location=location)
-    tables._insert(B.table(spark, sf, "nation"), name)
+    tables.insert_rows(B.table(spark, sf, "nation"), name)
     return keys.union_available(readers.read_optional(spark, name),
                                 readers.read_optional(spark, f"{name}_absent"))
 
@@ -105,7 +105,7 @@ def range_scan(spark, sf):
              .where((F.col("o_orderdate") >= "1997-12-01") & (F.col("o_orderdate") < "1998-03-01"))
              .select("o_orderkey", C.day_key("o_orderdate").alias("thoi_gian_id")))
     tables.create_or_evolve(dated, name, "thoi_gian_id", location)
-    tables._insert(dated, name)
+    tables.insert_rows(dated, name)
     return (readers.scan_days(spark, name, 19980101, 19980131).groupBy("thoi_gian_id")
             .agg(F.count(F.lit(1)).alias("cases")))
 
@@ -180,11 +180,11 @@ def evolve(spark, sf):
     name, location = B.new_table(spark, "region_evolved")
     old = B.table(spark, sf, "region")
     tables.create_or_evolve(old, name, location=location)
-    tables._insert(old, name)
+    tables.insert_rows(old, name)
     wider = (B.table(spark, sf, "nation").groupBy(F.col("n_regionkey").alias("R_REGIONKEY"))
              .agg(F.count(F.lit(1)).cast("int").alias("nations")))
     tables.create_or_evolve(wider, name)
-    tables._insert(wider, name)
+    tables.insert_rows(wider, name)
     return spark.table(name)
 
 
@@ -193,7 +193,7 @@ def drop_column(spark, sf):
     name, location = B.new_table(spark, "part_narrow")
     wide = B.table(spark, sf, "part").select("p_partkey", "p_brand", F.lit("x").alias("record_hash"))
     tables.create_or_evolve(wide, name, location=location)
-    tables._insert(wide, name)
+    tables.insert_rows(wide, name)
     tables.drop_column(spark.table(name), name, "record_hash")
     return spark.table(name)
 
@@ -205,7 +205,7 @@ def delete_where(spark, sf):
     name, location = B.new_table(spark, "lines_trimmed")
     lines = B.table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
     tables.create_or_evolve(lines, name, "l_linenumber", location)
-    tables._insert(lines, name)
+    tables.insert_rows(lines, name)
     tables.delete_where(spark, name, "l_suppkey % 4 = 0 OR l_linenumber = 7")
     return spark.table(name)
 
@@ -252,7 +252,7 @@ def relayout(spark, sf):
     name, location = B.new_table(spark, "events_flat")
     flat = events(spark, sf).select("event_id", "ts")
     tables.create_or_evolve(flat, name, location=location)
-    tables._insert(flat, name)
+    tables.insert_rows(flat, name)
     tables.repartition_table(spark, name, "ts", "action_date")
     return spark.table(name)
 
@@ -523,10 +523,9 @@ def duplicates(spark, sf):
 SELECT CAST(max(ngay_date) AS VARCHAR) AS max_day, max(stt_ngay_lam_viec) AS max_index
 FROM cal WHERE ngay_date <= (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)"""))
 def high_water(spark, sf):
-    last = B.table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate")).alias("_last"))
-    kept = B.case_calendar(spark).join(F.broadcast(last), F.col("ngay_date") <= F.col("_last"),
-                                       "left_semi")
-    return kept.agg(F.max("ngay_date").alias("max_day"), F.max("stt_ngay_lam_viec").alias("max_index"))
+    last = B.table(spark, sf, "orders").agg(F.max(F.to_date("o_orderdate"))).first()[0]
+    return B.case_calendar(spark).where(F.col("ngay_date") <= F.lit(last)).agg(
+        F.max("ngay_date").alias("max_day"), F.max("stt_ngay_lam_viec").alias("max_index"))
 
 
 @query("A10_existence", """
