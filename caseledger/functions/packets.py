@@ -39,23 +39,29 @@ VALIDATION = StructType([
 
 def _row_checker(events: Sequence[str], reasons: dict[str, str]):
     """The per-file check, self-contained so that it travels to the workers by value."""
+    import json
+    from xml.etree import ElementTree
+
     fields = ("ma_goi_tin", "ma_du_lieu", "loai_du_lieu", "ngay_cap_nhat", "su_kien",
               "id_ban_ghi")
+    as_text = json.JSONEncoder(ensure_ascii=False).encode
 
     def as_json_value(node):
+        if not node.attrib and not len(node):
+            return node.text
         grouped = {f"@{name}": value for name, value in node.attrib.items()}
+        if not len(node):
+            return {**grouped, "#text": node.text}
         seen = {}
         for child in node:
-            seen.setdefault(child.tag, []).append(as_json_value(child))
-        if not seen:
-            return {**grouped, "#text": node.text} if grouped else node.text
+            # Most nodes are plain leaves; they need no call of their own.
+            plain = not child.attrib and not len(child)
+            seen.setdefault(child.tag, []).append(child.text if plain else as_json_value(child))
         for tag, values in seen.items():
             grouped[tag] = values[0] if len(values) == 1 else values
         return grouped
 
     def check_packet(packet):
-        import json
-
         metadata = packet.find("metadata")
         if metadata is None:
             return reasons["no_metadata"], None
@@ -69,12 +75,10 @@ def _row_checker(events: Sequence[str], reasons: dict[str, str]):
         data = packet.find("du_lieu")
         if data is None:
             return reasons["no_data"], None
-        row["data_payload"] = json.dumps(as_json_value(data), ensure_ascii=False)
+        row["data_payload"] = as_text(as_json_value(data))
         return None, row
 
     def check_file(text):
-        from xml.etree import ElementTree
-
         if text is None or not text.strip():
             return reasons["empty"], []
         try:
