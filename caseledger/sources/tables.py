@@ -162,9 +162,10 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
     source = latest(df, names, order) if order else df
     if spark.catalog.tableExists(table) and supports_merge(spark, table):
         create_or_evolve(source, table)
-        match = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in names)
-        source.alias("s").mergeInto(table, F.expr(match.replace("t.", f"{table}."))) \
-            .whenMatched().updateAll().whenNotMatched().insertAll().merge()
+        short = table.rsplit(".", 1)[-1]
+        match = " AND ".join(f"{short}.`{k}` <=> s.`{k}`" for k in names)
+        (source.alias("s").mergeInto(table, F.expr(match))
+         .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return
     created = not spark.catalog.tableExists(table)
     if not created:
