@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from caseledger.llm import licenses, pseudonyms, spotsigs
+from caseledger.llm import licenses, mixing, packing, pseudonyms, spotsigs, topk
 
 QUERIES = {
     "op1_feistel_pseudonyms": pseudonyms.op1_feistel_pseudonyms,
     "op2_spot_signatures": spotsigs.op2_spot_signatures,
+    "op5_pareto_mix": mixing.op5_pareto_mix,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
+    "op7_branch_and_bound": topk.op7_branch_and_bound,
     "op8_license_scan": licenses.op8_license_scan,
 }
-ORACLES = {"op2_spot_signatures": spotsigs.SQL}
+ORACLES = {
+    "op2_spot_signatures": spotsigs.SQL,
+    "op5_pareto_mix": mixing.SQL,
+    "op7_branch_and_bound": topk.SQL,
+}
