@@ -136,9 +136,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     tops = F.create_map(*[F.lit(x) for r, h in heads if h is not None for x in (r, h)]) if any(h is not None for _, h in heads) else F.create_map(F.lit(-1), F.lit(0))
     # A range whose head is null holds null ids alone.
     head = F.col("id").eqNullSafe(F.try_element_at(tops, F.col("range")))
-    rows = rows.withColumn("sigs", signatures(F.col("text"))).withColumn("guest", F.explode(
+    rows = rows.withColumn("guest", F.explode(
         F.when(head, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     rows = rows.withColumn("range", F.when(F.col("guest"), F.element_at(goes, F.col("range"))).otherwise(F.col("range")))
+    # Texts travel, signatures do not: they are made where the window finds its rows.
+    rows = rows.repartition("range").withColumn("sigs", signatures(F.col("text")))
     order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("id"), F.xxhash64("text"), "text")
     ahead = F.lead(F.struct("text", "sigs")).over(order)
     return rows.select("id", "text", "sigs", "guest", ahead.alias("ahead")).where("NOT guest").select(
