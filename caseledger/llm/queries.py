@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from caseledger.llm import licenses, mixing, packing, pseudonyms, spotsigs, topk
+from caseledger.llm import language, licenses, mixing, packing, pseudonyms, spotsigs, topk, toxicity
 
 QUERIES = {
     "op1_feistel_pseudonyms": pseudonyms.op1_feistel_pseudonyms,
     "op2_spot_signatures": spotsigs.op2_spot_signatures,
+    "op3_ftrl_toxicity": toxicity.op3_ftrl_toxicity,
     "op5_pareto_mix": mixing.op5_pareto_mix,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_branch_and_bound": topk.op7_branch_and_bound,
     "op8_license_scan": licenses.op8_license_scan,
+    "op10_string_kernel_language": language.op10_string_kernel_language,
 }
 ORACLES = {
     "op2_spot_signatures": spotsigs.SQL,
