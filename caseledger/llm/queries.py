@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from caseledger.llm import language, licenses, mixing, packing, pseudonyms, spotsigs, topk, toxicity
+from caseledger.llm import language, licenses, mixing, near, packing, pseudonyms, spotsigs, topk, toxicity
 
 QUERIES = {
     "op1_feistel_pseudonyms": pseudonyms.op1_feistel_pseudonyms,
     "op2_spot_signatures": spotsigs.op2_spot_signatures,
     "op3_ftrl_toxicity": toxicity.op3_ftrl_toxicity,
+    "op4_fast_similarity_sketch": near.op4_fast_similarity_sketch,
     "op5_pareto_mix": mixing.op5_pareto_mix,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_branch_and_bound": topk.op7_branch_and_bound,
@@ -16,6 +17,8 @@ QUERIES = {
 }
 ORACLES = {
     "op2_spot_signatures": spotsigs.SQL,
+    "op4_fast_similarity_sketch": near.op4_fast_similarity_sketch,
+    "op4_fast_similarity_sketch": near.SQL,
     "op5_pareto_mix": mixing.SQL,
     "op7_branch_and_bound": topk.SQL,
 }
