@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from caseledger.llm.words import ODD, batches, grams, hash_words, mix, table
 from caseledger.session import materialize
@@ -219,7 +220,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def word_key(texts: pd.Series) -> pd.Series:
     """The digest of a text's words that ``near_components`` returns."""
     keys: list[bytes] = []
