@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caseledger.llm import language, licenses, mixing, near, packing, pseudonyms, spotsigs, topk, toxicity
+from caseledger.llm import language, licenses, mixing, near, packing, pseudonyms, spotsigs, substrings, topk, toxicity
 
 QUERIES = {
     "op1_feistel_pseudonyms": pseudonyms.op1_feistel_pseudonyms,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_branch_and_bound": topk.op7_branch_and_bound,
     "op8_license_scan": licenses.op8_license_scan,
+    "op9_fm_index_substrings": substrings.op9_fm_index_substrings,
     "op10_string_kernel_language": language.op10_string_kernel_language,
 }
 ORACLES = {
@@ -21,4 +22,5 @@ ORACLES = {
     "op4_fast_similarity_sketch": near.SQL,
     "op5_pareto_mix": mixing.SQL,
     "op7_branch_and_bound": topk.SQL,
+    "op9_fm_index_substrings": substrings.SQL,
 }
