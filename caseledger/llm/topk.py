@@ -5,9 +5,9 @@ accumulated block of dimensions by block; after each, only candidates survive wh
 far plus the most that the remaining dimensions can add (the product of the remaining norms)
 reaches the k-th best score found, and the survivors are compacted. The result is exact.
 
-Query blocks meet candidate blocks through an equality join on the block number; a task keeps
-the best k of each query of one block at a time, and the parts of a query are merged by one
-ranked window. The work is queries times candidates by nature.
+Query blocks meet parts of the candidates through an equality join on the numbers of block and
+part; a task keeps the best k of each query of one block and part at a time, and the parts of a
+query are merged by one ranked window. The work is queries times candidates by nature.
 
 Scores are integers: each component x counts as floor(64 x). Vectors that are null, empty or
 hold null or non-finite components take no part, nor do rows without an id or whose length
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from caseledger.llm.words import table
 from caseledger.session import materialize
 
-DIMS, QUERY_BLOCK, CANDIDATE_BLOCK = 16, 2048, 8192
+DIMS, QUERY_BLOCK, CANDIDATE_BLOCK, PART = 16, 2048, 8192, 1 << 17
 EXACT = float(2**53)
 
 
@@ -78,9 +78,9 @@ def _large(q: np.ndarray, c: np.ndarray, ids: np.ndarray, own: int, k: int, best
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``vectors`` and ``queries`` as (id, v); rows (query_id, rank, vec_id, score)."""
     n = queries.count()
-    blocks = max(1, math.ceil(n / QUERY_BLOCK))
+    blocks, slices = max(1, math.ceil(n / QUERY_BLOCK)), max(1, math.ceil(vectors.count() / PART))
     asked = queries.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")).agg(
-        F.collect_list(F.struct("id", "v")).alias("queries"))
+        F.collect_list(F.struct("id", "v")).alias("queries")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
 
     def columns(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -99,7 +99,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             yield emit()
 
     vertical = vectors.mapInPandas(columns, "ids binary, columns binary").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        "part", F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, best, asked_ids, asked_v = None, [], None, None
@@ -109,10 +109,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
         for pdf in parts:
             for row in pdf.itertuples():
-                if row.block != block:
+                if (row.block, row.part) != block:
                     if block is not None:
                         yield flush()
-                    block = row.block
+                    block = row.block, row.part
                     asked_ids = [r["id"] for r in row.queries]
                     asked_v = np.floor(np.array([r["v"] for r in row.queries], float))
                     best = [(np.empty(0), np.empty(0, np.int64))] * len(asked_ids)
@@ -128,7 +128,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         if block is not None:
             yield flush()
 
-    met = vertical.join(asked, "block").sortWithinPartitions("block")
+    met = vertical.join(asked, ["block", "part"]).sortWithinPartitions("block", "part")
     parts = met.mapInPandas(scan, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
