@@ -9,10 +9,11 @@ of two sets is concentrated around their likeness. Bands of ``ROWS`` bins propos
 confirmed on the full sets.
 
 Documents with the same words are one class, so exact copies are never compared. Classes of a
-bucket are first compared with the bucket's smallest class only. Where a bucket still holds
-several components, members of different components are compared by their sketches, tile by
-tile, so that any bucket is cut into tasks of bounded size, and pairs that may be alike are
-confirmed on the full sets. Components are then found by alternating star contraction.
+bucket are first compared with the bucket's smallest class only. Where classes that buckets
+connect (a family) still fall into several components, members of different components are
+compared tile by tile, so that any family is cut into tasks of bounded size, and pairs whose
+sketches agree well enough are confirmed on the full sets; only confirmed links leave a task.
+Components are then found by alternating star contraction.
 
 Null texts, empty texts and texts without words have an empty set, are linked with nothing
 and are kept. Repeated rows and equal ids are documents of their own; rows with equal words
@@ -35,7 +36,7 @@ from caseledger.session import materialize
 
 COORDINATES, ROWS, SHINGLE = 96, 4, 5
 BANDS = COORDINATES // ROWS
-TILE, CELLS_BITS = 256, 24
+TILE, FAMILY, CELLS_BITS = 256, 16_384, 24
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -161,31 +162,58 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.where(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("a", "b")
 
 
-def tiled(rows: DataFrame, counts: DataFrame, estimate: float) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose sketches agree in ``estimate`` of their bins."""
+def linked_within(rows: DataFrame, members: DataFrame, percent: int, slack: float = 0.19) -> DataFrame:
+    """(group, cid, root, codes, shingles) to links (a, b) that join different roots of a group.
+
+    A group is cut into tiles; each pair of tiles is one row of bounded size. There, pairs of
+    different roots whose sketches agree well enough are confirmed on the full sets, the most
+    promising first; a confirmed pair makes one root of two, so what is already connected is
+    not compared again. Only the confirmed links leave the task.
+    """
     tiles = F.ceil(F.col("members") / TILE).cast("int")
-    rows = rows.join(counts, "bucket").withColumn("tile", F.pmod(F.xxhash64("cid"), tiles).cast("int"))
+    rows = rows.join(members, "group").withColumn("tile", F.pmod(F.xxhash64("cid"), tiles).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    blocks = rows.groupBy("bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
-        F.collect_list(F.struct("cid", "root", "tile", "codes")).alias("rows"))
+    blocks = rows.groupBy("group", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
+        F.collect_list(F.struct("cid", "root", "tile", "codes", "shingles")).alias("rows"))
+
+    def links(i, j, rows) -> list[tuple[int, int]]:
+        cid, root, tile = (np.array([r[c] for r in rows]) for c in ("cid", "root", "tile"))
+        codes = np.frombuffer(b"".join(bytes(r["codes"]) for r in rows), np.uint8).reshape(len(rows), -1)
+        sets = [np.asarray(r["shingles"]) for r in rows]
+        names, at = np.unique(root, return_inverse=True)
+        head = list(range(len(names)))
+
+        def find(x: int) -> int:
+            while head[x] != x:
+                head[x] = head[head[x]]
+                x = head[x]
+            return x
+        found, xs, ys, likely = [], [], [], []
+        for x in range(len(rows)):
+            # Pairs within a tile are met in the block of that tile alone.
+            ok = (cid > cid[x]) & (at != at[x]) & ((tile != tile[x]) | (i == j))
+            near = np.flatnonzero(ok)
+            share = (codes[near] == codes[x]).mean(1) if len(near) else np.empty(0)
+            good = share >= percent / 100 - slack
+            xs.append(np.full(good.sum(), x)), ys.append(near[good]), likely.append(share[good])
+        xs, ys, likely = (np.concatenate(v) if v else np.empty(0, int) for v in (xs, ys, likely))
+        for k in np.argsort(-likely, kind="stable"):
+            x, y = int(xs[k]), int(ys[k])
+            p, q = find(at[x]), find(at[y])
+            small, large = sorted((len(sets[x]), len(sets[y])))
+            if p == q or 100 * small < percent * large:
+                continue
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * both >= percent * (small + large - both):
+                head[p] = q
+                found.append((int(cid[x]), int(cid[y])))
+        return found
 
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            a, b = [], []
-            for i, j, rows in zip(pdf["i"], pdf["j"], pdf["rows"]):
-                cid = np.array([r["cid"] for r in rows])
-                root = np.array([r["root"] for r in rows])
-                tile = np.array([r["tile"] for r in rows])
-                codes = np.frombuffer(b"".join(bytes(r["codes"]) for r in rows), np.uint8).reshape(len(rows), -1)
-                for x in range(len(rows)):
-                    # Pairs within a tile are met in the block of that tile alone.
-                    other = (cid > cid[x]) & (root != root[x]) & ((tile != tile[x]) | (i == j))
-                    at = np.flatnonzero(other)
-                    at = at[(codes[at] == codes[x]).mean(1) >= estimate] if len(at) else at
-                    a += [cid[x]] * len(at)
-                    b += cid[at].tolist()
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)}).drop_duplicates()
-    return blocks.mapInPandas(compare, "a long, b long").distinct()
+            found = [pair for i, j, rows in zip(pdf["i"], pdf["j"], pdf["rows"]) for pair in links(i, j, rows)]
+            yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+    return blocks.mapInPandas(compare, "a long, b long")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -204,13 +232,20 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stars = shared.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     edges = materialize(confirmed(stars, sets, percent), "stars")
     roots = components(edges)
-    # Buckets that still hold several components.
-    labelled = shared.select("bucket", "cid").join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    labelled = materialize(labelled, "labelled")
-    split = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y").select("bucket", "members")
-    more = tiled(labelled.join(classes.select("cid", "codes"), "cid"), split, percent / 100 - 0.19)
-    more = more.join(stars, ["a", "b"], "left_anti")
-    edges = edges.union(confirmed(more, sets, percent))
+    # A family is what buckets connect. Families that hold several components are compared as a
+    # whole; one of more than FAMILY classes is compared bucket by bucket.
+    families = components(stars).withColumnRenamed("v", "cid").withColumnRenamed("root", "family")
+    labelled = asked.select("cid").join(families, "cid", "left").join(roots.withColumnRenamed("v", "cid"), "cid", "left")
+    labelled = materialize(labelled.select("cid", F.coalesce("family", "cid").alias("family"), F.coalesce("root", "cid").alias("root")), "labelled")
+    sizes = labelled.groupBy("family").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y")
+    open_ = labelled.join(sizes.select("family", "members"), "family")
+    large = open_.where(F.col("members") > FAMILY).join(shared.select("cid", "bucket"), "cid").select(
+        F.concat(F.lit("b"), F.col("bucket").cast("string")).alias("group"), "cid", "root")
+    groups = open_.where(F.col("members") <= FAMILY).select(F.concat(F.lit("f"), F.col("family").cast("string")).alias("group"), "cid", "root").union(large)
+    groups = materialize(groups, "groups")
+    members = groups.groupBy("group").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y").select("group", "members")
+    rows_ = groups.join(classes.select("cid", "codes"), "cid").join(sets, "cid")
+    edges = edges.union(linked_within(rows_, members, percent))
     roots = components(edges)
     named = classes.select("cid", "key", "least").join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = materialize(named, "named")
