@@ -2,17 +2,18 @@
 
 A window is ``WINDOW`` consecutive words. Every window has a minimizer, its word triple of
 the smallest hash; windows that follow each other with the same minimizer form a segment.
-Equal windows have equal minimizers, so segments are dealt to shards by minimizer, and only
-those with a minimizer that at least two documents hold are kept. A shard keeps distinct
-segments, each with the smallest document id it occurs in, in an FM-index: the
-Burrows-Wheeler transform of their words in a wavelet matrix. Backward search streams the
+Equal windows have equal minimizers, so only segments whose minimizer at least two documents
+hold can repeat. Where all segments of a minimizer are equal, the smallest id that holds it is
+the answer. Otherwise its distinct segments, each with the smallest document id it occurs in,
+are dealt to a shard by minimizer and kept in an FM-index there: the Burrows-Wheeler transform
+of their words in a wavelet matrix. Backward search streams the
 windows of all segments through it; the interval that a whole window reaches gives the
 smallest document in which it starts. Occurrences in later documents are covered intervals;
 covered words are removed.
 
-A segment that very many rows share through a frequent triple (more than ``HOT``) is cut into
-its windows, which are dealt by their own hash, so no shard grows with one triple. Copies are
-collapsed before they meet.
+A triple with very many distinct segments (more than ``HOT``) has them cut into their windows,
+which are dealt by their own hash, so no shard grows with one triple. Triples that are frequent
+in a sample are not gathered to find out that they are shared.
 
 Null and empty texts have no words. Rows with a null id are neither searched nor a source, so
 they lose nothing. Rows of equal id do not remove each other's words; repeated rows get equal
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseledger.llm.near import may_match
@@ -35,7 +36,7 @@ from caseledger.llm.words import ODD, batches, grams, hash_words, mix, table
 from caseledger.session import materialize
 
 WINDOW, TRIPLE = 13, 3
-HOT, SHARD_WORDS = 200_000, 400_000
+HOT, SHARD_WORDS, SAMPLE, SALT = 20_000, 400_000, 5_000, 1_000
 
 
 class WaveletMatrix:
@@ -136,27 +137,55 @@ def _variant(texts: list[str]) -> np.ndarray:
     return np.array([int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=2).digest(), "big") for t in texts], np.int64)
 
 
+def _hash_runs(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each run of words, from prefix sums of position-weighted hashes."""
+    weights = np.full(len(words), ODD, np.uint64)
+    if len(words):
+        weights[0] = 1
+    weights = np.multiply.accumulate(weights)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words) * weights, dtype=np.uint64)))
+    # Dividing by the weight of the first place makes equal runs equal wherever they stand.
+    undo = np.full(len(words), np.uint64(pow(int(ODD), -1, 2**64)), np.uint64)
+    if len(words):
+        undo[0] = 1
+    undo = np.multiply.accumulate(undo)
+    return mix((total[starts + lengths] - total[starts]) * undo[starts] + lengths.astype(np.uint64)).view(np.int64)
+
+
 def minimizers(docs: DataFrame) -> DataFrame:
-    """(id, text) to (m, id, place): place packs the first word, the number of words and the row's variant."""
+    """(id, text) to (m, seg, id, place): the minimizer and the hash of each segment; place packs
+    its first word, its number of words and the row's variant."""
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             for pdf in parts:
                 texts, ids = pdf["text"].tolist(), pdf["id"].to_numpy(np.int64)
                 for a, b in batches(texts):
-                    owner, first, n, m = _segments(*hash_words(texts[a:b], lower=False))
-                    place = first << 32 | n << 16 | _variant(texts[a:b])[owner] if len(owner) else first
-                    yield pd.DataFrame({"m": m, "id": ids[a:b][owner], "place": place})
-    return docs.where("id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "m long, id long, place long")
+                    words, offsets = hash_words(texts[a:b], lower=False)
+                    owner, first, n, m = _segments(words, offsets)
+                    if len(owner):
+                        place = first << 32 | n << 16 | _variant(texts[a:b])[owner]
+                        seg = _hash_runs(words, offsets[owner] + first, n)
+                        yield pd.DataFrame({"m": m, "seg": seg, "id": ids[a:b][owner], "place": place})
+    return docs.where("id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "m long, seg long, id long, place long")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """``docs`` left joined with ``ids`` (id, variant, ...), and the rows that certainly have no partner."""
-    rows = may_match(docs, "id", ids.select("id"))
-    return rows.where("__may").drop("__may"), rows.where("NOT __may").drop("__may")
+def _frequent(docs: DataFrame) -> DataFrame:
+    """Minimizers that many of a few sampled documents hold: certainly shared, so they need not be gathered.
+
+    The sample only decides how work is dealt. At most about SAMPLE documents are looked at,
+    and a minimizer must be in one of a hundred of them, so the list is short.
+    """
+    step = max(1, docs.count() // SAMPLE)
+    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0)
+    held = minimizers(some).select("m", "id").distinct().groupBy("m").agg(F.count(F.lit(1)).alias("n"))
+    return held.where(F.col("n") >= max(2, SAMPLE // 100)).select("m", F.lit(True).alias("frequent"))
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """(id, text, places) to the segments: (seg, m, id, variant, first, words)."""
+    """(id, text, places) to the words of segments: (piece, m, seg, part, least, words).
+
+    A piece is the segment itself, or each window of a segment that is to be cut.
+    """
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             for pdf in parts:
@@ -164,20 +193,22 @@ def _cut(texts: DataFrame) -> DataFrame:
                 for a, b in batches(texts):
                     words, offsets = hash_words(texts[a:b], lower=False)
                     variants, rows = _variant(texts[a:b]), []
-                    for i in range(b - a):
-                        row, own = pdf.iloc[a + i], words[offsets[i]:offsets[i + 1]]
-                        for p in row["places"]:
-                            place, m, hot = p["place"], p["m"], p["hot"]
+                    for i, (id_, places) in enumerate(zip(pdf["id"].iloc[a:b], pdf["places"].iloc[a:b])):
+                        own = words[offsets[i]:offsets[i + 1]]
+                        short = (own >> np.uint64(32)).astype(np.uint32)
+                        for p in places:
+                            place, m = p["place"], p["m"]
                             first, n = place >> 32, place >> 16 & 0xFFFF
                             if place & 0xFFFF != variants[i] or first + n > len(own):
                                 continue
-                            for k in range(n - WINDOW + 1) if hot else (0,):
-                                seg = own[first + k:first + k + WINDOW] if hot else own[first:first + n]
-                                data = seg.tobytes()
-                                key = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "big", signed=True)
-                                rows.append((key, key if hot else m, row["id"], variants[i], first + k, (seg >> np.uint64(32)).astype(np.uint32).tobytes()))
-                    yield pd.DataFrame(rows, columns=["seg", "m", "id", "variant", "first", "words"])
-    return texts.mapInPandas(run, "seg long, m long, id long, variant long, first long, words binary")
+                            if p["often"]:
+                                at = first + np.arange(n - WINDOW + 1)
+                                keys = _hash_runs(own, at, np.full(len(at), WINDOW))
+                                rows += [(int(key), int(key), p["seg"], k, id_, short[at[k]:at[k] + WINDOW].tobytes()) for k, key in enumerate(keys)]
+                            else:
+                                rows.append((p["seg"], m, p["seg"], 0, id_, short[first:first + n].tobytes()))
+                    yield pd.DataFrame(rows, columns=["piece", "m", "seg", "part", "least", "words"])
+    return texts.mapInPandas(run, "piece long, m long, seg long, part long, least long, words binary")
 
 
 def _search(shards: DataFrame) -> DataFrame:
@@ -210,25 +241,42 @@ def _search(shards: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(id, text) to (id, variant, spans): the words [start, stop) of windows that also start in a smaller id."""
-    rows = minimizers(docs)
-    shared = rows.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("m")
-    rows = materialize(rows.join(shared, "m"), "shared")
-    often = rows.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("m", F.lit(True).alias("hot"))
-    places = rows.join(often, "m", "left").groupBy("id").agg(F.collect_set(F.struct("place", "m", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("places"))
-    may = may_match(docs.where("text IS NOT NULL"), "id", rows.select("id")).where("__may").select("id", "text")
-    cut = materialize(_cut(may.join(places, "id")), "segments")
-    unique = cut.groupBy("seg").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.first("m").alias("m"), F.first("words").alias("words"))
+    """(id, text) to (id, places): the runs of words whose windows also start in a smaller id, packed as places."""
+    rows = minimizers(docs).join(F.broadcast(_frequent(docs)), "m", "left")
+    # Frequent minimizers are known to be shared; a salt keeps their rows apart.
+    rows = rows.withColumn("salt", F.when(F.col("frequent"), F.pmod(F.xxhash64("id", "place"), F.lit(SALT))).otherwise(0))
+    group = Window.partitionBy("m", "salt")
+    rows = rows.withColumns({"least": F.min("id").over(group), "most": F.max("id").over(group),
+                             "many": F.min("seg").over(group) != F.max("seg").over(group)})
+    rows = rows.withColumn("many", F.col("many") | F.coalesce("frequent", F.lit(False)))
+    # A minimizer with one segment only: its windows start in its least id.
+    rows = rows.where(F.col("many") & ((F.col("least") < F.col("most")) | F.col("frequent")) | (F.col("least") < F.col("id")))
+    rows = materialize(rows.select("id", "place", F.when(F.col("many"), F.col("m")).alias("m"), F.when(F.col("many"), F.col("seg")).alias("seg")), "shared")
+    whole, open_ = rows.where("seg IS NULL").select("id", "place"), rows.where("seg IS NOT NULL")
+    unique = open_.groupBy("seg").agg(F.min("m").alias("m"), F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("place", F.struct("id", "place")).alias("place"))
     unique = materialize(unique, "distinct")
-    total = unique.agg(F.sum(F.length("words") / 4)).first()[0] or 0
-    shards = max(1, math.ceil(total / SHARD_WORDS))
-    dealt = unique.withColumn("shard", F.pmod(F.xxhash64("m"), F.lit(shards)).cast("int"))
-    found = _search(dealt.select("shard", "seg", "least", "words").repartition("shard").sortWithinPartitions("shard", "seg"))
+    often = unique.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("m", F.lit(True).alias("often"))
+    places = unique.join(often, "m", "left").groupBy(F.col("least").alias("id")).agg(F.collect_list(
+        F.struct("place", "m", "seg", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
+    may = may_match(docs.where("text IS NOT NULL"), "id", unique.select("least")).where("__may").select("id", "text")
+    # Of rows with equal id and text one is enough.
+    cut = materialize(_cut(may.join(places, "id")).dropDuplicates(["piece", "seg", "part"]), "pieces")
+    shards = max(1, math.ceil((cut.agg(F.sum(F.length("words") / 4)).first()[0] or 0) / SHARD_WORDS))
+    pieces = cut.groupBy("piece").agg(F.min("least").alias("least"), F.first("m").alias("m"), F.first("words").alias("words")) if not often.isEmpty() else cut
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("m"), F.lit(shards)).cast("int"))
+    found = _search(dealt.select("shard", F.col("piece").alias("seg"), "least", "words").repartition("shard").sortWithinPartitions("shard", "seg"))
+    if pieces is not cut:
+        parts = cut.select("piece", "seg", "part").join(found.withColumnRenamed("seg", "piece"), "piece")
+        found = parts.groupBy("seg").agg(F.sort_array(F.collect_list(F.struct("part", "sources"))).alias("p")).select(
+            "seg", F.flatten(F.transform("p", lambda x: x["sources"])).alias("sources"))
     found = found.join(unique.select("seg", "least", "most"), "seg")
     found = found.where((F.col("least") < F.col("most")) | F.exists("sources", lambda s: s < F.col("least"))).select("seg", "sources")
-    spans = cut.select("seg", "id", "variant", "first").join(found, "seg").select("id", "variant", F.explode(F.filter(F.transform(
-        "sources", lambda s, i: F.when(s < F.col("id"), F.col("first") + i)), lambda x: x.isNotNull())).alias("start"))
-    return spans.groupBy("id", "variant").agg(F.collect_set("start").alias("starts"))
+    covered = open_.select("seg", "id", "place").join(found, "seg").where(F.exists("sources", lambda s: s < F.col("id")))
+    first = F.shiftright("place", 32)
+    windows = F.filter(F.transform("sources", lambda s, i: F.when(s < F.col("id"), F.shiftleft(first + i, 32).bitwiseOR(
+        F.lit(WINDOW << 16)).bitwiseOR(F.col("place").bitwiseAND(0xFFFF)))), lambda x: x.isNotNull())
+    covered = covered.select("id", F.explode(F.when(F.size(windows) == F.size("sources"), F.array("place")).otherwise(windows)).alias("place"))
+    return whole.union(covered).groupBy("id").agg(F.collect_set("place").alias("places"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,25 +284,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = materialize(repeats(docs), "repeats")
     rows = may_match(docs, "id", found.select("id"))
-    starts = found.groupBy("id").agg(F.collect_list(F.struct("variant", "starts")).alias("found"))
-    none = F.lit(None).cast("array<struct<variant:long,starts:array<long>>>")
-    rows = rows.where("NOT __may").select("id", "text", none.alias("found")).unionByName(
-        rows.where("__may").select("id", "text").join(starts, "id", "left").select("id", "text", "found"))
+    none = F.lit(None).cast("array<long>")
+    rows = rows.where("NOT __may").select("id", "text", none.alias("places")).unionByName(
+        rows.where("__may").select("id", "text").join(found, "id", "left").select("id", "text", "places"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             n, removed, kept = [], [], []
-            for text, found in zip(pdf["text"], pdf["found"]):
+            for text, places in zip(pdf["text"], pdf["places"]):
                 # bytes.split() parts at ASCII white space alone.
                 words = text.encode("utf-8", "surrogatepass").split() if text is not None else []
                 n.append(len(words))
-                if found is not None and len(found):
-                    variant, cover = _variant([text])[0], np.zeros(len(words) + 1, np.int64)
-                    for f in found:
-                        if f["variant"] == variant:
-                            at = np.asarray(f["starts"])
-                            np.add.at(cover, at, 1)
-                            np.add.at(cover, at + WINDOW, -1)
+                if places is not None and len(words) >= WINDOW:
+                    places, cover = np.asarray(places, np.int64), np.zeros(len(words) + 1, np.int64)
+                    first, stop = places >> 32, (places >> 32) + (places >> 16 & 0xFFFF)
+                    mine = (places & 0xFFFF == _variant([text])[0]) & (stop <= len(words))
+                    np.add.at(cover, first[mine], 1)
+                    np.add.at(cover, stop[mine], -1)
                     words = [w for w, c in zip(words, np.cumsum(cover)) if not c]
                 removed.append(n[-1] - len(words))
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))

@@ -123,6 +123,7 @@ def test_removal_matches_brute_force(spark, monkeypatch):
     for hot, shard in ((substrings.HOT, substrings.SHARD_WORDS), (3, 300)):
         monkeypatch.setattr(substrings, "HOT", hot)
         monkeypatch.setattr(substrings, "SHARD_WORDS", shard)
+        monkeypatch.setattr(substrings, "SAMPLE", shard)
         got = [(r[0], r[1], r[2], hashlib.sha256(r[3].encode()).hexdigest()) for r in substrings.remove_repeats(docs).collect()]
         assert sorted(got, key=key) == sorted(brute_removal(rows), key=key)
     assert substrings.remove_repeats(docs.where("false")).count() == 0
