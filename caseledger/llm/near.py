@@ -36,7 +36,7 @@ from caseledger.session import materialize
 
 COORDINATES, ROWS, SHINGLE = 96, 4, 5
 BANDS = COORDINATES // ROWS
-TILE, FAMILY, CELLS_BITS = 256, 16_384, 24
+TILE, TILE_BYTES, FAMILY, CELLS_BITS = 1024, 8 << 20, 16_384, 24
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -165,12 +165,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def linked_within(rows: DataFrame, members: DataFrame, percent: int, slack: float = 0.19) -> DataFrame:
     """(group, cid, root, codes, shingles) to links (a, b) that join different roots of a group.
 
-    A group is cut into tiles; each pair of tiles is one row of bounded size. There, pairs of
+    A group is cut into tiles of about ``TILE`` members and at most ``TILE_BYTES``; each pair of
+    tiles is one row of bounded size. There, pairs of
     different roots whose sketches agree well enough are confirmed on the full sets, the most
     promising first; a confirmed pair makes one root of two, so what is already connected is
     not compared again. Only the confirmed links leave the task.
     """
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    tiles = F.greatest(F.ceil(F.col("members") / TILE), F.ceil(8 * F.col("elements") / TILE_BYTES)).cast("int")
     rows = rows.join(members, "group").withColumn("tile", F.pmod(F.xxhash64("cid"), tiles).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     blocks = rows.groupBy("group", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
@@ -243,8 +244,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.concat(F.lit("b"), F.col("bucket").cast("string")).alias("group"), "cid", "root")
     groups = open_.where(F.col("members") <= FAMILY).select(F.concat(F.lit("f"), F.col("family").cast("string")).alias("group"), "cid", "root").union(large)
     groups = materialize(groups, "groups")
-    members = groups.groupBy("group").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members")).where("x < y").select("group", "members")
-    rows_ = groups.join(classes.select("cid", "codes"), "cid").join(sets, "cid")
+    groups = groups.join(classes.select("cid", "codes", "n"), "cid")
+    members = groups.groupBy("group").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members"),
+                                          F.sum("n").alias("elements")).where("x < y").select("group", "members", "elements")
+    rows_ = groups.select("group", "cid", "root", "codes").join(sets, "cid")
     edges = edges.union(linked_within(rows_, members, percent))
     roots = components(edges)
     named = classes.select("cid", "key", "least").join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
