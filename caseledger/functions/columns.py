@@ -165,8 +165,12 @@ def is_success(status: ColumnOrName) -> Column:
 
 def created_and_alive(created: ColumnOrName, deleted: ColumnOrName, changed: ColumnOrName,
                       day: date) -> Column:
-    """Created by the end of the day, and not deleted or deleted only afterwards."""
-    return before_end_of(created, day) & (~_col(deleted) | (_col(changed) >= day_end(day)))
+    """Created by the end of the day, and not deleted or deleted only afterwards.
+
+    A case without a delete flag is not deleted.
+    """
+    alive = ~F.coalesce(_col(deleted), F.lit(False))
+    return before_end_of(created, day) & (alive | (_col(changed) >= day_end(day)))
 
 
 def percent(numerator: Column, denominator: Column) -> Column:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseledger.operators.ranking import forward_fill
-from caseledger.operators.skew import HOT_ROWS, HOT_SHARE, broadcast_within, columns_of
+from caseledger.operators.skew import BROADCAST_BYTES, HOT_ROWS, HOT_SHARE, broadcast_within, columns_of
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: str | dict[str, str],
@@ -36,33 +36,66 @@ def versions_at(dim: DataFrame, instant: Column) -> DataFrame:
 
 def join_scd2_as_of(df: DataFrame, dim: DataFrame, dim_key: str, fact_key: str, as_of: Column,
                     sk: str, attributes: Sequence[tuple[str, str]] = (),
-                    strategy: str = "auto", max_broadcast_rows: int = 200_000) -> DataFrame:
-    """Left join to the version in force at ``as_of`` of each row.
-
-    A dimension within the broadcast bound joins in place. A larger one is swept: its
-    version starts and the fact rows are ordered together per key and the last start
-    is carried forward, so a key with many versions and many facts costs a sort and
-    not their product, and hot keys are split.
+                    strategy: str = "auto", max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Left join to the version in force at ``as_of`` of each row: exactly one row per row.
+
+    Where ranges of a key overlap, the version that started last among those in force
+    counts (of equal starts the one with the greater key). A dimension within the
+    broadcast bound joins in place. A larger one is swept: its version starts and the fact
+    rows are ordered together per key and the last start is carried forward, so a key with
+    many versions and many facts costs a sort and not their product, and hot keys are
+    split. Both ways read the same disjoint ranges, so they give the same answer.
     """
     versions = dim.select(
         F.col(dim_key).alias("_v_key"), F.col("effective_from_ts").alias("_v_from"),
         F.col("effective_to_ts").alias("_v_to"), F.col(sk),
         *[F.col(c).alias(alias) for c, alias in attributes])
     added = [sk, *[alias for _, alias in attributes]]
+    small = False
     if strategy == "auto":
-        small = broadcast_within(versions, max_broadcast_rows)
+        hinted = broadcast_within(versions, max_broadcast_bytes)
         estimate = int(str(versions._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         conf = df.sparkSession._jsparkSession.sessionState().conf()
-        fits = small is not versions or estimate <= conf.autoBroadcastJoinThreshold()
-        strategy, versions = ("hash", small) if fits else ("sweep", versions)
+        small = hinted is not versions
+        strategy = "hash" if small or estimate <= conf.autoBroadcastJoinThreshold() else "sweep"
+    versions = disjoint_ranges(versions, sk)
     if strategy == "hash":
         held = df.withColumn("_as_of", as_of)
         condition = ((F.col(fact_key) == F.col("_v_key")) & (F.col("_as_of") >= F.col("_v_from"))
                      & (F.col("_v_to").isNull() | (F.col("_as_of") < F.col("_v_to"))))
+        versions = F.broadcast(versions) if small else versions
         return held.join(versions, condition, "left").select(*df.columns, *added)
     return _sweep_as_of(df, versions, fact_key, as_of, added)
 
 
+def disjoint_ranges(versions: DataFrame, sk: str) -> DataFrame:
+    """Versions (_v_key, _v_from, _v_to, ...) whose ranges do not overlap within a key.
+
+    Keys without overlaps pass through. The others are cut at every start and end, and each
+    cut goes to the version in force that started last, of equal starts to the greater
+    ``sk``; so the work beyond one ordering is that of the overlapping keys alone.
+    """
+    usable = versions.where(F.col("_v_key").isNotNull() & F.col("_v_from").isNotNull()
+                            & (F.col("_v_to").isNull() | (F.col("_v_from") < F.col("_v_to"))))
+    by_key = Window.partitionBy("_v_key")
+    before = by_key.orderBy("_v_from").rowsBetween(Window.unboundedPreceding, -1)
+    far = F.struct(F.col("_v_to").isNull().alias("open"), F.col("_v_to").alias("at"))
+    seen = usable.withColumn("_far", F.max(far).over(before))
+    seen = seen.withColumn("_clash", F.max(F.coalesce(
+        F.col("_far.open") | (F.col("_v_from") < F.col("_far.at")), F.lit(False))).over(by_key))
+    clean = seen.where(~F.col("_clash")).select(*versions.columns)
+    messy = seen.where("_clash").select(*versions.columns)
+    cuts = (messy.select(F.col("_v_key").alias("_c_key"), F.explode(F.array("_v_from", "_v_to")).alias("_cut"))
+            .where("_cut IS NOT NULL").distinct()
+            .withColumn("_next", F.lead("_cut").over(Window.partitionBy("_c_key").orderBy("_cut"))))
+    inside = ((F.col("_v_key") == F.col("_c_key")) & (F.col("_v_from") <= F.col("_cut"))
+              & (F.col("_v_to").isNull() | (F.col("_cut") < F.col("_v_to"))))
+    newest = Window.partitionBy("_c_key", "_cut").orderBy(F.desc("_v_from"), F.desc(sk), F.desc_nulls_first("_v_to"))
+    parts = (cuts.join(messy, inside).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
+             .withColumn("_v_from", F.col("_cut")).withColumn("_v_to", F.col("_next")))
+    return clean.unionByName(parts.select(*versions.columns))
+
+
 def _sweep_as_of(df: DataFrame, versions: DataFrame, fact_key: str, as_of: Column,
                  added: Sequence[str], share: float = HOT_SHARE,
                  min_rows: int = HOT_ROWS) -> DataFrame:
@@ -107,14 +140,16 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     """Inner join on equal keys and times at most ``bound_seconds`` apart (inclusive).
 
     Works on static and on streaming frames. Both sides carry the number of their time
-    bucket, one bound wide, and the left side looks into its own bucket and the two
-    next to it. A pair is found in exactly one bucket, so nothing is duplicated; a key
+    bucket, two bounds wide, and the left side looks into the one or two buckets that its
+    bound reaches. A pair is found in exactly one bucket, so nothing is duplicated; a key
     with very many events only ever compares neighbours in time instead of all pairs.
     """
-    width = bound_seconds * 1_000_000
-    l_bucket = F.floor(F.unix_micros(F.col(left_ts)) / F.lit(width))
+    bound = bound_seconds * 1_000_000
+    width = max(1, 2 * bound)
+    l_micros = F.unix_micros(F.col(left_ts))
     r_bucket = F.floor(F.unix_micros(F.col(right_ts)) / F.lit(width))
-    near = left.withColumn("_l_bucket", F.explode(F.array(l_bucket - 1, l_bucket, l_bucket + 1)))
+    near = left.withColumn("_l_bucket", F.explode(F.array_distinct(F.array(
+        F.floor((l_micros - bound) / F.lit(width)), F.floor((l_micros + bound) / F.lit(width))))))
     placed = right.withColumn("_r_bucket", r_bucket)
     span = F.expr(f"INTERVAL {bound_seconds} SECONDS")
     condition = ((F.col("_l_bucket") == F.col("_r_bucket"))

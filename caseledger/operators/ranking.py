@@ -87,7 +87,7 @@ def forward_fill(df: DataFrame, key: str | Sequence[str], order: str | Sequence[
     within = chunked.withColumns({c: F.last(c, ignorenulls=True).over(running) for c in fill})
 
     carried = carry_over(chunked, keys, ordering, fill)
-    joined = within.join(F.broadcast(carried), _same_chunk(keys, carried), "left")
+    joined = within.join(carried, _same_chunk(keys, carried), "left")
     return joined.select(*[
         F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(c) if c in fill else F.col(c)
         for c in df.columns
@@ -139,6 +139,6 @@ def previous_value(df: DataFrame, key: str | Sequence[str], order: str | Sequenc
     ordered = Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
     within = chunked.withColumn(alias, F.lag(column).over(ordered))
     carried = carry_over(chunked, keys, ordering, [column])
-    joined = within.join(F.broadcast(carried), _same_chunk(keys, carried), "left")
+    joined = within.join(carried, _same_chunk(keys, carried), "left")
     return joined.select(*df.columns,
                          F.coalesce(F.col(alias), F.col(f"_carry_{column}")).alias(alias))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 # A key is split when it holds at least this share of the rows and this many rows.
 HOT_SHARE = 0.0005
 HOT_ROWS = 1_000_000
-# At most 1 / HOT_SHARE keys can reach the share, so tracking this many misses none.
-TRACKED = 2048
-SKETCH_ITEMS = 32_768
+# The sketch tracks this many items per key asked for, up to what approx_top_k allows.
+SKETCH_FACTOR, SKETCH_MOST = 16, 1_000_000
+# Largest side that is broadcast by a hint.
+BROADCAST_BYTES = 64 << 20
 # Chunks per hot key: a key with a third of all rows gives chunks of about HOT_SHARE.
 SPLITS = 512
 
@@ -23,16 +25,21 @@ def columns_of(names: str | Sequence[str]) -> list[str]:
 
 def hot_keys(df: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE,
              min_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the frequent keys, at most ``TRACKED`` rows.
+    """Hashes of the keys that hold at least ``share`` of the rows.
 
-    One scan of the key columns into a fixed-size heavy-hitter sketch: every task
-    sends a few kilobytes, whatever the number of distinct keys. The sketch only
-    decides what to split; results do not depend on it being exact.
+    One scan of the key columns into a heavy-hitter sketch whose size follows from
+    ``share`` alone: at most ``1 / share`` keys can reach it, so that many are tracked
+    (for a share too small to be tracked this raises). The sketch only decides what to
+    split; results of the operators do not depend on it being exact.
     """
+    tracked = math.ceil(1 / share)
+    if not 0 < share <= 1 or tracked > SKETCH_MOST // 4:
+        raise ValueError(f"share must lie between {4 / SKETCH_MOST} and 1")
+    items = min(SKETCH_MOST, SKETCH_FACTOR * max(tracked, 2048))
     hashed = df.select(F.xxhash64(*columns_of(key)).alias("_hash"))
     found = hashed.agg(
         F.count(F.lit(1)).alias("_total"),
-        F.expr(f"approx_top_k(_hash, {TRACKED}, {SKETCH_ITEMS})").alias("_top"))
+        F.expr(f"approx_top_k(_hash, {tracked}, {items})").alias("_top"))
     return (found
             .select("_total", F.inline("_top"))
             .where((F.col("count") >= min_rows) & (F.col("count") >= F.col("_total") * share))
@@ -41,7 +48,7 @@ def hot_keys(df: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE,
 
 def hot_hashes(df: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE,
                min_rows: int = HOT_ROWS) -> list[int]:
-    """:func:`hot_keys` on the driver: at most ``TRACKED`` numbers, usually none.
+    """:func:`hot_keys` on the driver: at most ``1 / share`` numbers, usually none.
 
     Knowing that there are none keeps the plan of the main job to a single exchange.
     """
@@ -72,17 +79,23 @@ def split_hot_keys(df: DataFrame, key: str | Sequence[str], position: Column,
             .drop("_hash", "_position", "_bounds"))
 
 
-def broadcast_within(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only when the size is proven small.
+def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when the size in bytes is proven small.
 
-    First Catalyst's own estimate is trusted if it is already under the automatic
-    threshold (no hint needed). Otherwise rows are counted up to the bound. A larger
-    side comes back without a hint and joins by shuffle, with adaptive skew handling.
+    Catalyst's own estimate comes first: under the automatic threshold no hint is needed.
+    Otherwise the rows' sizes are added up, one number per task. A larger side comes back
+    without a hint and joins by shuffle, with adaptive skew handling, and a session that
+    has broadcasts disabled keeps them disabled.
     """
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    if estimate <= threshold:
+    if threshold < 0 or estimate <= threshold:
         return df
-    if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = F.lit(16 + 8 * len(df.columns))
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if field.dataType.typeName() in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif field.dataType.typeName() in ("struct", "array", "map", "variant"):
+            size = size + F.coalesce(F.octet_length(column.cast("string")), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes else df

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from caseledger.functions.columns import (STATUS_COMPLETED, STATUS_RECEIVED, STATUS_REJECTED,
                                           TERMINAL_STATUSES, as_of_instant, before_end_of,
                                           created_and_alive, day_end, day_key, in_days, is_open,
-                                          is_success, non_negative, on_day, or_unknown)
+                                          is_success, non_negative, on_day, or_unknown,
+                                          resolve_snapshot_date)
 from caseledger.operators.calendar import with_workday, workday_number, workdays_between
 from caseledger.operators.joins import assemble_dense, join_scd2_as_of, lookup, versions_at
 from caseledger.operators.ranking import latest_as_of, previous_value
@@ -139,10 +140,17 @@ def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
                     F.explode(F.sequence(low, high)).alias("snapshot_day")))
 
 
+def _within_calendar(cal: DataFrame, first: date, last: date) -> None:
+    """Refuse a range whose ends the calendar lacks: ages there would count from nothing."""
+    for day in {first, last}:
+        workday_number(cal, day)
+
+
 def backlog_range(app: DataFrame, history: DataFrame, dims: dict[str, DataFrame],
                   cal: DataFrame, first: date, last: date,
                   terminal: Sequence[int] = TERMINAL_STATUSES) -> DataFrame:
-    """The union of :func:`backlog` over all days of a range."""
+    """The union of :func:`backlog` over all days of a range; the calendar must hold them all."""
+    _within_calendar(cal, first, last)
     return _backlog_fact(open_case_days(app, history, first, last, terminal), dims, cal, None)
 
 
@@ -229,6 +237,7 @@ def agency_days(app: DataFrame, history: DataFrame, payment: DataFrame, snapshot
     ``snapshot`` is the backlog of the same days, ``agencies`` has the column
     ``co_quan_id``. Late = completed late + open beyond the SLA.
     """
+    _within_calendar(cal, first, last)
     service = dims[SERVICE.table]
 
     def dated(df: DataFrame) -> DataFrame:
@@ -297,8 +306,13 @@ def days_between(first: date, last: date) -> list[date]:
 
 
 def build_day(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: DataFrame,
-              day: date, name=lambda table: table) -> None:
-    """Replace both facts of one day; a repeated run gives the same partitions."""
+              day: date | str | None = None, name=lambda table: table,
+              today: date | None = None) -> None:
+    """Replace both facts of one day; a repeated run gives the same partitions.
+
+    Without a day it is yesterday in business time; a future day is refused.
+    """
+    day = resolve_snapshot_date(day, today)
     key = day.year * 10000 + day.month * 100 + day.day
     spark = cal.sparkSession
     replace_partition(backlog(silver["application"], silver["application_history"], dims, cal, day),
@@ -312,10 +326,17 @@ def build_day(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: Dat
 
 
 def backfill(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: DataFrame,
-             first: date, last: date, name=lambda table: table) -> None:
-    """Day by day, each day one commit, so an interrupted backfill continues where it was."""
+             first: date, last: date, name=lambda table: table,
+             today: date | None = None) -> None:
+    """Day by day, so an interrupted backfill continues where it was.
+
+    The whole range is checked before the first day is written: it must lie in the calendar
+    and not reach into the future.
+    """
+    resolve_snapshot_date(last, today)
+    _within_calendar(cal, first, last)
     for day in days_between(first, last):
-        build_day(silver, dims, cal, day, name)
+        build_day(silver, dims, cal, day, name, today)
 
 
 def agency_days_from_silver(app: DataFrame, history: DataFrame, payment: DataFrame,

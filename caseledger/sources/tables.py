@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 from caseledger.operators.keys import anti_join
 from caseledger.operators.ranking import latest
 from caseledger.operators.skew import broadcast_within, columns_of
-from caseledger.session import materialize, scratch_path
+from caseledger.session import staged
 
 BUCKET = "key_bucket"
 BUCKETS = 64
@@ -129,17 +128,13 @@ def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
     if created:
         insert_rows(once, table)
         return
-    batch = _staged(once, "append")
-    asked = broadcast_within(batch.select(*[F.col(k).alias(f"_b_{k}") for k in names]))
-    match = reduce(lambda a, b: a & b,
-                   [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in names])
-    known = fresh(spark, table).select(*names).join(asked, match, "left_semi")
-    insert_rows(anti_join(batch, known, names), table)
-
-
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """A batch that is used several times: written once, so every use sees the same rows."""
-    return materialize(df, name)
+    # The batch is used several times: written once, so every use sees the same rows.
+    with staged(once, "append") as batch:
+        asked = broadcast_within(batch.select(*[F.col(k).alias(f"_b_{k}") for k in names]))
+        match = reduce(lambda a, b: a & b,
+                       [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in names])
+        known = fresh(spark, table).select(*names).join(asked, match, "left_semi")
+        insert_rows(anti_join(batch, known, names), table)
 
 
 def key_bucket(keys: str | Sequence[str], buckets: int = BUCKETS) -> Column:
@@ -151,8 +146,9 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
                          location: str | None = None) -> None:
     """Replace rows with the same null-safe key, insert the others.
 
-    With ``order`` the newest row per key of the batch wins; otherwise keys must be
-    unique. On a catalog with ``MERGE`` that is used. On Parquet the table is
+    With ``order`` the newest row per key wins, of the batch and what is stored, so a
+    replayed old batch changes nothing; without it keys of the batch must be unique and
+    its rows replace the stored ones. On a catalog with ``MERGE`` that is used. On Parquet the table is
     partitioned by a hash bucket of the key: only the buckets the batch touches are
     read and overwritten, in one job, so the cost follows the batch and a repeated
     run gives the same table. Choose ``buckets`` so that one holds about 1 GB.
@@ -164,24 +160,36 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
         create_or_evolve(source, table)
         short = table.rsplit(".", 1)[-1]
         match = " AND ".join(f"{short}.`{k}` <=> s.`{k}`" for k in names)
+        newer = None
+        if order:
+            first, stored = (f"struct({', '.join(f'{side}.`{c}`' for c in columns_of(order))})" for side in ("s", short))
+            newer = F.expr(f"{first} >= {stored}")
         (source.alias("s").mergeInto(table, F.expr(match))
-         .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+         .whenMatched(newer).updateAll().whenNotMatched().insertAll().merge())
         return
     created = not spark.catalog.tableExists(table)
     if not created:
         buckets = int(_property(spark, table, "buckets", buckets))
+        # Keys hash by the table's types, whatever types the batch comes with.
+        kinds = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
+        source = source.withColumns({k: F.col(k).cast(kinds[k.lower()]) for k in names})
     placed = source.withColumn(BUCKET, key_bucket(names, buckets))
     create_or_evolve(placed, table, BUCKET, location)
     if created:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('buckets' = '{buckets}')")
         insert_rows(placed, table)
         return
-    batch = _staged(placed, "upsert")
-    touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # <= buckets
-    stored = fresh(spark, table).where(F.col(BUCKET).isin(touched))
-    kept = anti_join(stored, batch, names)
-    with _dynamic_overwrite(spark):
-        insert_rows(_aligned(kept, table).unionByName(_aligned(batch, table)), table, overwrite=True)
+    with staged(placed, "upsert") as batch:
+        touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # <= buckets
+        stored = _aligned(fresh(spark, table).where(F.col(BUCKET).isin(touched)), table)
+        if order:
+            # A replayed batch must not undo what came after it: the newer row stays.
+            both = stored.withColumn("_new", F.lit(0)).unionByName(_aligned(batch, table).withColumn("_new", F.lit(1)))
+            kept = latest(both, names, [*columns_of(order), "_new"]).drop("_new")
+        else:
+            kept = anti_join(stored, batch, names).unionByName(_aligned(batch, table))
+        with _dynamic_overwrite(spark):
+            insert_rows(kept, table, overwrite=True)
 
 
 def _property(spark: SparkSession, table: str, name: str, default) -> str:
@@ -193,11 +201,12 @@ def replace_all(df: DataFrame, table: str, base: str | None = None) -> str:
     """Publish a full new version: write it beside the old one, then move the pointer.
 
     ``df`` may read ``table`` itself. Readers see the old or the new version, never a
-    mixture; older versions stay until :func:`purge_versions`. Returns the new path.
+    mixture; older versions stay under ``base`` (by default a folder beside the catalog's
+    own tables) until the deployment's clean-up takes them. Returns the new path.
     """
     spark = df.sparkSession
     home = (base or _property(spark, table, "versions", None)
-            if spark.catalog.tableExists(table) else base) or scratch_path(spark, "table")
+            if spark.catalog.tableExists(table) else base) or _home(spark, table)
     path = f"{home.rstrip('/')}/v{time.time_ns() // 1_000_000:015d}"
     df.write.parquet(path)
     if spark.catalog.tableExists(table):
@@ -210,6 +219,11 @@ def replace_all(df: DataFrame, table: str, base: str | None = None) -> str:
     return path
 
 
+def _home(spark: SparkSession, table: str) -> str:
+    """Where versions of a table live by default: under the warehouse, never in the scratch folder."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_versions/{table.replace('`', '').replace('.', '/')}"
+
+
 def _files_of(spark: SparkSession, table: str, condition: Column) -> set[str]:
     """File names behind some partitions: one short row per file, no data columns."""
     found = fresh(spark, table).where(condition).select(F.col("_metadata.file_path").alias("f"))
@@ -218,10 +232,23 @@ def _files_of(spark: SparkSession, table: str, condition: Column) -> set[str]:
 
 def replace_partition(df: DataFrame, table: str, column: str, value: int,
                       location: str | None = None) -> None:
-    """Make ``column = value`` hold exactly the rows of ``df``; other partitions stay."""
+    """Make ``column = value`` hold exactly the rows of ``df``; other partitions stay.
+
+    A row of another partition raises. On Parquet tables the partition's files are removed
+    and then renamed into place, so readers may see it empty for a moment and a crash in
+    between leaves it empty until the call is repeated; catalogs with transactions commit
+    the same call as one overwrite by filter.
+    """
     spark = df.sparkSession
     chosen = F.col(column) == F.lit(value)
-    only = df.where(chosen)
+    # In the projection, so that the check sees result rows and is not pushed below a join.
+    foreign = F.raise_error(F.concat(F.lit(f"a row belongs to {column} = "),
+                                     F.coalesce(F.col(column).cast("string"), F.lit("null")), F.lit(f", not {value}")))
+    only = df.withColumn(column, F.when(chosen, F.col(column)).otherwise(foreign.cast(df.schema[column].dataType)))
+    if spark.catalog.tableExists(table) and supports_merge(spark, table):
+        create_or_evolve(df, table)
+        _aligned(only, table).writeTo(table).overwrite(chosen)
+        return
     create_or_evolve(only, table, column, location)
     before = _files_of(spark, table, chosen)
     with _dynamic_overwrite(spark):
@@ -235,7 +262,7 @@ def replace_partition(df: DataFrame, table: str, column: str, value: int,
 def drop_column(table_df: DataFrame, table: str, column: str) -> None:
     """Retire a column: publish a version without it."""
     spark = table_df.sparkSession
-    path = scratch_path(spark, "table")
+    path = _version(spark, table)
     kept = fresh(spark, table).drop(column)
     keys = [k for k in partition_columns(spark, table) if k != column]
     writer = kept.write.partitionBy(*keys) if keys else kept.write
@@ -243,11 +270,19 @@ def drop_column(table_df: DataFrame, table: str, column: str) -> None:
     _repoint(spark, table, path, keys, kept)
 
 
+def _version(spark: SparkSession, table: str) -> str:
+    return f"{_property(spark, table, 'versions', None) or _home(spark, table)}/v{time.time_ns() // 1_000_000:015d}"
+
+
 def _repoint(spark: SparkSession, table: str, path: str, keys: Sequence[str],
              df: DataFrame) -> None:
-    """Make ``table`` an external table over ``path``."""
+    """Make ``table`` an external table over ``path``; its own properties stay."""
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+            if r["key"] in ("buckets", "versions")}
     spark.sql(f"DROP TABLE {table}")
     create_or_evolve(df, table, list(keys), path)
+    for key, value in kept.items():
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{key}' = '{value}')")
     if keys:
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
@@ -285,14 +320,16 @@ def _in_partitions(keys: Sequence[str], parts) -> Column:
 
 
 def _drop_partition(spark: SparkSession, table: str, row) -> None:
-    spec = ", ".join(f"`{k}` = '{v}'" for k, v in row.asDict().items())
+    def literal(value) -> str:
+        return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+    spec = ", ".join(f"`{k}` = {literal(v)}" for k, v in row.asDict().items())
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
 def repartition_table(spark: SparkSession, table: str, ts: str, day: str) -> None:
     """Lay an existing table out by the day of ``ts``."""
     dated = with_day(fresh(spark, table), ts, day)
-    path = scratch_path(spark, "table")
+    path = _version(spark, table)
     dated.hint("rebalance", day).write.partitionBy(day).parquet(path)
     _repoint(spark, table, path, [day], dated)
 
@@ -318,66 +355,7 @@ def mirror_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
         return False
 
 
-# --- maintenance ------------------------------------------------------------------
-
-def file_report(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Files and bytes per partition, read from file metadata on the executors."""
-    return (df.select(*keys, F.col("_metadata.file_path").alias("f"),
-                      F.col("_metadata.file_size").alias("s"))
-            .groupBy(*keys, "f").agg(F.max("s").alias("s"))
-            .groupBy(*keys).agg(F.count("f").alias("files"), F.sum("s").alias("bytes")))
-
-
-def compact_small_files(spark: SparkSession, table: str, target_bytes: int = 134_217_728,
-                        min_files: int = 5) -> DataFrame:
-    """Merge the small files of every partition that has at least ``min_files`` of them.
-
-    All fragmented partitions go through one job. A row is placed by its position in its
-    old file, so a partition gets even files whatever its values, and a repeated task
-    places it the same way. Row counts are compared before anything is published.
-    Returns the files per partition before and after.
-    """
-    keys = partition_columns(spark, table)
-    found = file_report(fresh(spark, table), keys).where(F.col("files") >= min_files).collect()
-    wanted = {tuple(row[k] for k in keys): max(1, math.ceil(row["bytes"] / target_bytes))
-              for row in found}
-    parts = [row for row in found if wanted[tuple(row[k] for k in keys)] < row["files"]]
-    names = [*keys, "files_before", "files_after"]
-    ddl = ", ".join(f"`{n}` {'string' if n in keys else 'int'}" for n in names)
-    if not parts:
-        return spark.createDataFrame([], ddl)
-    source = spark.table(table)
-    if keys:
-        source = source.where(_in_partitions(keys, parts))
-    counts = spark.createDataFrame(
-        [(*[row[k] for k in keys], wanted[tuple(row[k] for k in keys)]) for row in parts],
-        ", ".join([*[f"`_k_{k}` {spark.table(table).schema[k].dataType.simpleString()}"
-                     for k in keys], "_files int"]))
-    match = reduce(lambda a, b: a & b,
-                   [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
-    if keys:  # one short row per fragmented partition
-        placed = source.withColumn("_row", F.col("_metadata.row_index")).join(
-            F.broadcast(counts), match)
-    else:
-        placed = source.withColumn("_row", F.col("_metadata.row_index")).withColumn(
-            "_files", F.lit(wanted[()]))
-    spread = placed.withColumn("_slot", F.pmod("_row", "_files")).repartition(
-        sum(wanted[tuple(row[k] for k in keys)] for row in parts), *keys, "_slot")
-    path = scratch_path(spark, "compact")
-    spread.select(*source.columns).write.partitionBy(*keys).parquet(path)
-    merged = spark.read.schema(source.schema).parquet(path)
-    if merged.count() != source.count():
-        raise RuntimeError(f"compaction of {table} would change its content")
-    if keys:
-        with _dynamic_overwrite(spark):
-            _aligned(merged, table).write.insertInto(table, overwrite=True)
-    else:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-    return spark.createDataFrame(
-        [(*[str(row[k]) for k in keys], row["files"], wanted[tuple(row[k] for k in keys)])
-         for row in parts], ddl)
-
+# --- retention ---------------------------------------------------------------------
 
 def expired_snapshots(df: DataFrame, retain_days: int = 7, retain_last: int = 10,
                       now: Column | None = None, snapshot: str = "snapshot_id",
@@ -401,22 +379,3 @@ def retention_purge(spark: SparkSession, table: str, retain_days: int = 7,
         values = ", ".join("'" + str(v).replace("'", "''") + "'" for v in gone)
         delete_where(spark, table, f"{snapshot} IN ({values})")
     return sorted(gone)
-
-
-def purge_versions(spark: SparkSession, table: str, retain_days: int = 7,
-                   retain_last: int = 10, now_ms: int | None = None) -> list[str]:
-    """Remove version folders left by :func:`replace_all`, never the current one."""
-    home = _property(spark, table, "versions", None)
-    if not home:
-        return []
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(home)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    current = describe(spark, table).get("Location", "").rstrip("/").rsplit("/", 1)[-1]
-    versions = sorted((s.getPath().getName() for s in fs.listStatus(root)
-                       if s.getPath().getName().startswith("v")), reverse=True)
-    cutoff = (now_ms or time.time_ns() // 1_000_000) - retain_days * 86_400_000
-    gone = [v for v in versions[retain_last:] if v != current and int(v[1:]) < cutoff]
-    for version in gone:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(home, version), True)
-    return gone

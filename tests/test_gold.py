@@ -185,3 +185,25 @@ def test_stored_history_and_payments_are_pruned_by_day(spark, cal, dims, name):
     stored = gold.backlog(app, spark.table(h), dims, cal, DAY)
     assert "(action_date" in stored._jdf.queryExecution().executedPlan().toString()
     assert rows(stored) == rows(gold.backlog(app, history, dims, cal, DAY))
+
+
+def test_days_outside_the_calendar_and_in_the_future_are_refused(spark, cal, dims):
+    app = spark.createDataFrame([("a", 1, 1, at(1), at(1), None)], APP)
+    hist = spark.createDataFrame([], HIST)
+    outside = date(2025, 1, 2)
+    with pytest.raises(RuntimeError, match="calendar"):
+        gold.backlog_range(app, hist, dims, cal, DAY, outside)
+    with pytest.raises(RuntimeError, match="calendar"):
+        gold.backlog(app, hist, dims, cal, outside)
+    silver = {"application": app, "application_history": hist, "payment": spark.createDataFrame([], PAY)}
+    with pytest.raises(ValueError, match="future"):
+        gold.build_day(silver, dims, cal, "2024-01-11", today=DAY)
+    with pytest.raises(ValueError, match="future"):
+        gold.backfill(silver, dims, cal, DAY, date(2024, 1, 11), today=DAY)
+
+
+def test_a_case_without_a_delete_flag_is_open_in_both_ways(spark, cal, dims):
+    app = spark.createDataFrame([("a", 1, 1, at(1), at(1), None), ("b", 1, 1, at(1), at(5), True)], APP)
+    hist = spark.createDataFrame([], HIST)
+    daily = rows(gold.backlog(app, hist, dims, cal, DAY), "ho_so_id", "thoi_gian_id")
+    assert daily == rows(gold.backlog_range(app, hist, dims, cal, DAY, DAY), "ho_so_id", "thoi_gian_id") == [("a", 20240110)]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseledger.operators import joins, keys
-from caseledger.operators.skew import broadcast_within
+from caseledger.operators.skew import broadcast_within, hot_keys
 from tests.conftest import rows
 
 T = datetime(2024, 1, 1)
@@ -123,5 +123,25 @@ def test_broadcast_is_hinted_only_within_the_bound(spark):
     # A join makes Catalyst's estimate a product, so the count decides.
     big = spark.range(60_000).withColumn("x", F.lit("y" * 10))
     wide = big.join(big.withColumnRenamed("x", "z"), "id")
-    assert broadcast_within(wide, 10) is wide
-    assert broadcast_within(wide, 100_000) is not wide
+    assert broadcast_within(wide, 1000) is wide
+    assert broadcast_within(wide, 100_000_000) is not wide
+
+
+@pytest.mark.parametrize("strategy", ["hash", "sweep"])
+def test_overlapping_versions_give_one_row_per_fact(spark, strategy):
+    day = lambda n: datetime(2024, 1, 1) + timedelta(n)
+    dim = spark.createDataFrame(
+        [(1, "A", day(0), None), (1, "B", day(5), day(10)), (1, "C", day(5), day(7)), (2, "D", day(0), day(3)),
+         (2, "E", day(3), None), (3, "F", day(4), day(4)), (None, "G", day(0), None)],
+        "k int, sk string, effective_from_ts timestamp, effective_to_ts timestamp")
+    facts = spark.createDataFrame([(1, 1, day(12)), (2, 1, day(6)), (3, 1, day(8)), (4, 1, day(-1)), (5, 2, day(3)),
+                                   (6, 3, day(4)), (7, None, day(1)), (8, 1, None)], "id int, fk int, at timestamp")
+    got = joins.join_scd2_as_of(facts, dim, "k", "fk", F.col("at"), "sk", strategy=strategy)
+    assert rows(got, "id", "sk") == [(1, "A"), (2, "C"), (3, "B"), (4, None), (5, "E"), (6, None), (7, None), (8, None)]
+
+
+def test_hot_keys_of_a_small_share_are_complete(spark):
+    df = spark.range(500_000).selectExpr("id % 5000 AS k")
+    assert hot_keys(df, "k", share=0.0001, min_rows=1).count() == 5000
+    with pytest.raises(ValueError):
+        hot_keys(df, "k", share=1e-9)

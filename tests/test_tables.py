@@ -70,16 +70,15 @@ def test_replace_all_may_read_its_own_target_and_keeps_versions(spark, name, fol
     for _ in range(3):
         tables.replace_all(spark.table(t).withColumn("id", F.col("id") + 1), t)
     assert rows(spark.table(t)) == [(4, "a")]
-    gone = tables.purge_versions(spark, t, retain_days=0, retain_last=2, now_ms=2 ** 50)
-    assert len(gone) == 2 and rows(spark.table(t)) == [(4, "a")]
-    assert tables.purge_versions(spark, t, retain_days=7, retain_last=0) == []
 
 
 def test_replace_partition_empties_a_day_and_leaves_the_others(spark, name):
     t = name("fact")
     df = frame(spark, [(1, 20240101), (2, 20240102)], "id int, thoi_gian_id int")
     for day in (20240101, 20240102):
-        tables.replace_partition(df, t, "thoi_gian_id", day)
+        tables.replace_partition(df.where(F.col("thoi_gian_id") == day), t, "thoi_gian_id", day)
+    with pytest.raises(Exception, match="a row belongs to thoi_gian_id = 20240101"):
+        tables.replace_partition(df, t, "thoi_gian_id", 20240102)
     tables.replace_partition(df.where("id = 2").withColumn("note", F.lit("n")), t, "thoi_gian_id", 20240102)
     assert rows(spark.table(t), "id", "note", "thoi_gian_id") == [(1, None, 20240101), (2, "n", 20240102)]
     tables.replace_partition(df.where("id = 7"), t, "thoi_gian_id", 20240101)
@@ -113,26 +112,44 @@ def test_repartition_keeps_content(spark, name):
     assert tables.partition_columns(spark, t) == ["action_date"]
 
 
-def test_compaction_keeps_rows_and_reduces_files(spark, name):
-    t = name("small")
-    tables.create_or_evolve(frame(spark, [], "id int, p int"), t, "p")
-    for i in range(6):
-        frame(spark, [(i, 1)], "id int, p int").write.insertInto(t)
-    frame(spark, [(9, 2)], "id int, p int").write.insertInto(t)
-    report = tables.compact_small_files(spark, t)
-    assert rows(report) == [("1", 6, 1)]
-    assert rows(spark.table(t)) == [(i, 1) for i in range(6)] + [(9, 2)]
-    assert rows(tables.file_report(spark.table(t), ["p"]), "p", "files") == [(1, 1), (2, 1)]
-
-
-def test_compaction_of_an_unpartitioned_table(spark, name):
-    t = name("flat")
-    tables.create_or_evolve(frame(spark, [], "id int"), t)
-    for i in range(5):
-        frame(spark, [(i,)], "id int").write.insertInto(t)
-    tables.compact_small_files(spark, t)
-    assert rows(spark.table(t)) == [(i,) for i in range(5)]
-    assert tables.file_report(spark.table(t)).first()["files"] == 1
+def test_upsert_after_a_column_was_dropped_finds_the_buckets(spark, name):
+    t = name("state")
+    frame_ = spark.range(50).selectExpr("CAST(id AS int) AS id", "'a' AS v", "1 AS w")
+    tables.upsert_current_state(frame_, t, "id", buckets=8)
+    tables.drop_column(spark.table(t), t, "w")
+    tables.upsert_current_state(frame_.drop("w").withColumn("v", F.lit("b")), t, "id")
+    assert spark.table(t).count() == 50 and spark.table(t).where("v = 'b'").count() == 50
+
+
+def test_upsert_hashes_keys_by_the_table_type(spark, name):
+    t = name("state")
+    tables.upsert_current_state(spark.range(50).selectExpr("id", "'a' AS v"), t, "id", buckets=8)
+    tables.upsert_current_state(frame(spark, [(1, "x"), (2, "x"), (3, "x"), (99, "x")]), t, "id")
+    assert spark.table(t).count() == 51 and spark.table(t).where("v = 'x'").count() == 4
+
+
+def test_a_replayed_batch_keeps_the_newer_row(spark, name):
+    t = name("state")
+    old, new = frame(spark, [(1, 1, "old")], "id int, seq int, v string"), frame(spark, [(1, 2, "new")], "id int, seq int, v string")
+    for batch in (old, new, old):
+        tables.upsert_current_state(batch, t, "id", "seq")
+    assert rows(spark.table(t), "id", "v") == [(1, "new")]
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_delete_empties_a_null_partition(spark, name, kind):
+    t = name("parts")
+    df = frame(spark, [(1, None), (2, "7"), (3, "it's")] if kind == "string" else [(1, None), (2, 7)], f"id int, p {kind}")
+    tables.create_or_evolve(df, t, "p")
+    tables.insert_rows(df, t)
+    tables.delete_where(spark, t, "p IS NULL OR id = 3")
+    assert rows(spark.table(t), "id") == [(2,)]
+
+
+def test_default_versions_do_not_live_in_the_scratch_folder(spark, name):
+    t = name("dim")
+    tables.replace_all(frame(spark, [(1, "a")]), t)
+    assert "/warehouse/" in tables.describe(spark, t)["Location"]
 
 
 def test_retention_keeps_the_newest_and_the_recent(spark, name):

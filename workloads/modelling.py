@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -368,6 +369,22 @@ def backlog_range(spark, sf):
                        "so_ngay_ton_dong_hien_tai", "tong_thoi_gian_da_xu_ly")
 
 
+@query("C17_backlog_day_by_day", _range_sql("""
+SELECT w.thoi_gian_id, c.ho_so_id, coalesce(s.trang_thai_id, 1) AS trang_thai_id,
+       CAST(greatest(w.stt_ngay_lam_viec - o.stt_ngay_lam_viec, 0) AS INTEGER) AS tong_thoi_gian_da_xu_ly
+FROM wanted w JOIN cases c ON c.created_at < w.ngay_date + INTERVAL 1 DAY
+  AND (NOT c.da_bi_xoa OR c.event_time >= w.ngay_date + INTERVAL 1 DAY)
+LEFT JOIN states s ON s.ho_so_id = c.ho_so_id AND s.ngay_date = w.ngay_date
+LEFT JOIN cal o ON o.ngay_date = CAST(c.created_at AS DATE)
+WHERE coalesce(s.trang_thai_id, 1) NOT IN (7, 8)"""))
+def backlog_loop(spark, sf):
+    """The same week one day at a time: loop and range give the same rows."""
+    days = [gold.backlog(B.cases(spark, sf), B.history(spark, sf), B.dims(spark, sf), B.case_calendar(spark), day)
+            for day in gold.days_between(B.FIRST, B.LAST)]
+    return reduce(lambda a, b: a.unionByName(b), days).select(
+        "thoi_gian_id", "ho_so_id", "trang_thai_id", "tong_thoi_gian_da_xu_ly")
+
+
 # Measures of the day, each written the plain way: one aggregate per measure.
 AGENCY_PARTS = f"""got AS (
   SELECT co_quan_id, count(*) AS n FROM cases WHERE CAST(created_at AS DATE) = DATE '{B.DAY}' GROUP BY 1),

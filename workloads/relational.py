@@ -101,9 +101,7 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMEST
 GROUP BY 1""")
 def range_scan(spark, sf):
     name, location = B.new_table(spark, "cases_by_day")
-    dated = (B.table(spark, sf, "orders")
-             .where((F.col("o_orderdate") >= "1997-12-01") & (F.col("o_orderdate") < "1998-03-01"))
-             .select("o_orderkey", C.day_key("o_orderdate").alias("thoi_gian_id")))
+    dated = B.table(spark, sf, "orders").select("o_orderkey", C.day_key("o_orderdate").alias("thoi_gian_id"))
     tables.create_or_evolve(dated, name, "thoi_gian_id", location)
     tables.insert_rows(dated, name)
     return (readers.scan_days(spark, name, 19980101, 19980131).groupBy("thoi_gian_id")
@@ -137,6 +135,30 @@ def upsert(spark, sf):
     return spark.table(name).drop(tables.BUCKET)
 
 
+@query("K8_K3_upsert_after_drop_column", "SELECT c_custkey, c_name FROM customer")
+def upsert_after_drop(spark, sf):
+    """Retiring a column keeps the buckets, and keys of a narrower type find theirs."""
+    name, location = B.new_table(spark, "customer_narrow")
+    base = B.table(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal")
+    tables.upsert_current_state(base.withColumn("c_name", F.lit("old")), name, "c_custkey", buckets=8, location=location)
+    tables.drop_column(spark.table(name), name, "c_acctbal")
+    tables.upsert_current_state(base.select(F.col("c_custkey").cast("int").alias("c_custkey"), "c_name"), name, "c_custkey")
+    return spark.table(name).drop(tables.BUCKET)
+
+
+@query("K9_delete_null_partition", """
+SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS p
+FROM orders WHERE o_orderpriority NOT LIKE '1%' AND o_orderpriority NOT LIKE '2%'""")
+def delete_null_partition(spark, sf):
+    name, location = B.new_table(spark, "orders_by_priority")
+    number = F.substring("o_orderpriority", 1, 1).cast("int")
+    rows = B.table(spark, sf, "orders").select("o_orderkey", F.when(number > 1, number).alias("p"))
+    tables.create_or_evolve(rows, name, "p", location)
+    tables.insert_rows(rows, name)
+    tables.delete_where(spark, name, "p IS NULL OR p = 2")
+    return spark.table(name)
+
+
 @query("K4_append_new_only", f"SELECT {EVENT_COLUMNS} FROM events")
 def append_new(spark, sf):
     name, location = B.new_table(spark, "event_log")
@@ -159,16 +181,16 @@ def replace_all(spark, sf):
 
 
 @query("K6_replace_partition", """
-SELECT l_linenumber AS part_id, l_orderkey, l_quantity FROM lineitem WHERE l_linenumber = 1
+SELECT l_linenumber AS part_id, l_orderkey, l_quantity FROM lineitem WHERE l_linenumber NOT IN (2, 3)
 UNION ALL SELECT l_linenumber, l_orderkey, l_quantity + 1 FROM lineitem WHERE l_linenumber = 2""")
 def replace_partition(spark, sf):
     name, location = B.new_table(spark, "lines_by_part")
     lines = B.table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("part_id"),
                                                   "l_orderkey", "l_quantity")
-    for part in (1, 2, 3):
-        tables.replace_partition(lines, name, "part_id", part, location)
-    tables.replace_partition(lines.withColumn("l_quantity", F.col("l_quantity") + 1), name,
-                             "part_id", 2)
+    tables.create_or_evolve(lines, name, "part_id", location)
+    tables.insert_rows(lines, name)
+    second = lines.where("part_id = 2").withColumn("l_quantity", F.col("l_quantity") + 1)
+    tables.replace_partition(second, name, "part_id", 2)
     tables.replace_partition(lines.where(F.lit(False)), name, "part_id", 3)
     return spark.table(name)
 
@@ -210,22 +232,6 @@ def delete_where(spark, sf):
     return spark.table(name)
 
 
-@query("K13_compact_small_files", """
-SELECT l_linenumber, count(*) AS row_count, CAST(sum(l_orderkey) AS BIGINT) AS key_sum,
-       CAST(1 AS BIGINT) AS files
-FROM lineitem GROUP BY l_linenumber""")
-def compact(spark, sf):
-    name, location = B.new_table(spark, "lines_fragmented")
-    lines = B.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    tables.create_or_evolve(lines, name, "l_linenumber", location)
-    lines.repartition(6).write.insertInto(name)
-    tables.compact_small_files(spark, name, min_files=5)
-    files = tables.file_report(spark.table(name), ["l_linenumber"])
-    counts = spark.table(name).groupBy("l_linenumber").agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("l_orderkey").alias("key_sum"))
-    return counts.join(files.select("l_linenumber", "files"), "l_linenumber")
-
-
 def bronze_snapshots(spark, sf):
     """Fourteen daily snapshots of the customers, one day apart."""
     numbers = F.explode(F.sequence(F.lit(1), F.lit(14))).alias("n")
@@ -365,6 +371,16 @@ def status_match(spark, sf):
     return B.payments(spark, sf).where(C.is_success("trang_thai_tt")).select("ma_giao_dich", "so_tien")
 
 
+@query("F15_hot_key_sketch_small_share", "SELECT DISTINCT l_orderkey FROM lineitem")
+def many_hot(spark, sf):
+    """A share that every key reaches: none is missing."""
+    lines = B.table(spark, sf, "lineitem").select("l_orderkey")
+    share = min(1.0, 1.0 / max(1, lines.count()))
+    found = hot_keys(lines, "l_orderkey", share=max(share, 4e-6), min_rows=1)
+    return (lines.dropDuplicates().withColumn("_hash", F.xxhash64("l_orderkey"))
+            .join(found, "_hash", "left_semi").select("l_orderkey"))
+
+
 @query("F15_hot_key_sketch", """
 SELECT l_linestatus FROM lineitem GROUP BY 1
 HAVING count(*) >= 0.2 * (SELECT count(*) FROM lineitem)""")
@@ -401,6 +417,37 @@ def other_key(spark, sf):
                         {"first_part": "first_part"}).select("s_suppkey", "first_part")
 
 
+# Suppliers as versions of their nation, with ranges that overlap; orders as facts.
+_OVERLAP_SQL = """
+WITH v AS (SELECT s_nationkey AS k, s_suppkey AS sk, TIMESTAMP '1992-01-01' + to_days(CAST(s_suppkey * 37 % 2000 AS INTEGER)) AS f,
+  CASE WHEN s_suppkey % 7 <> 0 THEN TIMESTAMP '1992-01-01' + to_days(CAST(s_suppkey * 37 % 2000 + s_suppkey * 11 % 900 AS INTEGER)) END AS t FROM supplier)
+SELECT o_orderkey, sk FROM (
+  SELECT o_orderkey, v.sk, row_number() OVER (PARTITION BY o_orderkey ORDER BY v.f DESC NULLS LAST, v.sk DESC) AS r
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN v ON v.k = c_nationkey AND v.f <= o_orderdate AND (v.t IS NULL OR o_orderdate < v.t)) WHERE r = 1"""
+
+
+def _overlapping(spark, sf, strategy):
+    start = F.col("s_suppkey") * 37 % 2000
+    at = lambda days: F.lit(datetime(1992, 1, 1)).cast("timestamp") + B.days(days)
+    versions = B.table(spark, sf, "supplier").select(
+        F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("sk"), at(start).alias("effective_from_ts"),
+        F.when(F.col("s_suppkey") % 7 != 0, at(start + F.col("s_suppkey") * 11 % 900)).alias("effective_to_ts"))
+    facts = B.table(spark, sf, "orders").join(B.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return joins.join_scd2_as_of(facts.select("o_orderkey", "c_nationkey", "o_orderdate"), versions, "k", "c_nationkey",
+                                 F.col("o_orderdate"), "sk", strategy=strategy).select("o_orderkey", "sk")
+
+
+@query("J3_overlapping_versions_join", _OVERLAP_SQL)
+def overlap_hash(spark, sf):
+    return _overlapping(spark, sf, "hash")
+
+
+@query("J3_overlapping_versions_sweep", _OVERLAP_SQL)
+def overlap_sweep(spark, sf):
+    return _overlapping(spark, sf, "sweep")
+
+
 _AS_OF_SQL = B.with_ctes(B.CASES, B.DIM_SERVICE, body=f"""
 SELECT ho_so_id, d.thoi_han_tra_kq AS sla FROM cases c LEFT JOIN dim_dich_vu_cong d
   ON c.dv_cong_id = d.dv_cong_id AND {B.as_of('d', 'c.created_at')}""")
