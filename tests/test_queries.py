@@ -6,8 +6,8 @@ import check
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
-# One run of each storage and stream path is enough here; check.py covers all at any scale.
-SLOW = {"K12_T10_stream_upsert", "C17_backfill"}
+# No application is completed with its SLA known on the smallest tables.
+MAY_BE_EMPTY = {"A3_agency_on_off_time"}
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +24,7 @@ def test_entry(spark):
     assert df.count() == 25 and "co_quan_id" in df.columns
 
 
-@pytest.mark.parametrize("query", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("query", [q for q in sorted(queries()) if not (q.startswith("op") or q == "pipeline")])
 def test_query_matches_sql(spark, con, query):
     problem = check.compare(spark, con, SF, query)
-    # Some filters select nothing on the smallest tables.
-    assert problem in ("", "both empty"), problem
+    assert not problem or problem == "both empty" and query in MAY_BE_EMPTY, problem

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from caseledger.functions import columns as C
 from caseledger.operators import calendar as cal_ops
 from caseledger.operators import joins, keys, quality, ranking
 from caseledger.operators.skew import hot_keys
+from caseledger.plans import bronze
 from caseledger.plans import dims as dim_plans
 from caseledger.schemas import FACT_AGENCY_DAY, assert_schema, conform
 from caseledger.sources import readers, tables
@@ -108,6 +110,49 @@ def range_scan(spark, sf):
             .agg(F.count(F.lit(1)).alias("cases")))
 
 
+# An embedded in-memory database stands for the operational one; it lives in a local driver.
+DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
+def _database(spark, **frames) -> str:
+    url = f"jdbc:derby:memory:m{uuid.uuid4().hex};create=true"
+    for table, df in frames.items():
+        if not tables.mirror_jdbc(df, url, f'"{table}"', DERBY):
+            raise RuntimeError(f"{table} could not be written")
+    return url
+
+
+def _agencies(spark, sf):
+    return B.table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+
+
+@query("S1_scan_jdbc", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def jdbc(spark, sf):
+    url = _database(spark, Agency=_agencies(spark, sf))
+    return readers.scan_jdbc(spark, url, "Agency", DERBY, ("s_suppkey", 1, 1000, 4))
+
+
+@query("K10_mirror_jdbc", "SELECT n_nationkey, upper(n_name) AS n_name FROM nation")
+def mirror(spark, sf):
+    """A dimension mirrored twice: the second run refills what the first wrote."""
+    nations = B.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    url = _database(spark, Nation=nations)
+    tables.mirror_jdbc(nations.withColumn("n_name", F.upper("n_name")), url, '"Nation"', DERBY)
+    return readers.scan_jdbc(spark, url, "Nation", DERBY)
+
+
+@query("C1_bronze_masters", """
+SELECT s_suppkey, s_name, s_acctbal, snapshot_id FROM supplier, (VALUES ('S1'), ('S2')) t(snapshot_id)""")
+def bronze_masters(spark, sf):
+    """Two snapshots of a master with a repeated row; each run appends its own."""
+    masters = _agencies(spark, sf)
+    url = _database(spark, Agency=masters.unionByName(masters.where("s_suppkey % 3 = 0")))
+    name, _ = B.new_table(spark, "bronze_agency")
+    for run in ("S1", "S2"):
+        bronze.master_snapshot(spark, url, run, ["Agency"], lambda table: name, driver=DERBY)
+    return spark.table(name).select("s_suppkey", "s_name", "s_acctbal", "snapshot_id")
+
+
 # --- sinks and maintenance ------------------------------------------------------------
 
 @query("K1_append_partitioned", f"""
