@@ -2,7 +2,8 @@
 
 Tags may nest to any depth and differ from file to file, which no ``from_xml`` schema
 can declare, and the SQL ``xpath`` functions raise on malformed text. So a file is
-parsed once, in an Arrow-batched function; everything after it is DataFrame work.
+parsed once, in an Arrow-batched function that only reports what is there; the rules and
+everything after them are column expressions.
 """
 
 from __future__ import annotations
@@ -30,89 +31,88 @@ REASONS = {
     "other": "Lỗi không xác định: {detail}",
 }
 
-VALIDATION = StructType([
-    StructField("is_valid", BooleanType()),
-    StructField("error_msg", StringType()),
-    StructField("packets", ArrayType(PACKET)),
+FIELDS = ("ma_goi_tin", "ma_du_lieu", "loai_du_lieu", "ngay_cap_nhat", "su_kien", "id_ban_ghi")
+
+# What one file holds, before any rule is applied: a parse problem, or its packets.
+PARSED = StructType([
+    StructField("syntax", StringType()),
+    StructField("failure", StringType()),
+    StructField("found", ArrayType(StructType([
+        StructField("has_metadata", BooleanType()),
+        *[StructField(name, StringType()) for name in FIELDS],
+        StructField("data_payload", StringType()),
+    ]))),
 ])
 
 
-def _row_checker(events: Sequence[str], reasons: dict[str, str]):
-    """The per-file check, self-contained so that it travels to the workers by value."""
+def parse_column(text: Column) -> Column:
+    """The ``PARSED`` struct of a file's text: one parse per file, Arrow-batched, no rules."""
     import json
     from xml.etree import ElementTree
 
-    fields = ("ma_goi_tin", "ma_du_lieu", "loai_du_lieu", "ngay_cap_nhat", "su_kien",
-              "id_ban_ghi")
-    as_text = json.JSONEncoder(ensure_ascii=False).encode
+    names = FIELDS
+    encode = json.JSONEncoder(ensure_ascii=False).encode
 
-    def as_json_value(node):
-        if not node.attrib and not len(node):
-            return node.text
-        grouped = {f"@{name}": value for name, value in node.attrib.items()}
+    def value_of(node):
+        """Text for a plain leaf, else an object; repeated tags become lists."""
         if not len(node):
-            return {**grouped, "#text": node.text}
-        seen = {}
+            return {**{f"@{k}": v for k, v in node.attrib.items()}, "#text": node.text} if node.attrib else node.text
+        lists = {}
         for child in node:
-            # Most nodes are plain leaves; they need no call of their own.
-            plain = not child.attrib and not len(child)
-            seen.setdefault(child.tag, []).append(child.text if plain else as_json_value(child))
-        for tag, values in seen.items():
-            grouped[tag] = values[0] if len(values) == 1 else values
-        return grouped
-
-    def check_packet(packet):
-        metadata = packet.find("metadata")
-        if metadata is None:
-            return reasons["no_metadata"], None
-        row = {name: (metadata.findtext(name) or "").strip() for name in fields}
-        if not row["ma_goi_tin"]:
-            return reasons["no_packet_id"], None
-        if row["su_kien"] not in events:
-            return reasons["bad_event"].format(event=row["su_kien"]), None
-        if not row["id_ban_ghi"]:
-            return reasons["no_record_id"], None
-        data = packet.find("du_lieu")
-        if data is None:
-            return reasons["no_data"], None
-        row["data_payload"] = as_text(as_json_value(data))
-        return None, row
-
-    def check_file(text):
-        if text is None or not text.strip():
-            return reasons["empty"], []
-        try:
-            root = ElementTree.fromstring(text.encode("utf-8"))
-            packets = [root] if root.tag == "packet" else root.findall(".//packet")
-            if not packets:
-                return reasons["no_packet"], []
-            rows = []
-            for packet in packets:
-                problem, row = check_packet(packet)
-                if problem:
-                    return problem, []
-                rows.append(row)
-            return None, rows
-        except ElementTree.ParseError as error:
-            return reasons["malformed"].format(detail=error), []
-        except Exception as error:  # one odd file must not stop the job
-            return reasons["other"].format(detail=error), []
-
-    return check_file
+            lists.setdefault(child.tag, []).append(value_of(child))
+        return {f"@{k}": v for k, v in node.attrib.items()} | {t: v[0] if v[1:] == [] else v for t, v in lists.items()}
+
+    def facts(packet):
+        metadata, data = packet.find("metadata"), packet.find("du_lieu")
+        known = metadata is not None
+        return (known, *[(metadata.findtext(n) or "").strip() if known else "" for n in names],
+                None if data is None else encode(value_of(data)))
+
+    def parse(batch: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in batch:
+            try:
+                root = ElementTree.fromstring((text or "").encode("utf-8"))
+                packets = [root] if root.tag == "packet" else root.iter("packet")
+                out.append((None, None, [facts(p) for p in packets]))
+            except ElementTree.ParseError as error:
+                out.append((str(error), None, []))
+            except Exception as error:  # one odd file must not stop the job
+                out.append((None, str(error), []))
+        return pd.DataFrame(out, columns=["syntax", "failure", "found"])
 
+    # Declared non-deterministic so that a filter on the result is not pushed below it,
+    # which would parse every file twice.
+    return F.pandas_udf(parse, PARSED).asNondeterministic()(text)
 
-def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
-    """Struct ``(is_valid, error_msg, packets)``; one bad packet rejects its whole file."""
-    check_file = _row_checker(tuple(events), dict(REASONS))
 
-    def check(batch: pd.Series) -> pd.DataFrame:
-        results = [check_file(value) for value in batch]
-        return pd.DataFrame({
-            "is_valid": [problem is None for problem, _ in results],
-            "error_msg": [problem for problem, _ in results],
-            "packets": [rows for _, rows in results],
-        })
+def packet_problem(packet: Column, events: Sequence[str] = EVENTS) -> Column:
+    """Why one packet is refused, by the first rule that it breaks; null if by none."""
+    event = F.replace(F.lit(REASONS["bad_event"]), F.lit("{event}"), packet["su_kien"])
+    return (F.when(~packet["has_metadata"], REASONS["no_metadata"])
+            .when(packet["ma_goi_tin"] == "", REASONS["no_packet_id"])
+            .when(~packet["su_kien"].isin(*events), event)
+            .when(packet["id_ban_ghi"] == "", REASONS["no_record_id"])
+            .when(packet["data_payload"].isNull(), REASONS["no_data"]))
 
-    # Declared non-deterministic so that a filter on the result is not pushed below it,
-    # which would parse every file twice.
-    return F.pandas_udf(check, VALIDATION).asNondeterministic()(text)
+
+def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
+    """Struct ``(is_valid, error_msg, packets)``; one bad packet rejects its whole file.
+
+    The rules are column expressions over what :func:`parse_column` found.
+    """
+    def with_detail(reason: str, detail: Column) -> Column:
+        return F.replace(F.lit(REASONS[reason]), F.lit("{detail}"), detail)
+
+    def judged(parsed: Column) -> Column:
+        broken = F.filter(F.transform(parsed["found"], lambda p: packet_problem(p, events)), lambda r: r.isNotNull())
+        reason = (F.when(F.coalesce(text, F.lit("")).rlike(r"(?U)^\s*$"), REASONS["empty"])
+                  .when(parsed["syntax"].isNotNull(), with_detail("malformed", parsed["syntax"]))
+                  .when(parsed["failure"].isNotNull(), with_detail("other", parsed["failure"]))
+                  .when(F.size(parsed["found"]) == 0, REASONS["no_packet"]).otherwise(F.get(broken, F.lit(0))))
+        rows = F.transform(parsed["found"], lambda p: F.struct(*[p[f.name].alias(f.name) for f in PACKET]))
+        return F.transform(F.array(reason), lambda r: F.struct(
+            r.isNull().alias("is_valid"), r.alias("error_msg"),
+            F.when(r.isNull(), rows).otherwise(F.array().cast(ArrayType(PACKET))).alias("packets")))[0]
+
+    return F.transform(F.array(parse_column(text)), judged)[0]
