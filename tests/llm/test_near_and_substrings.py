@@ -147,3 +147,12 @@ def test_wavelet_rank_and_fm_search():
 def test_word_hashes_follow_the_words():
     h, at = hash_words(["a b c  a", None, "A", ""], lower=True)
     assert at.tolist() == [0, 3, 3, 4, 4] and h[0] == h[2] == h[3] and h[1] != h[0]
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 150)] + [(200 + i, 200 + (i + 1) % 7) for i in range(7)] + [(300, 301), (301, 300)]
+    random.Random(1).shuffle(edges)
+    got = {r["v"]: r["root"] for r in near.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 150)}, **{i: 200 for i in range(201, 207)}, 301: 300}
+    assert got == want
+    assert near.components(spark.createDataFrame([], "a long, b long")).count() == 0
