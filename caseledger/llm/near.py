@@ -162,8 +162,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.where(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("a", "b")
 
 
-def linked_within(rows: DataFrame, members: DataFrame, percent: int, slack: float = 0.19) -> DataFrame:
-    """(group, cid, root, codes, shingles) to links (a, b) that join different roots of a group.
+def linked_within(rows: DataFrame, members: DataFrame, sets: DataFrame, percent: int, slack: float = 0.19) -> DataFrame:
+    """(group, cid, root, codes) and (cid, shingles) to links (a, b) that join different roots of a group.
 
     A group is cut into tiles of about ``TILE`` members and at most ``TILE_BYTES``; each pair of
     tiles is one row of bounded size. There, pairs of
@@ -174,7 +174,8 @@ def linked_within(rows: DataFrame, members: DataFrame, percent: int, slack: floa
     tiles = F.greatest(F.ceil(F.col("members") / TILE), F.ceil(8 * F.col("elements") / TILE_BYTES)).cast("int")
     rows = rows.join(members, "group").withColumn("tile", F.pmod(F.xxhash64("cid"), tiles).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    blocks = rows.groupBy("group", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
+    # The sets join by class, so that a family's blocks are dealt apart.
+    blocks = rows.join(sets, "cid").groupBy("group", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
         F.collect_list(F.struct("cid", "root", "tile", "codes", "shingles")).alias("rows"))
 
     def links(i, j, rows) -> list[tuple[int, int]]:
@@ -247,8 +248,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = groups.join(classes.select("cid", "codes", "n"), "cid")
     members = groups.groupBy("group").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members"),
                                           F.sum("n").alias("elements")).where("x < y").select("group", "members", "elements")
-    rows_ = groups.select("group", "cid", "root", "codes").join(sets, "cid")
-    edges = edges.union(linked_within(rows_, members, percent))
+    edges = edges.union(linked_within(groups.select("group", "cid", "root", "codes"), members, sets, percent))
     roots = components(edges)
     named = classes.select("cid", "key", "least").join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = materialize(named, "named")
