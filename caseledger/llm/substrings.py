@@ -182,7 +182,7 @@ def _frequent(docs: DataFrame) -> DataFrame:
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """(id, text, places) to the words of segments: (piece, m, seg, part, least, words).
+    """(id, text, places) to the words of segments: (piece, m, seg, part, least, most, words).
 
     A piece is the segment itself, or each window of a segment that is to be cut.
     """
@@ -204,16 +204,18 @@ def _cut(texts: DataFrame) -> DataFrame:
                             if p["often"]:
                                 at = first + np.arange(n - WINDOW + 1)
                                 keys = _hash_runs(own, at, np.full(len(at), WINDOW))
-                                rows += [(int(key), int(key), p["seg"], k, id_, short[at[k]:at[k] + WINDOW].tobytes()) for k, key in enumerate(keys)]
+                                rows += [(int(key), int(key), p["seg"], k, id_, p["most"], short[at[k]:at[k] + WINDOW].tobytes()) for k, key in enumerate(keys)]
                             else:
-                                rows.append((p["seg"], m, p["seg"], 0, id_, short[first:first + n].tobytes()))
-                    yield pd.DataFrame(rows, columns=["piece", "m", "seg", "part", "least", "words"])
-    return texts.mapInPandas(run, "piece long, m long, seg long, part long, least long, words binary")
+                                rows.append((p["seg"], m, p["seg"], 0, id_, p["most"], short[first:first + n].tobytes()))
+                    yield pd.DataFrame(rows, columns=["piece", "m", "seg", "part", "least", "most", "words"])
+    return texts.mapInPandas(run, "piece long, m long, seg long, part long, least long, most long, words binary")
 
 
 def _search(shards: DataFrame) -> DataFrame:
-    """(shard, seg, least, words) sorted by shard to (seg, sources): the smallest id for each window of the segment."""
-    def one(segs: np.ndarray, least: np.ndarray, words: list[bytes]) -> pd.DataFrame:
+    """(shard, seg, least, most, words) sorted by shard to (seg, sources): the smallest id for each window of the
+    segment, for segments of which at least one occurrence loses words."""
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        words, least = rows["words"].tolist(), rows["least"].to_numpy()
         raw = np.frombuffer(b"".join(words), np.uint32)
         offsets = np.concatenate(([0], np.cumsum([len(w) // 4 for w in words])))
         known, symbols = np.unique(raw, return_inverse=True)
@@ -222,21 +224,21 @@ def _search(shards: DataFrame) -> DataFrame:
         count = np.diff(offsets) - WINDOW + 1
         starts = np.repeat(offsets[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         found = np.concatenate([index.least(symbols, starts[k:k + 500_000], WINDOW) for k in range(0, len(starts), 500_000)])
-        return pd.DataFrame({"seg": segs, "sources": np.split(found, np.cumsum(count)[:-1])})
+        used = np.flatnonzero((least < rows["most"].to_numpy()) | (np.minimum.reduceat(found, np.cumsum(count) - count) < least))
+        sources = np.split(found, np.cumsum(count)[:-1])
+        return pd.DataFrame({"seg": rows["seg"].to_numpy()[used], "sources": [sources[k] for k in used]})
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, shard = [], None
         for pdf in parts:
             for key, rows in pdf.groupby("shard", sort=False):
                 if key != shard and held:
-                    whole = pd.concat(held)
-                    yield one(whole["seg"].to_numpy(), whole["least"].to_numpy(), whole["words"].tolist())
+                    yield one(pd.concat(held))
                     held = []
                 shard = key
                 held.append(rows)
         if held:
-            whole = pd.concat(held)
-            yield one(whole["seg"].to_numpy(), whole["least"].to_numpy(), whole["words"].tolist())
+            yield one(pd.concat(held))
     return shards.mapInPandas(run, "seg long, sources array<long>")
 
 
@@ -256,21 +258,23 @@ def repeats(docs: DataFrame) -> DataFrame:
     unique = open_.groupBy("seg").agg(F.min("m").alias("m"), F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("place", F.struct("id", "place")).alias("place"))
     unique = materialize(unique, "distinct")
     often = unique.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("m", F.lit(True).alias("often"))
-    places = unique.join(often, "m", "left").groupBy(F.col("least").alias("id")).agg(F.collect_list(
-        F.struct("place", "m", "seg", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
+    split = not often.isEmpty()
+    marked = unique.join(often, "m", "left") if split else unique.withColumn("often", F.lit(False))
+    places = marked.groupBy(F.col("least").alias("id")).agg(F.collect_list(
+        F.struct("place", "m", "seg", "most", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
     may = may_match(docs.where("text IS NOT NULL"), "id", unique.select("least")).where("__may").select("id", "text")
-    # Of rows with equal id and text one is enough.
-    cut = materialize(_cut(may.join(places, "id")).dropDuplicates(["piece", "seg", "part"]), "pieces")
+    # Rows with equal id and text bring their pieces twice, which changes no answer.
+    cut = materialize(_cut(may.join(places, "id")), "pieces")
     shards = max(1, math.ceil((cut.agg(F.sum(F.length("words") / 4)).first()[0] or 0) / SHARD_WORDS))
-    pieces = cut.groupBy("piece").agg(F.min("least").alias("least"), F.first("m").alias("m"), F.first("words").alias("words")) if not often.isEmpty() else cut
+    pieces = cut
+    if split:  # the same window may be cut from many segments; every answer is kept
+        pieces = cut.groupBy("piece").agg(F.min("least").alias("least"), F.first("m").alias("m"), F.first("words").alias("words")).withColumn("most", F.lit(2**63 - 1))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("m"), F.lit(shards)).cast("int"))
-    found = _search(dealt.select("shard", F.col("piece").alias("seg"), "least", "words").repartition("shard").sortWithinPartitions("shard", "seg"))
-    if pieces is not cut:
+    found = _search(dealt.select("shard", F.col("piece").alias("seg"), "least", "most", "words").repartition("shard").sortWithinPartitions("shard", "seg"))
+    if split:
         parts = cut.select("piece", "seg", "part").join(found.withColumnRenamed("seg", "piece"), "piece")
-        found = parts.groupBy("seg").agg(F.sort_array(F.collect_list(F.struct("part", "sources"))).alias("p")).select(
+        found = parts.groupBy("seg").agg(F.sort_array(F.collect_set(F.struct("part", "sources"))).alias("p")).select(
             "seg", F.flatten(F.transform("p", lambda x: x["sources"])).alias("sources"))
-    found = found.join(unique.select("seg", "least", "most"), "seg")
-    found = found.where((F.col("least") < F.col("most")) | F.exists("sources", lambda s: s < F.col("least"))).select("seg", "sources")
     covered = open_.select("seg", "id", "place").join(found, "seg").where(F.exists("sources", lambda s: s < F.col("id")))
     first = F.shiftright("place", 32)
     windows = F.filter(F.transform("sources", lambda s, i: F.when(s < F.col("id"), F.shiftleft(first + i, 32).bitwiseOR(
