@@ -1,6 +1,6 @@
 """Substring dedup: repeated passages found with a compressed FM-index per shard.
 
-A window is ``WINDOW`` consecutive words. Every window has a minimizer, its word triple of
+A window is ``WINDOW`` consecutive words. Every window has a minimizer, its run of six words of
 the smallest hash; windows that follow each other with the same minimizer form a segment.
 Equal windows have equal minimizers, so only segments whose minimizer at least two documents
 hold can repeat. Where all segments of a minimizer are equal, the smallest id that holds it is
@@ -11,8 +11,8 @@ windows of all segments through it; the interval that a whole window reaches giv
 smallest document in which it starts. Occurrences in later documents are covered intervals;
 covered words are removed.
 
-A triple with very many distinct segments (more than ``HOT``) has them cut into their windows,
-which are dealt by their own hash, so no shard grows with one triple. Triples that are frequent
+A minimizer with very many distinct segments (more than ``HOT``) has them cut into their windows,
+which are dealt by their own hash, so no shard grows with one minimizer. Minimizers that are frequent
 in a sample are not gathered to find out that they are shared.
 
 Null and empty texts have no words. Rows with a null id are neither searched nor a source, so
@@ -35,7 +35,7 @@ from caseledger.llm.near import may_match
 from caseledger.llm.words import ODD, batches, grams, hash_words, mix, table
 from caseledger.session import materialize
 
-WINDOW, TRIPLE = 13, 3
+WINDOW, GRAM = 13, 6
 HOT, SHARD_WORDS, SAMPLE, SALT = 20_000, 400_000, 5_000, 1_000
 
 
@@ -114,8 +114,8 @@ class FmIndex:
 def _segments(words: np.ndarray, offsets: np.ndarray):
     """(text, first word, number of words, minimizer) of every segment."""
     count = np.diff(offsets)
-    runs, _ = grams(words, np.array([0, len(words)]), TRIPLE)
-    span = WINDOW - TRIPLE + 1
+    runs, _ = grams(words, np.array([0, len(words)]), GRAM)
+    span = WINDOW - GRAM + 1
     windows = np.maximum(count - WINDOW + 1, 0)
     if not windows.sum():
         none = np.empty(0, np.int64)
