@@ -219,7 +219,12 @@ def linked_within(rows: DataFrame, members: DataFrame, sets: DataFrame, percent:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """One row per row: id, key (digest of its words), n_shingles, component_id."""
+    """One row per row: id, key (digest of its words), n_shingles, component_id, component_key.
+
+    The component_id is no key of a component: it is null where all ids are, and unlinked texts
+    with equal ids share it. The component_key is one: the key of the component's row with the
+    smallest id (of equal ids, with the smallest key).
+    """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(sketches(docs), "sketches")
     classes = rows.groupBy("key").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("codes").alias("codes"))
@@ -252,10 +257,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(edges)
     named = classes.select("cid", "key", "least").join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = materialize(named, "named")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("key", "component_id")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key"))
+    least = named.groupBy("root").agg(first.alias("first")).select("root", F.col("first.least").alias("component_id"), F.col("first.key").alias("component_key"))
+    named = named.join(least, "root").select("key", "component_id", "component_key")
     return rows.select("id", "key", "n").join(named, "key").select(
-        F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "component_key")
 
 
 @F.pandas_udf(BinaryType())
@@ -271,22 +277,23 @@ def word_key(texts: pd.Series) -> pd.Series:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """All columns of ``docs``, one row of each group of near-duplicates: one with the smallest id.
 
+    Groups are told apart by their component_key, so that null ids and equal ids of different
+    texts stay documents of their own.
     Rows without words all stay. Rows that certainly lose nothing pass without a join; the
     others are joined with the decisions by id and digest.
     """
     found = near_components(docs, id_col, text_col, percent).where("n_shingles > 0")
-    found = materialize(found.select(F.col(id_col).cast("long").alias("__id"), F.col("key").alias("__key"), "component_id"), "found")
-    chosen = found.where(F.col("__id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min("__key").alias("__key"), F.count(F.lit(1)).alias("n"))
+    first = F.col(id_col).eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("component_key"))
+    found = materialize(found.select(F.col(id_col).cast("long").alias("__id"), F.col("key").alias("__key"), first.alias("__first")), "found")
+    chosen = found.where("__first").groupBy("__id", "__key").agg(F.count(F.lit(1)).alias("n"))
     chosen = materialize(chosen, "chosen")
-    touched = found.where(~F.col("__id").eqNullSafe(F.col("component_id"))).select("__id").union(
-        chosen.where("n > 1").select(F.col("component_id").alias("__id")))
+    touched = found.where("NOT __first").select("__id").union(chosen.where("n > 1").select("__id"))
     rows = may_match(docs.withColumn("__id", F.col(id_col).cast("long")), "__id", touched)
     sure = rows.where("NOT __may").drop("__may", "__id")
     rest = rows.where("__may").withColumn("__key", word_key(F.col(text_col).cast("string")))
     empty = rest.where(F.col("__key") == F.lit(bytes(16)))
     # Equal id and digest: the first row of them.
-    kept = rest.where(F.col("__key") != F.lit(bytes(16))).join(chosen.select(F.col("component_id").alias("__c"), F.col("__key").alias("__k")),
+    kept = rest.where(F.col("__key") != F.lit(bytes(16))).join(chosen.select(F.col("__id").alias("__c"), F.col("__key").alias("__k")),
                      F.col("__id").eqNullSafe(F.col("__c")) & (F.col("__key") == F.col("__k")), "left_semi").dropDuplicates(["__id", "__key"])
     return sure.unionByName(empty.unionByName(kept).drop("__may", "__id", "__key"))
 

@@ -87,6 +87,14 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     assert near.deduplicate(docs.where("false")).count() == 0
 
 
+def test_deduplicate_keeps_distinct_texts_of_null_and_equal_ids(spark):
+    rows = [(None, "one two three four five six"), (None, "quite another text without an id"), (None, "quite another text without an id"), (7, "some words under seven here"),
+            (7, "different words under the same id"), (7, "different words under the same id"), (8, "some words under seven here"), (None, "some words under seven here"), (9, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in near.deduplicate(docs).collect()]
+    assert sorted(got, key=key) == sorted([rows[0], rows[1], rows[3], rows[4], rows[8]], key=key)
+
+
 def brute_removal(rows, window=substrings.WINDOW):
     words = [WORD.findall(t or "") for _, t in rows]
     least = {}
