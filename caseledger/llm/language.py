@@ -8,9 +8,11 @@ landmarks' own kernel. Because kernel values are inner products of presence vect
 fitted weights fold into one matrix (n-gram cells x languages), and batches of presence
 vectors are scored by a matrix product.
 
-The model is fitted on a bounded sample: at most ``per_language`` texts for each of the
-``most_languages`` most frequent languages, chosen by a hash of their text; ``landmarks`` of
-them per language. Everything else covers all rows and whole texts.
+The model is fitted on a bounded sample: ``per_language`` distinct texts of each language (all
+of them where there are fewer), those with the smallest hashes; ``landmarks`` of them per
+language. Copies count once. Every language that occurs is learned; of more than
+``most_languages`` each gives so many fewer texts that the sample stays as large. Everything
+else covers all rows and whole texts.
 
 Null texts, empty texts and texts without a letter are "und" with score 0, as is every text
 when nothing could be learned. Rows with a null id are never learned from. Equal texts get
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from caseledger.llm.words import batches, mix, remainder, table
 
-ORDERS, CELLS = 4, 1 << 16
+ORDERS, CELLS, BLOCK = 4, 1 << 16, 256
 UNKNOWN = "und"
 _LETTER: list[np.ndarray] = []
 
@@ -67,9 +69,9 @@ def presence(texts: list[str]) -> np.ndarray:
 
 def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Normalised kernel of presence rows; rows without a letter have the value 0."""
-    a, b = a.astype(np.float32), b.astype(np.float32)
+    a = a.astype(np.float32)
     own = np.sqrt(np.outer(np.maximum(a.sum(1), 1), np.maximum(b.sum(1), 1)))
-    return (a @ b.T) / own
+    return np.hstack([a @ b[i:i + BLOCK].astype(np.float32).T for i in range(0, len(b), BLOCK)]) / own
 
 
 def fit_ridge(values: np.ndarray, marks: np.ndarray, classes: np.ndarray, n: int, ridge: float = 1e-3) -> np.ndarray:
@@ -79,7 +81,7 @@ def fit_ridge(values: np.ndarray, marks: np.ndarray, classes: np.ndarray, n: int
     x = values.astype(float) @ root
     y = np.where(classes[:, None] == np.arange(n), 1.0, -1.0)
     # Each class weighs the same against the rest.
-    w = np.sum([(classes == c) / max(1, (classes == c).sum()) for c in range(n)], axis=0) * len(y) / n
+    w = len(y) / n / np.bincount(classes, minlength=n)[classes]
     return root @ np.linalg.solve(x.T @ (x * w[:, None]) + ridge * len(y) * np.eye(x.shape[1]), x.T @ (y * w[:, None]))
 
 
@@ -89,26 +91,31 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, per_language: int = 250,
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "lang IS NOT NULL AND text RLIKE '\\\\p{L}'").withColumn("pick", F.xxhash64("text"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    counts = {r["lang"]: r["n"] for r in rows.select("lang", "pick").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
-    names = sorted(r["lang"] for r in counts)
+    names = sorted(counts)
     number = {name: i for i, name in enumerate(names)}
-    # Hash ranks below a share of the labelled rows, so that about twice the number wanted is ranked.
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * per_language / r["n"] + 40.0 / r["n"]))])
-    picked = rows.where(F.col("lang").isin(*names)).where(
-        (F.col("pick") / 2.0**64 + 0.5) <= F.element_at(share, F.col("lang")))
-    order = Window.partitionBy("lang").orderBy("pick")
-    ranks = picked.select("lang", "pick").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).collect()
-    last = {}
-    for r in ranks:
-        last[r["lang"]] = max(r["pick"], last.get(r["lang"], r["pick"]))
-    marked = {}
-    for r in ranks:
-        if r["rank"] <= landmarks:
-            marked[r["lang"]] = max(r["pick"], marked.get(r["lang"], r["pick"]))
-    def upto(limits: dict) -> Column:
-        return F.col("pick") <= F.element_at(F.create_map(*[F.lit(x) for item in limits.items() for x in item]), F.col("lang"))
+    most, marked = (max(1, min(k, k * most_languages // len(names))) for k in (per_language, landmarks))
+
+    def upto(limits: dict, kind: str) -> DataFrame:
+        """The rows of the languages in ``limits`` whose hash is no larger than the limit."""
+        known = spark.createDataFrame(list(limits.items()), f"lang string, __limit {kind}")
+        place = F.col("pick") / 2.0**64 + 0.5 if kind == "double" else F.col("pick")
+        return rows.join(F.broadcast(known), "lang").where(place <= F.col("__limit")).drop("__limit")
+
+    picks: dict[str, list[int]] = {}
+    # Ranked are the hashes below a share, about twice as many as wanted; where too few are below it, all.
+    for shares in (lambda name: min(1.0, (2.0 * most + 40.0) / counts[name])), (lambda name: 1.0):
+        short = {name: shares(name) for name in names if len(picks.get(name, [])) < min(most, counts[name])}
+        if short:
+            order = Window.partitionBy("lang").orderBy("pick")
+            ranks = upto(short, "double").select("lang", "pick").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).collect()
+            picks |= {name: [] for name in short}
+            for r in ranks:
+                picks[r["lang"]].append(r["pick"])
+    last = {name: max(found) for name, found in picks.items()}
+    first = {name: sorted(found)[:marked][-1] for name, found in picks.items()}
 
     def grams(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -117,7 +124,7 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, per_language: int = 250,
                 bits = np.packbits(presence(texts[a:b]), axis=1)
                 yield pd.DataFrame({"lang": pdf["lang"].iloc[a:b].to_numpy(), "bits": [x.tobytes() for x in bits]})
 
-    found = picked.where(F.col("lang").isin(*last)).where(upto(marked)).dropDuplicates(["lang", "pick"]).mapInPandas(grams, "lang string, bits binary").collect()
+    found = upto(first, "long").dropDuplicates(["lang", "pick"]).mapInPandas(grams, "lang string, bits binary").collect()
     found.sort(key=lambda r: (r["lang"], r["bits"]))
     marks = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in found]), axis=1).astype(bool)
     shared = spark.sparkContext.broadcast(np.packbits(marks, axis=1))
@@ -129,14 +136,15 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, per_language: int = 250,
             for a, b in batches(texts):
                 for c in range(a, b, 64):
                     k = kernel(presence(texts[c:min(b, c + 64)]), marks)
-                    yield pd.DataFrame({"lang": pdf["lang"].iloc[c:min(b, c + 64)].to_numpy(), "k": list(k.astype(float))})
+                    yield pd.DataFrame({"lang": pdf["lang"].iloc[c:min(b, c + 64)].to_numpy(), "k": [x.tobytes() for x in k.astype(np.float32)]})
 
-    sample = picked.where(upto(last)).dropDuplicates(["lang", "pick"]).mapInPandas(values, "lang string, k array<double>").collect()
+    sample = upto(last, "long").dropDuplicates(["lang", "pick"]).mapInPandas(values, "lang string, k binary").collect()
     sample.sort(key=lambda r: (r["lang"], r["k"]))
-    weights = fit_ridge(np.array([r["k"] for r in sample]), kernel(marks, marks),
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(marks), BLOCK)]
+    weights = fit_ridge(np.array([np.frombuffer(r["k"], np.float32) for r in sample]), np.vstack([kernel(marks[x], marks) for x in blocks]),
                         np.array([number[r["lang"]] for r in sample]), len(names))
-    folded = (marks / np.sqrt(np.maximum(marks.sum(1), 1))[:, None]).T.astype(np.float32) @ weights.astype(np.float32)
-    return names, folded
+    weights = (weights / np.sqrt(np.maximum(marks.sum(1), 1))[:, None]).astype(np.float32)
+    return names, sum(marks[x].T.astype(np.float32) @ weights[x] for x in blocks)
 
 
 def classify(docs: DataFrame, model, text_col: str, output: str = "language") -> DataFrame:

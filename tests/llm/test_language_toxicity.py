@@ -49,6 +49,38 @@ def test_language_odd_rows(spark):
     assert {r["found"]["lang_pred"] for r in language.classify(docs, None, "text", "found").collect()} == {"und"}
 
 
+def spoken(rng, letters, n=30):
+    return " ".join("".join(rng.choice(list(letters), 5)) for _ in range(n))
+
+
+def held(spark, docs, model, want):
+    rows = language.classify(spark.createDataFrame(docs, "text string, lang string"), model, "text", "found").collect()
+    return sum(r["found"]["lang_pred"] == r["lang"] for r in rows) / len(rows) >= want
+
+
+def test_language_of_copies_is_learned(spark):
+    rng = np.random.default_rng(7)
+    es, en = [(spoken(rng, "abcdefgh"), "es") for _ in range(40)], [(spoken(rng, "efghijkl"), "en") for _ in range(300)]
+    docs = spark.createDataFrame(es + en, "text string, lang string")
+    # One text of "es" has 20,000 copies: whatever its hash is, all 40 texts are learned from.
+    copies = docs.where("lang = 'es'").limit(1).crossJoin(spark.range(20_000)).select("text", "lang")
+    plain, model = (language.fit(x, "text", "lang") for x in (docs, docs.union(copies)))
+    assert plain[0] == model[0] == ["en", "es"] and np.array_equal(plain[1], model[1])
+    new = [(spoken(rng, "abcdefgh"), "es") for _ in range(30)] + [(spoken(rng, "efghijkl"), "en") for _ in range(30)]
+    assert held(spark, new, model, 0.95)
+    # Too small a share is no bar: each language has as many texts as it can have.
+    only = language.fit(copies, "text", "lang")
+    assert only[0] == ["es"] and held(spark, es, only, 1.0)
+
+
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(8)
+    letters = {f"l{k:02}": "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8, replace=False)) for k in range(12)}
+    docs = [(spoken(rng, own), name) for name, own in letters.items() for _ in range(40)]
+    model = language.fit(spark.createDataFrame(docs, "text string, lang string"), "text", "lang", per_language=40, landmarks=8, most_languages=4)
+    assert model[0] == sorted(letters) and held(spark, [(spoken(rng, own), name) for name, own in letters.items() for _ in range(5)], model, 0.9)
+
+
 def test_features_match_plain_hashing():
     cells, owner = toxicity.features(["a B a", "", None, "b"])
     sets = [set(cells[owner == i]) for i in range(4)]
