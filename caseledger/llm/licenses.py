@@ -75,12 +75,22 @@ FAMILIES = (
     ("odbl", "database", "open database license", "odbl 1 0", "opendatacommons org licenses odbl"),
     ("pddl", "domain", "public domain dedication and license", "pddl 1 0", "opendatacommons org licenses pddl"),
     ("cc0", "cc0", "cc0(?: 1 0)?(?: universal)?", "cc0 1 0", "creativecommons org publicdomain zero"),
-    ("cc-by", "cc", "(?:cc by|creative commons attribution)(?: [1234] [05])?", "cc by [1234] [05]", "creativecommons org licenses by [1234]"),
-    ("cc-by-sa", "cc", "(?:cc by sa|creative commons attribution share ?alike)(?: [1234] [05])?", "cc by sa [1234] [05]", "creativecommons org licenses by sa"),
-    ("cc-by-nd", "cc", "(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)(?: [1234] [05])?", "cc by nd [1234] [05]", "creativecommons org licenses by nd"),
-    ("cc-by-nc", "cc", "(?:cc by nc|creative commons attribution non ?commercial)(?: [1234] [05])?", "cc by nc [1234] [05]", "creativecommons org licenses by nc [1234]"),
-    ("cc-by-nc-sa", "cc", "(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1234] [05])?", "cc by nc sa [1234] [05]", "creativecommons org licenses by nc sa"),
-    ("cc-by-nc-nd", "cc", "(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: [1234] [05])?", "cc by nc nd [1234] [05]", "creativecommons org licenses by nc nd"),
+    ("cc-by", "cc", "cc by(?: [1234] [05])?", "cc by [1234] [05]", "creativecommons org licenses by [1234]"),
+    ("cc-by-sa", "cc", "cc by sa(?: [1234] [05])?", "cc by sa [1234] [05]", "creativecommons org licenses by sa"),
+    ("cc-by-nd", "cc", "cc by nd(?: [1234] [05])?", "cc by nd [1234] [05]", "creativecommons org licenses by nd"),
+    ("cc-by-nc", "cc", "cc by nc(?: [1234] [05])?", "cc by nc [1234] [05]", "creativecommons org licenses by nc [1234]"),
+    ("cc-by-nc-sa", "cc", "cc by nc sa(?: [1234] [05])?", "cc by nc sa [1234] [05]", "creativecommons org licenses by nc sa"),
+    ("cc-by-nc-nd", "cc", "cc by nc nd(?: [1234] [05])?", "cc by nc nd [1234] [05]", "creativecommons org licenses by nc nd"),
+)
+
+# Further names of families: label, keyword, name pattern.
+NAMES = (
+    ("cc-by", "commons", "creative commons attribution(?: [1234] [05])?"),
+    ("cc-by-sa", "commons", "creative commons attribution share ?alike(?: [1234] [05])?"),
+    ("cc-by-nd", "commons", "creative commons attribution no ?deriv(?:ative)?s(?: [1234] [05])?"),
+    ("cc-by-nc", "commons", "creative commons attribution non ?commercial(?: [1234] [05])?"),
+    ("cc-by-nc-sa", "commons", "creative commons attribution non ?commercial share ?alike(?: [1234] [05])?"),
+    ("cc-by-nc-nd", "commons", "creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1234] [05])?"),
 )
 
 # Notices recognised by their own words: label, keyword, pattern.
@@ -102,14 +112,19 @@ NOTICES = (
 
 
 def rules() -> list[tuple[str, str, str, int, float]]:
-    """(label, keyword, pattern, priority, weight), the earlier rule first."""
+    """(label, keyword, pattern, priority, weight), the earlier rule first.
+
+    Whatever a pattern matches holds the keyword as a word.
+    """
     out = [(label, key, f"(?:spdx )?license identifier {spdx}", 90, 0.99) for label, key, _, spdx, _ in FAMILIES]
     out = [(label, "identifier", pattern, p, w) for label, _, pattern, p, w in out]
     out += [(label, key, pattern, 80, 0.95) for label, key, pattern in NOTICES]
-    for label, key, name, _, url in FAMILIES:
+    addresses = {label: url for label, _, _, _, url in FAMILIES}
+    for label, key, name in [f[:3] for f in FAMILIES] + list(NAMES):
+        url = addresses.pop(label, None)
         out += [
             (label, key, f"(?:licen[sc]ed|released|distributed|published|available|provided|covered) (?:under|by) (?:the )?(?:terms of )?(?:the )?(?:{name})(?: licen[sc]e)?", 70, 0.9),
-            (label, url.split()[0], f"(?:https? )?(?:www )?{url}", 60, 0.85),
+            *([(label, url.split()[0], f"(?:https? )?(?:www )?{url}", 60, 0.85)] if url else []),
             (label, key, f"(?:under|by) (?:the )?(?:{name}) licen[sc]e", 50, 0.8),
             (label, key, f"licen[sc]e (?:is )?(?:the )?(?:{name})", 40, 0.7),
             (label, key, f"(?:the )?(?:{name}) licen[sc]e" if "licen" not in name else f"(?:the )?(?:{name})", 30, 0.6),
@@ -180,10 +195,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     norm = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
                                                  r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), F.lit(" "))
     norm = F.concat(F.lit(" "), F.trim(norm), F.lit(" "))
+    # The keywords of all rules, those of the fixed phrases among them.
     gate = F.lit(False)
-    for word in ("licen", " cc ", " bsd ", " gnu ", " spdx ", "unencumbered", "creativecommons",
-                 " permission ", " redistribut",
-                 " warranty ", "wtfpl", "apache", "mozilla", "opensource", " cc0 "):
+    for word in dict.fromkeys(key for _, key, _, _, _ in rules()):
         gate = gate | F.contains(F.col("norm"), F.lit(word))
     base = F.flatten(F.array(*[_phrase_places(phrase, label) for phrase, label in PHRASES]))
     out = docs.select(F.col(id_col).alias(id_col), norm.alias("norm"))

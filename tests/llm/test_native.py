@@ -122,6 +122,55 @@ def test_license_scan_matches_brute_force(spark):
     assert len(licenses.rules()) > 300 and licenses.scan_licenses(docs.where("false")).count() == 0
 
 
+# Texts that hold a rule's keyword, but none of the more common words of licenses.
+RARE = ["Released under MIT terms", "distributed under the ISC", "published under zlib", "available at eclipse.org/legal/epl-v10", "scripts.sil.org/OFL",
+        "licensed under the Creative Commons Attribution 4.0 license", "by the Creative Commons Attribution-ShareAlike 3.0 licence", "licence: Creative Commons Attribution NonCommercial",
+        "released under Creative Commons Attribution-NonCommercial-NoDerivatives 4.0", "an open, common and public text in general"]
+
+
+def test_license_scan_matches_patterns_tried_without_keywords(spark, monkeypatch):
+    docs = spark.createDataFrame(list(enumerate(TEXTS + RARE)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    plain = [(label, "", pattern, priority, weight) for label, _, pattern, priority, weight in licenses.rules()]
+    monkeypatch.setattr(licenses, "rules", lambda: plain)
+    for i, text in enumerate(TEXTS + RARE):
+        n, base, kept = brute_scan(text)
+        assert sorted((d["start"], d["stop"], d["priority"], d["rule"], d["label"]) for d in rows[i]["detections"]) == kept, text
+        assert rows[i]["n_words"] == n and sorted((b["start"], b["label"]) for b in rows[i]["base"]) == base, text
+    labels = [{d["label"] for d in rows[len(TEXTS) + i]["detections"]} for i in range(len(RARE))]
+    assert labels == [{"mit"}, {"isc"}, {"zlib"}, {"epl-1"}, {"ofl"}, {"cc-by"}, {"cc-by-sa"}, {"cc-by-nc"}, {"cc-by-nc-nd"}, set()]
+
+
+def examples(parsed):
+    """Texts that a parsed pattern matches: every branch, and every repeat as short and as long (at most once more)."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            here = [chr(arg)]
+        elif op == "IN":
+            here = [chr(arg[0][1])]
+        elif op == "ANY":
+            here = ["x"]
+        elif op == "SUBPATTERN":
+            here = examples(arg[3])
+        elif op == "BRANCH":
+            here = [x for branch in arg[1] for x in examples(branch)]
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            here = [x * n for n in {arg[0], arg[0] + 1} for x in examples(arg[2])]
+        else:
+            assert op == "ASSERT"
+            here = [" "]
+        out = [a + b for a in out for b in here]
+    return out
+
+
+def test_whatever_a_license_rule_matches_holds_its_keyword():
+    for label, word, pattern, _, _ in licenses.rules():
+        for text in set(examples(re._parser.parse(pattern))):
+            assert re.search(pattern, text) and word in text, (label, word, text)
+
+
 def brute_signatures(text):
     words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
     out = set()
