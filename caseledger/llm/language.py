@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from caseledger.llm.words import batches, mix, remainder, table
 
@@ -174,6 +175,12 @@ def classify(docs: DataFrame, model, text_col: str, output: str = "language") ->
     return docs.withColumn(output, predict(F.col(text_col).cast("string")))
 
 
+@F.pandas_udf(BooleanType())
+def has_letter(texts: pd.Series) -> pd.Series:
+    """Whether a text has a letter, as ``presence`` reads letters."""
+    return pd.Series([any(map(str.isalpha, text or "")) for text in texts], dtype=bool)
+
+
 def learned_from(docs: DataFrame) -> DataFrame:
     """The rows whose language may be learned from."""
     return docs.where(remainder("doc_id", 5) != 0)

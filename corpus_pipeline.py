@@ -17,10 +17,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; texts without a letter go."""
+    """Documents in a learned language; texts without a letter go. Where no language can be learned, only they go."""
     docs = docs.select(*COLUMNS)
     model = language.fit(language.learned_from(docs), "text", "lang")
-    return language.classify(docs, model, "text", "__language").where(F.col("__language.lang_pred") != language.UNKNOWN).select(*COLUMNS)
+    if model is None:
+        return docs.where(language.has_letter("text"))
+    # The score is 0 without a letter and above 0 with one, whatever the languages are called.
+    return language.classify(docs, model, "text", "__language").where(F.col("__language.score") > 0).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

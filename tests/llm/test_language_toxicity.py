@@ -4,7 +4,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from caseledger.llm import language, toxicity
 
 ODD = [(1, None, "en"), (2, "", "fr"), (3, "12 34 !!", "en"), (None, "hello there", "en"), (5, "x" * 300_000, None),
@@ -73,6 +75,17 @@ def test_language_of_copies_is_learned(spark):
     assert only[0] == ["es"] and held(spark, es, only, 1.0)
 
 
+def test_pipeline_stage_keeps_letters_when_no_language_is_learned(spark):
+    texts = ["hello there", "12 34 !!", None, "", "\u4f60\u597d", "5 x", "hello there"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source", "length(text) AS n_chars")
+    none = docs.withColumn("lang", F.lit(None).cast("string"))
+    apart = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 0)
+    # No labels at all; labels on rows that are not learned from only; a language called "und".
+    for rows in (none, docs.where("doc_id = 0").withColumn("doc_id", F.lit(apart).cast("long")).union(none.where("doc_id > 0")), docs.withColumn("lang", F.lit("und"))):
+        got = [r["text"] for r in corpus_pipeline.keep_known_languages(spark, rows, "").collect()]
+        assert sorted(got) == sorted([texts[0], texts[4], texts[5], texts[6]])
+
+
 def test_every_language_is_learned(spark):
     rng = np.random.default_rng(8)
     letters = {f"l{k:02}": "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8, replace=False)) for k in range(12)}
