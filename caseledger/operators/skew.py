@@ -24,22 +24,30 @@ def columns_of(names: str | Sequence[str]) -> list[str]:
 
 
 def hot_keys(df: DataFrame, key: str | Sequence[str], share: float = HOT_SHARE,
-             min_rows: int = HOT_ROWS) -> DataFrame:
+             min_rows: int = HOT_ROWS, sketches: int = 1) -> DataFrame:
     """Hashes of the keys that hold at least ``share`` of the rows.
 
     One scan of the key columns into a heavy-hitter sketch whose size follows from
     ``share`` alone: at most ``1 / share`` keys can reach it, so that many are tracked
     (for a share too small to be tracked this raises). The sketch only decides what to
     split; results of the operators do not depend on it being exact.
+
+    With several ``sketches`` keys are dealt to them by their hash, in the same scan, so
+    that smaller shares can be tracked; ``share`` is of all rows all the same. Each tracks
+    twice the keys that fall to it on average.
     """
-    tracked = math.ceil(1 / share)
+    tracked = math.ceil(1 / share if sketches == 1 else 2 / (share * sketches))
     if not 0 < share <= 1 or tracked > SKETCH_MOST // 4:
         raise ValueError(f"share must lie between {4 / SKETCH_MOST} and 1")
     items = min(SKETCH_MOST, SKETCH_FACTOR * max(tracked, 2048))
     hashed = df.select(F.xxhash64(*columns_of(key)).alias("_hash"))
-    found = hashed.agg(
-        F.count(F.lit(1)).alias("_total"),
-        F.expr(f"approx_top_k(_hash, {tracked}, {items})").alias("_top"))
+    top = F.expr(f"approx_top_k(_hash, {tracked}, {items})").alias("_top")
+    total = F.count(F.lit(1)).alias("_total")
+    if sketches == 1:
+        found = hashed.agg(total, top)
+    else:
+        dealt = hashed.groupBy(F.pmod("_hash", F.lit(sketches)).alias("_sketch")).agg(top)
+        found = dealt.crossJoin(F.broadcast(hashed.agg(total)))
     return (found
             .select("_total", F.inline("_top"))
             .where((F.col("count") >= min_rows) & (F.col("count") >= F.col("_total") * share))

@@ -145,3 +145,21 @@ def test_hot_keys_of_a_small_share_are_complete(spark):
     assert hot_keys(df, "k", share=0.0001, min_rows=1).count() == 5000
     with pytest.raises(ValueError):
         hot_keys(df, "k", share=1e-9)
+
+
+def test_hot_keys_of_any_share_are_complete_with_more_sketches(spark):
+    df = spark.range(600_000).selectExpr("cast(id / 1.5 as long) AS k")  # one or two rows a key
+    found = hot_keys(df, "k", share=1 / 600_000, min_rows=1, sketches=6)
+    want = df.distinct().selectExpr("xxhash64(k) AS _hash")
+    assert found.count() == want.count() == 400_000 and want.join(found, "_hash", "left_anti").isEmpty()
+    # The share is of all rows, not of a sketch's.
+    df = spark.range(1000).selectExpr("CASE WHEN id < 100 THEN -1 ELSE id END AS k")
+    assert [r[0] for r in hot_keys(df, "k", share=0.1, min_rows=1, sketches=5).collect()] == [spark.sql("SELECT xxhash64(-1L)").first()[0]]
+
+
+def test_small_share_query_returns_every_key(spark):
+    from __spark_entry__ import queries
+    sf = "/root/testdata/sf0.1"
+    keys = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey").distinct()
+    got = queries()["F15_hot_key_sketch_small_share"](spark, sf)
+    assert got.count() == keys.count() and keys.join(got, "l_orderkey", "left_anti").isEmpty()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import date, datetime
 
@@ -420,8 +421,9 @@ def status_match(spark, sf):
 def many_hot(spark, sf):
     """A share that every key reaches: none is missing."""
     lines = B.table(spark, sf, "lineitem").select("l_orderkey")
-    share = min(1.0, 1.0 / max(1, lines.count()))
-    found = hot_keys(lines, "l_orderkey", share=max(share, 4e-6), min_rows=1)
+    rows = max(1, lines.count())
+    # So many sketches that each can track every key that falls to it.
+    found = hot_keys(lines, "l_orderkey", share=1.0 / rows, min_rows=1, sketches=math.ceil(rows / 100_000))
     return (lines.dropDuplicates().withColumn("_hash", F.xxhash64("l_orderkey"))
             .join(found, "_hash", "left_semi").select("l_orderkey"))
 
