@@ -142,9 +142,9 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _detections(norm: Column) -> Column:
-    """All detections of the rules whose keyword the text contains, as words [start, stop)."""
-    table_ = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(key).alias("key"),
+def _detections(norm: Column, keys: Column) -> Column:
+    """All detections of the rules whose keyword is among ``keys``, as words [start, stop)."""
+    table_ = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(key.strip()).alias("key"),
                                 F.lit(pattern).alias("pattern"), F.lit(p).alias("priority"), F.lit(w).alias("weight"))
                        for i, (label, key, pattern, p, w) in enumerate(rules())])
 
@@ -162,7 +162,7 @@ def _detections(norm: Column) -> Column:
                 rule["priority"].alias("priority"), rule["rule"].alias("rule"),
                 rule["label"].alias("label"), rule["weight"].alias("weight"))))
 
-    tried = F.filter(table_, lambda r: F.contains(norm, r["key"]) & F.rlike(norm, r["pattern"]))
+    tried = F.filter(table_, lambda r: F.array_contains(keys, r["key"]) & F.rlike(norm, r["pattern"]))
     return F.flatten(F.transform(tried, places))
 
 
@@ -195,16 +195,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     norm = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
                                                  r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "), F.lit(" "))
     norm = F.concat(F.lit(" "), F.trim(norm), F.lit(" "))
-    # The keywords of all rules, those of the fixed phrases among them.
-    gate = F.lit(False)
-    for word in dict.fromkeys(key for _, key, _, _, _ in rules()):
-        gate = gate | F.contains(F.col("norm"), F.lit(word))
     base = F.flatten(F.array(*[_phrase_places(phrase, label) for phrase, label in PHRASES]))
     out = docs.select(F.col(id_col).alias(id_col), norm.alias("norm"))
     out = out.withColumn("norm", F.when(F.col("norm") == "  ", F.lit(" ")).otherwise(F.col("norm")))
-    out = out.withColumn("n_words", (_spaces(F.col("norm")) - 1).cast("long")).withColumn("gate", gate)
-    out = out.withColumn("words", F.when(F.col("gate"), F.split(F.trim("norm"), " ")))
-    found = F.when(F.col("gate"), _detections(F.col("norm")))
+    out = out.withColumn("n_words", (_spaces(F.col("norm")) - 1).cast("long")).withColumn("words", F.split(F.trim("norm"), " "))
+    # The keywords of all rules, those of the fixed phrases among them, that are words of the text.
+    keys = F.array(*[F.lit(key) for key in dict.fromkeys(key.strip() for _, key, _, _, _ in rules())])
+    out = out.withColumn("keys", F.array_intersect(keys, "words")).withColumn("gate", F.size("keys") > 0)
+    found = F.when(F.col("gate"), _detections(F.col("norm"), F.col("keys")))
     out = out.select(id_col, "n_words", F.when(F.col("gate"), base).alias("base"), found.alias("found"))
     kept = F.filter("found", lambda a: ~F.exists("found", lambda b: _wins(a, b)))
     return out.select(id_col, "n_words", F.coalesce("base", F.array().cast("array<struct<start:int,label:string>>")).alias("base"),
