@@ -76,11 +76,11 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+def staged(df: DataFrame, name: str = "stage", compression: str | None = None) -> Iterator[DataFrame]:
     """:func:`materialize` for the length of a block; the folder is removed at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
