@@ -90,6 +90,40 @@ def workdays_between(df: DataFrame, cal: DataFrame, start: str, end: str,
             .drop("_from_seq", "_to_seq"))
 
 
+def with_worked_seconds(df: DataFrame, cal: DataFrame, ts: str, alias: str,
+                        opens: int = 0, closes: int = 24) -> DataFrame:
+    """Add the working seconds from the calendar's start to ``ts``; null outside the calendar.
+
+    The calendar's running number of working days is the prefix sum: a working day counts from
+    the hour ``opens`` to the hour ``closes``, a day off counts nothing. Half-open hours, so by
+    default a working day is all of its 24 hours.
+    """
+    if not 0 <= opens < closes <= 24:
+        raise ValueError("a working day must open before it closes, between 0 and 24")
+    length = (closes - opens) * 3600
+    days = broadcast_within(cal.select(
+        F.col("ngay_date").alias("_day"), F.col("stt_ngay_lam_viec").cast("long").alias("_number"),
+        F.col("co_phai_la_ngay_nghi").alias("_off")))
+    midnight = F.to_date(ts).cast("timestamp")
+    into = F.unix_seconds(ts) - F.unix_seconds(midnight) - F.lit(opens * 3600)
+    today = F.least(F.greatest(into, F.lit(0)), F.lit(length))
+    done = F.when(F.col("_off"), F.col("_number") * length).otherwise((F.col("_number") - 1) * length + today)
+    return df.join(days, F.to_date(ts) == F.col("_day"), "left").withColumn(alias, done).drop("_day", "_number", "_off")
+
+
+def worked_between(df: DataFrame, cal: DataFrame, start: str, end: str, alias: str = "working_seconds",
+                   opens: int = 0, closes: int = 24) -> DataFrame:
+    """Working seconds between two times of a row: two lookups, whatever lies between.
+
+    Null when a side is missing or outside the calendar, or when time runs backwards; a step
+    that begins and ends on days off takes none.
+    """
+    both = with_worked_seconds(df, cal, start, "_from_worked", opens, closes)
+    both = with_worked_seconds(both, cal, end, "_to_worked", opens, closes)
+    return (both.withColumn(alias, F.when(F.col(end) >= F.col(start), F.col("_to_worked") - F.col("_from_worked")))
+            .drop("_from_worked", "_to_worked"))
+
+
 def workday_number(cal: DataFrame, day: date) -> int:
     """Working-day number of one day, a literal for all rows of a snapshot.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,8 @@ def versions_at(dim: DataFrame, instant: Column) -> DataFrame:
 
 def join_scd2_as_of(df: DataFrame, dim: DataFrame, dim_key: str, fact_key: str, as_of: Column,
                     sk: str, attributes: Sequence[tuple[str, str]] = (),
-                    strategy: str = "auto", max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                    strategy: str = "auto", max_broadcast_bytes: int = BROADCAST_BYTES,
+                    disjoint: bool = False) -> DataFrame:
     """Left join to the version in force at ``as_of`` of each row: exactly one row per row.
 
     Where ranges of a key overlap, the version that started last among those in force
@@ -45,6 +47,9 @@ def join_scd2_as_of(df: DataFrame, dim: DataFrame, dim_key: str, fact_key: str,
     rows are ordered together per key and the last start is carried forward, so a key with
     many versions and many facts costs a sort and not their product, and hot keys are
     split. Both ways read the same disjoint ranges, so they give the same answer.
+
+    ``disjoint`` says that the ranges of a key do not overlap, as in every dimension that
+    ``plans.dims`` publishes; the repair of overlaps is then left out of the plan.
     """
     versions = dim.select(
         F.col(dim_key).alias("_v_key"), F.col("effective_from_ts").alias("_v_from"),
@@ -58,7 +63,7 @@ def join_scd2_as_of(df: DataFrame, dim: DataFrame, dim_key: str, fact_key: str,
         conf = df.sparkSession._jsparkSession.sessionState().conf()
         small = hinted is not versions
         strategy = "hash" if small or estimate <= conf.autoBroadcastJoinThreshold() else "sweep"
-    versions = disjoint_ranges(versions, sk)
+    versions = _usable(versions) if disjoint else disjoint_ranges(versions, sk)
     if strategy == "hash":
         held = df.withColumn("_as_of", as_of)
         condition = ((F.col(fact_key) == F.col("_v_key")) & (F.col("_as_of") >= F.col("_v_from"))
@@ -68,15 +73,21 @@ def join_scd2_as_of(df: DataFrame, dim: DataFrame, dim_key: str, fact_key: str,
     return _sweep_as_of(df, versions, fact_key, as_of, added)
 
 
+def _usable(versions: DataFrame) -> DataFrame:
+    """Versions that some instant can fall into."""
+    return versions.where(F.col("_v_key").isNotNull() & F.col("_v_from").isNotNull()
+                          & (F.col("_v_to").isNull() | (F.col("_v_from") < F.col("_v_to"))))
+
+
 def disjoint_ranges(versions: DataFrame, sk: str) -> DataFrame:
     """Versions (_v_key, _v_from, _v_to, ...) whose ranges do not overlap within a key.
 
-    Keys without overlaps pass through. The others are cut at every start and end, and each
-    cut goes to the version in force that started last, of equal starts to the greater
-    ``sk``; so the work beyond one ordering is that of the overlapping keys alone.
+    Keys without overlaps pass through. In the others every instant goes to the version in
+    force that started last, of equal starts to the greater ``sk``. One sweep over a key's
+    starts and ends finds the parts of each version, so the cost is that of sorting them,
+    however many overlap; only row numbers and times enter the sweep.
     """
-    usable = versions.where(F.col("_v_key").isNotNull() & F.col("_v_from").isNotNull()
-                            & (F.col("_v_to").isNull() | (F.col("_v_from") < F.col("_v_to"))))
+    usable = _usable(versions)
     by_key = Window.partitionBy("_v_key")
     before = by_key.orderBy("_v_from").rowsBetween(Window.unboundedPreceding, -1)
     far = F.struct(F.col("_v_to").isNull().alias("open"), F.col("_v_to").alias("at"))
@@ -84,16 +95,54 @@ def disjoint_ranges(versions: DataFrame, sk: str) -> DataFrame:
     seen = seen.withColumn("_clash", F.max(F.coalesce(
         F.col("_far.open") | (F.col("_v_from") < F.col("_far.at")), F.lit(False))).over(by_key))
     clean = seen.where(~F.col("_clash")).select(*versions.columns)
-    messy = seen.where("_clash").select(*versions.columns)
-    cuts = (messy.select(F.col("_v_key").alias("_c_key"), F.explode(F.array("_v_from", "_v_to")).alias("_cut"))
-            .where("_cut IS NOT NULL").distinct()
-            .withColumn("_next", F.lead("_cut").over(Window.partitionBy("_c_key").orderBy("_cut"))))
-    inside = ((F.col("_v_key") == F.col("_c_key")) & (F.col("_v_from") <= F.col("_cut"))
-              & (F.col("_v_to").isNull() | (F.col("_cut") < F.col("_v_to"))))
-    newest = Window.partitionBy("_c_key", "_cut").orderBy(F.desc("_v_from"), F.desc(sk), F.desc_nulls_first("_v_to"))
-    parts = (cuts.join(messy, inside).withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
-             .withColumn("_v_from", F.col("_cut")).withColumn("_v_to", F.col("_next")))
-    return clean.unionByName(parts.select(*versions.columns))
+    # The rank by start, and among equal starts by sk: of two versions in force the higher one counts.
+    rank = F.row_number().over(by_key.orderBy("_v_from", sk, F.asc_nulls_last("_v_to")))
+    messy = seen.where("_clash").select(*versions.columns).withColumn("_rank", rank)
+    times = F.struct(F.unix_micros("_v_from").alias("since"), F.unix_micros("_v_to").alias("until"))
+    swept = messy.groupBy(F.col("_v_key").alias("_p_key")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_rank", times.alias("t")))), lambda x: x["t"]).alias("spans"))
+    parts = swept.select("_p_key", F.explode(_winning_parts("spans")).alias("_part"))
+    cut = messy.join(parts, (F.col("_v_key") == F.col("_p_key")) & (F.col("_rank") == F.col("_part.rank")))
+    cut = cut.withColumns({"_v_from": F.timestamp_micros("_part.since"), "_v_to": F.timestamp_micros("_part.until")})
+    return clean.unionByName(cut.select(*versions.columns))
+
+
+def _winning_parts(spans: str) -> Column:
+    """For spans in the order of their start: (rank, since, until) of the parts in which each is the last started."""
+    import heapq
+
+    def of(rows) -> list[tuple[int, int, int | None]]:
+        ends = [None if r["until"] is None else int(r["until"]) for r in rows]
+        starts = [int(r["since"]) for r in rows]
+        out, alive, at = [], [], None
+
+        def run_to(limit: int | None) -> None:
+            """Give the time up to ``limit`` to the last started of those still in force."""
+            nonlocal at
+            while alive and (limit is None or at < limit):
+                best = -alive[0]
+                if ends[best] is not None and ends[best] <= at:
+                    heapq.heappop(alive)  # over; an earlier one may still be in force
+                    continue
+                stop = limit if ends[best] is None else ends[best] if limit is None else min(limit, ends[best])
+                if out and out[-1][0] == best + 1 and out[-1][2] == at:
+                    out[-1] = (best + 1, out[-1][1], stop)
+                else:
+                    out.append((best + 1, at, stop))
+                at = stop
+                if stop is None:
+                    return
+        for n, start in enumerate(starts):
+            run_to(start)
+            at = start
+            heapq.heappush(alive, -n)
+        run_to(None)
+        return out
+
+    @F.pandas_udf("array<struct<rank:int,since:long,until:long>>")
+    def sweep(column: pd.Series) -> pd.Series:
+        return pd.Series([of(rows) for rows in column])
+    return sweep(F.col(spans))
 
 
 def _sweep_as_of(df: DataFrame, versions: DataFrame, fact_key: str, as_of: Column,

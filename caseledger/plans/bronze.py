@@ -82,9 +82,9 @@ def ingest_cdc(records: dict[str, DataFrame], checkpoints: str,
                table_name: Callable[[str], str] = lambda name: f"{name}_cdc",
                trigger: str | None = "5 seconds",
                ops: Sequence[str] = ("c", "u")) -> dict[str, StreamingQuery]:
-    """One stream per captured table, each with its own checkpoint."""
+    """One stream per captured table, each with its own checkpoint; batches are appended once."""
     return {
-        name: stream_append(parse_cdc(topic, CDC_ROWS[name], ops), table_name(name),
+        name: stream_append(parse_cdc(topic, CDC_ROWS[name], ops, keep_position=True), table_name(name),
                             f"{checkpoints}/{name}", trigger, name=f"cdc_{name}")
         for name, topic in records.items()
     }

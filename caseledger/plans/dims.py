@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caseledger.functions.columns import UNKNOWN_MEMBER, business_today
 from caseledger.operators.calendar import CALENDAR_START, DAYS_AHEAD, extend_calendar
-from caseledger.operators.joins import lookup
+from caseledger.operators.joins import disjoint_ranges, lookup
 from caseledger.operators.keys import with_unknown_member
 from caseledger.operators.ranking import latest
 from caseledger.operators.scd2 import current_attributes, scd2_apply
@@ -86,12 +86,28 @@ def service_snapshot(service: DataFrame) -> DataFrame:
                           "source_snapshot_at", "source_snapshot_id")
 
 
+def publish(dim: DataFrame, spec: Versioned, table: str) -> None:
+    """Publish a dimension whose versions do not overlap within a key.
+
+    :func:`scd2_apply` gives such ranges unless snapshots came out of order; whatever overlaps
+    is repaired here, once, so that no lookup has to look for it.
+    """
+    named = dim.select("*", F.col(spec.key).alias("_v_key"), F.col("effective_from_ts").alias("_v_from"),
+                       F.col("effective_to_ts").alias("_v_to"))
+    repaired = disjoint_ranges(named, spec.sk)
+    # A version closes where its part of the time ends.
+    kept = repaired.withColumns({"effective_from_ts": F.col("_v_from"), "effective_to_ts": F.col("_v_to"),
+                                 "is_current": F.col("is_current") & F.col("_v_to").isNull()}).select(*dim.columns)
+    # Versions that were never in force stay as history; no lookup reads them.
+    empty = F.col(spec.key).isNull() | F.col("effective_from_ts").isNull() | (F.col("effective_from_ts") >= F.col("effective_to_ts"))
+    replace_all(kept.unionByName(dim.where(F.coalesce(empty, F.lit(False)))), table)
+
+
 def build_dimension(spark: SparkSession, spec: Versioned, snapshot: DataFrame,
                     name=lambda table: table, serving_url: str | None = None, **jdbc) -> DataFrame:
     """Apply a snapshot, publish the new version, refresh the serving copy."""
     table = name(spec.table)
-    replace_all(scd2_apply(read_optional(spark, table), snapshot, spec.key, spec.tracked,
-                           spec.sk), table)
+    publish(scd2_apply(read_optional(spark, table), snapshot, spec.key, spec.tracked, spec.sk), spec, table)
     stored = spark.table(table)
     if serving_url:
         mirror_jdbc(current_attributes(stored, [spec.key, *spec.tracked]), serving_url,

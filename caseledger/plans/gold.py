@@ -1,4 +1,8 @@
-"""Facts: daily backlog snapshot, agency day, transition archive."""
+"""Facts: daily backlog snapshot, agency day, transition archive.
+
+Dimensions are those that ``plans.dims`` publishes: their ranges are disjoint within a key, so
+the version lookups here carry no repair of overlaps.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from caseledger.functions.columns import (STATUS_COMPLETED, STATUS_RECEIVED, STA
                                           created_and_alive, day_end, day_key, in_days, is_open,
                                           is_success, non_negative, on_day, or_unknown,
                                           resolve_snapshot_date)
-from caseledger.operators.calendar import with_workday, workday_number, workdays_between
+from caseledger.operators.calendar import with_workday, workday_number, workdays_between, worked_between
 from caseledger.operators.joins import assemble_dense, join_scd2_as_of, lookup, versions_at
 from caseledger.operators.ranking import latest_as_of, previous_value
 from caseledger.operators.skew import broadcast_within
@@ -41,9 +45,9 @@ def _with_keys(rows: DataFrame, dims: dict[str, DataFrame], day: date | None) ->
             rows = lookup(rows, dim, spec.key, {spec.sk: spec.sk})
         else:
             rows = join_scd2_as_of(rows, dim, spec.key, spec.key,
-                                   as_of_instant(F.col("snapshot_day")), spec.sk)
+                                   as_of_instant(F.col("snapshot_day")), spec.sk, disjoint=True)
     return join_scd2_as_of(rows, dims[SERVICE.table], SERVICE.key, SERVICE.key,
-                           F.col("created_at"), SERVICE.sk)
+                           F.col("created_at"), SERVICE.sk, disjoint=True)
 
 
 def _backlog_fact(rows: DataFrame, dims: dict[str, DataFrame], cal: DataFrame,
@@ -214,7 +218,7 @@ def activity_by_agency(activity: DataFrame, app: DataFrame, service: DataFrame,
     joined = (cases.join(broadcast_within(activity), "ho_so_id", "inner")
               .where(F.to_date("created_at") <= F.col("snapshot_day")))
     joined = join_scd2_as_of(joined, service, SERVICE.key, SERVICE.key, F.col("created_at"),
-                             SERVICE.sk, [("thoi_han_tra_kq", "_sla")])
+                             SERVICE.sk, [("thoi_han_tra_kq", "_sla")], disjoint=True)
     timed = workdays_between(joined, cal, "created_at", "snapshot_day", "_days")
     late = F.coalesce(F.col("_days") > F.col("_sla"), F.lit(False))
 
@@ -260,7 +264,8 @@ def agency_days(app: DataFrame, history: DataFrame, payment: DataFrame, snapshot
         "id", F.xxhash64("thoi_gian_id", "co_quan_id"))
     keyed = join_scd2_as_of(
         dense, dims[AGENCY.table], AGENCY.key, AGENCY.key,
-        as_of_instant(F.to_date(F.col("thoi_gian_id").cast("string"), "yyyyMMdd")), AGENCY.sk)
+        as_of_instant(F.to_date(F.col("thoi_gian_id").cast("string"), "yyyyMMdd")), AGENCY.sk,
+        disjoint=True)
     fact = conform(keyed, FACT_AGENCY_DAY)
     if with_missing_sla:
         return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
@@ -278,9 +283,12 @@ def agency_day(app: DataFrame, history: DataFrame, payment: DataFrame, snapshot:
 # --- transition archive -------------------------------------------------------------
 
 def transitions(history: DataFrame, app: DataFrame, cal: DataFrame,
-                min_rows: int | None = None) -> DataFrame:
+                min_rows: int | None = None, working_time: bool = False) -> DataFrame:
     """One row per status event: hours since the event before it (or since creation), and
-    for completions the working days of the whole case."""
+    for completions the working days of the whole case.
+
+    With ``working_time`` the hours leave out the days off of the calendar (null outside it).
+    """
     options = {} if min_rows is None else {"min_rows": min_rows}
     ordered = previous_value(
         history.select("history_id", "ho_so_id", "trang_thai_id", "can_bo_id", "action_time")
@@ -291,6 +299,9 @@ def transitions(history: DataFrame, app: DataFrame, cal: DataFrame,
                               "created_at", "action_time", "_days")
     since = F.coalesce("_previous", "created_at")
     hours = (F.unix_micros("action_time") - F.unix_micros(since)) / F.lit(3_600_000_000.0)
+    if working_time:
+        joined = worked_between(joined.withColumn("_since", since), cal, "_since", "action_time", "_worked")
+        hours = F.col("_worked") / F.lit(3600.0)
     return conform(joined.select(
         "*", F.col("history_id").alias("id"),
         F.when(F.col("action_time") >= since, hours).alias("thoi_gian_xu_ly"),

@@ -49,6 +49,44 @@ def kpi_agency(fact: DataFrame, by: str | Sequence[str] = "co_quan_id",
         *[known[name].alias(name) for name in (measures or known)])
 
 
+# Of the agency fact: what adds up over days, and what is a level at the end of a day.
+FLOWS = ("so_luong_tiep_nhan", "tong_chi_phi", "so_luong_tre_han", "so_luong_rework")
+STOCKS = ("so_luong_ton_dong",)
+
+
+def period_totals(fact: DataFrame, cal: DataFrame, period: Sequence[str] = ("nam", "thang"),
+                  by: str | Sequence[str] = (), flows: Sequence[str] = FLOWS,
+                  stocks: Sequence[str] = STOCKS) -> DataFrame:
+    """Flows summed over each period of the calendar, stocks as they were on its last day.
+
+    The last day of a period is the last one for which the fact has rows, of whatever slice;
+    a slice without a row on that day holds nothing then. ``by`` are any columns of the fact:
+    over them stocks add up, over days they do not. The fact is combined per day and slice
+    first, so the calendar and the last days (a row per day at most) meet few rows.
+    """
+    keys, slices = list(period), columns_of(by)
+    daily = fact.groupBy("thoi_gian_id", *slices).agg(*[F.sum(c).alias(c) for c in (*flows, *stocks)])
+    daily = lookup(daily, cal, "thoi_gian_id", {p: p for p in keys}, "inner")
+    days = lookup(fact.select("thoi_gian_id").distinct(), cal, "thoi_gian_id", {p: p for p in keys}, "inner")
+    closing = days.groupBy(*keys).agg(F.max("thoi_gian_id").alias("_closing"))
+    joined = daily.join(F.broadcast(closing), keys)  # no more rows than the calendar has periods
+    on_last = F.col("thoi_gian_id") == F.col("_closing")
+    return joined.groupBy(*keys, *slices).agg(
+        *[F.sum(c).alias(c) for c in flows],
+        *[F.sum(F.when(on_last, F.col(c)).otherwise(0)).alias(c) for c in stocks])
+
+
+def kpi_periods(fact: DataFrame, cal: DataFrame, period: Sequence[str] = ("nam", "thang"),
+                by: str | Sequence[str] = ()) -> DataFrame:
+    """Agency indicators per period, with the backlog as it stood at the period's end."""
+    totals = period_totals(fact, cal, period, by)
+    got, stock = F.col("so_luong_tiep_nhan"), F.col("so_luong_ton_dong")
+    return totals.select(
+        *period, *columns_of(by), got.alias("tong_tiep_nhan"), F.col("tong_chi_phi").alias("tong_doanh_thu_vnd"),
+        stock.alias("tong_ton_dong"), percent(F.col("so_luong_tre_han"), got + stock).alias("ty_le_tre_han_pct"),
+        percent(F.col("so_luong_rework"), got).alias("ty_le_rework_pct"), (got + stock).alias("tai_cong_viec"))
+
+
 def backlog_by_status(backlog: DataFrame, agency: int | None = None) -> DataFrame:
     kept = backlog if agency is None else backlog.where(F.col("co_quan_id") == agency)
     return kept.groupBy("trang_thai_id").agg(F.sum("so_luong").alias("so_luong_ton_dong"))

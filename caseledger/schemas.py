@@ -48,7 +48,7 @@ CDC_ROWS = {
 
 HISTORY_ITEM = _schema("id string, Statusid string, Statusid2 string, Officerid string, "
                        "action_time string, note string")
-DOCUMENT_ITEM = _schema("id string, name string, file_url string, Document_Typeid string")
+DOCUMENT_ITEM = _schema("id string, name string, file_url string, Document_Typeid string, @action string")
 PAYMENT_ITEM = _schema("amount string, method string, status string, "
                        "transaction_code string, paid_at string")
 

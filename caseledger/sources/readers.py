@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +26,21 @@ def quoted(table: str) -> str:
 
 
 def scan_jdbc(spark: SparkSession, url: str, table: str, driver: str | None = None,
-              partition: tuple[str, int, int, int] | None = None,
+              partition: tuple[str, int, int, int] | tuple[str, int] | None = None,
               fetch_size: int = 10_000, **options: str) -> DataFrame:
     """One table, mixed-case name quoted.
 
-    ``partition`` = (column, lower, upper, parts) reads in parallel ranges; without it
-    the table comes through one connection, which only suits small masters.
+    ``partition`` = (column, lower, upper, parts) reads in parallel ranges, and (column, parts)
+    asks the source for the bounds; without it the table comes through one connection, which
+    only suits small masters.
     """
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", quoted(table))
               .option("fetchsize", fetch_size).options(**options))
     if driver:
         reader = reader.option("driver", driver)
+    if partition and len(partition) == 2:
+        bounds = jdbc_bounds(spark, url, table, partition[0], driver, **options)
+        partition = bounds and (partition[0], *bounds, partition[1])
     if partition:
         column, lower, upper, parts = partition
         reader = (reader.option("partitionColumn", quoted(column)).option("lowerBound", lower)
@@ -43,6 +48,17 @@ def scan_jdbc(spark: SparkSession, url: str, table: str, driver: str | None = No
     return reader.load()
 
 
+def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str, driver: str | None = None,
+                **options: str) -> tuple[int, int] | None:
+    """Least and greatest value of a numeric column, computed by the source; ``None`` if it has none."""
+    name = quoted(column)
+    reader = spark.read.format("jdbc").option("url", url).options(**options).option(
+        "query", f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {quoted(table)}")
+    row = (reader.option("driver", driver) if driver else reader).load().first()
+    # Ranges need a lower bound below the upper one; the last range is open anyway.
+    return None if row is None or row[0] is None else (int(row[0]), max(int(row[1]), int(row[0]) + 1))
+
+
 def jdbc_snapshot(spark: SparkSession, url: str, tables: Sequence[str], snapshot_id: str,
                   partitions: dict[str, tuple[str, int, int, int]] | None = None,
                   **options) -> dict[str, DataFrame]:
@@ -121,3 +137,29 @@ def scan_days(spark: SparkSession, table: str, first: int, last: int,
               key: str = "thoi_gian_id") -> DataFrame:
     """A day-partitioned fact between two keys; the range prunes partitions."""
     return spark.table(table).where(F.col(key).between(first, last))
+
+
+def newest_partition(spark: SparkSession, table: str, column: str) -> str | None:
+    """The greatest value of a partition column, from the catalog alone."""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # names, not data
+        values = dict(part.split("=", 1) for part in row[0].split("/"))
+        if values.get(column) not in (None, "__HIVE_DEFAULT_PARTITION__"):
+            found.append(unquote(values[column]))
+    return max(found, default=None)
+
+
+def scan_latest_snapshot(spark: SparkSession, table: str, ts: str = "ingested_at",
+                         day: str = "ingest_date") -> DataFrame:
+    """All rows of the newest snapshot of a table laid out by the day of ``ts``.
+
+    The newest day comes from the partition names and the newest instant from that day's one
+    column; both are then literals, so the scan reads one partition and its matching row groups.
+    """
+    newest = newest_partition(spark, table, day)
+    rows = spark.table(table)
+    if newest is None:  # no day at all, or rows without a time only
+        return rows.where(F.col(day).isNull())
+    rows = rows.where(F.col(day) == F.lit(newest).cast(rows.schema[day].dataType))
+    at = rows.agg(F.unix_micros(F.max(ts))).first()[0]
+    return rows.where(F.col(ts) == F.timestamp_micros(F.lit(at)))

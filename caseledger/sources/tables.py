@@ -111,12 +111,17 @@ def write_quarantine(df: DataFrame, path: str) -> None:
 
 
 def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
-                    day: tuple[str, str] | None = None, location: str | None = None) -> None:
+                    day: tuple[str, str] | None = None, location: str | None = None,
+                    bucket_by: str | Sequence[str] = (), buckets: int = BUCKETS) -> None:
     """Append the rows whose key the table does not have, one row per key.
 
     ``day`` = (timestamp column, partition column) lays an event log out by day. The log
     is asked which keys of the batch it has: a batch within the broadcast bound goes to
     the log, whose key column is then scanned in place, and only the answer comes back.
+
+    ``bucket_by`` lays it out by a hash bucket of columns that rows of one key agree on (the
+    keys themselves, or the entity the events belong to): a batch then asks the buckets it
+    touches and no others. A table created without buckets stays without.
     """
     spark = df.sparkSession
     names = columns_of(keys)
@@ -124,8 +129,13 @@ def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
     if day:
         once = with_day(once, *day)
     created = not spark.catalog.tableExists(table)
-    create_or_evolve(once, table, [day[1]] if day else [], location)
+    bucketed = bool(columns_of(bucket_by)) and (created or BUCKET in partition_columns(spark, table))
+    if bucketed:
+        once = _placed(once, table, columns_of(bucket_by), buckets)
+    create_or_evolve(once, table, [*([BUCKET] if bucketed else []), *([day[1]] if day else [])], location)
     if created:
+        if bucketed:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('buckets' = '{buckets}')")
         insert_rows(once, table)
         return
     # The batch is used several times: written once, so every use sees the same rows.
@@ -133,10 +143,40 @@ def append_new_only(df: DataFrame, table: str, keys: str | Sequence[str],
         asked = broadcast_within(batch.select(*[F.col(k).alias(f"_b_{k}") for k in names]))
         match = reduce(lambda a, b: a & b,
                        [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in names])
-        known = fresh(spark, table).select(*names).join(asked, match, "left_semi")
+        log = fresh(spark, table)
+        if bucketed:
+            log = log.where(F.col(BUCKET).isin(_touched(batch)))
+        known = log.select(*names).join(asked, match, "left_semi")
         insert_rows(anti_join(batch, known, names), table)
 
 
+def _placed(df: DataFrame, table: str, names: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with its rows' buckets: keys hash by the table's types, whatever types they come with."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        buckets = int(_property(spark, table, "buckets", buckets))
+        kinds = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
+        df = df.withColumns({k: F.col(k).cast(kinds[k.lower()]) for k in names})
+    return df.withColumn(BUCKET, key_bucket(names, buckets))
+
+
+def _touched(batch: DataFrame) -> list[int]:
+    return [row[0] for row in batch.select(BUCKET).distinct().collect()]  # at most one per bucket
+
+
+def in_buckets(keys: DataFrame, table: str, names: str | Sequence[str]) -> DataFrame:
+    """The rows of a bucketed table in those buckets that the ``keys`` fall into, read by partition.
+
+    A table without buckets is returned whole.
+    """
+    spark = keys.sparkSession
+    stored = fresh(spark, table)
+    if BUCKET not in partition_columns(spark, table):
+        return stored
+    touched = _touched(_placed(keys.select(*columns_of(names)), table, columns_of(names), BUCKETS))
+    return stored.where(F.col(BUCKET).isin(touched))
+
+
 def key_bucket(keys: str | Sequence[str], buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*columns_of(keys)), F.lit(buckets)).cast("int")
 
@@ -168,20 +208,14 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
          .whenMatched(newer).updateAll().whenNotMatched().insertAll().merge())
         return
     created = not spark.catalog.tableExists(table)
-    if not created:
-        buckets = int(_property(spark, table, "buckets", buckets))
-        # Keys hash by the table's types, whatever types the batch comes with.
-        kinds = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
-        source = source.withColumns({k: F.col(k).cast(kinds[k.lower()]) for k in names})
-    placed = source.withColumn(BUCKET, key_bucket(names, buckets))
+    placed = _placed(source, table, names, buckets)
     create_or_evolve(placed, table, BUCKET, location)
     if created:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('buckets' = '{buckets}')")
         insert_rows(placed, table)
         return
     with staged(placed, "upsert") as batch:
-        touched = [row[0] for row in batch.select(BUCKET).distinct().collect()]  # <= buckets
-        stored = _aligned(fresh(spark, table).where(F.col(BUCKET).isin(touched)), table)
+        stored = _aligned(fresh(spark, table).where(F.col(BUCKET).isin(_touched(batch))), table)
         if order:
             # A replayed batch must not undo what came after it: the newer row stays.
             both = stored.withColumn("_new", F.lit(0)).unionByName(_aligned(batch, table).withColumn("_new", F.lit(1)))
@@ -355,6 +389,54 @@ def mirror_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
         return False
 
 
+def mirror_jdbc_staged(df: DataFrame, url: str, table: str, driver: str | None = None,
+                       batch_size: int = 1000, writers: int = 4, on_error=None,
+                       **options: str) -> bool:
+    """Copy a dimension to a serving database so that readers see the old rows or the new ones.
+
+    Parallel writers fill a staging table; the served table is then replaced from it inside the
+    database, in one transaction. A load that fails, while it fills or while it replaces,
+    leaves the served rows as they were and is reported instead of raised. ``table`` is a name
+    as the database spells it; quotes around it are kept.
+    """
+    spark = df.sparkSession
+    stage = f'{table[:-1]}_stage"' if table.endswith('"') else f"{table}_stage"
+
+    def sink(frame: DataFrame, name: str):
+        writer = frame.write.format("jdbc").option("url", url).option("dbtable", name).option(
+            "batchsize", batch_size).options(**options)
+        return writer.option("driver", driver) if driver else writer
+    try:
+        sink(df.repartition(writers), stage).mode("overwrite").save()
+        sink(df.limit(0), table).mode("append").save()  # creates the served table if there is none
+        names = ", ".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+        _in_transaction(spark, url, options, [f"DELETE FROM {table}", f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage}"])
+        _in_transaction(spark, url, options, [f"DROP TABLE {stage}"])
+        return True
+    except Exception as error:
+        (on_error or print)(f"mirror of {table} skipped: {error}")
+        return False
+
+
+def _in_transaction(spark: SparkSession, url: str, options: dict[str, str], statements: Sequence[str]) -> None:
+    """Run statements on one connection; all of them count or none."""
+    properties = spark._jvm.java.util.Properties()
+    for key, value in options.items():
+        properties.setProperty(key, str(value))
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        connection.setAutoCommit(False)
+        call = connection.createStatement()
+        for statement in statements:
+            call.executeUpdate(statement)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
 # --- retention ---------------------------------------------------------------------
 
 def expired_snapshots(df: DataFrame, retain_days: int = 7, retain_last: int = 10,

@@ -46,18 +46,24 @@ def _payloads(records: DataFrame, envelope: StructType, ops: Sequence[str],
     return records.select(*keep, F.inline(wanted))
 
 
+POSITION = ("kafka_partition", "kafka_offset")
+
+
 def parse_cdc(records: DataFrame, row: StructType, ops: Sequence[str] = ("c", "u"),
-              ingested_at: Column | None = None) -> DataFrame:
+              ingested_at: Column | None = None, keep_position: bool = False) -> DataFrame:
     """Flat rows of the wanted operations: row image, ``op``, ``ingested_at``.
 
     The row is the after image; a delete (``d``), if asked for, has only the before image.
+    With ``keep_position`` the place in the topic stays too, which orders rows that one
+    micro-batch ingested at the same instant.
     """
     deletes = "d" in ops
-    opened = _payloads(records, _flat_envelope(row, deletes), ops)
+    kept = POSITION if keep_position else ()
+    opened = _payloads(records, _flat_envelope(row, deletes), ops, *kept)
     if deletes:
         opened = opened.withColumn("after", F.when(F.col("op") == "d", F.col("before"))
                                    .otherwise(F.col("after")))
-    return times_from_micros(opened.select("after.*", "op")).withColumn(
+    return times_from_micros(opened.select("after.*", "op", *kept)).withColumn(
         "ingested_at", F.current_timestamp() if ingested_at is None else ingested_at)
 
 

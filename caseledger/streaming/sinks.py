@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from caseledger.sources.tables import append_new_only, append_partitioned, upsert_current_state
+from caseledger.sources.ledger import append_once, stream_identity
+from caseledger.sources.tables import append_new_only, upsert_current_state, with_day
 
 
 def _start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
@@ -24,9 +25,16 @@ def _start(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: s
 def stream_append(df: DataFrame, table: str, checkpoint: str, trigger: str | None = "5 seconds",
                   ts: str = "ingested_at", day: str = "ingest_date",
                   name: str | None = None) -> StreamingQuery:
-    """Append every micro-batch to a day-partitioned table (at least once)."""
-    return _start(df, lambda batch, _: append_partitioned(batch, table, ts, day),
-                  checkpoint, trigger, name)
+    """Append every micro-batch to a day-partitioned table, each exactly once.
+
+    A batch that Spark runs again, because the query stopped between the write and its own
+    commit, finds its entry in the table's ledger and adds nothing.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        # The batch's own session: the checkpoint is written before the first batch runs.
+        stream = stream_identity(batch.sparkSession, checkpoint)
+        append_once(with_day(batch, ts, day), table, stream, number, day)
+    return _start(df, write, checkpoint, trigger, name)
 
 
 def stream_files(df: DataFrame, path: str, checkpoint: str, trigger: str | None = "5 seconds",
@@ -60,12 +68,3 @@ def stream_new_only(df: DataFrame, table: str, keys: Sequence[str], checkpoint:
     """Append events whose key the table lacks; replay-safe for immutable events."""
     return _start(df, lambda batch, _: append_new_only(batch, table, keys, day),
                   checkpoint, trigger, name)
-
-
-def start_all(starts: dict[str, Callable[[], StreamingQuery]]) -> dict[str, StreamingQuery]:
-    """Start one query per table; each has its own checkpoint and restarts alone."""
-    return {name: start() for name, start in starts.items()}
-
-
-def await_any(spark) -> None:
-    spark.streams.awaitAnyTermination()

@@ -76,10 +76,36 @@ def unmatched_changes(application: DataFrame, history: DataFrame,
     return history.join(matched, "id", "left_anti")
 
 
+def unmatched_stream(application: DataFrame, history: DataFrame,
+                     bound_seconds: int = BOUND_SECONDS, watermark: str = WATERMARK) -> DataFrame:
+    """The history inserts for which the stream found no application change, as a side stream.
+
+    A left outer join of the two streams: a history row leaves the state when both watermarks
+    say that no partner within the bound can come any more, and is then emitted without one.
+    Every history insert therefore ends either in the fact or here; rows behind the watermark
+    when they arrive end in neither. The keys are equality keys of the state, without time
+    buckets, because a row must be known as unmatched in all of its time range at once.
+    """
+    span = F.expr(f"INTERVAL {bound_seconds} SECONDS")
+    condition = ((F.col("app_event_time") >= F.col("history_event_time") - span)
+                 & (F.col("app_event_time") <= F.col("history_event_time") + span) & _same_origin())
+    for app_key, history_key in _KEYS:
+        condition &= F.col(app_key) == F.col(history_key)
+    changes = application.select("ho_so_id", "app_before_status_id", "app_after_status_id", "app_event_time")
+    joined = history.withWatermark("history_event_time", watermark).join(
+        changes.withWatermark("app_event_time", watermark), condition, "left_outer")
+    return joined.where(F.col("ho_so_id").isNull()).select(*history.columns)
+
+
 def cdc_lag_report(fact: DataFrame, window: str = "1 minute",
                    ts: str = "kafka_event_time", lag: str = "kafka_to_fact_latency_ms",
                    watermark: str | None = None) -> DataFrame:
-    """Events, events per second and latency per tumbling window."""
+    """Events, events per second and latency per tumbling window.
+
+    Of a stream, with a ``watermark``, a window is emitted once, when the watermark has passed
+    its end; rows that arrive after that are dropped. The open windows are the state, so a
+    restarted report continues where it was.
+    """
     seconds = F.unix_seconds("window.end") - F.unix_seconds("window.start")
     timed = fact.withWatermark(ts, watermark) if watermark else fact
     return (timed.groupBy(F.window(ts, window))

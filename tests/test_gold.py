@@ -163,6 +163,21 @@ def test_kpis(spark, cal):
     assert per[2]["ty_le_tre_han_pct"] is None and per[1]["tai_cong_viec"] == 20
 
 
+def test_stocks_are_those_of_the_last_day_of_a_period(spark, cal):
+    fact = spark.createDataFrame(
+        [(1, 20240130, 4, 1, 1, 6, 100), (2, 20240130, 1, 0, 0, 9, 10), (1, 20240131, 6, 1, 0, 4, 50), (1, 20240201, 2, 0, 0, 5, 0),
+         (2, 20240201, 1, 0, 0, 3, 7)],
+        "co_quan_id int, thoi_gian_id int, so_luong_tiep_nhan int, so_luong_tre_han int, so_luong_rework int, so_luong_ton_dong int, tong_chi_phi long")
+    month = kpi.kpi_periods(fact, cal)
+    assert rows(month, "nam", "thang", "tong_tiep_nhan", "tong_ton_dong", "tai_cong_viec") == [(2024, 1, 11, 4, 15), (2024, 2, 3, 8, 11)]
+    # An agency without a row on the month's last day has nothing open then.
+    per = kpi.kpi_periods(fact, cal, by="co_quan_id")
+    assert rows(per, "thang", "co_quan_id", "tong_tiep_nhan", "tong_ton_dong") == [(1, 1, 10, 4), (1, 2, 1, 0), (2, 1, 2, 5), (2, 2, 1, 3)]
+    assert rows(kpi.kpi_periods(fact, cal, ("nam", "quy")), "quy", "tong_doanh_thu_vnd", "tong_ton_dong") == [(1, 167, 8)]
+    assert month.where("thang = 1").first()["ty_le_tre_han_pct"] == pytest.approx(100 * 2 / 15)
+    assert kpi.kpi_periods(fact.where("false"), cal).count() == 0
+
+
 def test_gate(spark):
     with pytest.raises(ValueError):
         quality.not_empty(spark.range(0))

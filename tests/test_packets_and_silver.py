@@ -211,3 +211,51 @@ def test_build_silver_twice_gives_the_same_tables(spark, name):
     assert [len(s) for s in states[0]] == [2, 1, 1, 1, 1]
     assert tables.partition_columns(spark, f"{prefix}_application_history") == ["action_date"]
     assert readers.read_optional(spark, f"{prefix}_applicant") is None
+
+
+def _document(action, name_, **more):
+    return {"document_array": {"document": {"@action": action, "id": "D1", **({"name": name_} if name_ else {}), **more}}}
+
+
+def test_a_deleted_document_stays_away_and_a_newer_one_comes_back(spark, name):
+    prefix = name("silver")
+    insert = xml_frame(spark, bronze_row("P1", "INSERT", {**FULL, **_document("INSERT", "first")}, "2024-01-01 08:00:00"))
+    delete = xml_frame(spark, bronze_row("P2", "UPDATE", _document("DELETE", None), "2024-01-02 08:00:00"))
+    again = xml_frame(spark, bronze_row("P3", "UPDATE", _document("INSERT", "second"), "2024-01-03 08:00:00"))
+
+    def after(*batches):
+        for batch in batches:
+            silver.build_silver({"application_xml": batch}, {}, lambda t: f"{prefix}_{t}")
+        return rows(silver.live(tables.fresh(spark, f"{prefix}_document")), "document_id", "ten_tai_lieu")
+    assert after(insert) == [("D1", "first")]
+    assert after(delete) == [] and after(insert, delete) == []      # an older insert does not revive it
+    assert after(again) == [("D1", "second")] and after(delete, insert) == [("D1", "second")]
+    assert rows(silver.document(insert.union(delete), None)) == [] and silver.document(insert.union(delete).union(again), None).count() == 1
+
+
+def test_replayed_batches_of_documents_and_applicants_change_nothing(spark, name):
+    prefix = name("silver")
+    doc = "id string, name string, Applicationid string, file_url string, Document_Typeid int, op string, ingested_at timestamp, kafka_offset long"
+    person = "id string, name string, email string, phone string, password string, updated_at timestamp, ingested_at timestamp, kafka_offset long"
+    at = lambda d: datetime(2024, 1, d)
+    old = {"document_cdc": spark.createDataFrame([("D1", "old", "HS_1", "u", 1, "c", at(1), 5)], doc),
+           "applicant_cdc": spark.createDataFrame([("A1", "old", "e", "p", "s", at(1), at(1), 5)], person)}
+    # The newer rows of one micro-batch share its time; their place in the topic orders them.
+    new = {"document_cdc": spark.createDataFrame([("D1", "newer", "HS_1", "u", 1, "u", at(2), 7), ("D1", "new", "HS_1", "u", 1, "u", at(2), 6)], doc),
+           "applicant_cdc": spark.createDataFrame([("A1", "new", "e", "p", "s", at(2), at(2), 6), ("A1", "newer", "e", "p", "s", at(2), at(2), 7)], person)}
+    for batch in (old, new, old, new, old):
+        silver.build_silver(batch, {}, lambda t: f"{prefix}_{t}")
+    assert rows(silver.live(tables.fresh(spark, f"{prefix}_document")), "document_id", "ten_tai_lieu") == [("D1", "newer")]
+    stored = tables.fresh(spark, f"{prefix}_applicant")
+    assert rows(stored, "id", "name") == [("A1", "newer")] and "password" not in stored.columns
+    gone = {"document_cdc": spark.createDataFrame([("D1", "newer", "HS_1", "u", 1, "d", at(3), 9)], doc)}
+    for batch in (gone, new):
+        silver.build_silver(batch, {}, lambda t: f"{prefix}_{t}")
+    assert silver.live(tables.fresh(spark, f"{prefix}_document")).count() == 0
+
+
+def test_history_of_one_instant_is_ordered_by_its_place_in_the_topic(spark):
+    schema = "id string, Applicationid string, Statusid int, Statusid2 int, Officerid int, action_time timestamp, note string, ingested_at timestamp, kafka_offset long"
+    moved = spark.createDataFrame([("H1", "HS_1", 1, n, 1, T, f"n{n}", T, n) for n in (3, 9, 4)], schema)
+    assert rows(silver.history(None, moved), "history_id", "trang_thai_id") == [("H1", 9)]
+    assert rows(silver.history(None, moved.drop("kafka_offset")), "history_id") == [("H1",)]

@@ -170,3 +170,48 @@ def test_kafka_source_options(spark):
     """No Kafka connector is installed here, so only the request itself can be checked."""
     with pytest.raises(Exception, match="(?i)kafka"):
         readers.stream_topic(spark, "localhost:1", "t")
+
+
+def test_unmatched_history_leaves_by_the_side_stream(spark, folder, topics):
+    """Every history insert ends in the fact or in the side stream, never in both."""
+    from caseledger.streaming import cdc
+    app, hist = topics
+
+    def run():
+        side = transitions.unmatched_stream(cdc.application_changes(app.stream(), CDC_ROWS["application"]),
+                                            cdc.history_changes(hist.stream(), CDC_ROWS["application_history"]))
+        sinks.stream_files(side.select("id"), f"{folder}/side", f"{folder}/ck", None).awaitTermination()
+        return sorted(r["id"] for r in spark.read.schema("id string").parquet(f"{folder}/side").collect())
+    app.send(app_change("a", 1, 2, T), app_change("b", 7, 2, T))
+    hist.send(hist_change("in", "a", 1, 2, T + timedelta(seconds=60)), hist_change("beyond", "a", 1, 2, T + timedelta(seconds=61)),
+              hist_change("wrongbefore", "b", 1, 2, T), hist_change("waits", "c", 1, 2, T + timedelta(seconds=30)))
+    assert run() == []                       # a partner may still come
+    app.send(app_change("c", 1, 2, T + timedelta(seconds=20)))
+    hist.send(hist_change("later", "z", 1, 2, T + timedelta(hours=1)))
+    run()
+    app.send(app_change("end", 1, 2, T + timedelta(hours=2)))
+    hist.send(hist_change("end", "end", 1, 2, T + timedelta(hours=2)))
+    run()
+    app.send(app_change("end2", 1, 2, T + timedelta(hours=4)))
+    hist.send(hist_change("end2", "end2", 1, 2, T + timedelta(hours=4)))
+    assert run() == ["beyond", "later", "wrongbefore"]
+
+
+def test_lag_stream_closes_windows_once_and_drops_late_rows(spark, folder):
+    source = pathlib.Path(folder) / "facts"
+    source.mkdir()
+
+    def run(*lags):
+        text = "\n".join(json.dumps({"kafka_event_time": at.isoformat(), "kafka_to_fact_latency_ms": ms}) for at, ms in lags)
+        (source / f"{len(list(source.iterdir()))}.json").write_text(text)
+        stream = spark.readStream.schema("kafka_event_time timestamp, kafka_to_fact_latency_ms long").json(str(source))
+        report = transitions.cdc_lag_report(stream, watermark="1 minute")
+        sinks.stream_files(report, f"{folder}/out", f"{folder}/ck", None).awaitTermination()
+        return rows(spark.read.schema(report.schema).parquet(f"{folder}/out"), "window_start", "events", "max_lag_ms")
+    assert run((T, 10), (T + timedelta(seconds=59), 30), (T + timedelta(seconds=90), 5)) == []
+    first = (T, 2, 30)
+    assert run((T + timedelta(minutes=5), 7)) == [first, (T + timedelta(minutes=1), 1, 5)]
+    # Behind the watermark: dropped. Not yet behind it: counted.
+    assert run((T + timedelta(seconds=1), 99), (T + timedelta(minutes=4, seconds=30), 8)) == [first, (T + timedelta(minutes=1), 1, 5)]
+    got = run((T + timedelta(minutes=9), 1))
+    assert got == [first, (T + timedelta(minutes=1), 1, 5), (T + timedelta(minutes=4), 1, 8), (T + timedelta(minutes=5), 1, 7)]

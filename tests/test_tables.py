@@ -228,3 +228,79 @@ def test_dimension_versions_are_published_and_mirrored(spark, name):
     assert_schema(dim, CONTRACTS["gold.dim_trang_thai"])
     mirrored = spark.read.format("jdbc").option("url", URL).option("dbtable", "dim_trang_thai").option("driver", DRIVER).load()
     assert rows(mirrored, "ten_trang_thai") == [("Đã nhận",)]
+
+
+def test_a_bucketed_log_reads_only_the_buckets_of_a_batch(spark, name, monkeypatch):
+    t = name("log")
+    every = frame(spark, [(i, f"u{i % 50}") for i in range(400)], "id int, user string")
+    tables.append_new_only(every.where("id % 3 > 0"), t, "id", bucket_by="user", buckets=16)
+    assert tables.partition_columns(spark, t) == ["key_bucket"]
+    batch = frame(spark, [(9_000, "u7"), (7, "u7"), (9_000, "u7")], "id int, user string")
+    read = tables.in_buckets(batch, t, "user")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    bucket = batch.select(tables.key_bucket("user", 16)).first()[0]
+    assert "PartitionFilters: [isnotnull(key_bucket" in plan and f"= {bucket})" in plan
+    assert {f.split("key_bucket=")[1].split("/")[0] for f in read.inputFiles()} == {str(bucket)}
+    # The append asks that bucket, and no other, which keys it has.
+    asked, fresh, anti = [], tables.fresh, tables.anti_join
+
+    def watched(left, known, names):
+        asked.extend(known.inputFiles())
+        return anti(left, known, names)
+    monkeypatch.setattr(tables, "anti_join", watched)
+    tables.append_new_only(batch, t, "id", bucket_by="user")
+    assert {f.split("key_bucket=")[1].split("/")[0] for f in asked if "key_bucket=" in f and "append-" not in f} == {str(bucket)}
+    assert fresh(spark, t).count() == every.where("id % 3 > 0").count() + 1
+    tables.append_new_only(every, t, "id", bucket_by="user")
+    tables.append_new_only(every.selectExpr("CAST(id AS BIGINT) AS id", "user"), t, "id", bucket_by="user")
+    assert fresh(spark, t).count() == 401
+
+
+def test_a_log_without_buckets_stays_without(spark, name):
+    t = name("log")
+    tables.append_new_only(frame(spark, [(1, "a")]), t, "id")
+    tables.append_new_only(frame(spark, [(1, "a"), (2, "b")]), t, "id", bucket_by="v")
+    assert rows(tables.fresh(spark, t)) == [(1, "a"), (2, "b")]
+    assert tables.in_buckets(frame(spark, [(1, "a")]), t, "v").count() == 2
+
+
+def test_latest_snapshot_reads_one_day(spark, name):
+    t = name("bronze")
+    for n, keys in enumerate(([1, 2, 3], [1, 2], [2, 3, 3])):
+        for hour in (9, 10):
+            rows_ = [(k, f"{n}-{hour}", T + timedelta(days=n, hours=hour)) for k in (keys if hour == 10 else [8, 9])]
+            tables.append_partitioned(frame(spark, rows_, "id int, v string, ingested_at timestamp"), t)
+    tables.append_partitioned(frame(spark, [(7, "no time", None)], "id int, v string, ingested_at timestamp"), t)
+    got = readers.scan_latest_snapshot(spark, t)
+    assert rows(got, "id", "v") == [(2, "2-10"), (3, "2-10"), (3, "2-10")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(ingest_date" in plan and "PushedFilters: [IsNotNull(ingested_at), EqualTo(ingested_at" in plan
+    assert readers.newest_partition(spark, t, "ingest_date") == "2024-01-03"
+    from caseledger.plans import silver
+    assert rows(silver.master_latest_of(spark, t), "id") == [(2,), (3,)]
+    only = name("bronze")
+    tables.append_partitioned(frame(spark, [(7, "no time", None)], "id int, v string, ingested_at timestamp"), only)
+    assert rows(readers.scan_latest_snapshot(spark, only), "id") == [(7,)]
+
+
+DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+
+
+def test_staged_mirror_keeps_the_old_rows_when_a_load_fails(spark, name):
+    url = f"jdbc:derby:memory:{name('m')};create=true"
+    first = frame(spark, [(i, f"v{i}") for i in range(50)])
+    assert tables.mirror_jdbc_staged(first, url, '"dim"', DERBY)
+    said = []
+    broken = first.withColumn("v", F.when(F.col("id") < 40, F.col("v")).otherwise(F.raise_error(F.lit("bad")).cast("string")))
+    assert not tables.mirror_jdbc_staged(broken, url, '"dim"', DERBY, on_error=said.append) and said
+    read = lambda: readers.scan_jdbc(spark, url, "dim", DERBY, ("id", 3))
+    assert rows(read()) == rows(first)
+    # A load that the served table refuses is rolled back as a whole.
+    wider = first.withColumnRenamed("v", "w")
+    assert not tables.mirror_jdbc_staged(wider, url, '"dim"', DERBY, on_error=said.append)
+    assert rows(read()) == rows(first)
+    second = frame(spark, [(1, "new"), (70, "more")])
+    assert tables.mirror_jdbc_staged(second, url, '"dim"', DERBY) and rows(read()) == rows(second)
+    assert readers.jdbc_bounds(spark, url, "dim", "id", DERBY) == (1, 70)
+    assert read().rdd.getNumPartitions() == 3
+    assert tables.mirror_jdbc_staged(second.where("false"), url, '"dim"', DERBY) and read().count() == 0

@@ -275,6 +275,26 @@ def application_timeline(spark, sf):
         "event_id", "ho_so_id", "ten_ho_so", "dv_cong_id", "co_quan_id", "trang_thai_id", "da_bi_xoa")
 
 
+@query("C6_incremental_state", f"""WITH {APPLICATION_LOG}
+SELECT ho_so_id, ten_ho_so, applicant_id, dv_cong_id, co_quan_id, created_at, trang_thai_id,
+       event_time, da_bi_xoa FROM timeline
+QUALIFY row_number() OVER (PARTITION BY ho_so_id
+  ORDER BY event_time DESC, source_priority DESC, event_id DESC) = 1""")
+def application_incremental(spark, sf):
+    """The state kept up batch by batch over a log in buckets of the case, one batch twice."""
+    log, log_at = B.new_table(spark, "application_event")
+    state, state_at = B.new_table(spark, "application")
+    events = materialize(application_log(spark, sf))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for n in (2, 0, 1, 0):
+        batch = events.where(part == n)
+        tables.append_new_only(batch, log, "event_id", location=log_at, bucket_by="ho_so_id", buckets=16)
+        changed = batch.select("ho_so_id").dropDuplicates()
+        touched = tables.in_buckets(changed, log, "ho_so_id").join(changed, "ho_so_id", "left_semi")
+        tables.upsert_current_state(silver.application_current(touched), state, "ho_so_id", buckets=8, location=state_at)
+    return tables.fresh(spark, state).drop(tables.BUCKET)
+
+
 @query("C10_applicant", """
 SELECT CAST(user_id AS VARCHAR) AS id, 'N' || event_id AS name, sha256('m' || event_id) AS email,
        ts AS updated_at FROM events
@@ -506,6 +526,157 @@ def transitions(spark, sf):
     return gold.transitions(B.history(spark, sf), B.cases(spark, sf), B.case_calendar(spark))
 
 
+# Working time the other way round: what has passed, less what has passed on days off.
+WORKED = """gone AS (
+  SELECT ngay_date, off, sum(CASE WHEN off THEN 86400 ELSE 0 END) OVER (ORDER BY ngay_date) AS through FROM calendar_days),
+steps AS (
+  SELECT h.history_id, h.trang_thai_id, h.action_time AS till, coalesce(
+    lag(h.action_time) OVER (PARTITION BY h.ho_so_id ORDER BY h.action_time, h.history_id), c.created_at) AS since
+  FROM history h JOIN cases c ON h.ho_so_id = c.ho_so_id),
+worked AS (
+  SELECT history_id, trang_thai_id, since, till, CASE WHEN till >= since THEN epoch(till)::BIGINT - epoch(since)::BIGINT
+    - (b.through - CASE WHEN b.off THEN 86400 - (epoch(till)::BIGINT % 86400) ELSE 0 END)
+    + (a.through - CASE WHEN a.off THEN 86400 - (epoch(since)::BIGINT % 86400) ELSE 0 END) END AS s
+  FROM steps LEFT JOIN gone a ON a.ngay_date = CAST(since AS DATE) LEFT JOIN gone b ON b.ngay_date = CAST(till AS DATE))"""
+
+
+@query("C19_N11_working_time_of_steps", B.with_ctes(B.CASES, B.HISTORY, B.CALENDAR, WORKED, body="""
+SELECT history_id AS id, trang_thai_id, CAST(s AS BIGINT) AS working_seconds FROM worked"""))
+def working_time(spark, sf):
+    """Each step of the archive without its days off, in whole seconds."""
+    facts = gold.transitions(B.history(spark, sf), B.cases(spark, sf), B.case_calendar(spark), working_time=True)
+    return facts.select("id", "trang_thai_id", F.round(F.col("thoi_gian_xu_ly") * 3600).cast("long").alias("working_seconds"))
+
+
+@query("C22b_mean_working_step_time", B.with_ctes(B.CASES, B.HISTORY, B.CALENDAR, WORKED, body="""
+SELECT trang_thai_id, avg(CAST(s AS DOUBLE)) AS mean_working_seconds FROM worked GROUP BY 1"""))
+def mean_working_step(spark, sf):
+    facts = gold.transitions(B.history(spark, sf), B.cases(spark, sf), B.case_calendar(spark), working_time=True)
+    seconds = F.round(F.col("thoi_gian_xu_ly") * 3600)
+    return kpi.mean_step_time(facts.withColumn("thoi_gian_xu_ly", seconds)).withColumnRenamed(
+        "thoi_gian_xu_ly_tb", "mean_working_seconds")
+
+
+@query("C22b_weekend_steps", B.with_ctes(B.CASES, B.HISTORY, B.CALENDAR, WORKED, body="""
+SELECT history_id AS id FROM worked
+WHERE till >= since AND dayofweek(since) IN (0, 6) AND dayofweek(till) IN (0, 6)
+  AND date_diff('day', CAST(since AS DATE), CAST(till AS DATE)) <= 1"""))
+def weekend_steps(spark, sf):
+    """Steps that begin and end in one weekend: each takes no working time."""
+    history, cases, cal = B.history(spark, sf), B.cases(spark, sf), B.case_calendar(spark)
+    wall = gold.transitions(history, cases, cal).select("id", F.col("thoi_gian_xu_ly").alias("wall"))
+    worked = gold.transitions(history, cases, cal, working_time=True).select("id", "thoi_gian_xu_ly")
+    times = history.select(F.col("history_id").alias("id"), "action_time")
+    both = worked.join(wall, "id").join(times, "id").where("thoi_gian_xu_ly = 0 AND wall >= 0")
+    since = F.timestamp_seconds(F.unix_seconds("action_time") - F.round(F.col("wall") * 3600))
+    return both.where(F.dayofweek("action_time").isin(1, 7) & F.dayofweek(since).isin(1, 7)
+                      & (F.datediff(F.to_date("action_time"), F.to_date(since)) <= 1)).select("id")
+
+
+# --- indicators on the facts of a range of days -----------------------------------------
+
+PERIOD_FIRST, PERIOD_LAST = date(1997, 11, 20), date(1998, 2, 10)
+
+
+def build_agency_days(spark, sf):
+    return agency_fact(spark, sf, PERIOD_FIRST, PERIOD_LAST)
+
+
+def agency_days_stored(spark, sf):
+    """The agency fact of twelve weeks as it is stored: built once, then scanned."""
+    return B.stored(spark, sf, "fact_van_hanh_co_quan", build_agency_days)
+
+
+DAY_OF = "CAST(strftime({}, '%Y%m%d') AS INTEGER)"
+AGENCY_DAYS = f"""wanted AS (SELECT * FROM cal WHERE ngay_date BETWEEN DATE '{PERIOD_FIRST}' AND DATE '{PERIOD_LAST}'),
+states AS (
+  SELECT w.ngay_date, h.ho_so_id, h.trang_thai_id FROM wanted w
+  JOIN history h ON h.action_time < w.ngay_date + INTERVAL 1 DAY
+  QUALIFY row_number() OVER (PARTITION BY w.ngay_date, h.ho_so_id ORDER BY h.action_time DESC, h.history_id DESC) = 1),
+open_days AS (
+  SELECT w.thoi_gian_id, c.co_quan_id, c.ho_so_id,
+         coalesce(greatest(w.stt_ngay_lam_viec - o.stt_ngay_lam_viec, 0) > d.thoi_han_tra_kq, FALSE) AS late
+  FROM wanted w JOIN cases c ON c.created_at < w.ngay_date + INTERVAL 1 DAY
+    AND (NOT c.da_bi_xoa OR c.event_time >= w.ngay_date + INTERVAL 1 DAY)
+  LEFT JOIN states s ON s.ho_so_id = c.ho_so_id AND s.ngay_date = w.ngay_date
+  LEFT JOIN cal o ON o.ngay_date = CAST(c.created_at AS DATE)
+  LEFT JOIN dim_dich_vu_cong d ON d.dv_cong_id = c.dv_cong_id AND {B.as_of('d', 'c.created_at')}
+  WHERE coalesce(s.trang_thai_id, 1) NOT IN (7, 8)),
+stock AS (SELECT thoi_gian_id, co_quan_id, count(*) AS n, count(*) FILTER (WHERE late) AS late FROM open_days GROUP BY 1, 2),
+got AS (SELECT {DAY_OF.format('created_at')} AS thoi_gian_id, co_quan_id, count(*) AS n FROM cases GROUP BY 1, 2),
+acts AS (
+  SELECT {DAY_OF.format('h.action_time')} AS thoi_gian_id, c.co_quan_id, h.trang_thai_id,
+         coalesce(greatest(a.stt_ngay_lam_viec - o.stt_ngay_lam_viec, 0) > d.thoi_han_tra_kq, FALSE) AS late
+  FROM history h JOIN cases c ON h.ho_so_id = c.ho_so_id AND c.created_at < CAST(h.action_time AS DATE) + INTERVAL 1 DAY
+  LEFT JOIN cal o ON o.ngay_date = CAST(c.created_at AS DATE)
+  LEFT JOIN cal a ON a.ngay_date = CAST(h.action_time AS DATE)
+  LEFT JOIN dim_dich_vu_cong d ON d.dv_cong_id = c.dv_cong_id AND {B.as_of('d', 'c.created_at')}),
+acted AS (SELECT thoi_gian_id, co_quan_id, count(*) FILTER (WHERE trang_thai_id = 7 AND late) AS late,
+                 count(*) FILTER (WHERE trang_thai_id = 8) AS rework FROM acts GROUP BY 1, 2),
+paid AS (
+  SELECT {DAY_OF.format('p.thoi_gian_tt')} AS thoi_gian_id, c.co_quan_id, sum(p.so_tien) AS n FROM payments p
+  JOIN cases c ON p.ho_so_id = c.ho_so_id AND c.created_at < CAST(p.thoi_gian_tt AS DATE) + INTERVAL 1 DAY
+  WHERE upper(p.trang_thai_tt) = 'SUCCESS' GROUP BY 1, 2),
+agency_days AS (
+  SELECT w.thoi_gian_id, w.nam, w.quy, w.thang, n_nationkey AS co_quan_id, coalesce(got.n, 0) AS so_luong_tiep_nhan,
+         coalesce(acted.late, 0) + coalesce(stock.late, 0) AS so_luong_tre_han, coalesce(acted.rework, 0) AS so_luong_rework,
+         coalesce(stock.n, 0) AS so_luong_ton_dong, CAST(coalesce(paid.n, 0) AS BIGINT) AS tong_chi_phi
+  FROM wanted w CROSS JOIN nation
+  LEFT JOIN got ON got.co_quan_id = n_nationkey AND got.thoi_gian_id = w.thoi_gian_id
+  LEFT JOIN stock ON stock.co_quan_id = n_nationkey AND stock.thoi_gian_id = w.thoi_gian_id
+  LEFT JOIN acted ON acted.co_quan_id = n_nationkey AND acted.thoi_gian_id = w.thoi_gian_id
+  LEFT JOIN paid ON paid.co_quan_id = n_nationkey AND paid.thoi_gian_id = w.thoi_gian_id)"""
+PERIOD_SQL = (B.CASES, B.HISTORY, B.PAYMENTS, B.CALENDAR, B.DIM_SERVICE, AGENCY_DAYS)
+
+
+@query("C17_agency_days", B.with_ctes(*PERIOD_SQL, body="""
+SELECT thoi_gian_id, co_quan_id, CAST(so_luong_tiep_nhan AS INTEGER) AS so_luong_tiep_nhan,
+       CAST(so_luong_tre_han AS INTEGER) AS so_luong_tre_han, CAST(so_luong_rework AS INTEGER) AS so_luong_rework,
+       CAST(so_luong_ton_dong AS INTEGER) AS so_luong_ton_dong, tong_chi_phi FROM agency_days"""))
+def agency_days(spark, sf):
+    """The fact of twelve weeks that the period indicators read."""
+    return agency_days_stored(spark, sf).select("thoi_gian_id", "co_quan_id", "so_luong_tiep_nhan", "so_luong_tre_han",
+                                                "so_luong_rework", "so_luong_ton_dong", "tong_chi_phi")
+
+
+def _closing_sql(period: str, by: str = "") -> str:
+    keys = ", ".join(filter(None, (period, by)))
+    head = B.with_ctes(*PERIOD_SQL, body="")
+    return head.rstrip() + f""",
+closing AS (SELECT {period}, max(thoi_gian_id) AS last_day FROM agency_days GROUP BY ALL),
+flows AS (SELECT {keys}, sum(so_luong_tiep_nhan) AS got, sum(tong_chi_phi) AS fees, sum(so_luong_tre_han) AS late,
+                 sum(so_luong_rework) AS rework FROM agency_days GROUP BY ALL),
+levels AS (SELECT {keys}, sum(so_luong_ton_dong) AS stock FROM agency_days
+           WHERE thoi_gian_id IN (SELECT last_day FROM closing) GROUP BY ALL)
+SELECT {keys}, CAST(got AS BIGINT) AS tong_tiep_nhan, CAST(fees AS BIGINT) AS tong_doanh_thu_vnd, CAST(stock AS BIGINT) AS tong_ton_dong,
+       100.0::DOUBLE * CAST(late AS DOUBLE) / NULLIF(CAST(got + stock AS DOUBLE), 0) AS ty_le_tre_han_pct,
+       100.0::DOUBLE * CAST(rework AS DOUBLE) / NULLIF(CAST(got AS DOUBLE), 0) AS ty_le_rework_pct,
+       CAST(got + stock AS BIGINT) AS tai_cong_viec
+FROM flows JOIN levels USING ({keys})"""
+
+
+@query("C21c_closing_backlog_month", _closing_sql("nam, thang", "co_quan_id"))
+def closing_month(spark, sf):
+    """By month and agency: what came in adds up, what is open is that of the month's last day."""
+    return kpi.kpi_periods(agency_days_stored(spark, sf), B.case_calendar(spark), ("nam", "thang"), "co_quan_id")
+
+
+@query("C21c_closing_backlog_quarter", _closing_sql("nam, quy"))
+def closing_quarter(spark, sf):
+    return kpi.kpi_periods(agency_days_stored(spark, sf), B.case_calendar(spark), ("nam", "quy"))
+
+
+@query("C20_kpi_monthly_agency_fact", B.with_ctes(*PERIOD_SQL, body="""
+SELECT nam, thang, CAST(sum(so_luong_tiep_nhan) AS BIGINT) AS tong_tiep_nhan, CAST(sum(tong_chi_phi) AS BIGINT) AS tong_doanh_thu_vnd,
+       CAST(sum(so_luong_ton_dong) AS BIGINT) AS tong_ton_dong,
+       100.0::DOUBLE * CAST(sum(so_luong_tre_han) AS DOUBLE) / NULLIF(CAST(sum(so_luong_tiep_nhan) + sum(so_luong_ton_dong) AS DOUBLE), 0) AS ty_le_tre_han_pct,
+       100.0::DOUBLE * CAST(sum(so_luong_rework) AS DOUBLE) / NULLIF(CAST(sum(so_luong_tiep_nhan) AS DOUBLE), 0) AS ty_le_rework_pct
+FROM agency_days WHERE thoi_gian_id BETWEEN 19971201 AND 19980131 GROUP BY 1, 2"""))
+def kpi_monthly_agency_fact(spark, sf):
+    """The leadership figures over the stored agency fact."""
+    return kpi.kpi_monthly(agency_days_stored(spark, sf), B.case_calendar(spark), 19971201, 19980131)
+
+
 # --- indicators -----------------------------------------------------------------------
 
 def stored_facts(spark, sf):

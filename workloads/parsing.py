@@ -11,7 +11,7 @@ from caseledger.functions.packets import REASONS
 
 from caseledger.plans import bronze, silver
 from caseledger.schemas import CDC_ROWS, DOCUMENT_ITEM, PAYMENT_TRANSACTIONS, conform
-from caseledger.session import scratch_path
+from caseledger.session import materialize, scratch_path
 from caseledger.sources import readers, tables
 from caseledger.streaming import cdc
 from workloads import bindings as B
@@ -356,6 +356,29 @@ def silver_document(spark, sf):
         "document_id", "ho_so_id", "ten_tai_lieu", "loai_tai_lieu_id")
 
 
+@query("C8_document_tombstones", """
+SELECT 'D_' || o_orderkey AS document_id, 'HS_' || o_orderkey AS ho_so_id,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'back' ELSE 'Đơn & tờ khai' END AS ten_tai_lieu
+FROM orders WHERE o_orderkey % 9 <> 0 AND (o_orderkey % 4 <> 0 OR o_orderkey % 7 = 0)""")
+def document_tombstones(spark, sf):
+    """Deleted documents stay away although their inserts arrive again, unless a newer one comes."""
+    packets = materialize(bronze_packets(spark, sf))
+    number = F.substring("id_ban_ghi", 4, 20).cast("long")
+
+    def later(rows, days, action, name):
+        at = F.date_format(F.col("ngay_cap_nhat").cast("timestamp") + B.days(F.lit(days)), LONG_AGO)
+        item = F.struct(F.lit(action).alias("@action"), F.concat(F.lit("D_"), number.cast("string")).alias("id"), name.alias("name"))
+        payload = F.to_json(F.struct(F.struct(item.alias("document")).alias("document_array")))
+        return rows.withColumns({"ngay_cap_nhat": at, "data_payload": payload, "ma_goi_tin": F.concat("ma_goi_tin", F.lit(action))})
+    living = packets.where(number % 9 != 0)
+    gone = later(living.where(number % 4 == 0), 2, "DELETE", F.lit(None).cast("string"))
+    back = later(living.where(number % 7 == 0), 3, "INSERT", F.lit("back"))
+    name, location = B.new_table(spark, "document")
+    for batch in (packets, gone, back, packets, gone):
+        tables.upsert_current_state(silver.document_versions(batch, None), name, "document_id", silver.VERSION, buckets=8, location=location)
+    return silver.live(tables.fresh(spark, name)).select("document_id", "ho_so_id", "ten_tai_lieu")
+
+
 @query("C9_silver_payment", """
 SELECT 'T_' || o_orderkey AS ma_giao_dich, 'HS_' || o_orderkey AS ho_so_id,
        CAST(o_custkey AS DOUBLE) AS so_tien, 'success' AS trang_thai_tt, o_orderdate AS thoi_gian_tt,

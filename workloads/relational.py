@@ -216,6 +216,57 @@ def append_new(spark, sf):
     return spark.table(name).drop("event_date")
 
 
+@query("K4_bucketed_log", f"SELECT {EVENT_COLUMNS} FROM events")
+def append_new_bucketed(spark, sf):
+    """The same log in buckets of the user: a batch asks only the buckets of its users."""
+    name, location = B.new_table(spark, "event_log_buckets")
+    every = events(spark, sf).select(*EVENT_COLUMNS.split(", "))
+    tables.append_new_only(every.where("event_id % 3 <> 1"), name, "event_id", location=location, bucket_by="user_id", buckets=16)
+    tables.append_new_only(every.unionByName(every.where("event_id % 7 = 0")), name, "event_id", bucket_by="user_id")
+    return spark.table(name).drop(tables.BUCKET)
+
+
+@query("K3_versioned_upsert", """
+SELECT event_type, user_id, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def versioned_upsert(spark, sf):
+    """Batches in a wrong order and one of them twice: the stored version decides."""
+    name, location = B.new_table(spark, "newest_event")
+    every = events(spark, sf).select("event_type", "user_id", "event_id", F.struct("ts", "event_id").alias("version"))
+    for batch in ("event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 0"):
+        tables.upsert_current_state(every.where(batch), name, ["event_type", "user_id"], "version", buckets=8, location=location)
+    return tables.fresh(spark, name).drop(tables.BUCKET, "version")
+
+
+@query("W3_latest_snapshot_pruned", """
+SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name FROM customer WHERE c_custkey % 7 <> 3""")
+def latest_snapshot_pruned(spark, sf):
+    """Three daily snapshots in a table laid out by day; the newest one has lost some keys."""
+    name, location = B.new_table(spark, "bronze_customer")
+    customer = B.table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("name"))
+    for n in (1, 2, 3):
+        at = (F.lit(datetime(2024, 1, 1, 9)).cast("timestamp") + B.days(F.lit(n)))
+        rows = customer.where("id % 7 <> 3") if n == 3 else customer.withColumn("name", F.lit("old"))
+        tables.append_partitioned(rows.withColumn("ingested_at", at), name, location=location)
+    return readers.scan_latest_snapshot(spark, name).select("id", "name")
+
+
+@query("K10_staged_mirror", "SELECT n_nationkey, upper(n_name) AS n_name FROM nation")
+def staged_mirror(spark, sf):
+    """A load, one that fails and leaves the old rows, and one that replaces them."""
+    nations = B.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    url = _database(spark, Nation=nations)
+    broken = nations.withColumn("n_name", F.when(F.col("n_nationkey") < 20, F.col("n_name")).otherwise(
+        F.raise_error(F.lit("a bad row")).cast("string")))
+    if tables.mirror_jdbc_staged(broken, url, '"Nation"', DERBY, on_error=lambda _: None):
+        raise RuntimeError("the broken load was taken")
+    kept = readers.scan_jdbc(spark, url, "Nation", DERBY)
+    if kept.count() != nations.count():
+        raise RuntimeError("the old rows are gone")
+    tables.mirror_jdbc_staged(nations.withColumn("n_name", F.upper("n_name")), url, '"Nation"', DERBY)
+    return readers.scan_jdbc(spark, url, "Nation", DERBY, ("n_nationkey", 4))
+
+
 @query("K5_replace_all", "SELECT s_suppkey, s_acctbal * 2 AS s_acctbal FROM supplier")
 def replace_all(spark, sf):
     name, location = B.new_table(spark, "supplier_version")

@@ -174,3 +174,101 @@ def lag_report(spark, sf):
     application, history = (readers.as_records(r) for r in change_records(spark, sf))
     fact = transitions.realtime_transitions(application, history, loaded_at=loaded_at())
     return transitions.cdc_lag_report(fact, "1 day", lag="join_skew_ms")
+
+
+# --- batches that run again, side tables, windows of a stream ------------------------------
+
+def _forget_last_commit(spark, checkpoint):
+    """What a crash between a batch's write and Spark's own commit leaves behind."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    last = max(int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit())
+    fs.delete(path(folder, str(last)), False)
+    return last
+
+
+@query("K11_T9_retried_batch", f"""
+SELECT CAST(user_id % {CASES_SHARE} AS VARCHAR) AS ho_so_id, count(*) AS changes, count(DISTINCT event_id) AS times
+FROM events GROUP BY 1""")
+def retried_batch(spark, sf):
+    """Micro-batches into Bronze; the last one runs again after its commit was lost."""
+    application, _ = change_records(spark, sf)
+    path, checkpoint = scratch_path(spark, "topic_app"), scratch_path(spark, "checkpoint")
+    application.repartition(3, "offset").write.parquet(path)
+    name, location = B.new_table(spark, "application_cdc")
+    for last_lost in (True, False):
+        stream = readers.stream_records(spark, "parquet", path, RECORD, maxFilesPerTrigger="1")
+        sinks.stream_append(cdc.parse_cdc(stream, CDC_ROWS["application"], keep_position=True), name, checkpoint,
+                            trigger=None).awaitTermination()
+        if last_lost:
+            _forget_last_commit(spark, checkpoint)
+    return tables.fresh(spark, name).groupBy(F.col("id").alias("ho_so_id")).agg(
+        F.count(F.lit(1)).alias("changes"), F.countDistinct("kafka_offset").alias("times"))
+
+
+def _closing(spark, sf, step):
+    """A record of each topic, days after the last event, that moves the watermarks on."""
+    application, history = change_records(spark, sf)
+    last = B.table(spark, sf, "events").agg(F.max("ts")).first()[0]
+    micros = F.unix_micros(F.lit(last).cast("timestamp")) + step * 86_400_000_000
+    end = F.lit(f"end {step}")
+    source = F.struct((micros / 1000).cast("bigint").alias("ts_ms"))
+    payloads = (
+        F.struct(F.struct(end.alias("id"), F.lit(2).alias("Statusid")).alias("after"), source.alias("source"), F.lit("c").alias("op")),
+        F.struct(F.struct(end.alias("id"), end.alias("Applicationid"), F.lit(2).alias("Statusid2")).alias("after"), source.alias("source"), F.lit("c").alias("op")))
+    return [spark.range(1).select(F.to_json(F.struct(p.alias("payload"))).alias("value"), F.timestamp_micros(micros).alias("timestamp"),
+                                  F.lit(1).alias("partition"), F.lit(step).cast("bigint").alias("offset")).select(*application.columns)
+            for p in payloads]
+
+
+@query("T5_unmatched_stream", f"""WITH {CHANGES}
+SELECT id, ho_so_id FROM hist WHERE id NOT IN (SELECT id FROM matched)""")
+def unmatched_side(spark, sf):
+    """The side stream over the same topics, stopped and resumed twice: what the batch report finds."""
+    paths = [scratch_path(spark, f"topic_{name}") for name in ("app", "hist")]
+    out, checkpoint = scratch_path(spark, "unmatched"), scratch_path(spark, "checkpoint")
+    for step, frames in enumerate((change_records(spark, sf), _closing(spark, sf, 1), _closing(spark, sf, 2))):
+        for path, frame in zip(paths, frames):
+            frame.write.mode("append").parquet(path)
+        application, history = (readers.stream_records(spark, "parquet", path, RECORD) for path in paths)
+        side = transitions.unmatched_stream(cdc.application_changes(application, CDC_ROWS["application"]),
+                                            cdc.history_changes(history, CDC_ROWS["application_history"]))
+        side = side.select("id", F.col("h_ho_so_id").alias("ho_so_id"))
+        sinks.stream_files(side, out, checkpoint, trigger=None).awaitTermination()
+    return spark.read.schema(side.schema).parquet(out).where("id NOT LIKE 'end%'")
+
+
+LATE = 50
+
+
+@query("T11_lag_stream", f"""WITH {CHANGES},
+timely AS (SELECT * FROM matched WHERE history_kafka_offset % {LATE} <> 0),
+mark AS (SELECT max(kafka_event_time) - INTERVAL 1 MINUTE AS passed FROM timely),
+seen AS (
+  SELECT kafka_event_time, join_skew_ms FROM timely UNION ALL
+  SELECT kafka_event_time, join_skew_ms FROM matched, mark WHERE history_kafka_offset % {LATE} = 0
+    AND time_bucket(INTERVAL 1 MINUTE, kafka_event_time) + INTERVAL 1 MINUTE > passed)
+SELECT time_bucket(INTERVAL 1 MINUTE, kafka_event_time) AS window_start, count(*) AS events,
+       count(*) / 60.0::DOUBLE AS events_per_second, max(join_skew_ms) AS max_lag_ms,
+       avg(join_skew_ms) AS mean_lag_ms, quantile_disc(join_skew_ms, 0.95) AS p95_lag_ms
+FROM seen GROUP BY 1""")
+def lag_stream(spark, sf):
+    """Windows of a minute over the stored fact as a stream that is stopped and resumed; a part
+    of the rows arrives after the watermark has passed their windows and is dropped."""
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("facts", "lags", "checkpoint"))
+    application, history = (readers.as_records(r) for r in change_records(spark, sf))
+    fact = transitions.realtime_transitions(application, history, loaded_at=loaded_at()).select(
+        "kafka_event_time", "join_skew_ms", "history_kafka_offset")
+    last = B.table(spark, sf, "events").agg(F.max("ts")).first()[0]
+    ends = [spark.range(1).select((F.lit(last).cast("timestamp") + B.days(F.lit(n))).alias("kafka_event_time"),
+                                  F.lit(0).cast("bigint").alias("join_skew_ms"), F.lit(-1).cast("bigint").alias("history_kafka_offset"))
+            for n in (2, 3)]
+    late = F.col("history_kafka_offset") % LATE == 0
+    for frame in (fact.where(~late), fact.where(late), *ends):
+        frame.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(fact.schema).parquet(path)
+        report = transitions.cdc_lag_report(stream, "1 minute", lag="join_skew_ms", watermark="1 minute")
+        sinks.stream_files(report, out, checkpoint, trigger=None).awaitTermination()
+    rows = spark.read.schema(report.schema).parquet(out)
+    return rows.where(F.col("window_start") < F.lit(last).cast("timestamp") + B.days(F.lit(1)))
