@@ -115,3 +115,22 @@ def test_top_k_of_few_or_none(spark):
     assert [tuple(r) for r in topk.top_k(vectors, vectors.where("id % 20 = 0")).collect()] == [(0, 1, 1, 64 * 32 + 128 * 32)]
     none = topk.clean(rows.where("false"), "vec_id", "embedding")
     assert topk.top_k(none, none).count() == 0
+
+
+def test_top_k_of_components_beyond_doubles(spark):
+    """64 times a finite component may be no double; scores beyond 64 bits are cut to them."""
+    rows = [(0, [1e307, -3.5]), (1, [1.0, 2.0]), (2, [-1e307, 0.25]), (3, [0.0, 1e300]), (20, [1e-300, 1.0])]
+    vectors = topk.clean(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    got = sorted(tuple(r) for r in topk.top_k(vectors, vectors.where("id % 20 = 0")).collect())
+    cut = [(q, k, c, max(-2**63, min(2**63 - 1, s))) for q, k, c, s in brute_whole(rows)]
+    assert got == cut
+
+
+def brute_whole(rows):
+    from fractions import Fraction
+    v = {i: [math.floor(64 * Fraction(x)) for x in e] for i, e in rows}
+    out = []
+    for q in (i for i in v if i % 20 == 0):
+        best = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(v[q], v[c])))), c) for c in v if c != q)[:20]
+        out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
+    return sorted(out)
