@@ -33,12 +33,11 @@ EXACT = float(2**53)
 
 
 def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v): usable vectors as floor(64 x), one per id."""
+    """(id, v): usable vectors, one per id; their components are scaled where they are compared."""
     x = F.col(vector_col).cast("array<double>")
-    good = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & (F.size(x) > 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), x.alias("x")).where(F.col("id").isNotNull() & F.col("x").isNotNull())
     rows = rows.where(F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & (F.size("x") > 0))
-    rows = rows.select("id", F.transform("x", lambda c: c * 64).alias("v")).groupBy("id").agg(F.min("v").alias("v"))
+    rows = rows.groupBy("id").agg(F.min("x").alias("v"))
     rows = materialize(rows, "vectors")
     width = rows.groupBy(F.size("v").alias("n")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "n").first()
     return rows.where(F.size("v") == (width["n"] if width else 0))
@@ -66,10 +65,15 @@ def search(q: np.ndarray, c: np.ndarray, ids: np.ndarray, own: int, k: int, best
     return scores[order], ids[order]
 
 
+def _whole(x: float) -> int:
+    """floor(64 x) of any finite number: beyond 2**53 the number itself is whole, and 64 times it may be no double."""
+    return 64 * int(x) if abs(x) >= EXACT else math.floor(64 * x)
+
+
 def _large(q: np.ndarray, c: np.ndarray, ids: np.ndarray, own: int, k: int, best):
-    """The same with Python integers, for components whose products leave the exact range of doubles."""
-    whole = [int(x) for x in q]
-    found = [(-sum(a * int(b) for a, b in zip(whole, c[:, j])), int(i)) for j, i in enumerate(ids) if i != own]
+    """The same with Python integers, from the components as they are, for products that leave the exact range of doubles."""
+    whole = [_whole(x) for x in q.tolist()]
+    found = [(-sum(a * _whole(b) for a, b in zip(whole, c[:, j].tolist())), int(i)) for j, i in enumerate(ids) if i != own]
     found += [(-s, int(i)) for s, i in zip(*best)]
     found = sorted(found)[:k]
     return [-s for s, _ in found], np.array([i for _, i in found], np.int64)
@@ -79,8 +83,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``vectors`` and ``queries`` as (id, v); rows (query_id, rank, vec_id, score)."""
     n = queries.count()
     blocks, slices = max(1, math.ceil(n / QUERY_BLOCK)), max(1, math.ceil(vectors.count() / PART))
-    asked = queries.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")).agg(
-        F.collect_list(F.struct("id", "v")).alias("queries")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    asked = queries.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("queries"))
+
+    def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield pd.DataFrame({"block": pdf["block"], "asked": [np.array([r["id"] for r in q], np.int64).tobytes() for q in pdf["queries"]],
+                                "matrix": [np.array([r["v"] for r in q], np.float64).tobytes() for q in pdf["queries"]]})
+    # One matrix per block of queries: it goes along with every block of candidates.
+    asked = asked.mapInPandas(packed, "block int, asked binary, matrix binary").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
 
     def columns(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -88,7 +98,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         def emit():
             pdf = pd.concat(held)
             held.clear()
-            m = np.floor(np.stack(pdf["v"].to_numpy()))
+            m = np.stack(pdf["v"].to_numpy())
             return pd.DataFrame({"ids": [pdf["id"].to_numpy(np.int64).tobytes()], "columns": [np.ascontiguousarray(m.T).tobytes()]})
         for pdf in parts:
             for at in range(0, len(pdf), CANDIDATE_BLOCK):
@@ -102,7 +112,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
         "part", F.pmod(F.xxhash64("ids"), F.lit(slices)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block, best, asked_ids, asked_v = None, [], None, None
+        block, best, asked_ids, asked_x = None, [], None, None
 
         def flush():
             rows = [(int(q), int(i), max(-2**63, min(2**63 - 1, int(s)))) for q, (scores, ids) in zip(asked_ids, best) for s, i in zip(scores, ids)]
@@ -113,18 +123,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                     if block is not None:
                         yield flush()
                     block = row.block, row.part
-                    asked_ids = [r["id"] for r in row.queries]
-                    asked_v = np.floor(np.array([r["v"] for r in row.queries], float))
+                    asked_ids = np.frombuffer(row.asked, np.int64).tolist()
+                    asked_x = np.frombuffer(row.matrix, np.float64).reshape(len(asked_ids), -1)
                     best = [(np.empty(0), np.empty(0, np.int64))] * len(asked_ids)
                 ids = np.frombuffer(row.ids, np.int64)
-                c = np.frombuffer(row.columns, np.float64).reshape(-1, len(ids))
+                raw = np.frombuffer(row.columns, np.float64).reshape(-1, len(ids))
                 with np.errstate(over="ignore"):
+                    asked_v, c = np.floor(64 * asked_x), np.floor(64 * raw)
                     norms = np.sqrt(np.cumsum((c * c)[::-1], axis=0)[::-1])[::DIMS]
                     top = norms[0].max(initial=0)
                     sizes = np.sqrt((asked_v * asked_v).sum(axis=1))
                 for j, q in enumerate(asked_v):
-                    small = sizes[j] * top < EXACT and isinstance(best[j][0], np.ndarray)
-                    best[j] = search(q, (c, norms), ids, asked_ids[j], k, best[j]) if small else _large(q, c, ids, asked_ids[j], k, best[j])
+                    if sizes[j] * top < EXACT and isinstance(best[j][0], np.ndarray):
+                        # A block whose longest vector cannot reach the k-th best score is not looked at.
+                        if len(best[j][0]) < k or sizes[j] * top * (1 + 1e-9) + 1e-6 >= best[j][0][k - 1]:
+                            best[j] = search(q, (c, norms), ids, asked_ids[j], k, best[j])
+                    else:
+                        best[j] = _large(asked_x[j], raw, ids, asked_ids[j], k, best[j])
         if block is not None:
             yield flush()
 
