@@ -5,11 +5,11 @@ word between, hashed to 2**20 cells. Training follows the gradient with one rate
 coordinate and an L1 penalty that leaves most weights exactly zero, so the model is a short
 list of (cell, weight) that is small enough to broadcast.
 
-Training uses a bounded sample of the labelled rows: about ``train_rows`` of each class,
-chosen by a hash of the id; positives weigh nearly as much as negatives together. ``shards``
-streams of that sample are trained side by side and their weights averaged; each further
-round starts from the average. Scores cover all rows and
-whole texts.
+Training uses a bounded sample of the labelled rows: about ``train_rows`` ids of each class,
+chosen by a hash of the id, and of each at most ``texts_per_id`` distinct texts; positives
+weigh nearly as much as negatives together. ``shards`` streams of that sample are trained side
+by side, each whole in one task, and their weights averaged; each further round starts from
+the average. Scores cover all rows and whole texts.
 
 Null and empty texts have no feature and get the bias alone. Labels that are null, labels of
 unknown documents and rows with a null id are not learned from; contradicting labels of one
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseledger.llm.words import batches, hash_words, mix, remainder, table
@@ -83,7 +83,7 @@ class Ftrl:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-          train_rows: int = 8000, shards: int = 4, rounds: int = 3) -> tuple[np.ndarray, np.ndarray, float]:
+          train_rows: int = 8000, shards: int = 4, rounds: int = 3, texts_per_id: int = 4) -> tuple[np.ndarray, np.ndarray, float]:
     """(cells, weights, bias) of the model."""
     spark = docs.sparkSession
     marked = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where("__id IS NOT NULL AND label IN (0, 1)")
@@ -101,8 +101,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     chosen = marked.where(pick < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
     # About 2 x train_rows ids of at most a few bytes each, whatever the input.
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "__id")
+    # Ranked where the rows are first, so an id with very many texts sends few of them.
+    few = Window.partitionBy("__id", "label").orderBy("__text")
+    texts = texts.withColumn("__text", F.xxhash64("text")).withColumn("__n", F.dense_rank().over(few)).where(F.col("__n") <= texts_per_id)
+    texts = texts.dropDuplicates(["__id", "label", "__text"])
     texts = materialize(texts.withColumn("shard", F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(shards)).cast("int"))
-                        .repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("__id", F.lit(2)), "text"), "train")
+                        .select("__id", "label", "text", "shard"), "train")
     weights = None
     for _ in range(rounds):
         start = spark.sparkContext.broadcast(weights)
@@ -124,7 +128,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
                 at = np.flatnonzero(w)
                 yield pd.DataFrame({"shard": shard, "cell": at, "w": w[at]})
 
-        trained = texts.coalesce(shards).mapInPandas(learn, "shard long, cell long, w double")
+        # By key, so that a shard is one model however its rows are stored.
+        dealt = texts.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("__id", F.lit(2)), "text", "label")
+        trained = dealt.mapInPandas(learn, "shard long, cell long, w double")
         trained = materialize(trained, "shards")
         n = max(1, trained.select("shard").distinct().count())
         # At most 2**20 + 1 rows.

@@ -123,3 +123,28 @@ def test_toxicity_odd_rows(spark):
         model = toxicity.train(docs, none, "doc_id", "text", "toxic")
         assert len({r["score"] for r in toxicity.score(docs, model, "text").collect()}) == 1
     assert toxicity.score(docs.where("false"), model, "text").count() == 0
+
+
+def test_training_does_not_depend_on_how_files_are_split(spark):
+    """The sample in many small splits gives the weights that whole files give."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + k * k) % 97}" for k in range(60)) + (" vile" if i % 4 == 0 else "")) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600)], "doc_id long, toxic int")
+    models = []
+    for size in ("128m", "4k"):
+        before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            models.append(toxicity.train(docs, labels, "doc_id", "text", "toxic", rounds=2))
+        finally:
+            for c, v in before.items():
+                spark.conf.set(c, v)
+    assert np.array_equal(models[0][0], models[1][0]) and np.allclose(models[0][1], models[1][1]) and models[0][2] == pytest.approx(models[1][2])
+
+
+def test_one_id_with_very_many_texts_stays_bounded(spark):
+    docs = spark.createDataFrame([(1 if i < 300 else i, f"text {i} of words") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in [1, *range(300, 400)]], "doc_id long, toxic int")
+    few = docs.where("doc_id <> 1").union(docs.where("doc_id = 1").orderBy(F.xxhash64("text")).limit(4))
+    all_, some = (toxicity.train(d, labels, "doc_id", "text", "toxic", rounds=1, texts_per_id=4) for d in (docs, few))
+    assert np.array_equal(all_[0], some[0]) and np.allclose(all_[1], some[1])
