@@ -71,7 +71,8 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(pairs between fingerprint classes with their likeness, membership of every row).
 
-    Membership has the id and the class (the smallest id with that fingerprint). Classes
+    Membership has the id and the class, which is named by the digest of its fingerprint, so
+    equal and null ids are told apart like any others. Classes
     fall into partitions by set length, of lengths that differ by less than the threshold,
     so a class meets only its own and the next partition. In a partition, sets meet on their
     rarest signatures: two sets with likeness of at least t share one of the first
@@ -79,7 +80,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).alias("id"), signatures(F.col(text_col).cast("string")).alias("sigs"))
     rows = materialize(rows.withColumn("print", F.sha2(F.array_join("sigs", ","), 256)), "spots")
-    members = rows.groupBy("print").agg(F.min("id").alias("class"), F.first("sigs").alias("sigs"), F.size(F.first("sigs")).alias("n"))
+    members = rows.groupBy(F.col("print").alias("class")).agg(F.first("sigs").alias("sigs"), F.size(F.first("sigs")).alias("n"))
     classes = materialize(members.where("n > 0"), "spot-classes")
     rarity = classes.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
     prefix = (classes.select("class", "n", F.explode("sigs").alias("sig")).join(rarity, "sig")
@@ -95,7 +96,7 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = classes.select("class", "sigs")
     pairs = (pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
              .select("a", "b", likeness(F.col("sa"), F.col("sb")).alias("likeness")).where(F.col("likeness") >= threshold))
-    return pairs, rows.join(members.select("print", "class"), "print").select(F.col("id").alias(id_col), "class")
+    return pairs, rows.select(F.col("id").alias(id_col), F.col("print").alias("class"))
 
 
 def _bounds(keys: DataFrame, n: int) -> list[int]:

@@ -217,6 +217,23 @@ def test_near_pairs_match_brute_force(spark, threshold):
     pairs, members = spotsigs.near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold)
     home = {r["doc_id"]: r["class"] for r in members.collect()}
     sets = {i: brute_signatures(t) for i, t in rows}
-    classes = [i for i in home if home[i] == i and sets[i]]
-    want = {(min(a, b), max(a, b)) for a in classes for b in classes if a != b and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])}
-    assert {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in pairs.collect()} == want and home[102] == 0 and len(home) == len(rows)
+    classes = {home[i]: sets[i] for i in home if sets[i]}
+    want = {(min(a, b), max(a, b)) for a in classes for b in classes
+            if a != b and len(classes[a] & classes[b]) >= threshold * len(classes[a] | classes[b])}
+    assert {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in pairs.collect()} == want and len(home) == len(rows)
+    assert home[102] == home[0] and all((home[i] == home[j]) == (sets[i] == sets[j]) for i in home for j in home)
+
+
+def test_near_pairs_of_equal_and_null_ids(spark):
+    """Texts under one id, or none, are classes of their own and keep their own links."""
+    words = [f"the w{k} x{k} y{k}" for k in range(40)]
+    a, b = " ".join(words[:20]), " ".join(words[20:])
+    near_a, near_b = a + " the extra one two", b + " the other one two"
+    rows = [(7, a), (7, b), (8, near_a), (9, near_b), (None, a + " the last two words"), (None, "the lone text of few words here")]
+    pairs, members = spotsigs.near_pairs(spark.createDataFrame(rows, "doc_id long, text string"))
+    home = {(r["doc_id"], n): r["class"] for n, r in enumerate(members.orderBy("doc_id", "class").collect())}
+    found = {frozenset((r["a"], r["b"])) for r in pairs.collect()}
+    print_of = {t: spark.createDataFrame([(t,)], "t string").select(F.sha2(F.array_join(spotsigs.signatures(F.col("t")), ","), 256)).first()[0] for _, t in rows}
+    assert set(home.values()) == set(print_of.values()) and len(home) == len(rows)
+    assert frozenset((print_of[a], print_of[near_a])) in found and frozenset((print_of[b], print_of[near_b])) in found
+    assert not any(print_of[x] in f and print_of[y] in f for f in found for x in (a, near_a) for y in (b, near_b))
