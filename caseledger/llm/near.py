@@ -23,20 +23,21 @@ null. Ties cannot occur: the smallest id represents a component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, LongType
 
 from caseledger.llm.words import ODD, batches, grams, hash_words, mix, table
 from caseledger.session import materialize
 
 COORDINATES, ROWS, SHINGLE = 96, 4, 5
 BANDS = COORDINATES // ROWS
-TILE, TILE_BYTES, FAMILY, CELLS_BITS = 1024, 8 << 20, 16_384, 24
+TILE, TILE_BYTES, FAMILY, LEAST_BITS, MOST_BITS = 1024, 8 << 20, 16_384, 16, 26
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -109,26 +110,41 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.mapInPandas(run, "id long, key binary, n long, bands array<long>, codes binary")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """(cid, key, text) to (cid, shingles) of the texts that have that key."""
+def full_sets(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(text) and (cid, key) to (cid, n, shingles): the set of each asked class, as packed sorted numbers.
+
+    Texts and classes meet on the digest of the words alone, so it does not matter how many
+    rows share an id; copies of a class give equal sets, of which one stays.
+    """
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             for pdf in parts:
-                texts = pdf["text"].tolist()
-                for a, b in batches(texts):
-                    sets, keys = shingle_sets(texts[a:b])
-                    mine = [i for i in range(b - a) if keys[i] == bytes(pdf["key"].iloc[a + i])]
-                    yield pd.DataFrame({"cid": pdf["cid"].iloc[[a + i for i in mine]].to_numpy(), "shingles": [sets[i].view(np.int64) for i in mine]})
-    return docs.mapInPandas(run, "cid long, shingles array<long>").dropDuplicates(["cid"])
+                all_texts = pdf["text"].tolist()
+                for a, b in batches(all_texts):
+                    sets, keys = shingle_sets(all_texts[a:b])
+                    yield pd.DataFrame({"key": keys, "n": np.array([len(s) for s in sets], np.int64), "shingles": [s.tobytes() for s in sets]})
+    sets = may_match(texts.select("text").mapInPandas(run, "key binary, n long, shingles binary"), "key", asked.select("key"))
+    found = sets.where("__may").select("key", "n", "shingles").join(asked.select("cid", "key"), "key")
+    return found.groupBy("cid").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+
+
+@F.pandas_udf(LongType())
+def _in_both(a: pd.Series, b: pd.Series) -> pd.Series:
+    """How many numbers two packed sorted sets share."""
+    return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                      for x, y in zip(a, b)], dtype="int64")
 
 
 def may_match(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """``rows`` with ``__may``: False only where ``column`` is certainly not among ``ids``.
 
-    The ids set bits of a bitmap of 2**24 cells (at most 2**18 rows, 4 MB), which is small
-    enough to broadcast at any size of the input.
+    The ids set bits of a bitmap of 16 cells for each, from 2**16 cells to 2**26 (at most 2**20
+    rows, 16 MB), which is small enough to broadcast at any size of the input; beyond four
+    million ids more rows pass, and the join that follows stays exact.
     """
-    cell = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << CELLS_BITS))
+    n = ids.count()
+    bits = min(max(math.ceil(math.log2(16 * max(n, 1))), LEAST_BITS), MOST_BITS)
+    cell = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits))
     bits = ids.toDF(column).select(cell.alias("c")).select(F.shiftright("c", 6).alias("__word"), F.expr("shiftleft(1L, cast(c % 64 as int))").alias("bit")).groupBy("__word").agg(F.bit_or("bit").alias("__bits"))
     rows = rows.withColumn("__cell", cell).withColumn("__word", F.shiftright("__cell", 6))
     rows = rows.join(F.broadcast(bits), "__word", "left")
@@ -154,16 +170,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have an intersection of at least ``percent`` of their union."""
-    left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     rows = pairs.join(left, "a").join(right, "b")
-    rows = rows.where(100 * F.least(F.size("sa"), F.size("sb")) >= percent * F.greatest(F.size("sa"), F.size("sb")))
-    rows = rows.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+    rows = rows.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    rows = rows.select("a", "b", (F.col("na") + F.col("nb")).alias("total"), _in_both("sa", "sb").alias("both"))
     return rows.where(100 * F.col("both") >= percent * (F.col("total") - F.col("both"))).select("a", "b")
 
 
 def linked_within(rows: DataFrame, members: DataFrame, sets: DataFrame, percent: int, slack: float = 0.19) -> DataFrame:
-    """(group, cid, root, codes) and (cid, shingles) to links (a, b) that join different roots of a group.
+    """(group, cid, root, codes) and (cid, n, shingles) to links (a, b) that join different roots of a group.
 
     A group is cut into tiles of about ``TILE`` members and at most ``TILE_BYTES``; each pair of
     tiles is one row of bounded size. There, pairs of
@@ -175,13 +191,13 @@ def linked_within(rows: DataFrame, members: DataFrame, sets: DataFrame, percent:
     rows = rows.join(members, "group").withColumn("tile", F.pmod(F.xxhash64("cid"), tiles).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     # The sets join by class, so that a family's blocks are dealt apart.
-    blocks = rows.join(sets, "cid").groupBy("group", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
+    blocks = rows.join(sets.select("cid", "shingles"), "cid").groupBy("group", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j")).agg(
         F.collect_list(F.struct("cid", "root", "tile", "codes", "shingles")).alias("rows"))
 
     def links(i, j, rows) -> list[tuple[int, int]]:
         cid, root, tile = (np.array([r[c] for r in rows]) for c in ("cid", "root", "tile"))
         codes = np.frombuffer(b"".join(bytes(r["codes"]) for r in rows), np.uint8).reshape(len(rows), -1)
-        sets = [np.asarray(r["shingles"]) for r in rows]
+        sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
         names, at = np.unique(root, return_inverse=True)
         head = list(range(len(names)))
 
@@ -234,8 +250,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = materialize(banded.join(hubs, "bucket"), "shared")
     asked = shared.select("cid").distinct().join(classes.select("cid", "key", "least"), "cid")
     asked = materialize(asked, "asked")
+    # Rows with an id that is some class's smallest, or with none.
     texts = may_match(docs, "id", asked.select("least")).where("__may")
-    sets = materialize(full_sets(texts.join(asked, F.col("id").eqNullSafe(F.col("least"))).select("cid", "key", "text")), "sets")
+    sets = materialize(full_sets(texts, asked), "sets")
     stars = shared.where("cid <> hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     edges = materialize(confirmed(stars, sets, percent), "stars")
     roots = components(edges)

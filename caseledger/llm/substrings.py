@@ -3,40 +3,41 @@
 A window is ``WINDOW`` consecutive words. Every window has a minimizer, its run of six words of
 the smallest hash; windows that follow each other with the same minimizer form a segment.
 Equal windows have equal minimizers, so only segments whose minimizer at least two documents
-hold can repeat. Where all segments of a minimizer are equal, the smallest id that holds it is
-the answer. Otherwise its distinct segments, each with the smallest document id it occurs in,
-are dealt to a shard by minimizer and kept in an FM-index there: the Burrows-Wheeler transform
-of their words in a wavelet matrix. Backward search streams the
-windows of all segments through it; the interval that a whole window reaches gives the
-smallest document in which it starts. Occurrences in later documents are covered intervals;
-covered words are removed.
+hold can repeat. Each distinct one of these segments, with the smallest document id it occurs
+in, is dealt to a shard by minimizer and kept in an FM-index there: the Burrows-Wheeler
+transform of their words in a wavelet matrix. Backward search streams the windows of all
+segments through it; the interval that a whole window reaches gives the smallest document in
+which it starts. Where that is no smaller document than the segment's own, the segment as a whole
+is the interval that repeats; otherwise the shard reports the windows that start earlier.
+Occurrences in later documents are covered intervals; covered words are removed.
 
 A minimizer with very many distinct segments (more than ``HOT``) has them cut into their windows,
-which are dealt by their own hash, so no shard grows with one minimizer. Minimizers that are frequent
-in a sample are not gathered to find out that they are shared.
+which are dealt by their own hash, so no shard grows with one minimizer; distinct windows keep
+their smallest id, so the answers are the same. Minimizers meet in aggregations that combine
+where the rows are, and no row set of one minimizer is ever gathered in a task.
 
 Null and empty texts have no words. Rows with a null id are neither searched nor a source, so
-they lose nothing. Rows of equal id do not remove each other's words; repeated rows get equal
-results. Texts shorter than a window lose nothing.
+they lose nothing. Rows are told apart by a hash of their id and text: rows of equal id do not
+remove each other's words, and repeated rows get equal results. Texts shorter than a window
+lose nothing. Other columns of the input are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseledger.llm.near import may_match
 from caseledger.llm.words import ODD, batches, grams, hash_words, mix, table
-from caseledger.session import materialize
+from caseledger.session import materialize, staged
 
 WINDOW, GRAM = 13, 6
-HOT, SHARD_WORDS, SAMPLE, SALT = 20_000, 400_000, 5_000, 1_000
+HOT, SHARD_WORDS = 20_000, 400_000
 
 
 class WaveletMatrix:
@@ -132,11 +133,6 @@ def _segments(words: np.ndarray, offsets: np.ndarray):
     return owner[head], start[head] - offsets[owner[head]], start[tail] - start[head] + WINDOW, best[head].view(np.int64)
 
 
-def _variant(texts: list[str]) -> np.ndarray:
-    """16 bits of each text, to tell rows of equal id apart."""
-    return np.array([int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=2).digest(), "big") for t in texts], np.int64)
-
-
 def _hash_runs(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A hash of each run of words, from prefix sums of position-weighted hashes."""
     weights = np.full(len(words), ODD, np.uint64)
@@ -152,68 +148,71 @@ def _hash_runs(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return mix((total[starts + lengths] - total[starts]) * undo[starts] + lengths.astype(np.uint64)).view(np.int64)
 
 
-def minimizers(docs: DataFrame) -> DataFrame:
-    """(id, text) to (m, seg, id, place): the minimizer and the hash of each segment; place packs
-    its first word, its number of words and the row's variant."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with np.errstate(over="ignore"):
-            for pdf in parts:
-                texts, ids = pdf["text"].tolist(), pdf["id"].to_numpy(np.int64)
-                for a, b in batches(texts):
-                    words, offsets = hash_words(texts[a:b], lower=False)
-                    owner, first, n, m = _segments(words, offsets)
-                    if len(owner):
-                        place = first << 32 | n << 16 | _variant(texts[a:b])[owner]
-                        seg = _hash_runs(words, offsets[owner] + first, n)
-                        yield pd.DataFrame({"m": m, "seg": seg, "id": ids[a:b][owner], "place": place})
-    return docs.where("id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "m long, seg long, id long, place long")
-
-
-def _frequent(docs: DataFrame) -> DataFrame:
-    """Minimizers that many of a few sampled documents hold: certainly shared, so they need not be gathered.
-
-    The sample only decides how work is dealt. At most about SAMPLE documents are looked at,
-    and a minimizer must be in one of a hundred of them, so the list is short.
-    """
-    step = max(1, docs.count() // SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0)
-    held = minimizers(some).select("m", "id").distinct().groupBy("m").agg(F.count(F.lit(1)).alias("n"))
-    return held.where(F.col("n") >= max(2, SAMPLE // 100)).select("m", F.lit(True).alias("frequent"))
+def _each(parts: Iterator[pd.DataFrame], of) -> Iterator[pd.DataFrame]:
+    """``of`` (rows, their words, offsets) over pieces of bounded size."""
+    with np.errstate(over="ignore"):
+        for pdf in parts:
+            texts = pdf["text"].tolist()
+            for a, b in batches(texts):
+                words, offsets = hash_words(texts[a:b], lower=False)
+                out = of(pdf.iloc[a:b], words, offsets)
+                if out is not None:
+                    yield out
+
+
+def shared_minimizers(docs: DataFrame) -> DataFrame:
+    """(id, text) to the minimizers (m) that at least two ids hold, combined where they are found."""
+    def of(rows: pd.DataFrame, words: np.ndarray, offsets: np.ndarray) -> pd.DataFrame | None:
+        owner, _, _, m = _segments(words, offsets)
+        if not len(m):
+            return None
+        ids = rows["id"].to_numpy(np.int64)[owner]
+        order = np.lexsort((ids, m))
+        m, ids = m[order], ids[order]
+        head = np.flatnonzero(np.concatenate(([True], m[1:] != m[:-1])))
+        return pd.DataFrame({"m": m[head], "least": ids[head], "most": ids[np.append(head[1:], len(m)) - 1]})
+    held = docs.mapInPandas(lambda parts: _each(parts, of), "m long, least long, most long")
+    held = held.groupBy("m").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    return held.where("least < most").select("m")
+
+
+def segments(docs: DataFrame) -> DataFrame:
+    """(id, doc, text) to (m, seg, id, doc, place): the minimizer and the hash of each segment; place packs
+    its first word and its number of words."""
+    def of(rows: pd.DataFrame, words: np.ndarray, offsets: np.ndarray) -> pd.DataFrame | None:
+        owner, first, n, m = _segments(words, offsets)
+        if not len(m):
+            return None
+        return pd.DataFrame({"m": m, "seg": _hash_runs(words, offsets[owner] + first, n), "id": rows["id"].to_numpy(np.int64)[owner],
+                             "doc": rows["doc"].to_numpy(np.int64)[owner], "place": first << 32 | n})
+    return docs.mapInPandas(lambda parts: _each(parts, of), "m long, seg long, id long, doc long, place long")
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """(id, text, places) to the words of segments: (piece, m, seg, part, least, most, words).
+    """(text, places) to the words of segments: (piece, m, seg, part, least, words).
 
     A piece is the segment itself, or each window of a segment that is to be cut.
     """
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with np.errstate(over="ignore"):
-            for pdf in parts:
-                texts = pdf["text"].tolist()
-                for a, b in batches(texts):
-                    words, offsets = hash_words(texts[a:b], lower=False)
-                    variants, rows = _variant(texts[a:b]), []
-                    for i, (id_, places) in enumerate(zip(pdf["id"].iloc[a:b], pdf["places"].iloc[a:b])):
-                        own = words[offsets[i]:offsets[i + 1]]
-                        short = (own >> np.uint64(32)).astype(np.uint32)
-                        for p in places:
-                            place, m = p["place"], p["m"]
-                            first, n = place >> 32, place >> 16 & 0xFFFF
-                            if place & 0xFFFF != variants[i] or first + n > len(own):
-                                continue
-                            if p["often"]:
-                                at = first + np.arange(n - WINDOW + 1)
-                                keys = _hash_runs(own, at, np.full(len(at), WINDOW))
-                                rows += [(int(key), int(key), p["seg"], k, id_, p["most"], short[at[k]:at[k] + WINDOW].tobytes()) for k, key in enumerate(keys)]
-                            else:
-                                rows.append((p["seg"], m, p["seg"], 0, id_, p["most"], short[first:first + n].tobytes()))
-                    yield pd.DataFrame(rows, columns=["piece", "m", "seg", "part", "least", "most", "words"])
-    return texts.mapInPandas(run, "piece long, m long, seg long, part long, least long, most long, words binary")
+    def of(rows: pd.DataFrame, words: np.ndarray, offsets: np.ndarray) -> pd.DataFrame | None:
+        out = []
+        for i, places in enumerate(rows["places"]):
+            own = words[offsets[i]:offsets[i + 1]]
+            short = (own >> np.uint64(32)).astype(np.uint32)
+            for p in places:
+                first, n = p["place"] >> 32, p["place"] & 0xFFFFFFFF
+                if p["often"]:
+                    at = first + np.arange(n - WINDOW + 1)
+                    keys = _hash_runs(own, at, np.full(len(at), WINDOW))
+                    out += [(int(key), int(key), p["seg"], k, p["least"], short[at[k]:at[k] + WINDOW].tobytes()) for k, key in enumerate(keys)]
+                else:
+                    out.append((p["seg"], p["m"], p["seg"], -1, p["least"], short[first:first + n].tobytes()))
+        return pd.DataFrame(out, columns=["piece", "m", "seg", "part", "least", "words"]) if out else None
+    return texts.mapInPandas(lambda parts: _each(parts, of), "piece long, m long, seg long, part long, least long, words binary")
 
 
 def _search(shards: DataFrame) -> DataFrame:
-    """(shard, seg, least, most, words) sorted by shard to (seg, sources): the smallest id for each window of the
-    segment, for segments of which at least one occurrence loses words."""
+    """(shard, piece, least, words) sorted by shard to (piece, part, source): the windows of a piece that start in a
+    smaller id than the piece itself, and that id."""
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         words, least = rows["words"].tolist(), rows["least"].to_numpy()
         raw = np.frombuffer(b"".join(words), np.uint32)
@@ -224,9 +223,10 @@ def _search(shards: DataFrame) -> DataFrame:
         count = np.diff(offsets) - WINDOW + 1
         starts = np.repeat(offsets[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         found = np.concatenate([index.least(symbols, starts[k:k + 500_000], WINDOW) for k in range(0, len(starts), 500_000)])
-        used = np.flatnonzero((least < rows["most"].to_numpy()) | (np.minimum.reduceat(found, np.cumsum(count) - count) < least))
-        sources = np.split(found, np.cumsum(count)[:-1])
-        return pd.DataFrame({"seg": rows["seg"].to_numpy()[used], "sources": [sources[k] for k in used]})
+        owner = np.repeat(np.arange(len(count)), count)
+        earlier = np.flatnonzero(found < least[owner])
+        part = earlier - (np.cumsum(count) - count)[owner[earlier]]
+        return pd.DataFrame({"piece": rows["piece"].to_numpy()[owner[earlier]], "part": part, "source": found[earlier]})
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, shard = [], None
@@ -239,58 +239,65 @@ def _search(shards: DataFrame) -> DataFrame:
                 held.append(rows)
         if held:
             yield one(pd.concat(held))
-    return shards.mapInPandas(run, "seg long, sources array<long>")
-
-
-def repeats(docs: DataFrame) -> DataFrame:
-    """(id, text) to (id, places): the runs of words whose windows also start in a smaller id, packed as places."""
-    rows = minimizers(docs).join(F.broadcast(_frequent(docs)), "m", "left")
-    # Frequent minimizers are known to be shared; a salt keeps their rows apart.
-    rows = rows.withColumn("salt", F.when(F.col("frequent"), F.pmod(F.xxhash64("id", "place"), F.lit(SALT))).otherwise(0))
-    group = Window.partitionBy("m", "salt")
-    rows = rows.withColumns({"least": F.min("id").over(group), "most": F.max("id").over(group),
-                             "many": F.min("seg").over(group) != F.max("seg").over(group)})
-    rows = rows.withColumn("many", F.col("many") | F.coalesce("frequent", F.lit(False)))
-    # A minimizer with one segment only: its windows start in its least id.
-    rows = rows.where(F.col("many") & ((F.col("least") < F.col("most")) | F.col("frequent")) | (F.col("least") < F.col("id")))
-    rows = materialize(rows.select("id", "place", F.when(F.col("many"), F.col("m")).alias("m"), F.when(F.col("many"), F.col("seg")).alias("seg")), "shared")
-    whole, open_ = rows.where("seg IS NULL").select("id", "place"), rows.where("seg IS NOT NULL")
-    unique = open_.groupBy("seg").agg(F.min("m").alias("m"), F.min("id").alias("least"), F.max("id").alias("most"), F.min_by("place", F.struct("id", "place")).alias("place"))
-    unique = materialize(unique, "distinct")
-    often = unique.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("m", F.lit(True).alias("often"))
-    split = not often.isEmpty()
-    marked = unique.join(often, "m", "left") if split else unique.withColumn("often", F.lit(False))
-    places = marked.groupBy(F.col("least").alias("id")).agg(F.collect_list(
-        F.struct("place", "m", "seg", "most", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
-    may = may_match(docs.where("text IS NOT NULL"), "id", unique.select("least")).where("__may").select("id", "text")
+    return shards.mapInPandas(run, "piece long, part long, source long")
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, doc): the name of a row is a hash of its id and text."""
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return docs.withColumn("doc", F.xxhash64("id", "text"))
+
+
+def _earlier(docs: DataFrame, unique: DataFrame, hot: int) -> DataFrame:
+    """(seg, least, doc, place) to (seg, parts): the windows of a segment that start in a smaller id than the segment."""
+    often = unique.groupBy("m").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("m", F.lit(True).alias("often"))
+    marked = unique.join(often, "m", "left")
+    places = marked.groupBy("doc").agg(F.collect_list(
+        F.struct("place", "m", "seg", "least", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
+    texts = may_match(docs, "doc", unique.select("doc")).where("__may").select("doc", "text")
     # Rows with equal id and text bring their pieces twice, which changes no answer.
-    cut = materialize(_cut(may.join(places, "id")), "pieces")
-    shards = max(1, math.ceil((cut.agg(F.sum(F.length("words") / 4)).first()[0] or 0) / SHARD_WORDS))
-    pieces = cut
-    if split:  # the same window may be cut from many segments; every answer is kept
-        pieces = cut.groupBy("piece").agg(F.min("least").alias("least"), F.first("m").alias("m"), F.first("words").alias("words")).withColumn("most", F.lit(2**63 - 1))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("m"), F.lit(shards)).cast("int"))
-    found = _search(dealt.select("shard", F.col("piece").alias("seg"), "least", "most", "words").repartition("shard").sortWithinPartitions("shard", "seg"))
-    if split:
-        parts = cut.select("piece", "seg", "part").join(found.withColumnRenamed("seg", "piece"), "piece")
-        found = parts.groupBy("seg").agg(F.sort_array(F.collect_set(F.struct("part", "sources"))).alias("p")).select(
-            "seg", F.flatten(F.transform("p", lambda x: x["sources"])).alias("sources"))
-    covered = open_.select("seg", "id", "place").join(found, "seg").where(F.exists("sources", lambda s: s < F.col("id")))
-    first = F.shiftright("place", 32)
-    windows = F.filter(F.transform("sources", lambda s, i: F.when(s < F.col("id"), F.shiftleft(first + i, 32).bitwiseOR(
-        F.lit(WINDOW << 16)).bitwiseOR(F.col("place").bitwiseAND(0xFFFF)))), lambda x: x.isNotNull())
-    covered = covered.select("id", F.explode(F.when(F.size(windows) == F.size("sources"), F.array("place")).otherwise(windows)).alias("place"))
-    return whole.union(covered).groupBy("id").agg(F.collect_set("place").alias("places"))
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    with staged(_cut(texts.join(places, "doc")), "pieces") as cut:
+        # Windows cut from several segments are one piece.
+        pieces = cut.where("part < 0").select("piece", "m", "least", "words").unionByName(
+            cut.where("part >= 0").groupBy("piece").agg(F.first("m").alias("m"), F.min("least").alias("least"), F.first("words").alias("words")))
+        shards = max(1, math.ceil((cut.agg(F.sum(F.length("words") / 4)).first()[0] or 0) / SHARD_WORDS))
+        dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("m"), F.lit(shards)).cast("int"))
+        found = _search(dealt.select("shard", "piece", "least", "words").repartition("shard").sortWithinPartitions("shard", "piece"))
+        windows = cut.where("part >= 0").select("piece", "seg", "part", "least")
+        sources = windows.groupBy("piece").agg(F.min("least").alias("source"))
+        windows = windows.join(sources, "piece").where("source < least").select("seg", "part", "source")
+        rows = found.withColumnRenamed("piece", "seg").unionByName(windows)
+        # At most as many as a segment has windows.
+        return materialize(rows.groupBy("seg").agg(F.collect_set(F.struct("part", "source")).alias("parts")), "earlier")
+
+
+def repeats(docs: DataFrame, hot: int | None = None) -> DataFrame:
+    """(id, text, doc) to (doc, places): the runs of words whose windows also start in a smaller id, packed as places."""
+    docs = docs.where("id IS NOT NULL AND text IS NOT NULL")
+    with staged(shared_minimizers(docs), "minimizers") as shared:
+        rows = may_match(segments(docs), "m", shared).where("__may").drop("__may").join(shared, "m")
+        with staged(rows, "segments") as rows:
+            unique = rows.groupBy("seg").agg(F.first("m").alias("m"), F.min("id").alias("least"),
+                                             F.min(F.struct("id", "doc", "place")).alias("at"))
+            with staged(unique.select("seg", "m", "least", "at.doc", "at.place"), "distinct") as unique:
+                earlier = _earlier(docs, unique, HOT if hot is None else hot)
+                held = rows.select("seg", "id", "doc", "place").join(unique.select("seg", "least"), "seg").join(earlier, "seg", "left")
+                first = F.shiftright("place", 32)
+                windows = F.transform(F.filter("parts", lambda p: p["source"] < F.col("id")),
+                                      lambda p: F.shiftleft(first + p["part"], 32).bitwiseOR(F.lit(WINDOW)))
+                covered = F.when(F.col("least") < F.col("id"), F.array("place")).otherwise(windows)
+                held = held.where("least < id OR parts IS NOT NULL").select("doc", F.explode(covered).alias("place"))
+                return materialize(held.groupBy("doc").agg(F.collect_set("place").alias("places")), "repeats")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int | None = None) -> DataFrame:
     """One row per row: the id, n_words, n_removed and the kept words joined by single spaces."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = materialize(repeats(docs), "repeats")
-    rows = may_match(docs, "id", found.select("id"))
+    docs = _keyed(docs, id_col, text_col)
+    found = repeats(docs, hot)
+    rows = may_match(docs, "doc", found.select("doc"))
     none = F.lit(None).cast("array<long>")
     rows = rows.where("NOT __may").select("id", "text", none.alias("places")).unionByName(
-        rows.where("__may").select("id", "text").join(found, "id", "left").select("id", "text", "places"))
+        rows.where("__may").select("id", "text", "doc").join(found, "doc", "left").select("id", "text", "places"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -301,10 +308,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 n.append(len(words))
                 if places is not None and len(words) >= WINDOW:
                     places, cover = np.asarray(places, np.int64), np.zeros(len(words) + 1, np.int64)
-                    first, stop = places >> 32, (places >> 32) + (places >> 16 & 0xFFFF)
-                    mine = (places & 0xFFFF == _variant([text])[0]) & (stop <= len(words))
-                    np.add.at(cover, first[mine], 1)
-                    np.add.at(cover, stop[mine], -1)
+                    first = places >> 32
+                    np.add.at(cover, first, 1)
+                    np.add.at(cover, first + (places & 0xFFFFFFFF), -1)
                     words = [w for w, c in zip(words, np.cumsum(cover)) if not c]
                 removed.append(n[-1] - len(words))
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))

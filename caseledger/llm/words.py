@@ -36,7 +36,7 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def batches(texts: Sequence[str | None], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def batches(texts: Sequence[str | None], most: int = 400_000) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of about ``most`` characters together."""
     start = size = 0
     for i, text in enumerate(texts):

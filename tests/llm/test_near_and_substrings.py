@@ -70,6 +70,32 @@ def test_residual_components_are_compared(spark, monkeypatch):
     assert sorted(got) == sorted(brute_components(rows))
 
 
+def test_families_of_either_size_give_equal_links(spark, monkeypatch):
+    """Above FAMILY a family is compared bucket by bucket, below it in full; recall of the links is printed."""
+    rng = random.Random(12)
+    rows = list(enumerate(family(rng, 120, 90, 1) + family(rng, 40, 40, 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute_components(rows))
+    for size in (near.FAMILY, 20):
+        monkeypatch.setattr(near, "FAMILY", size)
+        got = sorted(tuple(r) for r in near.near_components(docs).select("doc_id", "n_shingles", "component_id").collect())
+        print(f"families up to {size}: {sum(a == b for a, b in zip(got, want)) / len(want):.3f} of the components are right")
+        assert got == want
+
+
+def test_near_copies_under_one_id_and_none(spark):
+    """Two thousand near copies that share an id, and as many without one, are one class each and link as texts do."""
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    for one_id in (7, None):
+        rows = [(one_id, " ".join(base[:k % 200] + [f"v{k}"] + base[k % 200 + 1:])) for k in range(2_000)] + [(one_id, "quite another text of six words")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        out = near.near_components(docs).select("n_shingles", "component_id", "component_key").collect()
+        assert len(out) == len(rows) and len({r["component_key"] for r in out}) == 2 and {r["component_id"] for r in out} == {one_id}
+        kept = near.deduplicate(docs).collect()
+        assert len(kept) == 2
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2**63, 400, dtype=np.uint64)
@@ -131,12 +157,25 @@ def test_removal_matches_brute_force(spark, monkeypatch):
     for hot, shard in ((substrings.HOT, substrings.SHARD_WORDS), (3, 300)):
         monkeypatch.setattr(substrings, "HOT", hot)
         monkeypatch.setattr(substrings, "SHARD_WORDS", shard)
-        monkeypatch.setattr(substrings, "SAMPLE", shard)
         got = [(r[0], r[1], r[2], hashlib.sha256(r[3].encode()).hexdigest()) for r in substrings.remove_repeats(docs).collect()]
         assert sorted(got, key=key) == sorted(brute_removal(rows), key=key)
     assert substrings.remove_repeats(docs.where("false")).count() == 0
 
 
+def test_removal_of_rows_of_one_id(spark):
+    """Very many rows of one id, and of none: each loses its own words, and none to another of them."""
+    rng = random.Random(6)
+    common = [f"p{rng.randrange(50)}" for _ in range(40)]
+    rows = [(3, " ".join(common))]
+    for k in range(1_500):
+        w = [f"w{rng.randrange(300)}" for _ in range(30)]
+        w[k % 25:k % 25] = common[:13 + k % 28]
+        rows.append((7 if k % 4 else None, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r[0], r[1], r[2], hashlib.sha256(r[3].encode()).hexdigest()) for r in substrings.remove_repeats(docs).collect()]
+    assert sorted(got, key=key) == sorted(brute_removal(rows), key=key)
+
+
 def test_wavelet_rank_and_fm_search():
     rng = np.random.default_rng(5)
     s = rng.integers(0, 37, 1000)
