@@ -7,6 +7,8 @@ dropped at the first stage. An empty table passes through every stage.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from caseledger.llm import language, mixing, near, packing, pseudonyms
 from caseledger.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+NEAR_PERCENT = 80
+KEY_SETTING = "spark.caseledger.pseudonymKey"
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,13 +31,21 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near.deduplicate(docs).select(*COLUMNS)
+    """One document of each group of near-duplicates: five-word shingles, a likeness of 0.8 or more."""
+    return near.deduplicate(docs, percent=NEAR_PERCENT).select(*COLUMNS)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data under pseudonyms; n_chars follows the text."""
-    return pseudonyms.pseudonymize(docs, pseudonyms.DEMO_KEY, n_chars_col="n_chars").select(*COLUMNS)
+    """Personal data under pseudonyms; n_chars follows the text.
+
+    The key is the session's setting ``spark.caseledger.pseudonymKey``. Without it the key is the
+    public one of the examples, with which anyone can undo the pseudonyms; a warning says so.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: the pseudonyms are made with the public key of the examples", stacklevel=2)
+        key = pseudonyms.DEMO_KEY
+    return pseudonyms.pseudonymize(docs, key, n_chars_col="n_chars").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
