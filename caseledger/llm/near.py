@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType
 
-from caseledger.llm.words import ODD, batches, grams, hash_words, mix, table
+from caseledger.llm.words import ODD, batches, grams, hash_words, mix, small_batches, table
 from caseledger.session import materialize
 
 COORDINATES, ROWS, SHINGLE = 96, 4, 5
 BANDS = COORDINATES // ROWS
 TILE, TILE_BYTES, FAMILY, LEAST_BITS, MOST_BITS = 1024, 8 << 20, 16_384, 16, 26
+# Rows of texts or sets, and blocks of two tiles, that a Python worker takes at once.
+ROWS_AT_ONCE, BLOCKS_AT_ONCE = 1000, 4
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -241,6 +243,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with equal ids share it. The component_key is one: the key of the component's row with the
     smallest id (of equal ids, with the smallest key).
     """
+    with small_batches(docs.sparkSession, ROWS_AT_ONCE):
+        return _near_components(docs, id_col, text_col, percent)
+
+
+def _near_components(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(sketches(docs), "sketches")
     classes = rows.groupBy("key").agg(F.min("id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("codes").alias("codes"))
@@ -270,8 +277,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = groups.join(classes.select("cid", "codes", "n"), "cid")
     members = groups.groupBy("group").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("members"),
                                           F.sum("n").alias("elements")).where("x < y").select("group", "members", "elements")
-    edges = edges.union(linked_within(groups.select("group", "cid", "root", "codes"), members, sets, percent))
-    roots = components(edges)
+    with small_batches(docs.sparkSession, BLOCKS_AT_ONCE):
+        links = materialize(linked_within(groups.select("group", "cid", "root", "codes"), members, sets, percent), "links")
+    roots = components(edges.union(links))
     named = classes.select("cid", "key", "least").join(roots.withColumnRenamed("v", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = materialize(named, "named")
     first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "key"))

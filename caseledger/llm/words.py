@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,6 +90,21 @@ def grams(words: np.ndarray, offsets: np.ndarray, n: int):
     return mix(out[whole]), np.concatenate(([0], np.cumsum(runs)))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """At most so many rows reach a Python worker at once, in the jobs that run inside the block.
+
+    Rows that hold a text or a set are large, and a worker holds a batch several times over.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(n))
