@@ -16,12 +16,19 @@ from caseledger.llm import language, mixing, near, packing, pseudonyms
 from caseledger.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-NEAR_PERCENT = 80
+NEAR_PERCENT, TEXTS_AT_ONCE = 80, 1000
 KEY_SETTING = "spark.caseledger.pseudonymKey"
 
 
+def _few_texts_at_once(spark: SparkSession) -> None:
+    """Python workers get a thousand rows at a time from here on: rows are whole texts, and of ten thousand of
+    them (Spark's default) a worker would hold some hundred megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXTS_AT_ONCE)
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; texts without a letter go. Where no language can be learned, only they go."""
+    _few_texts_at_once(spark)
     docs = docs.select(*COLUMNS)
     model = language.fit(language.learned_from(docs), "text", "lang")
     if model is None:
@@ -32,6 +39,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, a likeness of 0.8 or more."""
+    _few_texts_at_once(spark)
     return near.deduplicate(docs, percent=NEAR_PERCENT).select(*COLUMNS)
 
 
