@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from caseledger.functions.packets import EVENTS, validate_column
 from caseledger.schemas import (APPLICATION_XML, CDC_ROWS, MASTER_TABLES, PAYMENT_TRANSACTIONS,
                                 QUARANTINE, conform)
-from caseledger.session import materialize
+from caseledger.session import materialize, staged
 from caseledger.sources.readers import (SnapshotErrors, jdbc_snapshot, scan_api_payments,
                                         scan_raw_documents)
 from caseledger.sources.tables import append_partitioned, write_quarantine
@@ -68,10 +68,13 @@ def validate_packets(raw: DataFrame, events: Sequence[str] = EVENTS, stage: bool
     return split_valid_invalid(materialize(validated, "packets") if stage else validated)
 
 
-def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str) -> None:
-    accepted, rejected = validate_packets(scan_raw_documents(spark, landing), stage=True)
-    append_partitioned(accepted, table)
-    write_quarantine(rejected, quarantine)
+def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
+               pattern: str = "*.xml") -> None:
+    """Landed files to Bronze packets and, with their reasons, to the quarantine; parsed once."""
+    with staged(validate_documents(scan_raw_documents(spark, landing, pattern)), "packets") as checked:
+        accepted, rejected = split_valid_invalid(checked)
+        append_partitioned(accepted, table)
+        write_quarantine(rejected, quarantine)
 
 
 def ingest_api_payments(spark: SparkSession, landing: str, table: str) -> None:

@@ -14,7 +14,8 @@ from caseledger.operators.joins import disjoint_ranges, lookup
 from caseledger.operators.keys import with_unknown_member
 from caseledger.operators.ranking import latest
 from caseledger.operators.scd2 import current_attributes, scd2_apply
-from caseledger.sources.tables import delete_where, mirror_jdbc, replace_all, upsert_current_state
+from caseledger.sources.tables import (delete_where, mirror_jdbc_staged, replace_all,
+                                       upsert_current_state)
 from caseledger.sources.readers import read_optional
 
 # Texts of the unknown officer and of a missing role.
@@ -110,8 +111,8 @@ def build_dimension(spark: SparkSession, spec: Versioned, snapshot: DataFrame,
     publish(scd2_apply(read_optional(spark, table), snapshot, spec.key, spec.tracked, spec.sk), spec, table)
     stored = spark.table(table)
     if serving_url:
-        mirror_jdbc(current_attributes(stored, [spec.key, *spec.tracked]), serving_url,
-                    spec.table, **jdbc)
+        mirror_jdbc_staged(current_attributes(stored, [spec.key, *spec.tracked]), serving_url,
+                           spec.table, **jdbc)
     return stored
 
 
@@ -131,7 +132,7 @@ def build_calendar(spark: SparkSession, table: str = "dim_thoi_gian", today: dat
         upsert_current_state(added, table, "thoi_gian_id", buckets=1)
     stored = spark.table(table).drop("key_bucket")
     if serving_url:
-        mirror_jdbc(stored, serving_url, "dim_thoi_gian", **jdbc)
+        mirror_jdbc_staged(stored, serving_url, "dim_thoi_gian", **jdbc)
     return stored
 
 

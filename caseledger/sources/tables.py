@@ -222,8 +222,33 @@ def upsert_current_state(df: DataFrame, table: str, keys: str | Sequence[str],
             kept = latest(both, names, [*columns_of(order), "_new"]).drop("_new")
         else:
             kept = anti_join(stored, batch, names).unionByName(_aligned(batch, table))
-        with _dynamic_overwrite(spark):
-            insert_rows(kept, table, overwrite=True)
+        _publish_partitions(kept, table, BUCKET, _touched(batch))
+
+
+def _publish_partitions(df: DataFrame, table: str, column: str, values: Sequence[int]) -> None:
+    """Make the partitions ``column`` in ``values`` hold exactly the rows of ``df``.
+
+    The rows are written beside the table first; then the pointer of each partition is moved
+    in the catalog, or dropped if no row belongs to it. A reader sees the old or the new rows
+    of a partition, and a crash in between leaves each partition as it was or as it will be; the
+    same call then completes the rest. Older files stay until the deployment's clean-up.
+    """
+    spark = df.sparkSession
+    if (keys := partition_columns(spark, table)) != [column]:
+        raise ValueError(f"{table} is laid out by {keys}, not by {column} alone")
+    folder = f"{_property(spark, table, 'versions', None) or _home(spark, table)}/p{time.time_ns():019d}"
+    (_aligned(df, table).hint("rebalance", *keys).write.option("partitionOverwriteMode", "static")
+     .partitionBy(*keys).parquet(folder))
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for value in values:
+        spec, place = f"`{column}` = {value}", f"{folder}/{column}={value}"
+        if not fs.exists(path(place)):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+            continue
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
 
 
 def _property(spark: SparkSession, table: str, name: str, default) -> str:
@@ -258,20 +283,13 @@ def _home(spark: SparkSession, table: str) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_versions/{table.replace('`', '').replace('.', '/')}"
 
 
-def _files_of(spark: SparkSession, table: str, condition: Column) -> set[str]:
-    """File names behind some partitions: one short row per file, no data columns."""
-    found = fresh(spark, table).where(condition).select(F.col("_metadata.file_path").alias("f"))
-    return {row["f"] for row in found.distinct().collect()}
-
-
 def replace_partition(df: DataFrame, table: str, column: str, value: int,
                       location: str | None = None) -> None:
     """Make ``column = value`` hold exactly the rows of ``df``; other partitions stay.
 
-    A row of another partition raises. On Parquet tables the partition's files are removed
-    and then renamed into place, so readers may see it empty for a moment and a crash in
-    between leaves it empty until the call is repeated; catalogs with transactions commit
-    the same call as one overwrite by filter.
+    A row of another partition raises. On Parquet tables the rows are written beside the table
+    and the partition's pointer is moved to them, so readers see the old rows or the new ones;
+    catalogs with transactions commit the same call as one overwrite by filter.
     """
     spark = df.sparkSession
     chosen = F.col(column) == F.lit(value)
@@ -284,13 +302,7 @@ def replace_partition(df: DataFrame, table: str, column: str, value: int,
         _aligned(only, table).writeTo(table).overwrite(chosen)
         return
     create_or_evolve(only, table, column, location)
-    before = _files_of(spark, table, chosen)
-    with _dynamic_overwrite(spark):
-        insert_rows(only, table, overwrite=True)
-    # Dynamic overwrite leaves a partition alone when no row belongs to it: its old files
-    # are then still there and must go.
-    if before and _files_of(spark, table, chosen) == before:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = {value})")
+    _publish_partitions(only, table, column, [value])
 
 
 def drop_column(table_df: DataFrame, table: str, column: str) -> None:

@@ -53,12 +53,14 @@ def stream_upsert(df: DataFrame, table: str, keys: Sequence[str], checkpoint: st
                   buckets: int = 64, name: str | None = None) -> StreamingQuery:
     """Keyed upsert of every micro-batch: a replayed batch changes nothing.
 
-    ``order`` picks the row that wins when one batch holds a key twice. Each batch
+    ``order`` says which row of a key is the newest, of one batch and of what is stored, and must
+    be given: without it a replayed older batch could undo a newer one. Each batch
     rewrites the buckets it touches, so for a large table and a fast trigger prefer
     :func:`stream_new_only` (transitions never change) or a catalog with ``MERGE``.
     """
-    ordering = list(order) or [c for c in df.columns if c not in keys]
-    return _start(df, lambda batch, _: upsert_current_state(batch, table, keys, ordering, buckets),
+    if not order:
+        raise ValueError("name the columns that order the rows of a key")
+    return _start(df, lambda batch, _: upsert_current_state(batch, table, keys, list(order), buckets),
                   checkpoint, trigger, name)
 
 

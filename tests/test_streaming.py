@@ -89,7 +89,9 @@ def test_restart_between_batches_and_late_rows(spark, folder, name, topics):
 
     def run(checkpoint):
         sinks.stream_upsert(fact(topics).select("ho_so_id", "id", "trang_thai_id"), t, ["ho_so_id", "id"],
-                            f"{folder}/{checkpoint}", None, buckets=2).awaitTermination()
+                            f"{folder}/{checkpoint}", None, order=["trang_thai_id"], buckets=2).awaitTermination()
+    with pytest.raises(ValueError, match="order"):
+        sinks.stream_upsert(fact(topics), t, ["ho_so_id", "id"], f"{folder}/none", None)
     app.send(app_change("a", 1, 2, T))
     hist.send(hist_change("h0", "zzz", 1, 2, T))
     run("ck")

@@ -293,9 +293,8 @@ def not_null_keys(spark, sf):
 
 # --- silver entities on parsed input ------------------------------------------------------
 
-def api_payments(spark, sf):
-    """Events landed as JSON arrays of up to 500 payments per file, and read back."""
-    zone = scratch_path(spark, "api")
+def land_payments(spark, sf, zone):
+    """Events as JSON arrays of up to 500 payments per file."""
     row = F.struct(F.concat(F.lit("HS_"), "event_id").alias("id_ban_ghi"),
                    F.when(F.col("event_type") == "error", "FAILED").otherwise("SUCCESS")
                    .alias("payment_status"), F.concat(F.lit("TAX"), "event_id").alias("tax_code"),
@@ -305,6 +304,12 @@ def api_payments(spark, sf):
     (B.table(spark, sf, "events").groupBy(F.floor(F.col("event_id") / 500).alias("file_no"))
      .agg(F.to_json(F.collect_list(row)).alias("value")).select("value")
      .write.option("maxRecordsPerFile", 1).text(zone))
+
+
+def api_payments(spark, sf):
+    """The landed payments, read back."""
+    zone = scratch_path(spark, "api")
+    land_payments(spark, sf, zone)
     return conform(readers.scan_api_payments(spark, zone), PAYMENT_TRANSACTIONS)
 
 
