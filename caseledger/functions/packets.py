@@ -1,7 +1,8 @@
 """Validation of XML packet files and their conversion to JSON payloads.
 
 Tags may nest to any depth and differ from file to file, which no ``from_xml`` schema
-can declare, and the SQL ``xpath`` functions raise on malformed text. So a file is
+can declare, and the SQL ``xpath`` functions raise on malformed text. So a file that is not of
+a declared layout (:mod:`caseledger.functions.layouts`) is
 parsed once, in an Arrow-batched function that only reports what is there; the rules and
 everything after them are column expressions.
 """
@@ -96,10 +97,10 @@ def packet_problem(packet: Column, events: Sequence[str] = EVENTS) -> Column:
             .when(packet["data_payload"].isNull(), REASONS["no_data"]))
 
 
-def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
-    """Struct ``(is_valid, error_msg, packets)``; one bad packet rejects its whole file.
+def judged_column(text: Column, parsed: Column, events: Sequence[str] = EVENTS) -> Column:
+    """Struct ``(is_valid, error_msg, packets)`` of a file by what a parser found in it.
 
-    The rules are column expressions over what :func:`parse_column` found.
+    One bad packet rejects its whole file. Null where the parser gave null.
     """
     def with_detail(reason: str, detail: Column) -> Column:
         return F.replace(F.lit(REASONS[reason]), F.lit("{detail}"), detail)
@@ -111,8 +112,13 @@ def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
                   .when(parsed["failure"].isNotNull(), with_detail("other", parsed["failure"]))
                   .when(F.size(parsed["found"]) == 0, REASONS["no_packet"]).otherwise(F.get(broken, F.lit(0))))
         rows = F.transform(parsed["found"], lambda p: F.struct(*[p[f.name].alias(f.name) for f in PACKET]))
-        return F.transform(F.array(reason), lambda r: F.struct(
+        return F.when(parsed.isNotNull(), F.transform(F.array(reason), lambda r: F.struct(
             r.isNull().alias("is_valid"), r.alias("error_msg"),
-            F.when(r.isNull(), rows).otherwise(F.array().cast(ArrayType(PACKET))).alias("packets")))[0]
+            F.when(r.isNull(), rows).otherwise(F.array().cast(ArrayType(PACKET))).alias("packets")))[0])
+
+    return F.transform(F.array(parsed), judged)[0]
 
-    return F.transform(F.array(parse_column(text)), judged)[0]
+
+def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
+    """:func:`judged_column` of any file, by the tolerant parser."""
+    return judged_column(text, parse_column(text), events)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from caseledger.functions.packets import EVENTS, validate_column
-from caseledger.schemas import (APPLICATION_XML, CDC_ROWS, MASTER_TABLES, PAYMENT_TRANSACTIONS,
-                                QUARANTINE, conform)
+from caseledger.functions.layouts import declared_column
+from caseledger.functions.packets import EVENTS, judged_column, validate_column
+from caseledger.schemas import (APPLICATION_XML, CDC_ROWS, MASTER_TABLES, PACKET_DATA,
+                                PAYMENT_TRANSACTIONS, QUARANTINE, conform)
 from caseledger.session import materialize, staged
 from caseledger.sources.readers import (SnapshotErrors, jdbc_snapshot, scan_api_payments,
                                         scan_raw_documents)
@@ -35,18 +38,29 @@ def master_snapshot(spark: SparkSession, url: str, snapshot_id: str,
     return list(frames)
 
 
+def _without_accepted(checked: DataFrame) -> DataFrame:
+    """The text of accepted files is in their packets; it need not be staged again."""
+    return checked.withColumn("value", F.when(~F.coalesce("result.is_valid", F.lit(False)), F.col("value")))
+
+
 def validate_documents(raw: DataFrame, events: Sequence[str] = EVENTS,
                        spread: int | None = None) -> DataFrame:
-    """Add the validation result.
+    """Add the validation result of files of any layout.
 
     Landed files already arrive in many small splits. ``spread`` moves the texts over
     that many tasks first, for input that comes from a few large splits.
     """
     # By file name: a hash placement needs no sort of the texts to be repeatable.
     rows = raw.repartition(spread, "file_name") if spread else raw
-    checked = rows.withColumn("result", validate_column(F.col("value"), events))
-    # The text of accepted files is in their packets; it need not be staged again.
-    return checked.withColumn("value", F.when(~F.col("result.is_valid"), F.col("value")))
+    return _without_accepted(rows.withColumn("result", validate_column(F.col("value"), events)))
+
+
+def validate_declared(raw: DataFrame, layout: StructType = PACKET_DATA, events: Sequence[str] = EVENTS,
+                      spread: int | None = None) -> DataFrame:
+    """Add the validation result of files of one declared layout, without Python; null for others."""
+    rows = raw.repartition(spread, "file_name") if spread else raw
+    value = F.col("value")
+    return _without_accepted(rows.withColumn("result", judged_column(value, declared_column(value, layout), events)))
 
 
 def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,11 +82,21 @@ def validate_packets(raw: DataFrame, events: Sequence[str] = EVENTS, stage: bool
     return split_valid_invalid(materialize(validated, "packets") if stage else validated)
 
 
+@contextmanager
+def validated_files(raw: DataFrame, layout: StructType = PACKET_DATA,
+                    events: Sequence[str] = EVENTS) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(accepted, rejected) for the length of a block: files of the declared layout are parsed
+    in the JVM, and Python sees only the rest. Both are written once under the shared folder."""
+    with staged(validate_declared(raw, layout, events), "declared") as first:
+        rest = first.where("result IS NULL").drop("result")
+        with staged(validate_documents(rest, events), "undeclared") as second:
+            yield split_valid_invalid(first.where("result IS NOT NULL").unionByName(second))
+
+
 def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
-               pattern: str = "*.xml") -> None:
+               pattern: str = "*.xml", layout: StructType = PACKET_DATA) -> None:
     """Landed files to Bronze packets and, with their reasons, to the quarantine; parsed once."""
-    with staged(validate_documents(scan_raw_documents(spark, landing, pattern)), "packets") as checked:
-        accepted, rejected = split_valid_invalid(checked)
+    with validated_files(scan_raw_documents(spark, landing, pattern), layout) as (accepted, rejected):
         append_partitioned(accepted, table)
         write_quarantine(rejected, quarantine)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType,
                                StringType, StructType, TimestampType)
 
 _TYPES = {"string": StringType(), "int": IntegerType(), "bigint": LongType(),
@@ -52,6 +52,22 @@ DOCUMENT_ITEM = _schema("id string, name string, file_url string, Document_Typei
 PAYMENT_ITEM = _schema("amount string, method string, status string, "
                        "transaction_code string, paid_at string")
 
+
+
+def _items(tag: str, schema: StructType) -> StructType:
+    return StructType().add(tag, ArrayType(schema))
+
+
+# The content of <du_lieu> as the sources declare it, in the order they write it.
+PACKET_DATA = (
+    _schema("name string, Applicantid string, Serviceid string, Agencyid string, "
+            "created_at string, Statusid string")
+    .add("document_array", _items("document", DOCUMENT_ITEM))
+    .add("payment_array", _items("payment", StructType(
+        _schema("@action string, id string").fields + PAYMENT_ITEM.fields)))
+    .add("application_history_array", _items("application_history", StructType(
+        _schema("@action string").fields + HISTORY_ITEM.fields))))
+
 # --- Bronze -----------------------------------------------------------------------
 
 PACKET = _schema("ma_goi_tin string, ma_du_lieu string, loai_du_lieu string, "
