@@ -29,9 +29,11 @@ PACKED, SINGLE, CORRUPT = "packets", "packet", "corrupt"
 # An absent element is null and an empty one the empty text, as no text can hold this value.
 OPTIONS = {"attributePrefix": "@", "ignoreSurroundingSpaces": "false", "nullValue": "\0",
            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-_DECLARATION = r"""^(<\?xml\s+version=["']1\.0["'](\s+encoding=["'](?i:utf-8)["'])?\s*\?>)?\s*"""
-_ELSEWHERE = r"<[!?]|&#|\]\]>|[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
-_EMPTY_DATA = r"<du_lieu\s*/>|<du_lieu\s*></du_lieu\s*>"
+_DECLARATION = r"""^<\?xml\s+version=["']1\.0["'](\s+encoding=["'](?i:utf-8)["'])?\s*\?>"""
+_ELSEWHERE = r"""<[!?]|&#|\]\]>|=\s+["']|[^\t\n\r\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"""
+_SPACES = " \t\n\r"
+# Fixed value: the white space that Python's strip() takes off, as far as XML allows it.
+_BLANKS = _SPACES + "\x85\xa0                　"
 
 
 def _once(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,13 +50,20 @@ def _sum(items: Column, of: Callable[[Column], Column]) -> Column:
     return F.coalesce(F.aggregate(items, F.lit(0), lambda total, item: total + of(item)), F.lit(0))
 
 
+def _count(text: Column, literal: str) -> Column:
+    """How often a literal stands in a text; one that cannot overlap itself."""
+    return (F.length(text) - F.length(F.replace(text, F.lit(literal), F.lit("")))) / len(literal)
+
+
 def _present(parent: Column, names: list[str]) -> Column:
     return _total([parent[name].isNotNull().cast("int") for name in names])
 
 
 def _quoted(value: Column) -> Column:
     """The value as a JSON string; null for null."""
-    return F.when(value.isNotNull(), _once(F.to_json(F.array(value)), lambda j: F.substring(j, F.lit(2), F.length(j) - 2)))
+    plain = F.concat(F.lit('"'), value, F.lit('"'))
+    return F.when(value.rlike(r'["\\\x00-\x1f]'), _once(
+        F.to_json(F.array(value)), lambda j: F.substring(j, F.lit(2), F.length(j) - 2))).otherwise(plain)
 
 
 def _object(members: list[tuple[str, Column]]) -> Column:
@@ -129,7 +138,7 @@ class _Layout:
 
     def facts(self, packet: Column) -> Column:
         metadata = packet["metadata"]
-        names = [F.coalesce(F.regexp_replace(metadata[n], r"(?U)^\s+|(?<!\s)\s+\z", ""), F.lit("")).alias(n) for n in FIELDS]
+        names = [F.coalesce(F.btrim(metadata[n], F.lit(_BLANKS)), F.lit("")).alias(n) for n in FIELDS]
         return F.struct(metadata.isNotNull().alias("has_metadata"), *names, self.payload(packet["du_lieu"]).alias("data_payload"))
 
 
@@ -145,15 +154,16 @@ def declared_column(text: Column, data: StructType = PACKET_DATA) -> Column:
         return (tree[CORRUPT].isNull() & (F.size(found) > 0)
                 & (packed | (F.size(found) == 1))
                 & (_sum(found, layout.bare) == 0)
-                & (F.regexp_count(body, F.lit("<[^/]")) == packed.cast("int") + _sum(found, layout.elements))
-                & (F.regexp_count(body, F.lit("=\\s*[\"']")) == _sum(found, layout.attributes))
-                & (F.regexp_count(body, F.lit(_EMPTY_DATA)) == _sum(found, lambda p: layout.no_data(p).cast("int"))))
+                & (_count(body, "<") - _count(body, "</") == packed.cast("int") + _sum(found, layout.elements))
+                & (_count(body, '="') + _count(body, "='") == _sum(found, layout.attributes))
+                & (_count(body, "<du_lieu/>") + _count(body, "<du_lieu></du_lieu>")
+                   == _sum(found, lambda p: layout.no_data(p).cast("int"))))
 
     def parsed(body: Column) -> Column:
         packed = body.startswith(f"<{PACKED}>") & body.endswith(f"</{PACKED}>")
         single = body.startswith(f"<{SINGLE}>") & body.endswith(f"</{SINGLE}>")
         plain = (packed | single) & ~body.rlike(_ELSEWHERE) & (
-            single | (F.regexp_count(body, F.lit(f"</{PACKED}")) == 1))
+            single | (_count(body, f"</{PACKED}") == 1))
         wrapped = F.when(plain, F.when(packed, body).otherwise(
             F.concat(F.lit(f"<{PACKED}>"), body, F.lit(f"</{PACKED}>"))))
         return _once(F.from_xml(wrapped, layout.schema(), OPTIONS), lambda tree: F.when(
@@ -161,4 +171,5 @@ def declared_column(text: Column, data: StructType = PACKET_DATA) -> Column:
                 F.lit(None).cast("string").alias("syntax"), F.lit(None).cast("string").alias("failure"),
                 F.transform(tree[SINGLE], layout.facts).alias("found")))).cast(PARSED)
 
-    return _once(F.regexp_replace(F.regexp_replace(text, _DECLARATION, ""), r"(?<!\s)\s+\z", ""), parsed)
+    body = F.when(text.startswith("<?xml"), F.regexp_replace(text, _DECLARATION, "")).otherwise(text)
+    return _once(F.btrim(body, F.lit(_SPACES)), parsed)

@@ -83,10 +83,17 @@ def validate_packets(raw: DataFrame, events: Sequence[str] = EVENTS, stage: bool
 
 
 @contextmanager
-def validated_files(raw: DataFrame, layout: StructType = PACKET_DATA,
+def validated_files(raw: DataFrame, layout: StructType | None = None,
                     events: Sequence[str] = EVENTS) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """(accepted, rejected) for the length of a block: files of the declared layout are parsed
-    in the JVM, and Python sees only the rest. Both are written once under the shared folder."""
+    """(accepted, rejected) for the length of a block, written once under the shared folder.
+
+    With a ``layout`` (``schemas.PACKET_DATA``), files of it are parsed in the JVM and Python
+    workers see only the rest. Both ways give the same rows; without a layout is faster.
+    """
+    if layout is None:
+        with staged(validate_documents(raw, events), "packets") as checked:
+            yield split_valid_invalid(checked)
+        return
     with staged(validate_declared(raw, layout, events), "declared") as first:
         rest = first.where("result IS NULL").drop("result")
         with staged(validate_documents(rest, events), "undeclared") as second:
@@ -94,7 +101,7 @@ def validated_files(raw: DataFrame, layout: StructType = PACKET_DATA,
 
 
 def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
-               pattern: str = "*.xml", layout: StructType = PACKET_DATA) -> None:
+               pattern: str = "*.xml", layout: StructType | None = None) -> None:
     """Landed files to Bronze packets and, with their reasons, to the quarantine; parsed once."""
     with validated_files(scan_raw_documents(spark, landing, pattern), layout) as (accepted, rejected):
         append_partitioned(accepted, table)

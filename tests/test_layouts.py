@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from caseledger.functions.layouts import declared_column
 from caseledger.functions.packets import parse_column
 from caseledger.plans import bronze
-from caseledger.schemas import APPLICATION_XML
+from caseledger.schemas import APPLICATION_XML, PACKET_DATA
 
 META = "<metadata><ma_goi_tin> P1 \n</ma_goi_tin><su_kien>{e}</su_kien><id_ban_ghi>HS_1</id_ban_ghi></metadata>"
 
@@ -109,13 +109,14 @@ def test_one_landing_zone_through_both_parsers(spark):
     texts = DECLARED + OTHER
     raw = spark.createDataFrame([(t, f"f{i:03}", datetime(2024, 1, 1)) for i, t in enumerate(texts)],
                                 "value string, file_name string, ingested_at timestamp")
-    with bronze.validated_files(raw) as frames:
+    with bronze.validated_files(raw, PACKET_DATA) as frames:
         mine = [sorted(map(tuple, f.collect()), key=str) for f in frames]
-    wanted = [sorted(map(tuple, f.collect()), key=str) for f in bronze.validate_packets(raw)]
+    with bronze.validated_files(raw) as frames:
+        wanted = [sorted(map(tuple, f.collect()), key=str) for f in frames]
     assert mine == wanted and all(mine)
 
 
 def test_an_empty_zone(spark):
     raw = spark.createDataFrame([], "value string, file_name string, ingested_at timestamp")
-    with bronze.validated_files(raw) as (good, bad):
+    with bronze.validated_files(raw, PACKET_DATA) as (good, bad):
         assert good.count() == bad.count() == 0

@@ -8,7 +8,7 @@ from caseledger.operators import calendar as cal_ops
 from caseledger.operators import keys, quality, scd2
 from caseledger.plans import bronze, gold, silver
 from caseledger.plans import dims as dim_plans
-from caseledger.schemas import CONTRACTS, QUARANTINE, assert_schema, conform
+from caseledger.schemas import CONTRACTS, PACKET_DATA, QUARANTINE, assert_schema, conform
 from caseledger.session import materialize, scratch_path
 from caseledger.sources import readers, tables
 from caseledger.streaming import transitions
@@ -41,6 +41,39 @@ def ingest_xml(spark, sf):
     return accepted.unionByName(rejected.groupBy(F.lit("rejected").alias("kind"), folder).agg(F.count(F.lit(1)).alias("n")))
 
 
+_TIME = "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"
+
+
+def _step_json(n):
+    return (f"""'{{"@action": "INSERT", "id": "H{n}_' || o_orderkey || '", "Statusid": "{n}", "Statusid2": "{n + 1}", ' ||
+      CASE WHEN o_orderkey % 4 <> 0 THEN '"Officerid": "' || o_custkey || '", ' ELSE '' END ||
+      '"action_time": "' || {_TIME} || '"}}'""")
+
+
+@query("P1_X1_declared_layout", f"""
+SELECT 'HS_' || o_orderkey AS id_ban_ghi, CASE WHEN o_orderkey % 9 = 0 THEN 'null' ELSE
+  '{{"name": "Case ' || o_orderkey || '", "Applicantid": "' || printf('%06d', o_custkey) ||
+  '", "Serviceid": "' || substr(o_orderpriority, 1, 1) || '", "Agencyid": null, "created_at": "' || {_TIME} ||
+  '", "Statusid": "1", "document_array": {{"document": {{"@action": "INSERT", "id": "D_' || o_orderkey ||
+  '", "name": "Đơn & tờ khai", "file_url": "s3://docs/' || o_orderkey || '", "Document_Typeid": "2"}}}}, ' ||
+  '"payment_array": {{"payment": {{"@action": "INSERT", "amount": "' || o_custkey ||
+  '", "method": "CARD", "status": "success", "transaction_code": "T_' || o_orderkey || '", "paid_at": "' || {_TIME} ||
+  '"}}}}, "application_history_array": {{"application_history": ' ||
+  CASE WHEN o_orderkey % 2 = 0 THEN {_step_json(1)} ELSE '[' || {_step_json(1)} || ', ' || {_step_json(2)} || ']' END || '}}}}' END
+  AS data_payload FROM orders
+UNION ALL SELECT 'page ' || page_id, NULL FROM pages""")
+def declared_layout(spark, sf):
+    """Packets of the declared layout, parsed in the JVM, and web pages, left to the Python parser, from one landing zone."""
+    number = F.floor(F.col("o_orderkey") / P.PER_FILE)
+    good = P.packets_of_orders(spark, sf).groupBy(number.alias("no")).agg(F.concat_ws("", F.collect_list("packet")).alias("body"))
+    good = good.select(F.col("no").cast("string").alias("file_name"), F.concat(F.lit("<packets>"), "body", F.lit("</packets>")).alias("body"))
+    pages = B.table(spark, sf, "pages").select(F.concat(F.lit("page "), "page_id").alias("file_name"), F.col("html").alias("body"))
+    files = P.raw_rows(good.unionByName(pages), F.col("file_name"), F.col("body"))
+    with bronze.validated_files(files, PACKET_DATA) as (accepted, rejected):
+        pages = rejected.select(F.col("file_name").alias("id_ban_ghi"), F.lit(None).cast("string").alias("data_payload"))
+        return materialize(accepted.select("id_ban_ghi", "data_payload").unionByName(pages), "declared-layout")
+
+
 @query("C3_ingest_api_payments", """
 SELECT 'HS_' || event_id AS id_ban_ghi, floor(value) AS amount, date_trunc('millisecond', ts) AS ingested_at,
        strftime(ts, '%Y-%m-%d') AS ingest_date, TRUE AS from_a_file FROM events""")
