@@ -183,15 +183,14 @@ def assemble_dense(spine: DataFrame, *aggregates: DataFrame, key: str | Sequence
             .where("_in_spine").drop("_in_spine"))
 
 
-def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                  left_ts: str, right_ts: str, bound_seconds: int,
-                  extra: Column | None = None) -> DataFrame:
-    """Inner join on equal keys and times at most ``bound_seconds`` apart (inclusive).
-
-    Works on static and on streaming frames. Both sides carry the number of their time
-    bucket, two bounds wide, and the left side looks into the one or two buckets that its
-    bound reaches. A pair is found in exactly one bucket, so nothing is duplicated; a key
-    with very many events only ever compares neighbours in time instead of all pairs.
+def near_in_time(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
+                 left_ts: str, right_ts: str, bound_seconds: int,
+                 extra: Column | None = None) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides in time buckets, and the condition under which their rows meet.
+
+    Each right row stands in the one bucket of its time (``_r_bucket``), each left row in the
+    one or two buckets (``_l_bucket``) that its bound reaches. Buckets are two bounds wide, so
+    a pair meets in exactly one of them and a right row sees all its partners in its own.
     """
     bound = bound_seconds * 1_000_000
     width = max(1, 2 * bound)
@@ -208,9 +207,35 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         condition &= F.col(l_key) == F.col(r_key)
     if extra is not None:
         condition &= extra
+    if not (left.isStreaming or right.isStreaming):
+        # Rows are parsed out of a few file bytes each, so the planner's sizes are far too
+        # small: without the hint it sends a whole side through the driver.
+        near, placed = near.hint("merge"), placed.hint("merge")
+    return near, placed, condition
+
+
+def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
+                  left_ts: str, right_ts: str, bound_seconds: int,
+                  extra: Column | None = None) -> DataFrame:
+    """Inner join on equal keys and times at most ``bound_seconds`` apart (inclusive).
+
+    Works on static and on streaming frames. Both sides carry the number of their time
+    bucket, two bounds wide, and the left side looks into the one or two buckets that its
+    bound reaches. A pair is found in exactly one bucket, so nothing is duplicated; a key
+    with very many events only ever compares neighbours in time instead of all pairs.
+    """
+    near, placed, condition = near_in_time(left, right, on, left_ts, right_ts, bound_seconds, extra)
     return near.join(placed, condition, "inner").drop("_l_bucket", "_r_bucket")
 
 
+def interval_semi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
+                       left_ts: str, right_ts: str, bound_seconds: int,
+                       extra: Column | None = None) -> DataFrame:
+    """The ``right`` rows that have a partner in :func:`interval_join`, each once, of static frames."""
+    near, placed, condition = near_in_time(left, right, on, left_ts, right_ts, bound_seconds, extra)
+    return placed.join(near, condition, "left_semi").drop("_r_bucket")
+
+
 def stream_interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                          left_ts: str, right_ts: str, bound_seconds: int = 60,
                          watermark: str = "1 minute", extra: Column | None = None) -> DataFrame:

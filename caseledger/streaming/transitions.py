@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseledger.functions.columns import day_key, elapsed_hours, elapsed_seconds
-from caseledger.operators.joins import interval_join, stream_interval_join
+from caseledger.operators.joins import interval_join, interval_semi_join, stream_interval_join
 from caseledger.schemas import CDC_ROWS, FACT_TRANSITION_STREAM
 from caseledger.streaming.cdc import application_changes, history_changes
 
@@ -72,8 +72,9 @@ def unmatched_changes(application: DataFrame, history: DataFrame,
 
     The stream drops them; this report, run over the stored topics, makes the loss visible.
     """
-    matched = join_changes(application, history, bound_seconds).select("id").dropDuplicates()
-    return history.join(matched, "id", "left_anti")
+    matched = interval_semi_join(application, history, _KEYS, "app_event_time", "history_event_time",
+                                 bound_seconds, _same_origin()).select("id").dropDuplicates()
+    return history.hint("merge").join(matched, "id", "left_anti")
 
 
 def unmatched_stream(application: DataFrame, history: DataFrame,

@@ -217,3 +217,24 @@ def test_lag_stream_closes_windows_once_and_drops_late_rows(spark, folder):
     assert run((T + timedelta(seconds=1), 99), (T + timedelta(minutes=4, seconds=30), 8)) == [first, (T + timedelta(minutes=1), 1, 5)]
     got = run((T + timedelta(minutes=9), 1))
     assert got == [first, (T + timedelta(minutes=1), 1, 5), (T + timedelta(minutes=4), 1, 8), (T + timedelta(minutes=5), 1, 7)]
+
+
+def test_a_replayed_join_never_goes_through_the_driver(spark):
+    """Records of a few bytes in the file hold large rows: the planner's sizes must not decide."""
+    from workloads import streams
+    application, history = (readers.as_records(r) for r in streams.change_records(spark, "/root/testdata/sf0.001"))
+    facts = transitions.realtime_transitions(application, history).select("kafka_event_time", "join_skew_ms")
+    lost = streams.unmatched(spark, "/root/testdata/sf0.001")
+    for frame in (facts, facts.groupBy().count(), lost):
+        assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_report_of_lost_events_goes_by_id(spark, topics):
+    from caseledger.streaming import cdc
+    app, hist = topics
+    app.send(app_change("a", 1, 2, T), app_change("a", 1, 2, T + timedelta(seconds=1)))
+    # h1 arrived twice, once far from any change: it was found, so it is not lost.
+    hist.send(hist_change("h1", "a", 1, 2, T), hist_change("h1", "a", 1, 2, T + timedelta(hours=3)), hist_change("lost", "a", 1, 2, T + timedelta(hours=3)))
+    lost = transitions.unmatched_changes(cdc.application_changes(app.batch(), CDC_ROWS["application"]),
+                                         cdc.history_changes(hist.batch(), CDC_ROWS["application_history"]))
+    assert rows(lost, "id") == [("lost",)]
