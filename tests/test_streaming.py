@@ -238,3 +238,10 @@ def test_the_report_of_lost_events_goes_by_id(spark, topics):
     lost = transitions.unmatched_changes(cdc.application_changes(app.batch(), CDC_ROWS["application"]),
                                          cdc.history_changes(hist.batch(), CDC_ROWS["application_history"]))
     assert rows(lost, "id") == [("lost",)]
+
+
+def test_the_percentile_of_a_large_window_is_exact(spark):
+    n = 200_000
+    fact = spark.range(n).select(F.lit(T).cast("timestamp").alias("kafka_event_time"), (F.col("id") * 7919 % n).alias("lag"))
+    report = transitions.cdc_lag_report(fact, "1 day", lag="lag").first()
+    assert (report["events"], report["p95_lag_ms"], report["max_lag_ms"]) == (n, n * 95 // 100 - 1, n - 1)
