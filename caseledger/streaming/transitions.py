@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseledger.functions.columns import day_key, elapsed_hours, elapsed_seconds
-from caseledger.operators.joins import interval_join, interval_semi_join, stream_interval_join
+from caseledger.operators.joins import (interval_join, interval_semi_join, near_in_time,
+                                        stream_interval_join)
 from caseledger.schemas import CDC_ROWS, FACT_TRANSITION_STREAM
 from caseledger.streaming.cdc import application_changes, history_changes
 
@@ -84,17 +85,15 @@ def unmatched_stream(application: DataFrame, history: DataFrame,
     A left outer join of the two streams: a history row leaves the state when both watermarks
     say that no partner within the bound can come any more, and is then emitted without one.
     Every history insert therefore ends either in the fact or here; rows behind the watermark
-    when they arrive end in neither. The keys are equality keys of the state, without time
-    buckets, because a row must be known as unmatched in all of its time range at once.
+    when they arrive end in neither. A history row stands in one time bucket only, into which
+    every change within its bound is copied, so it is known as unmatched in all of its time
+    range at once and compared with its neighbours in time instead of with its whole key.
     """
-    span = F.expr(f"INTERVAL {bound_seconds} SECONDS")
-    condition = ((F.col("app_event_time") >= F.col("history_event_time") - span)
-                 & (F.col("app_event_time") <= F.col("history_event_time") + span) & _same_origin())
-    for app_key, history_key in _KEYS:
-        condition &= F.col(app_key) == F.col(history_key)
     changes = application.select("ho_so_id", "app_before_status_id", "app_after_status_id", "app_event_time")
-    joined = history.withWatermark("history_event_time", watermark).join(
-        changes.withWatermark("app_event_time", watermark), condition, "left_outer")
+    near, placed, condition = near_in_time(
+        changes.withWatermark("app_event_time", watermark), history.withWatermark("history_event_time", watermark),
+        _KEYS, "app_event_time", "history_event_time", bound_seconds, _same_origin())
+    joined = placed.join(near, condition, "left_outer")
     return joined.where(F.col("ho_so_id").isNull()).select(*history.columns)
 
 

@@ -245,3 +245,19 @@ def test_the_percentile_of_a_large_window_is_exact(spark):
     fact = spark.range(n).select(F.lit(T).cast("timestamp").alias("kafka_event_time"), (F.col("id") * 7919 % n).alias("lag"))
     report = transitions.cdc_lag_report(fact, "1 day", lag="lag").first()
     assert (report["events"], report["p95_lag_ms"], report["max_lag_ms"]) == (n, n * 95 // 100 - 1, n - 1)
+
+
+def test_the_side_stream_compares_neighbours_in_time(spark, folder, topics):
+    from caseledger.streaming import cdc
+    app, hist = topics
+    app.send(*[app_change("a", 1, 2, T + timedelta(minutes=3 * n), offset=n) for n in range(4)])
+    hist.send(*[hist_change(f"{n}{side}", "a", 1, 2, T + timedelta(minutes=3 * n) + gap) for n in range(4) for side, gap in (
+        ("first", timedelta(seconds=-60)), ("last", timedelta(seconds=60)), ("beyond", timedelta(seconds=60, milliseconds=1)))])
+    for hours in (5, 10):
+        app.send(app_change("end", 1, 2, T + timedelta(hours=hours)))
+        hist.send(hist_change("end", "end", 1, 2, T + timedelta(hours=hours)))
+    side = transitions.unmatched_stream(cdc.application_changes(topics[0].stream(), CDC_ROWS["application"]),
+                                        cdc.history_changes(topics[1].stream(), CDC_ROWS["application_history"]))
+    assert "_l_bucket" in side._jdf.queryExecution().analyzed().toString()
+    sinks.stream_files(side, f"{folder}/out", f"{folder}/ck", None).awaitTermination()
+    assert rows(spark.read.parquet(f"{folder}/out"), "id") == [(f"{n}beyond",) for n in range(4)]
