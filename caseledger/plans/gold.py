@@ -93,15 +93,15 @@ def backlog(app: DataFrame, history: DataFrame, dims: dict[str, DataFrame], cal:
     return _backlog_fact(open_cases(app, history, day, terminal), dims, cal, day)
 
 
-def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
-                   terminal: Sequence[int] = TERMINAL_STATUSES) -> DataFrame:
-    """Open cases of every day between ``first`` and ``last``, in one pass.
+def open_ranges(app: DataFrame, history: DataFrame, first: date, last: date,
+                terminal: Sequence[int] = TERMINAL_STATUSES) -> DataFrame:
+    """The ranges of days (``_low`` to ``_high``) between ``first`` and ``last`` in which a case
+    is open in one state, in one pass.
 
     Only the last event of a case and day matters, so the history is first combined to
     one row per case and day (everything before ``first`` counts as ``first``). That
     bounds the rows of any case by the number of days, and the window that turns them
-    into validity ranges works on this reduced set. Days are generated only inside the
-    ranges in which a case is open.
+    into validity ranges works on this reduced set.
     """
     entered = F.greatest(F.to_date("action_time"), F.lit(first))
     position = F.struct("action_time", "history_id")
@@ -141,7 +141,15 @@ def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
                     .alias("trang_thai_id"),
                     F.col("_entry.state.can_bo_id").alias("can_bo_id"),
                     F.col("_entry.state.action_time").alias("latest_action_time"),
-                    F.explode(F.sequence(low, high)).alias("snapshot_day")))
+                    low.alias("_low"), high.alias("_high")))
+
+
+def open_case_days(app: DataFrame, history: DataFrame, first: date, last: date,
+                   terminal: Sequence[int] = TERMINAL_STATUSES) -> DataFrame:
+    """Open cases of every day between ``first`` and ``last``; days are generated only inside
+    the ranges in which a case is open."""
+    ranges = open_ranges(app, history, first, last, terminal)
+    return ranges.withColumn("snapshot_day", F.explode(F.sequence("_low", "_high"))).drop("_low", "_high")
 
 
 def _within_calendar(cal: DataFrame, first: date, last: date) -> None:
@@ -181,6 +189,37 @@ def overdue_open(snapshot: DataFrame, service: DataFrame) -> DataFrame:
             .agg(F.count_distinct("ho_so_id").alias("so_luong_tre_han_dang_mo")))
 
 
+def stock_of_days(app: DataFrame, history: DataFrame, service: DataFrame, cal: DataFrame,
+                  first: date, last: date,
+                  terminal: Sequence[int] = TERMINAL_STATUSES) -> tuple[DataFrame, DataFrame]:
+    """:func:`backlog_by_agency` and :func:`overdue_open` of all days of a range, without the
+    backlog of each day (``app`` has one row per case).
+
+    Open ranges are counted by agency, ends and the working day after which they are overdue.
+    That leaves no more rows than agencies and days allow, however many cases there are, and
+    only these are laid out by day.
+    """
+    ranges = open_ranges(app, history, first, last, terminal).select(
+        "co_quan_id", SERVICE.key, "created_at", "_low", "_high")
+    ranges = join_scd2_as_of(ranges, service, SERVICE.key, SERVICE.key, F.col("created_at"),
+                             SERVICE.sk, [("thoi_han_tra_kq", "_sla")], disjoint=True)
+    ranges = with_workday(ranges, cal, "created_at", "_created_seq")
+    # The age of a case is floored at zero, so a negative SLA is always exceeded.
+    due = F.col("_created_seq") + F.col("_sla")
+    low, high = max(workday_number(cal, first) - 1, 0), workday_number(cal, last)
+    limit = F.when(F.col("_sla") < 0, -1).when(due.isNotNull(), F.least(F.greatest(due, F.lit(low)), F.lit(high)))
+    counted = ranges.groupBy("co_quan_id", "_low", "_high", limit.alias("_limit")).agg(F.count(F.lit(1)).alias("_n"))
+    days = counted.withColumn("snapshot_day", F.explode(F.sequence("_low", "_high")))
+    days = with_workday(days, cal, "snapshot_day", "_day_seq").withColumn("thoi_gian_id", day_key("snapshot_day"))
+    late = F.coalesce("_day_seq", F.lit(0)) > F.col("_limit")
+    totals = days.groupBy("thoi_gian_id", "co_quan_id").agg(
+        F.sum("_n").alias("so_luong_ton_dong"),
+        F.sum(F.when(late, F.col("_n"))).alias("so_luong_tre_han_dang_mo"))
+    totals = materialize(totals, "stock")
+    return (totals.drop("so_luong_tre_han_dang_mo"),
+            totals.drop("so_luong_ton_dong").where(F.col("so_luong_tre_han_dang_mo").isNotNull()))
+
+
 def case_activity(history: DataFrame, payment: DataFrame, first: date,
                   last: date | None = None) -> DataFrame:
     """Completions, rejections and fees per case and day.
@@ -241,6 +280,13 @@ def agency_days(app: DataFrame, history: DataFrame, payment: DataFrame, snapshot
     ``snapshot`` is the backlog of the same days, ``agencies`` has the column
     ``co_quan_id``. Late = completed late + open beyond the SLA.
     """
+    stock = backlog_by_agency(snapshot), overdue_open(snapshot, dims[SERVICE.table])
+    return _agency_days(app, history, payment, stock, dims, cal, agencies, first, last, with_missing_sla)
+
+
+def _agency_days(app: DataFrame, history: DataFrame, payment: DataFrame, stock: tuple[DataFrame, DataFrame],
+                 dims: dict[str, DataFrame], cal: DataFrame, agencies: DataFrame, first: date,
+                 last: date, with_missing_sla: bool = False) -> DataFrame:
     _within_calendar(cal, first, last)
     service = dims[SERVICE.table]
 
@@ -255,8 +301,7 @@ def agency_days(app: DataFrame, history: DataFrame, payment: DataFrame, snapshot
     dense = assemble_dense(
         dated(spine),
         dated(received(app, first, last)),
-        backlog_by_agency(snapshot),
-        overdue_open(snapshot, service),
+        *stock,
         dated(activity_by_agency(activity, app, service, cal, last)),
         key=["thoi_gian_id", "co_quan_id"])
     late = F.col("so_luong_tre_han_da_dong") + F.col("so_luong_tre_han_dang_mo")
@@ -353,8 +398,10 @@ def backfill(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: Data
 def agency_days_from_silver(app: DataFrame, history: DataFrame, payment: DataFrame,
                             dims: dict[str, DataFrame], cal: DataFrame, agencies: DataFrame,
                             first: date, last: date) -> DataFrame:
-    """Both steps without a stored backlog: it is staged once, then aggregated."""
-    snapshot = materialize(backlog_range(app, history, dims, cal, first, last)
-                           if first != last else backlog(app, history, dims, cal, first),
-                           "backlog")
-    return agency_days(app, history, payment, snapshot, dims, cal, agencies, first, last)
+    """Both steps without a stored backlog: that of one day is staged, that of a range only counted."""
+    if first == last:
+        snapshot = materialize(backlog(app, history, dims, cal, first), "backlog")
+        return agency_days(app, history, payment, snapshot, dims, cal, agencies, first, last)
+    _within_calendar(cal, first, last)
+    stock = stock_of_days(app, history, dims[SERVICE.table], cal, first, last)
+    return _agency_days(app, history, payment, stock, dims, cal, agencies, first, last)

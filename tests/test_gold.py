@@ -2,6 +2,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 
 from caseledger.operators import quality
@@ -129,6 +130,25 @@ def test_range_equals_the_daily_loop(spark, cal, dims, seed):
     assert len(loop) > 200
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_a_range_is_counted_without_its_case_days(spark, cal, dims, seed, monkeypatch):
+    app, history, payment = random_world(spark, seed)
+    # An SLA below zero, none for some days, and a case from before the calendar.
+    service = dims["dim_dich_vu_cong"]
+    odd = {**dims, "dim_dich_vu_cong": service.withColumn("thoi_han_tra_kq", F.when(F.col("dv_cong_id") == 2, -1).otherwise(F.col("thoi_han_tra_kq")))}
+    old = spark.createDataFrame([("old", 1, 1, datetime(1990, 1, 1), datetime(1990, 1, 1), False)], app.schema)
+    app, first, last = app.unionByName(old), date(2024, 1, 6), date(2024, 1, 12)
+    agencies = spark.createDataFrame([(1,), (2,), (9,)], "co_quan_id int")
+    staged, keep = [], gold.materialize
+    monkeypatch.setattr(gold, "materialize", lambda df, *a: staged.append(keep(df, *a)) or staged[-1])
+    for known in (dims, odd):
+        snapshot = gold.backlog_range(app, history, known, cal, first, last)
+        want = gold.agency_days(app, history, payment, snapshot, known, cal, agencies, first, last)
+        got = gold.agency_days_from_silver(app, history, payment, known, cal, agencies, first, last)
+        assert rows(got) == rows(want)
+    assert [frame.count() <= 2 * 7 for frame in staged] == [True, True]
+
+
 def test_backfill_is_idempotent(spark, cal, dims, name):
     app, history, payment = random_world(spark, 3, 40)
     silver = {"application": app, "application_history": history, "payment": payment,
