@@ -22,6 +22,18 @@ from caseledger.streaming.cdc import parse_cdc
 from caseledger.streaming.sinks import stream_append
 
 
+# Files that a Python worker takes at once: a row is a whole file, and Spark's ten thousand of them
+# are held as text, as parsed rows and as Arrow batches side by side.
+FILES_AT_ONCE = 500
+
+
+def _few_files_at_once(spark: SparkSession) -> None:
+    """From here on in the session, as the parsed frame may run at any later time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= FILES_AT_ONCE:
+        spark.conf.set(name, FILES_AT_ONCE)
+
+
 def master_snapshot(spark: SparkSession, url: str, snapshot_id: str,
                     tables: Sequence[str] = MASTER_TABLES,
                     table_name: Callable[[str], str] = str.lower, **options) -> list[str]:
@@ -50,6 +62,7 @@ def validate_documents(raw: DataFrame, events: Sequence[str] = EVENTS,
     Landed files already arrive in many small splits. ``spread`` moves the texts over
     that many tasks first, for input that comes from a few large splits.
     """
+    _few_files_at_once(raw.sparkSession)
     # By file name: a hash placement needs no sort of the texts to be repeatable.
     rows = raw.repartition(spread, "file_name") if spread else raw
     return _without_accepted(rows.withColumn("result", validate_column(F.col("value"), events)))

@@ -259,3 +259,12 @@ def test_history_of_one_instant_is_ordered_by_its_place_in_the_topic(spark):
     moved = spark.createDataFrame([("H1", "HS_1", 1, n, 1, T, f"n{n}", T, n) for n in (3, 9, 4)], schema)
     assert rows(silver.history(None, moved), "history_id", "trang_thai_id") == [("H1", 9)]
     assert rows(silver.history(None, moved.drop("kafka_offset")), "history_id") == [("H1",)]
+
+
+def test_python_workers_take_few_files_at_once(spark):
+    from pyspark.sql import functions as F
+    raw = spark.range(0, 3 * bronze.FILES_AT_ONCE, 1, 1).select(
+        F.lit("<packet/>").alias("value"), F.col("id").cast("string").alias("file_name"), F.current_timestamp().alias("ingested_at"))
+    assert bronze.validate_packets(raw)[1].count() == 3 * bronze.FILES_AT_ONCE
+    sizes = F.pandas_udf(lambda ids: ids * 0 + len(ids), "long")
+    assert raw.select(F.max(sizes(F.col("file_name").cast("long")))).first()[0] <= bronze.FILES_AT_ONCE
