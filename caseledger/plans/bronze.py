@@ -24,14 +24,17 @@ from caseledger.streaming.sinks import stream_append
 
 # Files that a Python worker takes at once: a row is a whole file, and Spark's ten thousand of them
 # are held as text, as parsed rows and as Arrow batches side by side.
-FILES_AT_ONCE = 500
+# Files may be large, too, so bytes are bounded as well; a larger file goes alone.
+FILES_AT_ONCE, BYTES_AT_ONCE = 500, 16 * 2 ** 20
 
 
 def _few_files_at_once(spark: SparkSession) -> None:
     """From here on in the session, as the parsed frame may run at any later time."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= FILES_AT_ONCE:
-        spark.conf.set(name, FILES_AT_ONCE)
+    for bound, most in (("maxRecordsPerBatch", FILES_AT_ONCE), ("maxBytesPerBatch", BYTES_AT_ONCE)):
+        name = f"spark.sql.execution.arrow.{bound}"
+        now = spark.conf.get(name).rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(name, most)
 
 
 def master_snapshot(spark: SparkSession, url: str, snapshot_id: str,
@@ -76,23 +79,33 @@ def validate_declared(raw: DataFrame, layout: StructType = PACKET_DATA, events:
     return _without_accepted(rows.withColumn("result", judged_column(value, declared_column(value, layout), events)))
 
 
+def by_packet(validated: DataFrame) -> DataFrame:
+    """One row per packet of an accepted file and one per other file, so that no stored row holds a file's packets.
+
+    A scan takes thousands of rows at once, whose packets would otherwise all be in memory.
+    """
+    return validated.select("value", "file_name", "ingested_at", "result.is_valid", "result.error_msg",
+                            F.explode_outer("result.packets").alias("packet"))
+
+
+def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    accepted = rows.where("is_valid").select("packet.*", "file_name", "ingested_at")
+    rejected = rows.where("NOT is_valid").select(
+        "file_name", F.col("value").alias("raw_content"), F.col("error_msg").alias("error_reason"), "ingested_at")
+    return conform(accepted, APPLICATION_XML), conform(rejected, QUARANTINE)
+
+
 def split_valid_invalid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted packets, one row each, and rejected files with their reason."""
-    accepted = (validated.where("result.is_valid")
-                .select("file_name", "ingested_at", F.explode("result.packets").alias("packet"))
-                .select("packet.*", "file_name", "ingested_at"))
-    rejected = validated.where("NOT result.is_valid").select(
-        "file_name", F.col("value").alias("raw_content"),
-        F.col("result.error_msg").alias("error_reason"), "ingested_at")
-    return conform(accepted, APPLICATION_XML), conform(rejected, QUARANTINE)
+    return _split(by_packet(validated))
 
 
 def validate_packets(raw: DataFrame, events: Sequence[str] = EVENTS, stage: bool = False,
                      spread: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected). ``stage`` writes the result once, so that two sinks do not
     parse every file twice."""
-    validated = validate_documents(raw, events, spread)
-    return split_valid_invalid(materialize(validated, "packets") if stage else validated)
+    rows = by_packet(validate_documents(raw, events, spread))
+    return _split(materialize(rows, "packets") if stage else rows)
 
 
 @contextmanager
@@ -104,13 +117,13 @@ def validated_files(raw: DataFrame, layout: StructType | None = None,
     workers see only the rest. Both ways give the same rows; without a layout is faster.
     """
     if layout is None:
-        with staged(validate_documents(raw, events), "packets") as checked:
-            yield split_valid_invalid(checked)
+        with staged(by_packet(validate_documents(raw, events)), "packets") as checked:
+            yield _split(checked)
         return
-    with staged(validate_declared(raw, layout, events), "declared") as first:
-        rest = first.where("result IS NULL").drop("result")
-        with staged(validate_documents(rest, events), "undeclared") as second:
-            yield split_valid_invalid(first.where("result IS NOT NULL").unionByName(second))
+    with staged(by_packet(validate_declared(raw, layout, events)), "declared") as first:
+        rest = first.where("is_valid IS NULL").select("value", "file_name", "ingested_at")
+        with staged(by_packet(validate_documents(rest, events)), "undeclared") as second:
+            yield _split(first.where("is_valid IS NOT NULL").unionByName(second))
 
 
 def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
