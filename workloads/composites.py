@@ -27,14 +27,12 @@ UNION ALL SELECT 'rejected', CAST(page_id % 50 % {FOLDERS} AS BIGINT), count(DIS
 def ingest_xml(spark, sf):
     """Files of packets and files of web pages in one landing zone; where each came from is its real file path."""
     zone, quarantine = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
-    number = F.floor(F.col("o_orderkey") / P.PER_FILE)
-    good = P.packets_of_orders(spark, sf).groupBy(number.alias("no")).agg(F.concat_ws("", F.collect_list("packet")).alias("body"))
-    good = good.select((F.col("no") % FOLDERS).alias("folder"), F.concat(F.lit("<packets>"), "body", F.lit("</packets>")).alias("value"))
+    good = P.files_of_packets(spark, sf).select((F.col("no") % FOLDERS).alias("folder"), F.col("body").alias("value"))
     pages = B.table(spark, sf, "pages").groupBy((F.col("page_id") % 50).alias("no")).agg(F.concat_ws("", F.collect_list("html")).alias("value"))
     for files in (good, pages.select((F.col("no") % FOLDERS).alias("folder"), "value")):
-        files.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("folder").text(zone)
+        files.write.mode("append").option("maxRecordsPerFile", 1).option("compression", "gzip").partitionBy("folder").text(zone)
     name, _ = B.new_table(spark, "application_xml")
-    bronze.ingest_xml(spark, zone, name, quarantine, "*.txt")
+    bronze.ingest_xml(spark, zone, name, quarantine, "*.txt.gz")
     folder = F.regexp_extract("file_name", "/folder=([0-9]+)/", 1).cast("bigint").alias("folder")
     accepted = spark.table(name).groupBy(F.lit("accepted").alias("kind"), folder).agg(F.count(F.lit(1)).alias("n"))
     rejected = spark.read.schema(QUARANTINE).json(quarantine).where("error_reason IS NOT NULL AND raw_content IS NOT NULL")
@@ -64,9 +62,7 @@ SELECT 'HS_' || o_orderkey AS id_ban_ghi, CASE WHEN o_orderkey % 9 = 0 THEN 'nul
 UNION ALL SELECT 'page ' || page_id, NULL FROM pages""")
 def declared_layout(spark, sf):
     """Packets of the declared layout, parsed in the JVM, and web pages, left to the Python parser, from one landing zone."""
-    number = F.floor(F.col("o_orderkey") / P.PER_FILE)
-    good = P.packets_of_orders(spark, sf).groupBy(number.alias("no")).agg(F.concat_ws("", F.collect_list("packet")).alias("body"))
-    good = good.select(F.col("no").cast("string").alias("file_name"), F.concat(F.lit("<packets>"), "body", F.lit("</packets>")).alias("body"))
+    good = P.files_of_packets(spark, sf).select(F.col("no").cast("string").alias("file_name"), "body")
     pages = B.table(spark, sf, "pages").select(F.concat(F.lit("page "), "page_id").alias("file_name"), F.col("html").alias("body"))
     files = P.raw_rows(good.unionByName(pages), F.col("file_name"), F.col("body"))
     with bronze.validated_files(files, PACKET_DATA) as (accepted, rejected):

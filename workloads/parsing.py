@@ -31,43 +31,53 @@ def _text(column):
     return F.col(column).cast("string")
 
 
-def packets_of_orders(spark, sf):
-    """One well-formed packet per order: ``key`` and ``packet`` text.
+def packet_text(col=F.col):
+    """One well-formed packet of an order, whose columns ``col`` gives by name.
 
     Even orders have one status change (an object in the payload), odd ones two (an
     array); every fourth has no officer; every ninth is a delete without data.
     """
-    key = _text("o_orderkey")
+    number, key, customer = col("o_orderkey"), col("o_orderkey").cast("string"), col("o_custkey")
+    at = F.date_format(col("o_orderdate"), LONG_AGO)
     metadata = tag("metadata", tag("ma_goi_tin", " PKG_", key, "\n"), tag("ma_du_lieu", "DL_HO_SO"),
-                   tag("loai_du_lieu", "XML"),
-                   tag("ngay_cap_nhat", F.date_format("o_orderdate", LONG_AGO)),
-                   tag("su_kien", F.when(F.col("o_orderkey") % 9 == 0, "DELETE").otherwise("INSERT")),
+                   tag("loai_du_lieu", "XML"), tag("ngay_cap_nhat", at),
+                   tag("su_kien", F.when(number % 9 == 0, "DELETE").otherwise("INSERT")),
                    tag("id_ban_ghi", "HS_", key))
 
     def step(n):
-        officer = F.when(F.col("o_orderkey") % 4 != 0, tag("Officerid", _text("o_custkey"))).otherwise("")
+        officer = F.when(number % 4 != 0, tag("Officerid", customer.cast("string"))).otherwise("")
         return F.concat(F.lit('<application_history action="INSERT">'),
                         tag("id", f"H{n}_", key), tag("Statusid", str(n)), tag("Statusid2", str(n + 1)),
-                        officer, tag("action_time", F.date_format("o_orderdate", LONG_AGO)),
-                        F.lit("</application_history>"))
+                        officer, tag("action_time", at), F.lit("</application_history>"))
 
-    steps = F.when(F.col("o_orderkey") % 2 == 0, step(1)).otherwise(F.concat(step(1), step(2)))
+    steps = F.when(number % 2 == 0, step(1)).otherwise(F.concat(step(1), step(2)))
     document = F.concat(F.lit('<document action="INSERT">'), tag("id", "D_", key),
                         tag("name", "Đơn & tờ khai".replace("&", "&amp;")),
                         tag("file_url", "s3://docs/", key), tag("Document_Typeid", "2"),
                         F.lit("</document>"))
-    payment = F.concat(F.lit('<payment action="INSERT">'), tag("amount", _text("o_custkey")),
+    payment = F.concat(F.lit('<payment action="INSERT">'), tag("amount", customer.cast("string")),
                        tag("method", "CARD"), tag("status", "success"),
-                       tag("transaction_code", "T_", key),
-                       tag("paid_at", F.date_format("o_orderdate", LONG_AGO)), F.lit("</payment>"))
-    data = F.when(F.col("o_orderkey") % 9 == 0, "<du_lieu/>").otherwise(tag(
-        "du_lieu", tag("name", "Case ", key), tag("Applicantid", F.format_string("%06d", "o_custkey")),
-        tag("Serviceid", F.substring("o_orderpriority", 1, 1)), tag("Agencyid", ""),
-        tag("created_at", F.date_format("o_orderdate", LONG_AGO)), tag("Statusid", "1"),
+                       tag("transaction_code", "T_", key), tag("paid_at", at), F.lit("</payment>"))
+    data = F.when(number % 9 == 0, "<du_lieu/>").otherwise(tag(
+        "du_lieu", tag("name", "Case ", key), tag("Applicantid", F.format_string("%06d", customer)),
+        tag("Serviceid", F.substring(col("o_orderpriority"), 1, 1)), tag("Agencyid", ""),
+        tag("created_at", at), tag("Statusid", "1"),
         tag("document_array", document), tag("payment_array", payment),
         tag("application_history_array", steps)))
-    return B.table(spark, sf, "orders").select(
-        "o_orderkey", F.concat(F.lit("<packet>"), metadata, data, F.lit("</packet>")).alias("packet"))
+    return F.concat(F.lit("<packet>"), metadata, data, F.lit("</packet>"))
+
+
+def packets_of_orders(spark, sf):
+    """One packet per order: ``o_orderkey`` and ``packet`` text."""
+    return B.table(spark, sf, "orders").select("o_orderkey", packet_text().alias("packet"))
+
+
+def files_of_packets(spark, sf):
+    """Files of up to ``PER_FILE`` packets: ``no`` and ``body``. Orders are exchanged, not the texts made of them."""
+    row = F.struct("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    grouped = B.table(spark, sf, "orders").groupBy(F.floor(F.col("o_orderkey") / PER_FILE).alias("no")).agg(F.collect_list(row).alias("orders"))
+    packets = F.transform("orders", lambda order: packet_text(lambda name: order[name]))
+    return grouped.select("no", F.concat(F.lit("<packets>"), F.array_join(packets, ""), F.lit("</packets>")).alias("body"))
 
 
 def raw_rows(df, name, content):
@@ -171,13 +181,10 @@ FROM orders GROUP BY 1""")
 def landing(spark, sf):
     """Files of up to 250 packets, three folders deep, through ingestion to Bronze."""
     zone = scratch_path(spark, "landing")
-    grouped = (packets_of_orders(spark, sf)
-               .groupBy(F.floor(F.col("o_orderkey") / PER_FILE).alias("file_no"))
-               .agg(F.concat_ws("", F.collect_list("packet")).alias("body"))
-               .select(F.concat(F.lit("<packets>"), "body", F.lit("</packets>")).alias("value")))
-    grouped.write.option("maxRecordsPerFile", 1).text(f"{zone}/2024/03/01")
-    # The landing zone holds *.xml; Spark names text files *.txt, hence the pattern.
-    files = readers.scan_raw_documents(spark, zone, "*.txt")
+    files = files_of_packets(spark, sf).select(F.col("body").alias("value"))
+    files.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(f"{zone}/2024/03/01")
+    # The landing zone holds *.xml; Spark names compressed text files *.txt.gz, hence the pattern.
+    files = readers.scan_raw_documents(spark, zone, "*.txt.gz")
     name, location = B.new_table(spark, "application_xml")
     tables.append_partitioned(bronze.validate_packets(files, stage=True)[0], name, location=location)
     number = F.floor(F.substring("id_ban_ghi", 4, 20).cast("long") / PER_FILE)
