@@ -416,7 +416,7 @@ def application_from_sources(spark, sf):
     """Packets first, change records of the same cases an hour later, everything twice."""
     rows = cdc.parse_cdc(order_changes(spark, sf), CDC_ROWS["application"])
     rows = rows.withColumn("id", C.prefixed_key("HS_", "id"))
-    packets = bronze_packets(spark, sf)
+    packets = materialize(bronze_packets(spark, sf))  # read four times: twice in each of two batches
     events = silver.application_events(packets.unionByName(packets), rows.unionByName(rows))
     name, location = B.new_table(spark, "application_event")
     tables.append_new_only(events, name, "event_id", location=location)
