@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from caseledger.schemas import PACKET
@@ -47,44 +48,68 @@ PARSED = StructType([
 
 
 def parse_column(text: Column) -> Column:
-    """The ``PARSED`` struct of a file's text: one parse per file, Arrow-batched, no rules."""
-    import json
+    """The ``PARSED`` struct of a file's text: one parse per file, Arrow columns in and out, no rules."""
+    import gc
+    from json.encoder import encode_basestring as quote
     from xml.etree import ElementTree
 
-    names = FIELDS
-    encode = json.JSONEncoder(ensure_ascii=False).encode
+    names, kind = FIELDS, to_arrow_type(PARSED)
 
-    def value_of(node):
+    def json_of(node) -> str:
         """Text for a plain leaf, else an object; repeated tags become lists."""
+        marks = [f"{quote('@' + k)}: {quote(v)}" for k, v in node.items()]
         if not len(node):
-            return {**{f"@{k}": v for k, v in node.attrib.items()}, "#text": node.text} if node.attrib else node.text
-        lists = {}
+            text = "null" if node.text is None else quote(node.text)
+            return "{" + ", ".join([*marks, f'"#text": {text}']) + "}" if marks else text
+        values, repeated = {}, set()
         for child in node:
-            lists.setdefault(child.tag, []).append(value_of(child))
-        return {f"@{k}": v for k, v in node.attrib.items()} | {t: v[0] if v[1:] == [] else v for t, v in lists.items()}
+            if len(child) or child.items():
+                value = json_of(child)
+            else:  # most are plain leaves, not worth a call
+                value = "null" if child.text is None else quote(child.text)
+            tag = child.tag
+            if tag in values:
+                repeated.add(tag)
+                value = f"{values[tag]}, {value}"
+            values[tag] = value
+        if repeated:
+            values |= {tag: f"[{values[tag]}]" for tag in repeated}
+        return "{" + ", ".join(marks + [f"{quote(tag)}: {value}" for tag, value in values.items()]) + "}"
 
     def facts(packet):
         metadata, data = packet.find("metadata"), packet.find("du_lieu")
         known = metadata is not None
         return (known, *[(metadata.findtext(n) or "").strip() if known else "" for n in names],
-                None if data is None else encode(value_of(data)))
-
-    def parse(batch: pd.Series) -> pd.DataFrame:
-        out = []
-        for text in batch:
+                None if data is None else json_of(data))
+
+    def parse(batch: pa.Array) -> pa.Array:
+        syntax, failure, ends, found = [], [], [0], []
+        gc.disable()  # trees have no cycles, and a collection would walk a large one again and again
+        for text in batch.cast(pa.binary()):
+            problem = odd = None
+            packets = []
             try:
-                root = ElementTree.fromstring((text or "").encode("utf-8"))
-                packets = [root] if root.tag == "packet" else root.iter("packet")
-                out.append((None, None, [facts(p) for p in packets]))
+                root = ElementTree.fromstring(text.as_py() or b"")
+                packets = [facts(p) for p in ([root] if root.tag == "packet" else root.iter("packet"))]
             except ElementTree.ParseError as error:
-                out.append((str(error), None, []))
+                problem = str(error)
             except Exception as error:  # one odd file must not stop the job
-                out.append((None, str(error), []))
-        return pd.DataFrame(out, columns=["syntax", "failure", "found"])
+                odd = str(error)
+            syntax.append(problem)
+            failure.append(odd)
+            found += packets
+            ends.append(len(found))
+        gc.enable()
+        item = kind.field("found").type.value_type
+        columns = zip(*found) if found else [()] * item.num_fields
+        rows = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, item)], fields=list(item))
+        return pa.StructArray.from_arrays(
+            [pa.array(syntax, pa.string()), pa.array(failure, pa.string()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows, type=kind.field("found").type)], fields=list(kind))
 
     # Declared non-deterministic so that a filter on the result is not pushed below it,
     # which would parse every file twice.
-    return F.pandas_udf(parse, PARSED).asNondeterministic()(text)
+    return F.arrow_udf(parse, PARSED).asNondeterministic()(text)
 
 
 def packet_problem(packet: Column, events: Sequence[str] = EVENTS) -> Column:
