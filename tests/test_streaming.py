@@ -261,3 +261,27 @@ def test_the_side_stream_compares_neighbours_in_time(spark, folder, topics):
     assert "_l_bucket" in side._jdf.queryExecution().analyzed().toString()
     sinks.stream_files(side, f"{folder}/out", f"{folder}/ck", None).awaitTermination()
     assert rows(spark.read.parquet(f"{folder}/out"), "id") == [(f"{n}beyond",) for n in range(4)]
+
+
+def test_a_replay_keeps_its_state_on_disk_and_runs_no_batch_to_clear_it(spark, folder, topics):
+    app, hist = topics
+    app.send(*[app_change(f"c{n}", 1, 2, T + timedelta(minutes=n)) for n in range(9)])
+    hist.send(*[hist_change(f"h{n}", f"c{n}", 1, 2, T + timedelta(minutes=n, seconds=10 * n)) for n in range(9)])
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    runs = {}
+    spark.conf.unset(provider)
+    try:
+        for idle in (True, False):
+            out, checkpoint = f"{folder}/out_{idle}", f"{folder}/ck_{idle}"
+            sinks.stream_files(fact(topics), out, checkpoint, None, idle_batches=idle).awaitTermination()
+            runs[idle] = [rows(spark.read.parquet(out), "id", "ho_so_id", "join_skew_ms"), len(list(pathlib.Path(checkpoint, "commits").glob("[0-9]*")))]
+        assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+        assert spark.conf.get("spark.sql.streaming.join.stateFormatVersion") == "2"
+    finally:
+        spark.conf.set(provider, before)
+    assert runs[True][0] == runs[False][0] != []
+    assert (runs[True][1], runs[False][1]) == (2, 1)
+    started = json.loads(pathlib.Path(folder, "ck_False", "offsets", "0").read_text().split("\n")[1])["conf"]
+    assert started[provider].endswith("RocksDBStateStoreProvider")
+    assert started["spark.sql.streaming.join.stateFormatVersion"] == "3"

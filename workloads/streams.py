@@ -115,7 +115,7 @@ def stream_join(spark, sf):
     application, history = topics(spark, sf)
     fact = transitions.realtime_transitions(application, history, loaded_at=loaded_at())
     out, checkpoint = scratch_path(spark, "fact"), scratch_path(spark, "checkpoint")
-    sinks.stream_files(fact, out, checkpoint, trigger=None).awaitTermination()
+    sinks.stream_files(fact, out, checkpoint, trigger=None, idle_batches=False).awaitTermination()
     return spark.read.schema(fact.schema).parquet(out).select(*MATCHED_COLUMNS)
 
 
@@ -130,8 +130,8 @@ def stream_upsert(spark, sf):
         "ho_so_id", "id", "application_kafka_offset")
     for _ in range(2):
         sinks.stream_upsert(fact, name, ["ho_so_id", "id"], scratch_path(spark, "checkpoint"),
-                            trigger=None, order=["application_kafka_offset"], buckets=4
-                            ).awaitTermination()
+                            trigger=None, order=["application_kafka_offset"], buckets=4,
+                            idle_batches=False).awaitTermination()
     return tables.fresh(spark, name).drop("key_bucket")
 
 
