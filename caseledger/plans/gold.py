@@ -7,6 +7,7 @@ the version lookups here carry no repair of overlaps.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import ExitStack
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -19,14 +20,15 @@ from caseledger.functions.columns import (STATUS_COMPLETED, STATUS_RECEIVED, STA
                                           resolve_snapshot_date)
 from caseledger.operators.calendar import with_workday, workday_number, workdays_between, worked_between
 from caseledger.operators.joins import assemble_dense, join_scd2_as_of, lookup, versions_at
-from caseledger.operators.ranking import latest_as_of, previous_value
+from caseledger.operators.ranking import latest, latest_as_of, previous_value
 from caseledger.operators.skew import broadcast_within
 from caseledger.plans.dims import AGENCY, OFFICER, SERVICE, STATUS
 from caseledger.schemas import FACT_AGENCY_DAY, FACT_BACKLOG, FACT_TRANSITIONS, conform
-from caseledger.session import materialize
+from caseledger.session import materialize, staged
 from caseledger.sources.tables import replace_partition
 
 _CASE = ("ho_so_id", "co_quan_id", "dv_cong_id", "created_at", "event_time", "da_bi_xoa")
+_EVENT = ("ho_so_id", "trang_thai_id", "can_bo_id", "action_time", "history_id")
 
 
 # --- backlog ----------------------------------------------------------------------
@@ -69,18 +71,40 @@ def _backlog_fact(rows: DataFrame, dims: dict[str, DataFrame], cal: DataFrame,
     ), FACT_BACKLOG)
 
 
+def case_states(history: DataFrame, day: date) -> DataFrame:
+    """The last event of each case up to the end of ``day``.
+
+    The history is reduced to one row per case on the map side before it is exchanged.
+    """
+    return latest_as_of(history, "ho_so_id", "action_time", day, "history_id").select(*_EVENT)
+
+
+def next_states(states: DataFrame, moved: DataFrame) -> DataFrame:
+    """:func:`case_states` of a day from those of the day before and the last events of the day
+    itself (:func:`moved_cases`); any of these is later than any state before it."""
+    return (states.join(broadcast_within(moved.select("ho_so_id")), "ho_so_id", "left_anti")
+            .unionByName(moved))
+
+
+def moved_cases(history: DataFrame, day: date) -> DataFrame:
+    """The last event of each case that has one on ``day``; no other day is read."""
+    events = history.where(in_days(history, "action_time", day, day)).select(*_EVENT)
+    return latest(events, "ho_so_id", ["action_time", "history_id"])
+
+
 def open_cases(app: DataFrame, history: DataFrame, day: date,
                terminal: Sequence[int] = TERMINAL_STATUSES) -> DataFrame:
-    """Cases open at the end of ``day`` with the state they had then.
+    """Cases open at the end of ``day`` with the state they had then."""
+    return _open_cases(app, case_states(history, day), day, terminal)
 
-    The status comes from the history only; a case without one counts as received. The
-    history is reduced to one row per case on the map side before it is exchanged.
-    """
+
+def _open_cases(app: DataFrame, states: DataFrame, day: date,
+                terminal: Sequence[int] = TERMINAL_STATUSES) -> DataFrame:
+    """The status comes from the history only; a case without one counts as received."""
     cases = app.select(*_CASE).where(
         created_and_alive("created_at", "da_bi_xoa", "event_time", day))
-    state = latest_as_of(history, "ho_so_id", "action_time", day, "history_id")
-    state = state.select("ho_so_id", "trang_thai_id", "can_bo_id",
-                         F.col("action_time").alias("latest_action_time"))
+    state = states.select("ho_so_id", "trang_thai_id", "can_bo_id",
+                          F.col("action_time").alias("latest_action_time"))
     return (cases.join(state, "ho_so_id", "left")
             .withColumn("trang_thai_id", F.coalesce("trang_thai_id", F.lit(STATUS_RECEIVED)))
             .where(is_open("trang_thai_id", terminal))
@@ -369,9 +393,14 @@ def build_day(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: Dat
     Without a day it is yesterday in business time; a future day is refused.
     """
     day = resolve_snapshot_date(day, today)
+    _build_day(silver, case_states(silver["application_history"], day), dims, cal, day, name)
+
+
+def _build_day(silver: dict[str, DataFrame], states: DataFrame, dims: dict[str, DataFrame],
+               cal: DataFrame, day: date, name) -> None:
     key = day.year * 10000 + day.month * 100 + day.day
     spark = cal.sparkSession
-    replace_partition(backlog(silver["application"], silver["application_history"], dims, cal, day),
+    replace_partition(_backlog_fact(_open_cases(silver["application"], states, day), dims, cal, day),
                       name("fact_ton_dong_ho_so"), "thoi_gian_id", key)
     # Read the day back: both facts then agree, and the backlog is not computed twice.
     snapshot = spark.table(name("fact_ton_dong_ho_so")).where(F.col("thoi_gian_id") == key)
@@ -387,12 +416,25 @@ def backfill(silver: dict[str, DataFrame], dims: dict[str, DataFrame], cal: Data
     """Day by day, so an interrupted backfill continues where it was.
 
     The whole range is checked before the first day is written: it must lie in the calendar
-    and not reach into the future.
+    and not reach into the future. The whole history is read for the first day; each later day
+    takes the states of the day before and its own events, both staged and removed after use.
     """
     resolve_snapshot_date(last, today)
     _within_calendar(cal, first, last)
-    for day in days_between(first, last):
-        build_day(silver, dims, cal, day, name, today)
+    history = silver["application_history"]
+    with ExitStack() as before:
+        for day in days_between(first, last):
+            if day == first:
+                states = case_states(history, day)
+            else:
+                moved = before.enter_context(staged(moved_cases(history, day), "moved"))
+                states = next_states(states, moved)
+            with ExitStack() as current:
+                if day != last:
+                    states = current.enter_context(staged(states, "states"))
+                _build_day(silver, states, dims, cal, day, name)
+                before.close()
+                before.push(current.pop_all())
 
 
 def agency_days_from_silver(app: DataFrame, history: DataFrame, payment: DataFrame,

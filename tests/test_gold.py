@@ -1,5 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from caseledger.operators.calendar import calendar
 from caseledger.plans import gold, kpi
 from caseledger.plans.dims import AGENCY, OFFICER, SERVICE, STATUS
 from caseledger.schemas import FACT_AGENCY_DAY, FACT_BACKLOG, FACT_TRANSITIONS, assert_schema
+from caseledger.session import shared_dir
 from tests.conftest import rows
 
 DAY = date(2024, 1, 10)
@@ -162,6 +164,21 @@ def test_backfill_is_idempotent(spark, cal, dims, name):
     assert quality.orphan_keys(spark.table(f"{prefix}_fact_ton_dong_ho_so"), dims[AGENCY.table], AGENCY.sk).isEmpty()
 
 
+def test_backfill_reads_the_whole_history_once(spark, cal, monkeypatch):
+    history = spark.createDataFrame([
+        ("x1", "edge", 3, 5, at(8)), ("x2", "edge", 4, None, at(9, 0)), ("x3", "edge", 2, 5, at(9, 0)), ("x4", "edge", 7, 5, None),
+        ("x5", "edge", 7, 5, at(9, 23, minutes=59, seconds=59, microseconds=999_999)), ("x6", "edge", 2, 5, at(10, 0)),
+        ("y1", "old", 3, 5, at(1)), ("y2", "old", 7, 5, at(11)), ("z1", "new", 2, 5, at(10)), ("n1", None, 2, 5, at(9))], HIST).coalesce(1)
+    days = gold.days_between(date(2024, 1, 7), DAY)
+    want = {day: rows(gold.case_states(history, day)) for day in days}
+    read, got, plain = [], {}, gold.case_states
+    monkeypatch.setattr(gold, "case_states", lambda *a: read.append(a[1]) or plain(*a))
+    monkeypatch.setattr(gold, "_build_day", lambda silver, states, dims, cal, day, name: got.update({day: rows(states)}))
+    gold.backfill({"application_history": history}, {}, cal, days[0], DAY)
+    assert read == days[:1] and got == want and want[DAY] != want[days[2]]
+    assert not [p for p in Path(shared_dir(spark)).iterdir() if p.name.startswith(("states-", "moved-"))]
+
+
 def test_transitions(spark, cal):
     app = spark.createDataFrame([("a", 1, 1, at(5), at(5), False)], APP)
     history = spark.createDataFrame([("h1", "a", 2, 5, at(5, 15)), ("h2", "a", 7, 5, at(8, 15)), ("h0", "a", 1, 5, at(4))], HIST)
