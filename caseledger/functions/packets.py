@@ -9,10 +9,10 @@ everything after them are column expressions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
@@ -35,6 +35,9 @@ REASONS = {
 
 FIELDS = ("ma_goi_tin", "ma_du_lieu", "loai_du_lieu", "ngay_cap_nhat", "su_kien", "id_ban_ghi")
 
+# Fixed value: nothing but white space as Unicode has it, for Java's expressions and for Arrow's.
+BLANK = r"\A[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]*\z"
+
 # What one file holds, before any rule is applied: a parse problem, or its packets.
 PARSED = StructType([
     StructField("syntax", StringType()),
@@ -47,8 +50,8 @@ PARSED = StructType([
 ])
 
 
-def parse_column(text: Column) -> Column:
-    """The ``PARSED`` struct of a file's text: one parse per file, Arrow columns in and out, no rules."""
+def _parser() -> Callable[[pa.Array], pa.Array]:
+    """Texts to ``PARSED`` structs: one parse per file, Arrow columns in and out, no rules."""
     import gc
     from json.encoder import encode_basestring as quote
     from xml.etree import ElementTree
@@ -107,9 +110,35 @@ def parse_column(text: Column) -> Column:
             [pa.array(syntax, pa.string()), pa.array(failure, pa.string()),
              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows, type=kind.field("found").type)], fields=list(kind))
 
+    return parse
+
+
+def parse_column(text: Column) -> Column:
+    """The ``PARSED`` struct of a file's text."""
     # Declared non-deterministic so that a filter on the result is not pushed below it,
     # which would parse every file twice.
-    return F.arrow_udf(parse, PARSED).asNondeterministic()(text)
+    return F.arrow_udf(_parser(), PARSED).asNondeterministic()(text)
+
+
+def parsed_without_text(raw: DataFrame, text: str = "value") -> DataFrame:
+    """The other columns of files, ``blank`` and ``parsed``.
+
+    A column function keeps the row that it is called for until its result is there; here
+    the text is not needed any more once it is in the Arrow batch.
+    """
+    parse, white = _parser(), BLANK
+
+    def facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            texts = batch.column(text)
+            rest = {name: batch.column(name) for name in batch.schema.names if name != text}
+            blank = pc.fill_null(pc.match_substring_regex(texts, white), True)
+            yield pa.RecordBatch.from_pydict(rest | {"blank": blank, "parsed": parse(texts)})
+
+    rest = StructType([field for field in raw.schema if field.name != text])
+    return raw.mapInArrow(facts, StructType([*rest, StructField("blank", BooleanType()), StructField("parsed", PARSED)]))
 
 
 def packet_problem(packet: Column, events: Sequence[str] = EVENTS) -> Column:
@@ -122,8 +151,13 @@ def packet_problem(packet: Column, events: Sequence[str] = EVENTS) -> Column:
             .when(packet["data_payload"].isNull(), REASONS["no_data"]))
 
 
-def judged_column(text: Column, parsed: Column, events: Sequence[str] = EVENTS) -> Column:
-    """Struct ``(is_valid, error_msg, packets)`` of a file by what a parser found in it.
+def blank_column(text: Column) -> Column:
+    """Whether a text is missing or nothing but white space."""
+    return F.coalesce(text, F.lit("")).rlike(BLANK)
+
+
+def judged_column(blank: Column, parsed: Column, events: Sequence[str] = EVENTS) -> Column:
+    """Struct ``(is_valid, error_msg, packets)`` of a file, ``blank`` or not, by what a parser found in it.
 
     One bad packet rejects its whole file. Null where the parser gave null.
     """
@@ -132,7 +166,7 @@ def judged_column(text: Column, parsed: Column, events: Sequence[str] = EVENTS)
 
     def judged(parsed: Column) -> Column:
         broken = F.filter(F.transform(parsed["found"], lambda p: packet_problem(p, events)), lambda r: r.isNotNull())
-        reason = (F.when(F.coalesce(text, F.lit("")).rlike(r"(?U)^\s*$"), REASONS["empty"])
+        reason = (F.when(blank, REASONS["empty"])
                   .when(parsed["syntax"].isNotNull(), with_detail("malformed", parsed["syntax"]))
                   .when(parsed["failure"].isNotNull(), with_detail("other", parsed["failure"]))
                   .when(F.size(parsed["found"]) == 0, REASONS["no_packet"]).otherwise(F.get(broken, F.lit(0))))
@@ -146,4 +180,4 @@ def judged_column(text: Column, parsed: Column, events: Sequence[str] = EVENTS)
 
 def validate_column(text: Column, events: Sequence[str] = EVENTS) -> Column:
     """:func:`judged_column` of any file, by the tolerant parser."""
-    return judged_column(text, parse_column(text), events)
+    return judged_column(blank_column(text), parse_column(text), events)

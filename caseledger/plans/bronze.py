@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from caseledger.functions.layouts import declared_column
-from caseledger.functions.packets import EVENTS, judged_column, validate_column
+from caseledger.functions.packets import EVENTS, blank_column, judged_column, parsed_without_text, validate_column
 from caseledger.schemas import (APPLICATION_XML, CDC_ROWS, MASTER_TABLES, PACKET_DATA,
                                 PAYMENT_TRANSACTIONS, QUARANTINE, conform)
 from caseledger.session import materialize, staged
@@ -26,6 +27,8 @@ from caseledger.streaming.sinks import stream_append
 # are held as text, as parsed rows and as Arrow batches side by side.
 # Files may be large, too, so bytes are bounded as well; a larger file goes alone.
 FILES_AT_ONCE, BYTES_AT_ONCE = 500, 16 * 2 ** 20
+# Rejected files whose texts one job reads again; their paths go through the driver.
+REREAD_AT_ONCE = 1_000
 
 
 def _few_files_at_once(spark: SparkSession) -> None:
@@ -71,12 +74,19 @@ def validate_documents(raw: DataFrame, events: Sequence[str] = EVENTS,
     return _without_accepted(rows.withColumn("result", validate_column(F.col("value"), events)))
 
 
+def judge_documents(raw: DataFrame, events: Sequence[str] = EVENTS) -> DataFrame:
+    """:func:`validate_documents` without the texts, for files that can be read again."""
+    _few_files_at_once(raw.sparkSession)
+    parsed = parsed_without_text(raw).withColumn("result", judged_column(F.col("blank"), F.col("parsed"), events))
+    return parsed.withColumn("value", F.lit(None).cast("string"))
+
+
 def validate_declared(raw: DataFrame, layout: StructType = PACKET_DATA, events: Sequence[str] = EVENTS,
                       spread: int | None = None) -> DataFrame:
     """Add the validation result of files of one declared layout, without Python; null for others."""
     rows = raw.repartition(spread, "file_name") if spread else raw
     value = F.col("value")
-    return _without_accepted(rows.withColumn("result", judged_column(value, declared_column(value, layout), events)))
+    return _without_accepted(rows.withColumn("result", judged_column(blank_column(value), declared_column(value, layout), events)))
 
 
 def by_packet(validated: DataFrame) -> DataFrame:
@@ -126,10 +136,33 @@ def validated_files(raw: DataFrame, layout: StructType | None = None,
             yield _split(first.where("is_valid IS NOT NULL").unionByName(second))
 
 
+def _quarantine_files(rejected: DataFrame, raw: DataFrame, quarantine: str) -> None:
+    """Rejected files with their texts, which are read again: of these files only, a bounded number in a job."""
+    with staged(rejected.drop("raw_content"), "rejected") as found:
+        groups = max(1, math.ceil(found.count() / REREAD_AT_ONCE))
+        for group in range(groups):
+            few = found.where(F.pmod(F.xxhash64("file_name"), F.lit(groups)) == group)
+            # A condition on the path with literals leaves the other files out of the scan.
+            names = [row["file_name"] for row in few.select("file_name").collect()]
+            texts = raw.where(F.col("file_name").isin(names)).select("file_name", F.col("value").alias("raw_content"))
+            write_quarantine(conform(texts.join(F.broadcast(few), "file_name"), QUARANTINE), quarantine)
+
+
 def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
                pattern: str = "*.xml", layout: StructType | None = None) -> None:
-    """Landed files to Bronze packets and, with their reasons, to the quarantine; parsed once."""
-    with validated_files(scan_raw_documents(spark, landing, pattern), layout) as (accepted, rejected):
+    """Landed files to Bronze packets and, with their reasons, to the quarantine; parsed once.
+
+    Texts are not staged, as a landed file may be large and stays as it is: the few that are
+    rejected are read again. With a ``layout`` they are, for the second parser.
+    """
+    raw = scan_raw_documents(spark, landing, pattern)
+    if layout is None:
+        with staged(by_packet(judge_documents(raw)), "packets") as checked:
+            accepted, rejected = _split(checked)
+            append_partitioned(accepted, table)
+            _quarantine_files(rejected, raw, quarantine)
+        return
+    with validated_files(raw, layout) as (accepted, rejected):
         append_partitioned(accepted, table)
         write_quarantine(rejected, quarantine)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caseledger.functions.columns import from_millis
 from caseledger.operators.keys import with_audit
-from caseledger.schemas import API_PAYMENT_RAW
+from caseledger.schemas import API_PAYMENT_RAW, QUARANTINE
 
 
 class SnapshotErrors(RuntimeError):
@@ -88,6 +88,11 @@ def scan_raw_documents(spark: SparkSession, path: str, pattern: str = "*.xml") -
                       F.col("_path")).drop("_path")
 
 
+def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected files. Unless told otherwise, the JSON reader makes a row of nulls of one with over 20 million characters."""
+    return spark.read.schema(QUARANTINE).option("maxStringLen", 2 ** 31 - 1).json(path)
+
+
 def scan_api_payments(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON arrays of payments; the fetch time arrives as epoch milliseconds."""
     rows = (spark.read.schema(API_PAYMENT_RAW).option("multiLine", True)

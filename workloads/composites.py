@@ -8,7 +8,7 @@ from caseledger.operators import calendar as cal_ops
 from caseledger.operators import keys, quality, scd2
 from caseledger.plans import bronze, gold, silver
 from caseledger.plans import dims as dim_plans
-from caseledger.schemas import CONTRACTS, PACKET_DATA, QUARANTINE, assert_schema, conform
+from caseledger.schemas import CONTRACTS, PACKET_DATA, assert_schema, conform
 from caseledger.session import materialize, scratch_path
 from caseledger.sources import readers, tables
 from caseledger.streaming import transitions
@@ -21,6 +21,12 @@ from workloads.registry import query
 FOLDERS = 5
 
 
+def pages_of_files(spark, sf):
+    """The pages of fifty files, to be written one after another: no row holds a file's pages."""
+    no = F.col("page_id") % 50
+    return B.table(spark, sf, "pages").select((no % FOLDERS).alias("folder"), no.alias("no"), "html").repartition("no")
+
+
 @query("C2_ingest_xml_with_quarantine", f"""
 SELECT 'accepted' AS kind, CAST(o_orderkey // {P.PER_FILE} % {FOLDERS} AS BIGINT) AS folder, count(*) AS n FROM orders GROUP BY 2
 UNION ALL SELECT 'rejected', CAST(page_id % 50 % {FOLDERS} AS BIGINT), count(DISTINCT page_id % 50) FROM pages GROUP BY 2""")
@@ -28,14 +34,13 @@ def ingest_xml(spark, sf):
     """Files of packets and files of web pages in one landing zone; where each came from is its real file path."""
     zone, quarantine = scratch_path(spark, "landing"), scratch_path(spark, "quarantine")
     good = P.files_of_packets(spark, sf).select((F.col("no") % FOLDERS).alias("folder"), F.col("body").alias("value"))
-    pages = B.table(spark, sf, "pages").groupBy((F.col("page_id") % 50).alias("no")).agg(F.concat_ws("", F.collect_list("html")).alias("value"))
-    for files in (good, pages.select((F.col("no") % FOLDERS).alias("folder"), "value")):
-        files.write.mode("append").option("maxRecordsPerFile", 1).option("compression", "gzip").partitionBy("folder").text(zone)
+    good.write.option("maxRecordsPerFile", 1).option("compression", "gzip").partitionBy("folder").text(zone)
+    pages_of_files(spark, sf).write.mode("append").option("compression", "gzip").partitionBy("folder", "no").text(zone)
     name, _ = B.new_table(spark, "application_xml")
     bronze.ingest_xml(spark, zone, name, quarantine, "*.txt.gz")
     folder = F.regexp_extract("file_name", "/folder=([0-9]+)/", 1).cast("bigint").alias("folder")
     accepted = spark.table(name).groupBy(F.lit("accepted").alias("kind"), folder).agg(F.count(F.lit(1)).alias("n"))
-    rejected = spark.read.schema(QUARANTINE).json(quarantine).where("error_reason IS NOT NULL AND raw_content IS NOT NULL")
+    rejected = readers.scan_quarantine(spark, quarantine).where("error_reason IS NOT NULL AND raw_content IS NOT NULL")
     return accepted.unionByName(rejected.groupBy(F.lit("rejected").alias("kind"), folder).agg(F.count(F.lit(1)).alias("n")))
 
 

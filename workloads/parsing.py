@@ -169,7 +169,7 @@ def quarantine(spark, sf):
     files = raw_rows(B.table(spark, sf, "pages"), _text("page_id"), F.col("html"))
     rejected_rows = bronze.validate_packets(files)[1]
     tables.write_quarantine(rejected_rows, path)
-    back = spark.read.schema(rejected_rows.schema).json(path)
+    back = readers.scan_quarantine(spark, path)
     return back.where(F.col("error_reason").isNotNull()).select(
         "file_name", F.char_length("raw_content").alias("kept_chars"))
 
