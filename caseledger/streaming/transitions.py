@@ -112,7 +112,8 @@ def cdc_lag_report(fact: DataFrame, window: str = "1 minute",
     return (timed.groupBy(F.window(ts, window))
             .agg(F.count(F.lit(1)).alias("events"), F.max(lag).alias("max_lag_ms"),
                  F.avg(lag).alias("mean_lag_ms"),
-                 F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY `{lag}`)").alias("p95_lag_ms"))
+                 F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY `{lag}`)")  # a double of whatever it is
+                 .cast(fact.schema[lag].dataType).alias("p95_lag_ms"))
             .select(F.col("window.start").alias("window_start"), "events",
                     (F.col("events") / seconds).alias("events_per_second"),
                     "max_lag_ms", "mean_lag_ms", "p95_lag_ms"))
