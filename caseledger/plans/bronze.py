@@ -16,7 +16,7 @@ from caseledger.functions.packets import EVENTS, blank_column, judged_column, pa
 from caseledger.schemas import (APPLICATION_XML, CDC_ROWS, MASTER_TABLES, PACKET_DATA,
                                 PAYMENT_TRANSACTIONS, QUARANTINE, conform)
 from caseledger.session import materialize, staged
-from caseledger.sources.readers import (SnapshotErrors, jdbc_snapshot, scan_api_payments,
+from caseledger.sources.readers import (SnapshotErrors, jdbc_snapshot, large_documents, scan_api_payments,
                                         scan_raw_documents)
 from caseledger.sources.tables import append_partitioned, write_quarantine
 from caseledger.streaming.cdc import parse_cdc
@@ -29,6 +29,8 @@ from caseledger.streaming.sinks import stream_append
 FILES_AT_ONCE, BYTES_AT_ONCE = 500, 16 * 2 ** 20
 # Rejected files whose texts one job reads again; their paths go through the driver.
 REREAD_AT_ONCE = 1_000
+# Files of more stored bytes are read by jobs of their own that take a share of the cores: a task holds some ten copies of a text.
+LARGE_BYTES, LARGE_SHARE = 8 * 2 ** 20, 4
 
 
 def _few_files_at_once(spark: SparkSession) -> None:
@@ -136,16 +138,28 @@ def validated_files(raw: DataFrame, layout: StructType | None = None,
             yield _split(first.where("is_valid IS NOT NULL").unionByName(second))
 
 
-def _quarantine_files(rejected: DataFrame, raw: DataFrame, quarantine: str) -> None:
+def _few(spark: SparkSession, names: Sequence[str]) -> Iterator[Sequence[str]]:
+    """As many large files as are read at a time."""
+    size = max(1, spark.sparkContext.defaultParallelism // LARGE_SHARE)
+    return (names[i:i + size] for i in range(0, len(names), size))
+
+
+def _of_files(raw: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A condition on the path with literals leaves the other files out of the scan."""
+    return raw.where(F.col("file_name").isin(list(names)))
+
+
+def _quarantine_files(rejected: DataFrame, raw: DataFrame, large: Sequence[str], quarantine: str) -> None:
     """Rejected files with their texts, which are read again: of these files only, a bounded number in a job."""
+    apart = set(large)
     with staged(rejected.drop("raw_content"), "rejected") as found:
         groups = max(1, math.ceil(found.count() / REREAD_AT_ONCE))
         for group in range(groups):
             few = found.where(F.pmod(F.xxhash64("file_name"), F.lit(groups)) == group)
-            # A condition on the path with literals leaves the other files out of the scan.
-            names = [row["file_name"] for row in few.select("file_name").collect()]
-            texts = raw.where(F.col("file_name").isin(names)).select("file_name", F.col("value").alias("raw_content"))
-            write_quarantine(conform(texts.join(F.broadcast(few), "file_name"), QUARANTINE), quarantine)
+            names = sorted(row["file_name"] for row in few.select("file_name").collect())
+            for part in ([n for n in names if n not in apart], *_few(raw.sparkSession, [n for n in names if n in apart])):
+                texts = _of_files(raw, part).select("file_name", F.col("value").alias("raw_content"))
+                write_quarantine(conform(texts.join(F.broadcast(few), "file_name"), QUARANTINE), quarantine)
 
 
 def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
@@ -155,14 +169,17 @@ def ingest_xml(spark: SparkSession, landing: str, table: str, quarantine: str,
     Texts are not staged, as a landed file may be large and stays as it is: the few that are
     rejected are read again. With a ``layout`` they are, for the second parser.
     """
-    raw = scan_raw_documents(spark, landing, pattern)
     if layout is None:
-        with staged(by_packet(judge_documents(raw)), "packets") as checked:
+        raw = scan_raw_documents(spark, landing, pattern, sizes=True)
+        large = large_documents(spark, landing, pattern, LARGE_BYTES)
+        others = raw.where(F.col("stored_bytes") <= LARGE_BYTES)
+        apart = (by_packet(judge_documents(_of_files(raw, few))) for few in _few(spark, large))
+        with staged(by_packet(judge_documents(others)), "packets", more=apart) as checked:
             accepted, rejected = _split(checked)
             append_partitioned(accepted, table)
-            _quarantine_files(rejected, raw, quarantine)
+            _quarantine_files(rejected, raw, large, quarantine)
         return
-    with validated_files(raw, layout) as (accepted, rejected):
+    with validated_files(scan_raw_documents(spark, landing, pattern), layout) as (accepted, rejected):
         append_partitioned(accepted, table)
         write_quarantine(rejected, quarantine)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,11 +76,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str = "stage", compression: str | None = None) -> Iterator[DataFrame]:
-    """:func:`materialize` for the length of a block; the folder is removed at its end."""
+def staged(df: DataFrame, name: str = "stage", compression: str | None = None,
+           more: Iterable[DataFrame] = ()) -> Iterator[DataFrame]:
+    """:func:`materialize` for the length of a block; the folder is removed at its end.
+
+    The rows of ``more`` frames are added one frame after another.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path, compression=compression)
+    for rows in more:
+        rows.write.mode("append").parquet(path, compression=compression)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:

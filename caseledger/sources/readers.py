@@ -80,14 +80,22 @@ def jdbc_snapshot(spark: SparkSession, url: str, tables: Sequence[str], snapshot
     return frames
 
 
-def scan_raw_documents(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
-    """Each file as one row, at any depth below ``path``."""
+def scan_raw_documents(spark: SparkSession, path: str, pattern: str = "*.xml", sizes: bool = False) -> DataFrame:
+    """Each file as one row, at any depth below ``path``; with ``sizes`` also its ``stored_bytes``."""
     files = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
              .text(path, wholetext=True))
-    return with_audit(files.select("value", F.col("_metadata.file_path").alias("_path")),
+    size = [F.col("_metadata.file_size").alias("stored_bytes")] if sizes else []
+    return with_audit(files.select("value", F.col("_metadata.file_path").alias("_path"), *size),
                       F.col("_path")).drop("_path")
 
 
+def large_documents(spark: SparkSession, path: str, pattern: str, most: int) -> list[str]:
+    """Paths of the files of over ``most`` stored bytes, without reading them."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+             .load(path).where(F.col("length") > most))
+    return sorted(row["file_path"] for row in files.select("_metadata.file_path").collect())
+
+
 def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Rejected files. Unless told otherwise, the JSON reader makes a row of nulls of one with over 20 million characters."""
     return spark.read.schema(QUARANTINE).option("maxStringLen", 2 ** 31 - 1).json(path)
