@@ -92,7 +92,7 @@ def scan_raw_documents(spark: SparkSession, path: str, pattern: str = "*.xml", s
 def large_documents(spark: SparkSession, path: str, pattern: str, most: int) -> list[str]:
     """Paths of the files of over ``most`` stored bytes, without reading them."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-             .load(path).where(F.col("length") > most))
+             .load(path).where(F.col("_metadata.file_size") > most))  # leaves the others out of the scan
     return sorted(row["file_path"] for row in files.select("_metadata.file_path").collect())
 
 
